@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, secret_scan
 
 QUERIES = {
+    "op3_secret_scan": secret_scan.op3_secret_scan,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
 SQL = {
+    "op3_secret_scan": secret_scan.OP3_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
 }
