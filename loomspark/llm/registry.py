@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, secret_scan
+from . import bpe, exact_dedup, ngram_join, secret_scan
 
 QUERIES = {
+    "op2_ngram_join": ngram_join.op2_ngram_join,
+    "op4_byte_bpe": bpe.op4_byte_bpe,
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
