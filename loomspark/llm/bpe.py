@@ -63,6 +63,26 @@ def ranks_at(path: str) -> Ranks:
     return Ranks(path)
 
 
+@lru_cache(maxsize=2)
+def _finders(pattern: str, path: str) -> tuple[Callable, Callable]:
+    """What splits a text into words: one for texts of Latin-1 characters, one for any text.
+
+    The second leaves out of a Unicode class what the encoding library, built on an older edition of Unicode,
+    does not count to it; the library is asked by a pattern of that class over all characters.
+    """
+    import regex
+    import tiktoken
+
+    everything = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    exact = pattern
+    for name in sorted(set(regex.findall(r"\\p\{\w+\}", pattern))):
+        asked = tiktoken.Encoding("class", pat_str=name, mergeable_ranks=ranks_at(path).ids, special_tokens={})
+        newer = set(regex.findall(name, everything)) - set(asked.decode_bytes(asked.encode_ordinary(everything)).decode())
+        if newer:
+            exact = exact.replace(name, f"[{name}--[{''.join(sorted(newer))}]]")
+    return regex.compile(pattern).findall, regex.compile(exact, regex.V1).findall
+
+
 def _one_word(word: bytes, ranks: Ranks) -> list[int]:
     """The lowest pair first, the leftmost of equals, one merge at a time."""
     parts = [bytes([b]) for b in word]
@@ -167,13 +187,15 @@ class Block:
     """Texts as lists of word numbers, with the ids of each distinct word."""
 
     def __init__(self, pattern: str, path: str):
-        import regex
-
-        self.find, self.ranks = regex.compile(pattern).findall, ranks_at(path)
+        (self.find, self.find_any), self.ranks = _finders(pattern, path), ranks_at(path)
         self.numbers, self.texts, self.length = _Numbers(), [], 0
 
     def add(self, text: str) -> None:
-        words = self.find(text)
+        try:
+            text.encode("latin-1")
+            words = self.find(text)
+        except UnicodeEncodeError:
+            words = self.find_any(text)
         self.texts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
         self.length += len(words)
 
