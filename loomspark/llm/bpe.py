@@ -51,6 +51,11 @@ class Ranks:
                     merged[a << 32 | b] = i
         self.pairs = np.array(sorted(merged), np.int64)
         self.merged = np.array([merged[k] for k in self.pairs.tolist()], np.int32)
+        self.made = np.arange(len(self.tokens), dtype=np.int32)  # the id that a merge of each rank makes
+
+    def start(self, data: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The ids before any merge; ``last`` are the positions that end a word."""
+        return self.byte[data]
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) << 32 | b
@@ -83,15 +88,16 @@ def _finders(pattern: str, path: str) -> tuple[Callable, Callable]:
     return regex.compile(pattern).findall, regex.compile(exact, regex.V1).findall
 
 
-def _one_word(word: bytes, ranks: Ranks) -> list[int]:
+def _one_word(word: bytes, ranks: Ranks) -> np.ndarray:
     """The lowest pair first, the leftmost of equals, one merge at a time."""
-    parts = [bytes([b]) for b in word]
-    while len(parts) > 1:
-        best = min(range(len(parts) - 1), key=lambda i: ranks.ids.get(parts[i] + parts[i + 1], NONE))
-        if parts[best] + parts[best + 1] not in ranks.ids:
+    ids = ranks.start(np.frombuffer(word, np.uint8), np.array([len(word) - 1]))
+    while len(ids) > 1:
+        rank = ranks.rank(ids[:-1], ids[1:])
+        at = int(rank.argmin())
+        if rank[at] == NONE:
             break
-        parts[best : best + 2] = [parts[best] + parts[best + 1]]
-    return [ranks.ids[p] for p in parts]
+        ids = np.concatenate([ids[:at], ranks.made[rank[at] : rank[at] + 1], ids[at + 2 :]])
+    return ids
 
 
 def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +105,7 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     first = np.cumsum(sizes) - sizes
     total = int(sizes.sum())
-    token = ranks.byte[np.frombuffer(b"".join(words), np.uint8)]
+    token = ranks.start(np.frombuffer(b"".join(words), np.uint8), first + sizes - 1)
     after = np.arange(1, total + 1, dtype=np.int32)
     before = np.arange(-1, total - 1, dtype=np.int32)
     after[first + sizes - 1] = -1
@@ -143,7 +149,7 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
             continue
         gone = after[at]
         behind = after[gone]
-        token[at] = r
+        token[at] = ranks.made[r]
         after[at] = behind
         alive[gone] = False
         here[gone] = NONE
@@ -169,7 +175,7 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
         where = np.unique(np.searchsorted(first, np.concatenate(odd), side="right") - 1)
         each = np.split(ids, np.cumsum(counts)[:-1])
         for w in where.tolist():
-            each[w] = np.array(_one_word(words[w], ranks), np.int32)
+            each[w] = _one_word(words[w], ranks)
             counts[w] = len(each[w])
         ids = np.concatenate(each)
     return ids, counts

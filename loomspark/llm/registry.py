@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, ngram_join, secret_scan
+from . import bpe, exact_dedup, ngram_join, packing, secret_scan
 
 QUERIES = {
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
 SQL = {
