@@ -34,6 +34,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a settled table that nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bounds the Arrow batches that go to Python by rows and bytes, as texts may be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

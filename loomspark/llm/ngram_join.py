@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import member_gate, settle, slices, small_batches, stars
+from .common import discard, member_gate, settle, slices, small_batches, stars
 
 #: Rows of a tile's block; a tile compares two blocks.
 BLOCK = 4096
@@ -38,6 +38,7 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x2
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
+    h = np.asarray(h)
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return h ^ (h >> np.uint64(33))
@@ -75,8 +76,8 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
 
 
 def signature_bits(n: int) -> int:
-    """A power of two of about 1.4 to 2.8 n: random sets then differ in far more bits than the threshold lets through."""
-    return max(64, min(1 << 15, 1 << max(0, int(n * 1.4)).bit_length()))
+    """A power of two of 0.6 to 1.2 n: random sets then differ in about twice the bits that the threshold lets through."""
+    return max(64, min(1 << 15, 1 << max(0, int(n * 0.6)).bit_length()))
 
 
 def band_of(n: np.ndarray, t: int) -> np.ndarray:
@@ -93,8 +94,9 @@ def prefix_length(n: int, t: int) -> int:
     return n - -(-t * n // 100) + 1
 
 
-def shortest_of_links(n: int, t: int) -> int:
-    return -(-t * n // 100)
+def index_length(n: int, t: int) -> int:
+    """The smaller of two similar sets has a shared hash among its first ones of this number already."""
+    return n - -(-2 * t * n // (100 + t)) + 1
 
 
 _SETS = "id long, n long, digest binary, prefix array<long>, sig binary"
@@ -264,13 +266,20 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small_batches(spark)
     t = percent
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = settle(base.mapInArrow(_set_rows(words, t), _SETS))
-    reps = settle(sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "digest").agg(F.min("id").alias("rep"), F.min_by(F.struct("prefix", "sig"), "id").alias("x")).select("rep", "n", "x.prefix", "x.sig"))
-
-    # posting lists of more than one set
-    posts = reps.select("rep", "n", F.explode("prefix").alias("tok"))
-    lists = posts.groupBy("tok").agg(F.count("*").alias("many"), F.min(F.struct("n", "rep")).alias("least")).where("many > 1")
-    met = settle(posts.join(lists.select(F.expr("tok ^ 0").alias("tok"), "least"), "tok").select("tok", "rep", "n", F.col("least.rep").alias("first"), F.col("least.n").alias("first_n")))
+    wide = settle(base.mapInArrow(_set_rows(words, t), _SETS))
+    sets = settle(wide.select("id", "n", "digest"))
+    own = settle(sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "digest").agg(F.min("id").alias("rep")))
+    reps = settle(wide.dropDuplicates(["id"]).join(own.select(F.col("rep").alias("id")), "id", "left_semi").select(F.col("id").alias("rep"), "n", "prefix", "sig"))
+    discard(wide)
+
+    # posting lists of more than one set, at least one of which has the hash among its first ones; of lists with
+    # the same members one stays
+    index = F.col("n") - F.ceil(2 * t * F.col("n") / (100 + t)) + 1
+    posts = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "tok"))
+    member = F.xxhash64("rep")
+    lists = posts.groupBy("tok").agg(F.count("*").alias("many"), F.min(F.struct("n", "rep")).alias("least"), F.max(F.col("pos") < index).alias("first"), F.bit_xor(member).alias("x"), F.sum(member.cast("decimal(20,0)")).alias("s"))
+    lists = settle(lists.where("many > 1 AND first").groupBy("many", "x", "s").agg(F.min("tok").alias("tok"), F.min("least").alias("least")).select("tok", "least"))
+    met = settle(member_gate(posts, lists, ["tok"], bits=24).join(lists, "tok").select("tok", "rep", "n", F.col("least.rep").alias("first"), F.col("least.n").alias("first_n")))
 
     sig_of = reps.select(F.col("rep").alias("id"), "n", "sig")
     # round 1: of the sets that come first in its lists, the one that a set meets most often and that passes
@@ -295,7 +304,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comps = _components(links)
 
     tops = reps.select("rep", "n").join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select(F.col("rep").alias("keep"), F.coalesce("root", "rep").alias("component_id"))
-    groups = settle(sets.where("n > 0 AND id IS NOT NULL").groupBy("n", "digest").agg(F.min("id").alias("keep")).join(tops, "keep").select("n", "digest", "component_id"))
+    groups = settle(own.withColumnRenamed("rep", "keep").join(tops, "keep").select("n", "digest", "component_id"))
     out = sets.select("id", "n", "digest").join(groups, ["n", "digest"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
