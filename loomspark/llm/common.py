@@ -109,3 +109,14 @@ def stars(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 40) -
 
 def is_held_out(key: str, parts: int, part: int) -> Column:
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts)) == part
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, text and label (0 or 1) of at most ``most`` labelled rows of ``docs`` for which ``learn`` holds.
+
+    The bound makes the chosen ids small enough to broadcast. Which rows they are depends on the ids' hashes alone.
+    Of labels that contradict each other the smaller one counts; ids and labels that are null don't count.
+    """
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & learn).groupBy(id_col).agg(F.min(label).cast("int").alias("y"))
+    chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(most).select(F.col(id_col).alias("_id"), "y")
+    return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", "text", "y")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, ngram_join, packing, secret_scan
+from . import bpe, exact_dedup, html_extract, ngram_join, packing, secret_scan
 
 QUERIES = {
+    "op1_html_extraction": html_extract.op1_html_extraction,
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op3_secret_scan": secret_scan.op3_secret_scan,
