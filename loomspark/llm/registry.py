@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, html_extract, ngram_join, packing, secret_scan
+from . import bpe, exact_dedup, html_extract, ngram_join, packing, quality, secret_scan
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op10_quality_classifier": quality.op10_quality_classifier,
 }
 SQL = {
     "op3_secret_scan": secret_scan.OP3_SQL,
