@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, html_extract, ngram_join, packing, quality, secret_scan
+from . import bpe, exact_dedup, html_extract, ngram_join, packing, quality, secret_scan, toxicity
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_quality_classifier": quality.op10_quality_classifier,
