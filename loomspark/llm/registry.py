@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, html_extract, ngram_join, packing, quality, secret_scan, toxicity
+from . import ann, bpe, exact_dedup, html_extract, ngram_join, packing, quality, secret_scan, toxicity
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_nearest_neighbours": ann.op7_nearest_neighbours,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_quality_classifier": quality.op10_quality_classifier,
 }
