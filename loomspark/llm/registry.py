@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, exact_dedup, html_extract, ngram_join, packing, quality, secret_scan, toxicity
+from . import ann, bpe, chat, exact_dedup, html_extract, ngram_join, packing, quality, secret_scan, toxicity
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -13,9 +13,11 @@ QUERIES = {
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_nearest_neighbours": ann.op7_nearest_neighbours,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_quality_classifier": quality.op10_quality_classifier,
 }
 SQL = {
     "op3_secret_scan": secret_scan.OP3_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
+    "op9_chat_formatting": chat.OP9_SQL,
 }
