@@ -11,9 +11,10 @@ exclusive-or of two signatures bound the symmetric difference from below, hence
 that pass are verified on the sorted hash arrays, made again from the texts of the few candidates.
 
 Only links between different components can change the result, so verification goes in rounds: first each set
-with one earlier set of its lists, then each set with its best partner in each other component, then every pair
-that still passes between components. Large groups of near copies therefore cost a pair per member instead of all
-pairs, and no link is lost: the last round leaves no passing pair between components unverified.
+with one set that heads its lists, then each set of a tile with its best partner in another component for as long
+as that adds links by the hundredth, then every pair that still passes between components. Large groups of near copies therefore
+cost a few pairs per member instead of all pairs, and no link is lost: the last round leaves no passing pair between
+components unverified.
 
 Defined cases: a null text, an empty one, or one of white space has an empty set, is linked with nothing and is its
 own component; a row with a null id has n_shingles and a null component; rows that share an id count as one text
@@ -237,7 +238,7 @@ def _tile_pairs(t: int, best_only: bool):
         if found:
             got = pd.DataFrame(dict(zip(("a", "b", "comp_b", "apart"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
             if best_only:
-                got = got.sort_values("apart", kind="stable").drop_duplicates(["a", "comp_b"])
+                got = got.sort_values("apart", kind="stable").drop_duplicates("a")
             pairs = pd.DataFrame({"a": np.minimum(got.a, got.b).astype(np.int64), "b": np.maximum(got.a, got.b).astype(np.int64)}).drop_duplicates()
             yield pa.RecordBatch.from_pandas(pairs, preserve_index=False)
 
@@ -276,32 +277,43 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the same members one stays
     index = F.col("n") - F.ceil(2 * t * F.col("n") / (100 + t)) + 1
     posts = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "tok"))
-    member = F.xxhash64("rep")
-    lists = posts.groupBy("tok").agg(F.count("*").alias("many"), F.min(F.struct("n", "rep")).alias("least"), F.max(F.col("pos") < index).alias("first"), F.bit_xor(member).alias("x"), F.sum(member.cast("decimal(20,0)")).alias("s"))
-    lists = settle(lists.where("many > 1 AND first").groupBy("many", "x", "s").agg(F.min("tok").alias("tok"), F.min("least").alias("least")).select("tok", "least"))
-    met = settle(member_gate(posts, lists, ["tok"], bits=24).join(lists, "tok").select("tok", "rep", "n", F.col("least.rep").alias("first"), F.col("least.n").alias("first_n")))
-
+    often = posts.select("tok", (F.col("pos") < index).alias("first")).groupBy("tok").agg(F.count("*").alias("many"), F.max("first").alias("first")).where("many > 1 AND first").select("tok")
+    often = settle(often)
+    shared = settle(member_gate(posts.select("tok", "rep", "n"), often, ["tok"], bits=24).join(often, "tok", "left_semi"))
+    lists = shared.groupBy("tok").agg(F.count("*").alias("many"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
+    lists = lists.groupBy("many", "x", "y").agg(F.min("tok").alias("tok")).select("tok")
+    met = settle(shared.join(settle(lists), "tok", "left_semi"))
+
+    # round 1: of the sets that share most of their hashes in each list (of near copies, the original), the one that
+    # a set meets most often, if it passes
+    part = shared.groupBy("rep", "n").agg((F.count("*") / (F.first("n") * (1 - t / 100) + 1)).alias("part"))
+    rated = settle(met.join(part.select(F.expr("rep ^ 0").alias("rep"), "part"), "rep"))
+    heads = rated.groupBy("tok").agg(F.max(F.struct(F.round("part", 2).alias("part"), (-F.col("n")).alias("n"), (-F.col("rep")).alias("rep"))).alias("h")).select(F.expr("tok ^ 0").alias("tok"), (-F.col("h.rep")).alias("first"))
     sig_of = reps.select(F.col("rep").alias("id"), "n", "sig")
-    # round 1: of the sets that come first in its lists, the one that a set meets most often and that passes
-    often = met.where(f"rep <> first AND 100 * first_n >= {t} * n").groupBy("rep", "first").agg(F.count("*").alias("c"))
-    once = often.groupBy("rep").agg(F.max_by("first", "c").alias("first"))
+    meets = rated.join(heads, "tok").where("rep <> first").groupBy("rep", "first").agg(F.count("*").alias("c"))
+    once = meets.groupBy("rep").agg(F.max_by("first", F.struct("c", "first")).alias("first"))
     one = once.join(sig_of.select(F.col("id").alias("rep"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "rep").join(sig_of.select(F.col("id").alias("first"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "first")
     near = one.withColumnsRenamed({"rep": "a", "first": "b"}).mapInArrow(_passing_pairs(t), "a long, b long")
     links = _verified(base, near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), words, t)
     comps = _components(links)
 
-    for best_only in (True, False):
-        now = met.select("tok", "rep", "n").join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select("tok", "rep", "n", F.coalesce("root", "rep").alias("comp"))
-        now = settle(now)
+    # further rounds: each set with its best partner of another component, as long as that gives links; then all pairs
+    best_only = True
+    while True:
+        now = settle(met.join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select("tok", "rep", "n", F.coalesce("root", "rep").alias("comp")))
         mixed = now.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.expr("tok ^ 0").alias("tok"))
         open_rows = settle(now.join(mixed, "tok", "left_semi").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(t / 100.0 - 1e-9)))).cast("int")))
-        if open_rows.isEmpty():
-            break
         found = settle(_tiles(open_rows, sig_of, t, best_only))
         if found.isEmpty():
             break
-        links = settle(links.unionByName(_verified(base, found, words, t)))
-        comps = _components(links)
+        new = _verified(base, found, words, t)
+        gain, before = new.count(), links.count()
+        if gain:
+            links = settle(links.unionByName(new))
+            comps = _components(links)
+        if not best_only:
+            break
+        best_only = gain * 50 > before
 
     tops = reps.select("rep", "n").join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select(F.col("rep").alias("keep"), F.coalesce("root", "rep").alias("component_id"))
     groups = settle(own.withColumnRenamed("rep", "keep").join(tops, "keep").select("n", "digest", "component_id"))
