@@ -25,12 +25,12 @@ def normalised(text: str | Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, keys: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, keep_id (the smallest id of its group), group_size, kept.
 
     With ``digest`` each row also has ``text_sha256`` of its normalised text: all texts are then hashed in the
     first pass. Without it only texts of surviving groups are read in full, in a second pass whose scan is
-    gated by a bit map of the surviving groups, of fixed size.
+    gated by a bit map of the surviving groups, of fixed size. With ``keys`` each row has its len and head too.
     """
     text = normalised(text_col)
     key = [F.length("t").alias("len"), F.xxhash64(F.substring("t", 1, PREFIX_CHARS)).alias("head")]
@@ -49,10 +49,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # groups is a table of its own here, so both sides of this join are exchanged and a hot group can be split
     rows = first if digest else full
-    out = rows.join(groups, ["len", "sha"], "left").select("id", "keep_id", "group_size", *(["sha"] if digest else []))
+    out = rows.join(groups, ["len", "sha"], "left").select("id", "len", "head", "keep_id", "group_size", *(["sha"] if digest else []))
     if not digest:
         none = F.lit(None).cast("long")
-        out = out.unionByName(first.join(alive, ["len", "head"], "left_anti").select("id", none.alias("keep_id"), none.alias("group_size")))
+        out = out.unionByName(first.join(alive, ["len", "head"], "left_anti").select("id", "len", "head", none.alias("keep_id"), none.alias("group_size")))
     keep = F.coalesce("keep_id", "id")
     return out.select(
         F.col("id").alias(id_col),
@@ -60,13 +60,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         F.col("id").eqNullSafe(keep).alias("kept"),
         *([F.col("sha").alias("text_sha256")] if digest else []),
+        *(["len", "head"] if keys else []),
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    gone = settle(exact_groups(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("gone_id")).distinct())
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    gone = exact_groups(docs, id_col, text_col, keys=True).where("not kept").select(F.col(id_col).alias("_id"), F.col("len").alias("_len"), F.col("head").alias("_head"))
+    gone = settle(gone.distinct())
+    text = normalised(docs[text_col])
+    same = docs[id_col].eqNullSafe(gone["_id"]) & (F.length(text) == gone["_len"]) & (F.xxhash64(F.substring(text, 1, PREFIX_CHARS)) == gone["_head"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -289,19 +289,19 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     return np.append(w[:-1] / std, w[-1] - (w[:-1] * mean / std).sum())
 
 
-def _summaries_of(rows: DataFrame, model: Model, keep: tuple[str, ...] = ("y",), score: bool = False) -> DataFrame:
-    """``keep`` and the summary d (or the score) of column ``text``."""
-    source = rows.select(*keep, "text")
+def _summaries_of(rows: DataFrame, model: Model, keep: tuple[str, ...] = ("y",), score: str = "", text_col: str = "text") -> DataFrame:
+    """``keep`` and the summary d (or the score, under the given name) of the text."""
+    source = rows.select(*dict.fromkeys([*keep, text_col]))
     schema = source.select(*keep).schema
-    schema = schema.add("score", "double") if score else schema.add("d", T.ArrayType(T.DoubleType()))
+    schema = schema.add(score, "double") if score else schema.add("d", T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, float] = {}
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, text_col):
                 got = model.summaries(texts, kept) if model.weights is not None else [list(NOTHING)] * len(texts)
                 out = pa.array(model.score(np.array(got)), pa.float64()) if score else pa.array([[float(v) for v in x] for x in got], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], out], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*map(part.column, keep), out], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -309,7 +309,16 @@ def _summaries_of(rows: DataFrame, model: Model, keep: tuple[str, ...] = ("y",),
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and score of every row."""
     small_batches(docs.sparkSession)
-    return _summaries_of(docs.select(F.col(id_col), F.col(text_col).alias("text")), model, (id_col,), score=True)
+    return _summaries_of(docs, model, (id_col,), "score", text_col)
+
+
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", at_least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score less, with all their columns; texts are scored where they are read."""
+    small_batches(docs.sparkSession)
+    name = "_toxicity"
+    while name in docs.columns:
+        name += "_"
+    return _summaries_of(docs, model, tuple(docs.columns), name, text_col).where(F.col(name) < at_least).drop(name)
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
