@@ -74,9 +74,11 @@ def reply_paths(messages: DataFrame, branches: int | None = None, most_rounds: i
         if ways.where("up IS NOT NULL").isEmpty():
             break
         above = ways.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("path").alias("before"), F.col("total").alias("more"))
-        joined = ways.join(above, same(F.col("tree"), F.col("t")) & (F.col("up") == F.col("n")), "left")
-        new = joined.select("tree", "node", F.col("next").alias("up"), F.when(F.col("before").isNull(), F.col("path")).otherwise(F.concat("before", "path")).alias("path"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"))
-        ways = settle(new.where(F.size("path") == F.size(F.array_distinct("path"))))  # a way that meets itself is on a cycle
+        # only ways that don't begin at a root yet are joined
+        joined = ways.where("up IS NOT NULL").join(above, same(F.col("tree"), F.col("t")) & (F.col("up") == F.col("n")))
+        new = joined.select("tree", "node", F.col("next").alias("up"), F.concat("before", "path").alias("path"), (F.col("total") + F.col("more")).alias("total"))
+        # a way that meets itself is on a cycle, and one that leads to such a way has no root either
+        ways = settle(ways.where("up IS NULL").unionByName(new.where(F.size("path") == F.size(F.array_distinct("path")))))
     inner = known.where("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("up").alias("p")).distinct()
     leaves = ways.where("up IS NULL").join(inner, same(F.col("tree"), F.col("t")) & (F.col("node") == F.col("p")), "left_anti")
     ranked = leaves.withColumn("score", F.col("total") / F.size("path")).withColumn("rank", F.row_number().over(W.partitionBy("tree").orderBy(F.desc("score"), "node")))
