@@ -1,0 +1,60 @@
+"""HTML tables as markdown tables."""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_TABLE = re.compile(r"<table.*?>.*?</table>", re.I | re.S)
+_ANY = re.compile(r"<[^>]+>")
+
+
+class _Rows(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.rows: list[list[str]] = []
+        self.cell: list[str] | None = None
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "tr":
+            self.rows.append([])
+        elif tag in ("td", "th"):
+            if not self.rows:
+                self.rows.append([])
+            self.cell = []
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in ("td", "th") and self.cell is not None:
+            self.rows[-1].append(" ".join("".join(self.cell).split()))
+            self.cell = None
+
+    def handle_data(self, data: str) -> None:
+        if self.cell is not None:
+            self.cell.append(data)
+
+
+def table_markdown(table: str) -> str:
+    """The first row as header; a table without cells becomes its text."""
+    parser = _Rows()
+    parser.feed(table)
+    parser.close()
+    rows = [r for r in parser.rows if r]
+    if not rows:
+        return _ANY.sub(" ", table)
+    width = max(map(len, rows))
+    line = lambda cells: "| " + " | ".join([*cells, *[""] * (width - len(cells))]) + " |"
+    return "\n".join([line(rows[0]), "|" + "---|" * width, *map(line, rows[1:])])
+
+
+def render_tables(text: Column) -> Column:
+    """The text with its tables as markdown; texts without one don't leave the JVM's value."""
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: x if x is None or "<table" not in x.lower() else _TABLE.sub(lambda m: "\n\n" + table_markdown(m[0]) + "\n\n", x))
+
+    return run(text)

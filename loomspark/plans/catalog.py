@@ -1,6 +1,272 @@
-"""Queries by name and the SQL that gives the same rows."""
+"""Queries by name: each takes (spark, directory of tables) and returns a DataFrame. ``oracles`` has the SQL for the same rows.
+
+The tables hold no questions, so responses come from the deterministic stub responder. Chunks are 1,000 characters with an
+overlap of 100 here, so that documents have several.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomspark.functions import models
+from loomspark.functions import text as T
+from loomspark.operators import chunking, context, dedup, graph, html_tables, ingest, prompts, questions, vectors
+
+from .oracles import SQL  # noqa: F401
+from .pipeline import questions_of
+
+SIZE, OVERLAP = 1000, 100
+
+
+def _table(spark: SparkSession, at: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{at}/{name}.parquet")
+
+
+def _docs(spark: SparkSession, at: str) -> DataFrame:
+    return _table(spark, at, "documents").select("doc_id", "text")
+
+
+def _lines(spark: SparkSession, at: str) -> DataFrame:
+    """Lines of documents as candidate questions."""
+    rows = _docs(spark, at).select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "x"))
+    return rows.select("doc_id", (F.col("p") + 1).alias("rn"), F.trim("x").alias("content")).where(F.length("content") >= T.LEAST_QUESTION)
+
+
+def _chunks(spark: SparkSession, at: str) -> DataFrame:
+    return chunking.char_chunks(_docs(spark, at), SIZE, OVERLAP)
+
+
+def _responses(spark: SparkSession, at: str, kind: str = "numbered") -> DataFrame:
+    text = F.col("text")
+    said = {"numbered": models.stub_response(text), "listed": models.stub_response(text, False)}
+    said["mixed"] = F.when(F.col("doc_id") % 2 == 0, said["numbered"]).otherwise(said["listed"])
+    return _docs(spark, at).select("doc_id", said[kind].alias("response"))
+
+
+def _mentions(spark: SparkSession, at: str) -> DataFrame:
+    return graph.mentions(_chunks(spark, at))
+
+
+def _relations(spark: SparkSession, at: str) -> DataFrame:
+    return graph.extracted_relations(_chunks(spark, at))
+
+
+def _md5(column: str) -> Column:
+    return F.md5(F.col(column).cast("binary"))
+
+
+def q_dedup_greedy(spark: SparkSession, at: str) -> DataFrame:
+    return dedup.greedy_dedup(_lines(spark, at), "doc_id", "content")
+
+
+def q_dedup_exact(spark: SparkSession, at: str) -> DataFrame:
+    rows = _lines(spark, at).withColumn("normal", T.dedup_normalise(F.col("content")))
+    return rows.groupBy("doc_id", "normal").agg(F.min("rn").alias("rn")).select("doc_id", "rn", _md5("normal").alias("hash"))
+
+
+def q_jaccard_pairs(spark: SparkSession, at: str) -> DataFrame:
+    rows = _lines(spark, at).select("doc_id", "rn", T.bigrams(T.dedup_normalise(F.col("content"))).alias("grams"))
+    return dedup.similar_pairs(rows, "doc_id", 0.85).select("doc_id", "earlier", "rn")
+
+
+def q_dedup_stats(spark: SparkSession, at: str) -> DataFrame:
+    total = _lines(spark, at).agg(F.count("*").alias("questions"))
+    kept = q_dedup_greedy(spark, at).agg(F.count("*").alias("kept"))
+    both = total.select("questions", F.lit(None).cast("long").alias("kept")).unionByName(kept.select(F.lit(None).cast("long").alias("questions"), "kept"))
+    return both.agg(F.max("questions").alias("questions"), F.max("kept").alias("kept")).withColumn("removed", F.col("questions") - F.col("kept"))
+
+
+def q_markdown_to_plain(spark: SparkSession, at: str) -> DataFrame:
+    return _table(spark, at, "pages").select("page_id", T.markdown_to_plain(F.col("html")).alias("plain")).select("page_id", F.length("plain").alias("n_chars"), _md5("plain").alias("plain_md5"))
+
+
+def q_markdown_to_plain_docs(spark: SparkSession, at: str) -> DataFrame:
+    return _docs(spark, at).select("doc_id", T.markdown_to_plain(F.col("text")).alias("plain")).select("doc_id", F.length("plain").alias("n_chars"), _md5("plain").alias("plain_md5"))
+
+
+def q_assemble_sections(spark: SparkSession, at: str) -> DataFrame:
+    whole = T.assemble_document(F.lit(""), F.col("html"), F.array(F.concat(F.lit("| "), F.col("url"), F.lit(" |"))), F.array(T.image_text(F.col("url"), F.lit(" a \n\n b "))))
+    return _table(spark, at, "pages").select("page_id", whole.alias("whole")).select("page_id", F.length("whole").alias("n_chars"), _md5("whole").alias("text_md5"))
+
+
+def q_clean_think(spark: SparkSession, at: str) -> DataFrame:
+    return _responses(spark, at).select("doc_id", T.clean_think(F.col("response")).alias("r")).select("doc_id", F.length("r").alias("n_chars"), _md5("r").alias("response_md5"))
+
+
+def q_strip_answer(spark: SparkSession, at: str) -> DataFrame:
+    lines = _responses(spark, at).select("doc_id", F.posexplode(F.split("response", "\n")).alias("line", "x"))
+    return lines.select("doc_id", "line", T.strip_answer(F.col("x")).alias("content"))
+
+
+def q_char_chunks(spark: SparkSession, at: str) -> DataFrame:
+    return _chunks(spark, at).select("doc_id", "chunk_index", "total_chunks", "start_position", "end_position", _md5("content").alias("content_md5"))
+
+
+def q_token_chunks(spark: SparkSession, at: str) -> DataFrame:
+    rows = chunking.token_chunks(_docs(spark, at), models.WhitespaceTokenizer(), 200, 20)
+    return rows.select("doc_id", "chunk_index", "total_chunks", "start_position", "end_position", _md5("content").alias("content_md5"))
+
+
+def q_chunk_ids(spark: SparkSession, at: str) -> DataFrame:
+    return _chunks(spark, at).select("doc_id", "chunk_index", "chunk_id")
+
+
+def q_shared_chunks(spark: SparkSession, at: str) -> DataFrame:
+    return _chunks(spark, at).groupBy("chunk_id").agg(F.countDistinct("doc_id").alias("n_docs")).where("n_docs > 1")
+
+
+def q_valid_questions(spark: SparkSession, at: str) -> DataFrame:
+    rows = _responses(spark, at).select("doc_id", F.posexplode(questions.numbered_questions(T.clean_think(F.col("response")))).alias("ord", "x"))
+    return rows.select("doc_id", "ord", T.is_valid_question(F.col("x.content")).alias("accepted"))
+
+
+def q_reject_reasons(spark: SparkSession, at: str) -> DataFrame:
+    rows = _responses(spark, at).select(F.explode(questions.numbered_questions(T.clean_think(F.col("response")))).alias("x")).select("x.content")
+    return rows.agg(F.count("*").alias("questions"), *[F.count_if(~rule).alias(f"not_{name}") for name, rule in T.question_rules(F.col("content")).items()])
+
+
+def q_parse_questions(spark: SparkSession, at: str) -> DataFrame:
+    return questions.parse_responses(_responses(spark, at), ["doc_id"])
+
+
+def q_fallback_parse(spark: SparkSession, at: str) -> DataFrame:
+    return questions.parse_responses(_responses(spark, at, "listed"), ["doc_id"])
+
+
+def q_parse_with_fallback(spark: SparkSession, at: str) -> DataFrame:
+    return questions.parse_responses(_responses(spark, at, "mixed"), ["doc_id"])
+
+
+def q_extract_entities(spark: SparkSession, at: str) -> DataFrame:
+    return _docs(spark, at).select("doc_id", T.extract_entities(F.col("text")).alias("e")).select("doc_id", F.size("e").alias("n_entities"), F.array_join("e", "|").alias("entities"))
+
+
+def q_entity_nodes(spark: SparkSession, at: str) -> DataFrame:
+    return graph.nodes(_mentions(spark, at))
+
+
+def q_relation_edges(spark: SparkSession, at: str) -> DataFrame:
+    return graph.edges(_relations(spark, at))
+
+
+def q_unknown_endpoints(spark: SparkSession, at: str) -> DataFrame:
+    """Nodes are only the entities that open a chunk, so most endpoints have none."""
+    nodes = graph.nodes(_mentions(spark, at).where("pos = 0"))
+    edges = graph.canonical(_relations(spark, at)).withColumn("description", F.concat_ws(" beside ", "a", "b"))
+    return graph.unknown_endpoints(nodes, edges)
+
+
+def q_node_merge(spark: SparkSession, at: str) -> DataFrame:
+    """Descriptions of an entity over all documents: the languages it is named in."""
+    docs = _table(spark, at, "documents").select("doc_id", "lang")
+    return graph.merged(_mentions(spark, at).join(docs, "doc_id").select("name", F.concat(F.lit("term in "), "lang").alias("description")), ["name"], ["description"])
+
+
+def q_full_entities(spark: SparkSession, at: str) -> DataFrame:
+    return graph.document_entities(_mentions(spark, at)).select("doc_id", F.col("count").alias("n"), F.array_join("entity_names", "|").alias("entity_names"))
+
+
+def q_full_relations(spark: SparkSession, at: str) -> DataFrame:
+    joined = F.array_join(F.transform("relation_pairs", lambda x: F.array_join(x, ">")), "|")
+    return graph.document_relations(_relations(spark, at)).select("doc_id", F.col("count").alias("n"), joined.alias("relation_pairs"))
+
+
+def q_relation_chunks(spark: SparkSession, at: str) -> DataFrame:
+    return graph.relation_chunks(_relations(spark, at)).select("doc_id", "pair", F.col("count").alias("n"), F.array_join("chunk_ids", "|").alias("chunk_ids"))
+
+
+def q_context_entities(spark: SparkSession, at: str) -> DataFrame:
+    return context.context_entities(_mentions(spark, at)).drop("chunk_id")
+
+
+def q_context_relations(spark: SparkSession, at: str) -> DataFrame:
+    return context.context_relations(_relations(spark, at))
+
+
+def q_related_chunks(spark: SparkSession, at: str) -> DataFrame:
+    found = _mentions(spark, at)
+    return context.related_chunks(context.context_entities(found), found)
+
+
+def q_snippets(spark: SparkSession, at: str) -> DataFrame:
+    chunks = _chunks(spark, at)
+    found = graph.mentions(chunks)
+    return context.snippets(context.related_chunks(context.context_entities(found), found), chunks)
+
+
+def q_prompt_context(spark: SparkSession, at: str) -> DataFrame:
+    rows = context.chunk_contexts(_chunks(spark, at))
+    return rows.select("doc_id", "chunk_index", _md5("prompt_context").alias("context_md5"), F.array_join("related_entities", "|").alias("entities"), F.array_join("related_chunk_ids", "|").alias("chunk_ids"))
+
+
+def q_render_prompt(spark: SparkSession, at: str) -> DataFrame:
+    rows = prompts.chunk_prompts(_chunks(spark, at).withColumn("prompt_context", F.concat(F.lit("at "), F.col("chunk_index").cast("string"))), "Ask {questions_per_chunk} about {document_id}: {text} [{prompt_context}]", "You ask questions.", 10)
+    return rows.select("doc_id", "chunk_index", F.length("prompt").alias("n_chars"), _md5("prompt").alias("prompt_md5"))
+
+
+def q_history_flatten(spark: SparkSession, at: str) -> DataFrame:
+    return prompts.flatten_history(_table(spark, at, "conversations"), "go on").select("conv_id", F.length("prompt").alias("n_chars"), _md5("prompt").alias("prompt_md5"))
+
+
+def q_parse_source_ids(spark: SparkSession, at: str) -> DataFrame:
+    raw = F.concat_ws("; ", F.concat_ws(" ,", "lang", "source"), F.concat(F.lit("| "), F.col("doc_id").cast("string"), F.lit(" ;")))
+    return _table(spark, at, "documents").select("doc_id", T.parse_source_ids(raw).alias("x")).select("doc_id", F.size("x").alias("n"), F.array_join("x", "/").alias("ids"))
+
+
+def q_questions_jsonl(spark: SparkSession, at: str) -> DataFrame:
+    parsed = questions.parse_responses(_responses(spark, at), ["doc_id"])
+    rows = parsed.select(F.col("doc_id").cast("string").alias("document_id"), F.concat(F.lit("chunk-"), F.col("doc_id").cast("string")).alias("source_chunk_id"), "question_index", "content", F.array(F.lit("Base")).alias("base_entities"), F.array().cast("array<string>").alias("base_chunk_ids"))
+    meta = F.col("metadata")
+    return questions.question_records(rows).select("content", "source_document", "source_chunk_id", "question_index", meta["has_answer"].alias("has_answer"), meta["lightrag_chunk_id"].alias("chunk"), F.array_join(meta["related_entities"], "|").alias("entities"), F.array_join(meta["related_chunk_ids"], "|").alias("chunk_ids"), meta["knowledge_context_used"].alias("context_used"))
+
+
+def q_doc_status(spark: SparkSession, at: str) -> DataFrame:
+    docs = _docs(spark, at)
+    return ingest.doc_status(docs, chunking.char_chunks(docs, SIZE, OVERLAP)).withColumn("chunks_list", F.array_join("chunks_list", "|"))
+
+
+def q_incremental_ingest(spark: SparkSession, at: str) -> DataFrame:
+    return ingest.not_yet_ingested(_docs(spark, at), _table(spark, at, "labels")).select("doc_id", F.length("text").alias("n_chars"))
+
+
+def q_list_domains(spark: SparkSession, at: str) -> DataFrame:
+    docs = _table(spark, at, "documents")
+    return ingest.stage_domains({"raw": docs.select(F.col("lang").alias("domain")), "processed": docs.select(F.col("source").alias("domain"))}).select("stage", F.array_join("domains", "|").alias("domains"))
+
+
+def _fitted(spark: SparkSession, at: str, dim: int) -> DataFrame:
+    rows = _table(spark, at, "embeddings").select("vec_id", vectors.fit_dimension(F.col("embedding"), dim).alias("v"))
+    return rows.select("vec_id", F.size("v").alias("dim"), F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 6).alias("total"), F.element_at("v", -1).alias("last"))
+
+
+def q_embedding_pad(spark: SparkSession, at: str) -> DataFrame:
+    return _fitted(spark, at, 80)
+
+
+def q_embedding_truncate(spark: SparkSession, at: str) -> DataFrame:
+    return _fitted(spark, at, 24)
+
+
+def q_cosine_topk(spark: SparkSession, at: str) -> DataFrame:
+    rows = _table(spark, at, "embeddings")
+    return vectors.cosine_top_k(rows.where("vec_id % 50 = 0"), rows, 20, 0.2).withColumn("score", F.round("score", 6))
+
+
+def q_fallback_embedding(spark: SparkSession, at: str) -> DataFrame:
+    rows = _docs(spark, at).select("doc_id", models.fallback_embeddings(F.col("text"), 16).alias("v"))
+    return rows.select("doc_id", F.array_join(F.transform("v", lambda x: F.round(x, 6).cast("string")), ",").alias("embedding"))
+
+
+def q_html_tables(spark: SparkSession, at: str) -> DataFrame:
+    cell = lambda c: F.concat(F.lit("<td> "), F.col(c).cast("string"), F.lit("\n</td>"))
+    page = F.concat(F.lit("x<TABLE border=1><tr><th>key</th><th>name</th></tr><tr>"), cell("n_nationkey"), cell("n_name"), F.lit("</tr></table>y"))
+    return _table(spark, at, "nation").select("n_nationkey", html_tables.render_tables(page).alias("text"))
+
+
+def q_pipeline_e2e(spark: SparkSession, at: str) -> DataFrame:
+    """Documents to questions: chunks, context, prompts, stub responses, parsing, records, removal of near duplicates."""
+    return questions_of(_docs(spark, at), SIZE, OVERLAP).select("source_document", "source_chunk_id", "question_index", "content")
+
+
+QUERIES = {name: query for name, query in list(globals().items()) if name.startswith("q_")}
