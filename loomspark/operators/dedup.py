@@ -20,40 +20,40 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def _signature(grams: Column) -> Column:
-    """Bit i is the parity of the bigrams that fall on i: the ones in which two signatures differ are no more than the
-    bigrams that are in one set only."""
-    zero = F.array(*[F.lit(0).cast("long")] * SIGNATURE_WORDS)
-
-    def put(acc, gram):
-        h = F.hash(gram)
-        word = F.pmod(F.shiftright(h, 8), F.lit(SIGNATURE_WORDS))
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)))
-        return F.transform(acc, lambda x, i: F.when(i == word, x.bitwiseXOR(bit)).otherwise(x))
-
-    return F.aggregate(grams, zero, put)
+def _signed(rows: DataFrame, key: str) -> DataFrame:
+    """key, rn, n (bigrams of t) and a parity signature: bit i tells whether an odd number of bigrams falls on i, so that
+    two signatures differ in no more bits than there are bigrams in one set only."""
+    grams = rows.where(F.length("t") >= 2).select(key, "rn", F.explode(T.bigrams(F.col("t"))).alias("g")).withColumn("h", F.hash("g"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("h", F.lit(64)))
+    word = F.pmod(F.shiftright("h", 8), F.lit(SIGNATURE_WORDS))
+    zero = F.lit(0).cast("long")
+    return grams.groupBy(key, "rn").agg(F.count("*").alias("n"), *[F.bit_xor(F.when(word == i, bit).otherwise(zero)).alias(f"s{i}") for i in range(SIGNATURE_WORDS)])
 
 
 def similar_pairs(rows: DataFrame, key: str, threshold: float) -> DataFrame:
-    """key, rn and earlier (rn of an earlier row of the key) of the pairs with Jaccard similarity of at least
-    ``threshold``, from (key, rn, grams). Sizes and signatures rule out nearly all pairs before sets are compared."""
-    signed = rows.where(F.size("grams") > 0).select(key, "rn", "grams", F.size("grams").alias("n"), _signature(F.col("grams")).alias("sig"))
-    signed = signed.select(key, "rn", "grams", "n", *[F.col("sig")[i].alias(f"s{i}") for i in range(SIGNATURE_WORDS)])
+    """key, rn and earlier (rn of an earlier row of the key) of the pairs whose bigrams have a Jaccard similarity of at
+    least ``threshold``, from (key, rn, t). Sizes and signatures rule out nearly all pairs before sets are compared."""
+    signed = _signed(rows, key).repartition(key)  # both sides of the join read this one exchange of narrow rows
     a, b = (signed.select(key, *[F.col(c).alias(f"{p}_{c}") for c in signed.columns if c != key]) for p in "ab")
     apart = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(SIGNATURE_WORDS)), F.lit(0))
     total = F.col("a_n") + F.col("b_n")
     may = (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n") - 1e-9) & (apart * (1 + threshold) <= total * (1 - threshold) + 1e-9)
-    pairs = a.join(b, key).where((F.col("a_rn") < F.col("b_rn")) & may)
-    return pairs.where(jaccard(F.col("a_grams"), F.col("b_grams")) >= threshold).select(key, F.col("b_rn").alias("rn"), F.col("a_rn").alias("earlier"))
+    near = a.hint("merge").join(b, key).where((F.col("a_rn") < F.col("b_rn")) & may).select(key, F.col("a_rn").alias("earlier"), F.col("b_rn").alias("rn"))
+    # the sets come in only now: beside the cheap conditions they would be made and compared for every pair
+    pairs = near.join(rows.select(key, "rn", F.col("t").alias("b_t")), [key, "rn"]).join(rows.select(key, F.col("rn").alias("earlier"), F.col("t").alias("a_t")), [key, "earlier"])
+    return pairs.where(jaccard(T.bigrams(F.col("a_t")), T.bigrams(F.col("b_t"))) >= threshold).select(key, "rn", "earlier")
 
 
 def greedy_dedup(rows: DataFrame, key: str, text_col: str, threshold: float = 0.85) -> DataFrame:
-    """The kept rows of ``rows`` (key, rn, text and more), all columns."""
-    normal = rows.select(key, "rn", T.dedup_normalise(F.col(text_col)).alias("t"))
+    """The kept rows of ``rows`` (key, rn, text and more), all columns.
+
+    Rows that are partitioned by ``key`` already are not exchanged again, but for the narrow signatures.
+    """
+    others = [c for c in rows.columns if c not in (key, "rn")]
+    normal = rows.withColumn("t", T.dedup_normalise(F.col(text_col)))
     # of equal texts only the first can be kept, whatever happens to it
     firsts = normal.groupBy(key, "t").agg(F.min("rn").alias("rn"))
-    pairs = similar_pairs(firsts.select(key, "rn", T.bigrams(F.col("t")).alias("grams")), key, threshold)
-    met = pairs.groupBy(key, "rn").agg(F.collect_set("earlier").alias("earlier"))
+    met = similar_pairs(firsts, key, threshold).groupBy(key, "rn").agg(F.collect_set("earlier").alias("earlier"))
     none = F.array().cast("array<int>")
     kept_one = lambda acc, x: F.exists(x["earlier"], lambda e: ~F.array_contains(acc, e))
     walk = F.aggregate(
@@ -62,5 +62,5 @@ def greedy_dedup(rows: DataFrame, key: str, text_col: str, threshold: float = 0.
         lambda acc, x: F.when(kept_one(acc, x), F.concat(acc, F.array(x["rn"]))).otherwise(acc),
     )
     dropped = met.groupBy(key).agg(walk.alias("d")).select(key, F.explode("d").alias("rn"))
-    keep = firsts.select(key, "rn").join(dropped, [key, "rn"], "left_anti")
-    return rows.join(keep, [key, "rn"], "left_semi")
+    keep = normal.groupBy(key, "t").agg(F.min("rn").alias("rn"), F.min_by(F.struct(*others), "rn").alias("x"))
+    return keep.select(key, "rn", *[F.col(f"x.{c}").alias(c) for c in others]).join(dropped, [key, "rn"], "left_anti")

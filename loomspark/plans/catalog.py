@@ -28,8 +28,8 @@ def _docs(spark: SparkSession, at: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, at: str) -> DataFrame:
-    """Lines of documents as candidate questions."""
-    rows = _docs(spark, at).select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "x"))
+    """Lines of documents as candidate questions, dealt by document: what follows works within documents."""
+    rows = _docs(spark, at).repartition("doc_id").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "x"))
     return rows.select("doc_id", (F.col("p") + 1).alias("rn"), F.trim("x").alias("content")).where(F.length("content") >= T.LEAST_QUESTION)
 
 
@@ -66,7 +66,7 @@ def q_dedup_exact(spark: SparkSession, at: str) -> DataFrame:
 
 
 def q_jaccard_pairs(spark: SparkSession, at: str) -> DataFrame:
-    rows = _lines(spark, at).select("doc_id", "rn", T.bigrams(T.dedup_normalise(F.col("content"))).alias("grams"))
+    rows = _lines(spark, at).select("doc_id", "rn", T.dedup_normalise(F.col("content")).alias("t"))
     return dedup.similar_pairs(rows, "doc_id", 0.85).select("doc_id", "earlier", "rn")
 
 
