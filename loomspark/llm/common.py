@@ -126,6 +126,37 @@ def stars(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 40) -
     return roots.union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+#: Links up to which components are found in one task; 16 bytes each.
+SMALL_GRAPH = 1 << 19
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root) as ``stars`` gives them. A graph of at most ``SMALL_GRAPH`` links, counted first, fits one task; any
+    larger one goes through the distributed rounds."""
+    if links.count() > SMALL_GRAPH:
+        return stars(links, a, b)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (y := up.setdefault(x, x)) != x:
+                up[x] = up[y]
+                x = y
+            return x
+
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = top(x), top(y)
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+        if up:
+            yield pa.RecordBatch.from_arrays([pa.array(list(up), pa.int64()), pa.array([top(x) for x in list(up)], pa.int64())], names=["node", "root"])
+
+    ship(links.sparkSession)
+    return links.select(a, b).coalesce(1).mapInArrow(rows, "node long, root long")
+
+
 def is_held_out(key: str, parts: int, part: int) -> Column:
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts)) == part
 

@@ -17,8 +17,8 @@ cost a few pairs per member instead of all pairs, and no link is lost: the last
 components unverified.
 
 Defined cases: a null text, an empty one, or one of white space has an empty set, is linked with nothing and is its
-own component; a row with a null id has n_shingles and a null component; rows that share an id count as one text
-each and get the same component; an empty table gives an empty result; other columns are ignored.
+own component; a row with a null id has n_shingles and a null component; of rows that share an id
+one text is compared, and all get its component; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, member_gate, settle, slices, small_batches, stars
+from .common import components, discard, member_gate, settle, slices, small_batches
 
 #: Rows of a tile's block; a tile compares two blocks.
 BLOCK = 4096
@@ -196,7 +196,8 @@ def _block_pairs(A: dict, B: dict, own: bool, t: int) -> list[tuple]:
 
 
 def _tile_pairs(t: int, best_only: bool):
-    """Over rows sorted by tile: the candidate pairs of each tile; with ``best_only`` the closest for each set and component."""
+    """Over rows sorted by tile: candidate pairs (a, b), with ``best_only`` the closest of each set, and the lists (tok) that
+    have any."""
 
     def of_tile(x: dict, lo: int, hi: int) -> list[tuple]:
         side = x["side"][lo:hi]
@@ -234,13 +235,20 @@ def _tile_pairs(t: int, best_only: bool):
             rest[0] = table.slice(int(starts[-1])) if len(starts) else table
             starts, ends = starts[:-1], ends[:-1]
         x["sig"] = table.column("sig").to_pylist()
-        found = [y for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True) if hi - lo > 1 for y in of_tile(x, lo, hi)]
+        found, live = [], set()
+        for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True):
+            if hi - lo > 1 and (pairs := of_tile(x, lo, hi)):
+                found += pairs
+                live.add(int(x["tok"][lo]))
         if found:
-            got = pd.DataFrame(dict(zip(("a", "b", "comp_b", "apart"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
+            got = pd.DataFrame(dict(zip(("a", "b", "apart"), (np.concatenate([f[k] for f in found]) for k in (0, 1, 3)), strict=True)))
             if best_only:
                 got = got.sort_values("apart", kind="stable").drop_duplicates("a")
             pairs = pd.DataFrame({"a": np.minimum(got.a, got.b).astype(np.int64), "b": np.maximum(got.a, got.b).astype(np.int64)}).drop_duplicates()
-            yield pa.RecordBatch.from_pandas(pairs, preserve_index=False)
+            none = pa.nulls(len(pairs), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.a, pa.int64()), pa.array(pairs.b, pa.int64()), none], names=["a", "b", "tok"])
+            none = pa.nulls(len(live), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(sorted(live), pa.int64())], names=["a", "b", "tok"])
 
     return rows
 
@@ -295,24 +303,24 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = once.join(sig_of.select(F.col("id").alias("rep"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "rep").join(sig_of.select(F.col("id").alias("first"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "first")
     near = one.withColumnsRenamed({"rep": "a", "first": "b"}).mapInArrow(_passing_pairs(t), "a long, b long")
     links = _verified(base, near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), words, t)
-    comps = _components(links)
+    comps = settle(components(links))
 
-    # further rounds: each set with its best partner of another component, as long as that gives links; then all pairs
+    # further rounds: each set with its best partner of another component, as long as that gives links; then all pairs.
+    # Lists without a passing pair between components will never have one again
     best_only = True
     while True:
-        now = settle(met.join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select("tok", "rep", "n", F.coalesce("root", "rep").alias("comp")))
+        now = met.join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select("tok", "rep", "n", F.coalesce("root", "rep").alias("comp"))
+        now = settle(now.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(t / 100.0 - 1e-9)))).cast("int")))
         mixed = now.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.expr("tok ^ 0").alias("tok"))
-        open_rows = settle(now.join(mixed, "tok", "left_semi").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(t / 100.0 - 1e-9)))).cast("int")))
-        found = settle(_tiles(open_rows, sig_of, t, best_only))
-        if found.isEmpty():
-            break
-        new = _verified(base, found, words, t)
+        found = settle(_tiles(settle(now.join(mixed, "tok", "left_semi")), sig_of, t, best_only))
+        new = _verified(base, found.where("a IS NOT NULL").select("a", "b").distinct(), words, t)
         gain, before = new.count(), links.count()
         if gain:
             links = settle(links.unionByName(new))
-            comps = _components(links)
-        if not best_only:
+            comps = settle(components(links))
+        if not best_only or found.isEmpty():
             break
+        met = settle(met.join(found.where("tok IS NOT NULL").select("tok").distinct(), "tok", "left_semi"))
         best_only = gain * 50 > before
 
     tops = reps.select("rep", "n").join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select(F.col("rep").alias("keep"), F.coalesce("root", "rep").alias("component_id"))
@@ -321,19 +329,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def _components(links: DataFrame) -> DataFrame:
-    return settle(stars(links))
-
-
 def _tiles(rows: DataFrame, sig_of: DataFrame, t: int, best_only: bool) -> DataFrame:
-    """Candidate pairs of the lists ``rows`` (tok, rep, n, comp, band)."""
-    size = settle(rows.groupBy("tok", "band").agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi")))
-    with_sig = rows.join(sig_of.select(F.col("id").alias("rep"), "sig"), "rep")
-    blocks = lambda c: F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int")
-    own = size.select("tok", "band", "many", blocks("many").alias("blocks"))
-    above = size.select("tok", (F.col("band") - 1).alias("band"), blocks("many").alias("above"))
-    below = size.select("tok", (F.col("band") + 1).alias("band"), blocks("many").alias("below"))
-    placed = with_sig.join(own.join(above, ["tok", "band"], "left").join(below, ["tok", "band"], "left"), ["tok", "band"])
+    """Candidate pairs (a, b) of the lists ``rows`` (tok, rep, n, comp, band), and their lists (tok)."""
+    size = rows.groupBy("tok", "band").agg(F.count("*").alias("many"))
+    blocks = F.greatest(F.ceil(F.col("many") / BLOCK), F.lit(1)).cast("int")
+    size = settle(size.select("tok", "band", "many", blocks.alias("blocks")))
+    above = size.select("tok", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    below = size.select("tok", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    placed = rows.join(size.join(above, ["tok", "band"], "left").join(below, ["tok", "band"], "left"), ["tok", "band"])
     placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     # a tile is (list, lower band, block of the lower, kind, block of the other)
     same = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.col("band").alias("low"), F.least("block", j).alias("i"), F.lit(0).alias("kind"), F.greatest("block", j).alias("j"), F.when(F.col("block") <= j, 0).otherwise(1).alias("side")))
@@ -341,16 +344,24 @@ def _tiles(rows: DataFrame, sig_of: DataFrame, t: int, best_only: bool) -> DataF
     down = F.transform(F.sequence(F.lit(0), F.coalesce("below", F.lit(1)) - 1), lambda i: F.struct((F.col("band") - 1).alias("low"), i.alias("i"), F.lit(1).alias("kind"), F.col("block").alias("j"), F.lit(1).alias("side")))
     none = F.array().cast("array<struct<low:int,i:int,kind:int,j:int,side:int>>")
     tiles = F.concat(F.when(F.col("many") > 1, same).otherwise(none), F.when(F.col("above").isNotNull(), up).otherwise(none), F.when(F.col("below").isNotNull(), down).otherwise(none))
-    dealt = placed.withColumn("tile", F.explode(tiles)).select("tok", "tile.low", "tile.i", "tile.kind", "tile.j", "tile.side", F.col("rep").alias("id"), "n", "comp", "sig")
+    dealt = placed.withColumn("tile", F.explode(tiles)).select("tok", "tile.low", "tile.i", "tile.kind", "tile.j", "tile.side", F.col("rep").alias("id"), "n", "comp")
     key = ["tok", "low", "i", "kind", "j"]
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_tile_pairs(t, best_only), "a long, b long").distinct()
+    signed = dealt.join(sig_of.select("id", "sig"), "id").select(*key, "side", "id", "n", "comp", "sig")
+    return signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(_tile_pairs(t, best_only), "a long, b long, tok long")
+
+
+#: Candidate pairs up to which the ids of their texts are broadcast to the scan; 16 bytes each.
+FEW_PAIRS = 1 << 16
 
 
 def _verified(base: DataFrame, pairs: DataFrame, words: int, t: int) -> DataFrame:
     """The pairs that are links, by exact intersection of the two sorted arrays."""
     pairs = settle(pairs)
-    ids = settle(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    texts = member_gate(base, ids, ["id"]).join(ids, "id", "left_semi").dropDuplicates(["id"])
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    if pairs.count() <= FEW_PAIRS:
+        texts = base.join(F.broadcast(ids.distinct()), "id", "left_semi")
+    else:
+        texts = member_gate(base, ids, ["id"])
     full = settle(texts.mapInArrow(_full_rows(words), "id long, hashes binary"))
     both = pairs.join(full.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a").join(full.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b")
     return settle(both.mapInArrow(_overlaps(t), "a long, b long"))
