@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices, small_batches
 
@@ -279,7 +280,7 @@ def decoded(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
             out = [decode(np.asarray(x or [], np.int32), path) for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*names, "bytes"])
 
-    return encoded.mapInArrow(rows, encoded.schema.add("bytes", "binary"))
+    return encoded.mapInArrow(rows, T.StructType([*encoded.schema.fields, T.StructField("bytes", T.BinaryType())]))
 
 
 def encoding_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

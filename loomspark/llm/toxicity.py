@@ -228,11 +228,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
     marks = sure.word.head(1500).tolist()
     landmarks = [marks[i] for i in _pivots(_dense(marks), TOXIC_LANDMARKS)] + usual.word.head(OTHER_LANDMARKS).tolist()
     found, weight = subsequences(landmarks)
-    table = np.zeros((len(landmarks), ALPHABET**3), np.float32)
+    keys = np.unique(found[found >= 0])  # only what landmarks have counts; column 0 is for all else
+    column = np.zeros(ALPHABET**3, np.int32)
+    column[keys] = np.arange(1, len(keys) + 1)
+    table = np.zeros((len(landmarks), len(keys) + 1))
     for i in range(len(landmarks)):
-        np.add.at(table[i], np.maximum(found[i], 0), weight[i])
+        np.add.at(table[i], column[found[i][found[i] >= 0]], weight[i][found[i] >= 0])
     table /= np.linalg.norm(table, axis=1, keepdims=True)
-    values, vectors = np.linalg.eigh((table @ table.T).astype(np.float64))
+    values, vectors = np.linalg.eigh(table @ table.T)
     root = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
 
     def kernel(words: list[str]) -> np.ndarray:
@@ -240,7 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
         for i in range(0, len(words), 512):
             found, weight = subsequences(words[i : i + 512])
             norm = np.sqrt(np.square(weight).sum(1))
-            out.append(np.stack([(row[np.maximum(found, 0)] * weight).sum(1) for row in table], 1) / np.maximum(norm, 1e-6)[:, None])
+            at = np.where(found >= 0, column[np.maximum(found, 0)], 0)
+            out.append(np.stack([(row[at] * weight).sum(1) for row in table], 1) / np.maximum(norm, 1e-6)[:, None])
         return np.concatenate(out)
 
     columns = ["word", "rt", "rn"]
@@ -255,7 +259,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
         for sign in (1, -1):
             cost[y == sign] *= 400 / cost[y == sign].sum()
         w, offset = _machine(x, y, cost, 0.2)
-        model = Model(((root @ w) @ table).astype(np.float32), offset, ones / n)
+        weights = np.zeros(ALPHABET**3, np.float32)
+        weights[keys] = ((root @ w) @ table)[1:]
+        model = Model(weights, offset, ones / n)
         if turn + 1 < rounds:
 
             def rows(batches: Iterator[pd.DataFrame], model: Model = model) -> Iterator[pd.DataFrame]:
