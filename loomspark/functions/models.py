@@ -89,7 +89,7 @@ def embedding_delay(turn: int) -> float:
 
 def respond(prompts: DataFrame, responder: Responder, prompt_col: str = "prompt", system_col: str | None = None, tries: int = 1) -> DataFrame:
     """``prompts`` with columns response and error, one call per row."""
-    schema = prompts.schema.add("response", "string").add("error", "string")
+    schema = types.StructType([*prompts.schema.fields, types.StructField("response", types.StringType()), types.StructField("error", types.StringType())])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -122,7 +122,7 @@ def embed(rows: DataFrame, embedder: Embedder, dim: int, text_col: str = "text",
     """``rows`` with column embedding array<float> of fixed length; texts that fail get the fallback."""
     from loomspark.operators.vectors import fit_dimension
 
-    schema = rows.schema.add("_e", types.ArrayType(types.DoubleType()))
+    schema = types.StructType([*rows.schema.fields, types.StructField("_e", types.ArrayType(types.DoubleType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
