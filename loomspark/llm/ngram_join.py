@@ -77,8 +77,8 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
 
 
 def signature_bits(n: int) -> int:
-    """A power of two of 0.6 to 1.2 n: random sets then differ in about twice the bits that the threshold lets through."""
-    return max(64, min(1 << 15, 1 << max(0, int(n * 0.6)).bit_length()))
+    """A power of two of 0.6 to 1.2 n, 512 at least: random sets then differ in about twice the bits that the threshold lets through."""
+    return max(512, min(1 << 15, 1 << max(0, int(n * 0.6)).bit_length()))
 
 
 def band_of(n: np.ndarray, t: int) -> np.ndarray:
