@@ -76,15 +76,12 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     found, weight = np.hstack(found), np.hstack(weight)
     order = np.argsort(found, axis=1)
     found, weight = np.take_along_axis(found, order, 1), np.take_along_axis(weight, order, 1)
-    for _ in range(4):  # a subsequence that occurs again adds to its first weight
-        same = (found[:, 1:] == found[:, :-1]) & (found[:, 1:] >= 0)
-        if not same.any():
-            break
-        weight[:, :-1] += np.where(same, weight[:, 1:], 0)
-        found[:, 1:][same] = -1
-        weight[:, 1:][same] = 0
-        order = np.argsort(found, axis=1, kind="stable")
-        found, weight = np.take_along_axis(found, order, 1), np.take_along_axis(weight, order, 1)
+    for at in range(found.shape[1] - 1, 0, -1):  # a subsequence that occurs again adds to its first weight
+        same = found[:, at] == found[:, at - 1]
+        if same.any():
+            weight[:, at - 1] += np.where(same, weight[:, at], 0)
+            weight[same, at] = 0
+            found[same, at] = -1
     return found, weight
 
 
@@ -278,10 +275,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
     return model
 
 
+#: With fewer labelled documents kept apart only the largest decisions count, not how many there are.
+ENOUGH = 300
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     """Weights of the columns of ``x`` and a constant, by damped Newton steps on standardised columns."""
     mean, std = x.mean(0), np.maximum(x.std(0), 1e-3)
     z = np.hstack([(x - mean) / std, np.ones((len(x), 1))])
+    if len(y) < ENOUGH:
+        z[:, 3:-1] = 0
     keep = np.full(z.shape[1], ridge)
     keep[-1] = 1e-6
     w = np.zeros(z.shape[1])
