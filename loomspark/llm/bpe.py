@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, small_batches
+from .common import give_back, slices, small_batches
 
 #: Bounds of a block: distinct words and words in all (4 bytes each).
-BLOCK_WORDS, BLOCK_LENGTH = 600_000, 16_000_000
+BLOCK_WORDS, BLOCK_LENGTH = 300_000, 8_000_000
 NONE = np.int32(1 << 30)
 
 
@@ -254,6 +254,8 @@ def _per_block(path: str, pattern: str, make: Callable[[Block], Callable[[np.nda
                     block, keys = Block(pattern, path), []
         if keys:
             yield from done()
+        block = None
+        give_back()
 
     return rows
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -67,6 +69,16 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def give_back() -> None:
+    """Returns free memory to the system: Python workers live on after a task, beside those of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not every C library has it
+
+
 def slices(batch: pa.RecordBatch, text: str, rows: int = SLICE_ROWS, chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch with their texts (null: empty), each of bounded rows and characters."""
     texts = ["" if x is None else x for x in batch.column(text).to_pylist()]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, member_gate, settle, slices, small_batches
+from .common import components, discard, give_back, member_gate, settle, slices, small_batches
 
 #: Rows of a tile's block; a tile compares two blocks.
 BLOCK = 4096
@@ -120,6 +120,7 @@ def _set_rows(words: int, t: int):
                     ],
                     names=["id", "n", "digest", "prefix", "sig"],
                 )
+        give_back()
 
     return rows
 
@@ -129,6 +130,7 @@ def _full_rows(words: int):
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), pa.array([s.tobytes() for s in shingle_sets(texts, words)], pa.binary())], names=["id", "hashes"])
+        give_back()
 
     return rows
 
@@ -219,6 +221,7 @@ def _tile_pairs(t: int, best_only: bool):
             kept = rest[0]
         if kept is not None and kept.num_rows:
             yield from done(kept, True)
+        give_back()
 
     rest: list = [None]
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import BLOCK_LENGTH, BLOCK_WORDS, NONE, _Numbers, replay
-from .common import settle, slices, small_batches
+from .common import give_back, settle, slices, small_batches
 
 #: Pieces of a shard, islands of each, epochs, packings on an island, generations of an epoch and children of each.
 SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS, CHILDREN = 16_384, 2, 2, 6, 3, 3
@@ -127,12 +128,19 @@ class TokenBlock:
 
     def encode(self) -> None:
         find, words = latin_words(), _Numbers()
-        split = [[words[w] for w in find(part)] for part in self.numbers]
+        flat, ends = array("i"), array("i")
+        for part in self.numbers:
+            flat.extend(map(words.__getitem__, find(part)))
+            ends.append(len(flat))
+        self.numbers = None
         ids, counts = replay([w.decode("latin-1").encode() for w in words], word_ranks(self.path))
-        ends = np.cumsum(counts) * 4
+        stops = np.cumsum(counts) * 4
         data = ids.astype("<u4").tobytes()
-        each = [data[a:b] for a, b in zip((ends - counts * 4).tolist(), ends.tolist(), strict=True)]
-        self.parts = [each[x[0]] if len(x) == 1 else b"".join([each[i] for i in x]) for x in split]
+        each = [data[a:b] for a, b in zip((stops - counts * 4).tolist(), stops.tolist(), strict=True)]
+        self.parts, at = [], 0
+        for end in ends:
+            self.parts.append(each[flat[at]] if end == at + 1 else b"".join([each[i] for i in flat[at:end]]))
+            at = end
 
     def ids(self, at: int) -> bytes:
         text = self.texts[at]
@@ -170,6 +178,8 @@ def token_pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1,
                     block, keys = TokenBlock(path), []
         if keys:
             yield from done(block, keys)
+        block = None
+        give_back()
 
     return source.mapInArrow(make, f"id {kind}, piece int, start long, length long, ids_crc32 long")
 

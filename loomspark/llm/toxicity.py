@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import is_held_out, labelled_sample, settle, slices, small_batches
+from .common import give_back, is_held_out, labelled_sample, settle, slices, small_batches
 
 #: Labelled documents that the classifier learns from, at most; landmarks of toxic and of other words.
 TRAIN_ROWS, TOXIC_LANDMARKS, OTHER_LANDMARKS = 12_000, 128, 64
@@ -311,6 +311,8 @@ def _summaries_of(rows: DataFrame, model: Model, keep: tuple[str, ...] = ("y",),
                 got = model.summaries(texts, kept) if model.weights is not None else [list(NOTHING)] * len(texts)
                 out = pa.array(model.score(np.array(got)), pa.float64()) if score else pa.array([[float(v) for v in x] for x in got], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*map(part.column, keep), out], names=schema.names)
+        kept.clear()
+        give_back()
 
     return source.mapInArrow(run, schema)
 
