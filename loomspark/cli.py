@@ -89,7 +89,8 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     logging.basicConfig(level=a.log_level.upper())
     s = load_settings(a.config)
-    root = lambda stage: os.path.join(s.paths.working_dir, stage)
+    base = s.paths.working_dir if "://" in s.paths.working_dir else os.path.abspath(s.paths.working_dir)
+    root = lambda stage: os.path.join(base, stage)
     if a.list_domains:
         for stage in (s.paths.raw_dir, s.paths.processed_dir, s.paths.graph_dir, s.paths.output_dir):
             print(f"{stage}: {', '.join(domains_of(root(stage)))}")

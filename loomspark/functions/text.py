@@ -141,7 +141,7 @@ def extract_entities(text: Column) -> Column:
 
 
 def bigrams(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)(?=(..))"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)(?=(..))."), F.lit(1)))
 
 
 def entity_line(name: Column, kind: Column, description: Column) -> Column:
