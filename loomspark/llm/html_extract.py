@@ -36,11 +36,15 @@ OPAQUE = frozenset("script style noscript template iframe object svg math canvas
 #: Elements that stand in a line; all others begin and end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 #: Elements that never are part of an article.
-ASIDE = frozenset("nav footer aside form button select option menu dialog datalist head".split())
+ASIDE = frozenset("nav footer aside button select option menu dialog datalist head".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar status".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices outbrain pager pagination popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar warning widget widgets".split()
 )
+#: Beside these a word tells what stands next to the element, not what it is ("with-sidebar").
+BESIDE = frozenset("with has no without".split())
+#: A form this long, of more than half the page's text, is the frame of a page, not a form on it.
+FRAME_CHARS = 400
 #: An open element ends before another of its kind.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 FENCES = frozenset("ul ol dl table body html article main section div".split())
@@ -50,11 +54,12 @@ LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody thead pre blockq
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "aside", "article", "link")
+    __slots__ = ("tag", "path", "parent", "aside", "form", "article", "link")
 
     def __init__(self, tag: str, attrs: str, parent: "_Element | None"):
         self.tag, self.parent = tag, parent
         self.aside = parent.aside if parent else False
+        self.form = tag == "form" or bool(parent and parent.form)
         self.article = (parent.article if parent else None) or (self if tag in ("article", "main") else None)
         self.link = tag == "a" or bool(parent and parent.link)
         mark = ""
@@ -64,7 +69,7 @@ class _Element:
             values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
             mark = values.get("class", "").strip().lower()
             words = re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", f"{values.get('class', '')} {values.get('id', '')}").lower())
-            if tag not in ("html", "body", "article", "main", "a") and not ASIDE_WORDS.isdisjoint(words):
+            if tag not in ("html", "body", "article", "main", "a") and not ASIDE_WORDS.isdisjoint(words) and BESIDE.isdisjoint(words):
                 self.aside = True
             style = values.get("style", "").replace(" ", "").lower()
             if values.get("role", "").lower() in ASIDE_ROLES or "display:none" in style or values.get("aria-hidden", "").lower() == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", _ATTR.sub(" ", attrs)):
@@ -196,6 +201,9 @@ def _chain(element: _Element) -> list[_Element]:
 def main_text(page: str | None, share: float = 0.9) -> str:
     """The text of the article of a page, its blocks joined by new lines."""
     blocks = [b for b in blocks_of(page or "") if not b.element.aside]
+    in_forms = sum(len(b.text) for b in blocks if b.element.form)
+    if in_forms < FRAME_CHARS or 2 * in_forms <= sum(len(b.text) for b in blocks):
+        blocks = [b for b in blocks if not b.element.form]
     if not blocks:
         return ""
     least = score(blocks)

@@ -25,6 +25,8 @@ def test_article_without_the_rest(around):
         ("<article><p>x<!-- open", "x"),
         ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></article>", "one\ntwo\na\nb"),
         ("<script>only()</script>", ""),
+        ("<form>Your name, please: <input></form>", ""),
+        ("<form><div class='content with-sidebar'>" + "<p>A paragraph of words, here.</p>" * 20 + "</div></form>", "\n".join(["A paragraph of words, here."] * 20)),
         ("<article><header><h1>T</h1></header><p>x y</p><aside>no</aside></article>", "T\nx y"),
     ],
 )
