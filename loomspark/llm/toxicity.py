@@ -4,7 +4,7 @@ The kernel of two words sums over the subsequences of three characters that they
 character that its occurrence skips; word edges are characters too. Inserted or changed characters therefore lower
 the kernel only a little. Landmarks are words from labelled sentences: pivoted Cholesky picks the varied ones among
 those that mark toxic sentences, and frequent ones stand for the rest. The machine is trained on the kernel with the
-landmarks (Nystrom features), each word once for either label, weighted by the share of that label's documents it is
+landmarks (Nystrom features), each word once for either label, weighted by the root of that label's documents it is
 in; each round adds the words of non-toxic sentences that it takes for toxic. As every
 Nystrom feature is linear in the subsequence weights, the decision function folds into one weight per subsequence,
 so that a word costs the same whatever the number of landmarks. Runs of single characters ("i d i o t") also count as
@@ -35,6 +35,8 @@ from .common import give_back, is_held_out, labelled_sample, settle, slices, sma
 
 #: Labelled documents that the classifier learns from, at most; landmarks of toxic and of other words.
 TRAIN_ROWS, TOXIC_LANDMARKS, OTHER_LANDMARKS = 12_000, 128, 64
+#: Documents that a word has to be in to tell anything.
+LEAST_DOCUMENTS = 3
 #: Weight of a skipped character, the widest span of a subsequence, and the characters of a word looked at together.
 DECAY, SPAN, LONGEST = 0.6, 6, 24
 #: Words whose decisions a task keeps.
@@ -61,44 +63,38 @@ def plain(word: str) -> str:
     return out if out.isalpha() else out.translate(_LIKE)
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(words, n) arrays of the distinct subsequences of each word (-1: none) and their weights."""
+def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, n) arrays of the subsequence at each occurrence (0: none, no word has it) and of its weight, and each
+    word's norm: the root of its squared occurrence weights. Scaling words by any norm of their own keeps a kernel a
+    kernel, and this one needs no search for subsequences that occur twice."""
     marked = ["\x01" + w[:LONGEST] + "\x02" for w in words]
     width = max(map(len, marked), default=3)
-    text = "".join(w.ljust(width, "\0") for w in marked)
-    codes = _CODES[np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), 0xFFFF)].reshape(len(words), width).astype(np.int32)
+    text = "".join([w.ljust(width, "\0") for w in marked])
+    codes = _CODES[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 0xFFFF)].reshape(len(words), width).astype(np.int32)
+    some = codes > 0
     found, weight = [], []
     for i, j in _STEPS:
         if i + j < width:
-            a, b, c = codes[:, : width - i - j], codes[:, i : width - j], codes[:, i + j :]
-            found.append(np.where((a > 0) & (b > 0) & (c > 0), (a * ALPHABET + b) * ALPHABET + c, -1))
-            weight.append(np.where(found[-1] >= 0, np.float32(DECAY ** (i + j - 2)), np.float32(0)))
+            whole = some[:, : width - i - j] & some[:, i : width - j] & some[:, i + j :]
+            key = (codes[:, : width - i - j] * ALPHABET + codes[:, i : width - j]) * ALPHABET + codes[:, i + j :]
+            found.append(key * whole)
+            weight.append(whole * np.float32(DECAY ** (i + j - 2)))
     found, weight = np.hstack(found), np.hstack(weight)
-    order = np.argsort(found, axis=1)
-    found, weight = np.take_along_axis(found, order, 1), np.take_along_axis(weight, order, 1)
-    for at in range(found.shape[1] - 1, 0, -1):  # a subsequence that occurs again adds to its first weight
-        same = found[:, at] == found[:, at - 1]
-        if same.any():
-            weight[:, at - 1] += np.where(same, weight[:, at], 0)
-            weight[same, at] = 0
-            found[same, at] = -1
-    return found, weight
+    return found, weight, np.sqrt(np.maximum(np.einsum("ij,ij->i", weight, weight), 1e-12))
 
 
 def _decide(words: list[str], weights: np.ndarray) -> np.ndarray:
-    found, weight = subsequences(words)
-    norm = np.sqrt(np.maximum(np.square(weight).sum(1), 1e-12))
-    return (weights[np.maximum(found, 0)] * weight).sum(1) / norm
+    found, weight, norm = subsequences(words)
+    return np.einsum("ij,ij->i", weights[found], weight) / norm
 
 
 def _dense(words: list[str]) -> np.ndarray:
-    """Normalised subsequence vectors over the subsequences that the words have; for a bounded list of words."""
-    found, weight = subsequences(words)
+    """Scaled subsequence vectors over the subsequences that the words have; for a bounded list of words."""
+    found, weight, norm = subsequences(words)
     keys, at = np.unique(found, return_inverse=True)
-    out = np.zeros((len(words), len(keys)), np.float32)
+    out = np.zeros((len(words), len(keys)))
     np.add.at(out, (np.repeat(np.arange(len(words)), found.shape[1]), at.reshape(-1)), weight.reshape(-1))
-    out[:, keys < 0] = 0
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+    return out / norm[:, None]
 
 
 def words_of(text: str) -> set[str]:
@@ -129,7 +125,11 @@ class Model:
     def decisions(self, words: list[str]) -> np.ndarray:
         parts = [pieces(plain(w)) for w in words]
         flat = [p for x in parts for p in x]
-        got = np.concatenate([_decide(flat[i : i + 8192], self.weights) for i in range(0, len(flat), 8192)])
+        order = sorted(range(len(flat)), key=lambda i: len(flat[i]))  # words of like length share a width
+        got = np.empty(len(flat), np.float32)
+        for i in range(0, len(order), 4096):
+            some = order[i : i + 4096]
+            got[some] = _decide([flat[k] for k in some], self.weights)
         ends = np.cumsum([len(x) for x in parts])
         return np.maximum.reduceat(got, np.append(0, ends[:-1])) - self.offset
 
@@ -174,7 +174,7 @@ def _vocabulary(sample: DataFrame) -> DataFrame:
 
 def _pivots(vectors: np.ndarray, most: int) -> list[int]:
     """Pivoted Cholesky: each next pivot is the word that those before it represent least."""
-    left, basis, out = np.ones(len(vectors)), np.zeros((len(vectors), 0)), []
+    left, basis, out = np.square(vectors).sum(1), np.zeros((len(vectors), 0)), []
     for _ in range(min(most, len(vectors))):
         at = int(left.argmax())
         if left[at] < 1e-3:
@@ -213,48 +213,57 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
     apart = F.pmod(F.xxhash64(F.col("id"), F.lit(3)), F.lit(4)) == 0
     n_toxic, n_other = (max(1, x) for x in sample.where(~apart).agg(F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0))).first())
     rates = {"rt": F.col("toxic") / n_toxic, "rn": F.col("other") / n_other}
-    pooled = (F.col("toxic") + F.col("other")) / (n_toxic + n_other)
-    surprise = (F.col("rt") - F.col("rn")) / F.sqrt(pooled * (1 - pooled) * (1 / n_toxic + 1 / n_other) + 1e-9)
+    # n times the divergence of a word's toxic share from the overall one: the logarithm of how unlikely chance makes it
+    both, share = F.col("toxic") + F.col("other"), n_toxic / (n_toxic + n_other)
+    part = lambda x, of: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / both / of)).otherwise(0.0)
+    surprise = part("toxic", share) + part("other", 1 - share)
     vocabulary = settle(_vocabulary(sample.where(~apart)).withColumns(rates).withColumn("surprise", surprise).repartition(16))
-    sure = vocabulary.where("toxic > 2 AND surprise >= 4 AND rt >= 2.5 * rn").orderBy(F.desc("surprise"), "word").limit(4000).toPandas()
+    # a word marks toxic texts if by chance not even one of all words would surprise as much
+    n_words = vocabulary.where(both >= LEAST_DOCUMENTS).count()
+    marks_toxic = f"toxic >= {LEAST_DOCUMENTS} AND surprise >= {float(np.log(max(n_words, 10)))} AND rt >= 2.5 * rn"
+    sure = vocabulary.where(marks_toxic).orderBy(F.desc("surprise"), "word").limit(4000).toPandas()
     if not len(sure):
         return none
     usual = vocabulary.where("rt < 1.5 * rn").orderBy(F.desc("other"), "word").limit(3000).toPandas()
-    rest = vocabulary.where("other > 0 AND NOT (toxic > 2 AND surprise >= 4 AND rt >= 2.5 * rn)")
+    rest = vocabulary.where(f"other > 0 AND NOT ({marks_toxic})")
 
     marks = sure.word.head(1500).tolist()
-    landmarks = [marks[i] for i in _pivots(_dense(marks), TOXIC_LANDMARKS)] + usual.word.head(OTHER_LANDMARKS).tolist()
-    found, weight = subsequences(landmarks)
-    keys = np.unique(found[found >= 0])  # only what landmarks have counts; column 0 is for all else
+    varied = [marks[i] for i in _pivots(_dense(marks), TOXIC_LANDMARKS // 2)]
+    landmarks = list(dict.fromkeys(marks[: TOXIC_LANDMARKS // 2] + varied)) + usual.word.head(OTHER_LANDMARKS).tolist()
+    found, weight, norm = subsequences(landmarks)
+    keys = np.unique(found[found > 0])  # only what landmarks have counts; column 0 is for all else
     column = np.zeros(ALPHABET**3, np.int32)
     column[keys] = np.arange(1, len(keys) + 1)
     table = np.zeros((len(landmarks), len(keys) + 1))
     for i in range(len(landmarks)):
-        np.add.at(table[i], column[found[i][found[i] >= 0]], weight[i][found[i] >= 0])
-    table /= np.linalg.norm(table, axis=1, keepdims=True)
+        np.add.at(table[i], column[found[i]], weight[i])
+    table[:, 0] = 0
+    table /= norm[:, None]
     values, vectors = np.linalg.eigh(table @ table.T)
     root = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
 
     def kernel(words: list[str]) -> np.ndarray:
         out = []
         for i in range(0, len(words), 512):
-            found, weight = subsequences(words[i : i + 512])
-            norm = np.sqrt(np.square(weight).sum(1))
-            at = np.where(found >= 0, column[np.maximum(found, 0)], 0)
-            out.append(np.stack([(row[at] * weight).sum(1) for row in table], 1) / np.maximum(norm, 1e-6)[:, None])
+            found, weight, norm = subsequences(words[i : i + 512])
+            at = column[found]
+            out.append(np.stack([np.einsum("ij,ij->i", row[at], weight) for row in table], 1) / norm[:, None])
         return np.concatenate(out)
 
-    columns = ["word", "rt", "rn"]
-    words = pd.concat([sure[columns], usual[columns]]).drop_duplicates("word")
+    columns = ["word", "toxic", "other"]
+    sure["sure"], usual["sure"] = True, False
+    words = pd.concat([sure[[*columns, "sure"]], usual[[*columns, "sure"]]]).drop_duplicates("word")
     model = none
     for turn in range(rounds):
         x = kernel(words.word.tolist()) @ root
         x = np.vstack([x, x])
         y = np.append(np.ones(len(words)), -np.ones(len(words)))
-        few = 1 / n_other  # what no document of the sample shows is still possible
-        cost = np.append(np.where(words.rt >= 2.5 * words.rn, words.rt, 0.1 * words.rt), words.rn + few)
+        # roots, so that neither a few very frequent words nor very many rare ones decide alone; what no document of
+        # the sample shows is still possible
+        toxic, other = words.toxic.to_numpy(float), words.other.to_numpy(float) * n_toxic / n_other
+        cost = np.append(np.sqrt(np.where(words.sure, toxic, 0.002 * toxic)), np.sqrt(other) + 0.05)
         for sign in (1, -1):
-            cost[y == sign] *= 400 / cost[y == sign].sum()
+            cost[y == sign] *= 2000 / cost[y == sign].sum()
         w, offset = _machine(x, y, cost, 0.2)
         weights = np.zeros(ALPHABET**3, np.float32)
         weights[keys] = ((root @ w) @ table)[1:]
@@ -265,8 +274,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
                 for batch in batches:
                     yield batch.assign(d=model.decisions(batch.word.tolist()))
 
-            hard = rest.select(*columns).mapInPandas(rows, "word string, rt double, rn double, d double").where("d > -0.3").orderBy(F.desc("d"), "word").limit(2000).toPandas()
-            words = pd.concat([words, hard[columns]]).drop_duplicates("word")
+            hard = rest.select(*columns).mapInPandas(rows, "word string, toxic long, other long, d double").where("d > -0.3").orderBy(F.desc("d"), "word").limit(2000).toPandas()
+            words = pd.concat([words, hard[columns].assign(sure=False)]).drop_duplicates("word")
 
     held = _summaries_of(sample.where(apart), model).toPandas()  # a quarter of the bounded sample
     if held.y.nunique() < 2:
