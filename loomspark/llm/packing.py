@@ -106,8 +106,8 @@ class TokenBlock:
     That holds for texts in Latin-1, where normalisation is lower-casing; any other text goes to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
-        self.path, self.numbers, self.texts, self.length = path, _Numbers(), [], 0
+    def __init__(self, path: str, most: int = BLOCK_WORDS):
+        self.path, self.numbers, self.texts, self.length, self.most = path, _Numbers(), [], 0, most
 
     def add(self, text: str) -> None:
         try:
@@ -124,7 +124,7 @@ class TokenBlock:
 
     @property
     def full(self) -> bool:
-        return len(self.numbers) >= BLOCK_WORDS or self.length >= BLOCK_LENGTH
+        return len(self.numbers) >= self.most or self.length >= BLOCK_LENGTH
 
     def encode(self) -> None:
         find, words = latin_words(), _Numbers()
@@ -147,8 +147,8 @@ class TokenBlock:
         return text if isinstance(text, bytes) else b"".join(map(self.parts.__getitem__, text.tolist()))
 
 
-def token_pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32."""
+def token_pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per piece: id, piece, start, length, ids_crc32. Blocks of fewer words take less memory and more time."""
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
@@ -167,7 +167,7 @@ def token_pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1,
                 rows = []
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, keys = TokenBlock(path), []
+        block, keys = TokenBlock(path, block_words), []
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 keys.append(part.column("id"))
@@ -175,7 +175,7 @@ def token_pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1,
                     block.add(x)
                 if block.full:
                     yield from done(block, keys)
-                    block, keys = TokenBlock(path), []
+                    block, keys = TokenBlock(path, block_words), []
         if keys:
             yield from done(block, keys)
         block = None
@@ -331,9 +331,9 @@ def pack(items: DataFrame, size: int = 4096, shard: int = SHARD, level: int = 0)
     return out if weak is None else out.unionByName(pack(weak, size, shard, level + 1))
 
 
-def pack_documents(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = settle(token_pieces(docs, path, size, end_id, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()))
+    pieces = settle(token_pieces(docs, path, size, end_id, id_col, text_col, block_words).withColumn("uid", F.monotonically_increasing_id()))
     full = pieces.where(F.col("length") >= size).withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long")})
     rest = pieces.where(F.col("length") < size)
     rest = rest.join(pack(rest.select("uid", "length"), size), "uid")
