@@ -15,6 +15,8 @@ from loomspark.llm.common import is_held_out, settle
 
 #: A document goes if its toxicity score is as high.
 REJECT_AT = 0.5
+#: Distinct words of a block of packing: fewer than by itself, as executors still hold memory of the stages before.
+BLOCK_WORDS = 80_000
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 4096 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), block_words=BLOCK_WORDS)
 
 
 STAGES = [
