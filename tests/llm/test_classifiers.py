@@ -81,15 +81,16 @@ def kernel(a, b):
 
     def vector(w):
         codes = [toxicity._CODES[min(ord(c), 0xFFFF)] for c in "\x01" + w + "\x02"]
-        out = {}
+        out, squares = {}, 0.0
         for i, j, k in combinations(range(len(codes)), 3):
             if k - i < toxicity.SPAN and codes[i] and codes[j] and codes[k]:
-                key = (codes[i], codes[j], codes[k])
-                out[key] = out.get(key, 0) + toxicity.DECAY ** (k - i - 2)
-        return out
+                key, weight = (codes[i], codes[j], codes[k]), toxicity.DECAY ** (k - i - 2)
+                out[key] = out.get(key, 0) + weight
+                squares += weight**2
+        return out, squares**0.5
 
-    x, y = vector(a), vector(b)
-    return sum(v * y.get(s, 0) for s, v in x.items()) / (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+    (x, m), (y, n) = vector(a), vector(b)
+    return sum(v * y.get(s, 0) for s, v in x.items()) / (m * n)
 
 
 def test_kernel_by_definition():

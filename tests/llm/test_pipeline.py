@@ -9,7 +9,7 @@ def test_stages(spark, tmp_path):
     base = " ".join(f"w{i % 97}x{i}" for i in range(300))
     rows = [(i, f"{base} {i}" if i in (1, 2) else f"text {i} " + " ".join(f"v{i}y{k}" for k in range(40)), "en", "s") for i in range(1, 60)]
     rows += [(60, rows[9][1], "en", "s"), (61, "password=abcdef123 " + " ".join(f"own{k}" for k in range(60)), "en", "s"), (62, None, "en", "s")]
-    rows += [(100 + i, f"{rows[i][1]} grumfex blotzig you", "en", "s") for i in range(30)]
+    rows += [(100 + i, f"text {100 + i} " + " ".join(f"v{100 + i}y{k}" for k in range(40)) + " grumfex blotzig you", "en", "s") for i in range(30)]
     docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(r[0], 1, int(r[0] >= 100)) for r in rows], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
