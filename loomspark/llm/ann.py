@@ -7,7 +7,9 @@ by leaf, and verifies them on the original vectors. The squared projected distan
 true distance follows a chi-square law, so a query stops once any unseen vector as near as its k-th best would
 have shown up with probability ``SURE``.
 
-Queries go to every shard in blocks; the best k of each shard are merged.
+Queries go to every shard in blocks; the best k of each shard are merged. Scores equal to 12 digits are ties, which the
+smaller id wins. Of vectors of the same direction only the k + 1 rows with the smallest ids are indexed, as no other can be
+among the k best of any row; they share a shard.
 
 Defined cases: vectors that are null, empty, of zero length or that hold null or non-finite components take no part,
 neither do rows with a null id; of rows that share an id the one with the smallest vector counts; vectors of another
@@ -19,10 +21,12 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import settle, small_batches
@@ -31,6 +35,8 @@ from .common import settle, small_batches
 DIMENSIONS, SHARD, LEAF, BLOCK = 8, 16_384, 64, 1024
 #: Probability with which a nearer vector would have shown up before a query stops.
 SURE = 0.97
+#: Scores are ranked in whole units of this.
+UNIT = 1e-12
 
 
 def chi_square(x: float, dimensions: int) -> float:
@@ -96,21 +102,25 @@ class Tree:
 
 
 def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, points: np.ndarray, query: np.ndarray, projected: np.ndarray, own: int, k: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-    """The k best rows (in tree order) and their scores. Projected neighbours come out in order: of a leaf whose box
-    is next, all that are nearer than the next box; they are verified until the stopping test holds."""
+    """The k best rows (in tree order) and their scores; of scores equal to ``UNIT`` the smaller ids. Projected neighbours
+    come out in order: of leaves whose boxes are next, twice as many each time, all that are nearer than the next box; they
+    are verified until the stopping test holds for all that could still tie."""
     best_at, best = np.empty(0, np.int64), np.empty(0)
     waiting_at, waiting = np.empty(0, np.int64), np.empty(0)
-    leaves = tree.leaves(projected)
+    leaves, many = tree.leaves(projected), 1
     ahead = next(leaves, None)
+    first = lambda: np.lexsort((ids[best_at], -units_of(best)))[:k]
     while ahead is not None or len(waiting_at):
         if ahead is not None:
-            d, a, b = ahead
-            gap = points[a:b] - projected
-            waiting_at = np.concatenate([waiting_at, np.arange(a, b)])
+            read = [ahead, *islice(leaves, many - 1)]
+            many *= 2
+            at = np.concatenate([np.arange(a, b) for _, a, b in read])
+            gap = points[at] - projected
+            waiting_at = np.concatenate([waiting_at, at])
             waiting = np.concatenate([waiting, np.einsum("ij,ij->i", gap, gap)])
             ahead = next(leaves, None)
         reach = ahead[0] if ahead is not None else math.inf
-        due = waiting <= reach
+        due = waiting * (1 + 1e-9) + 1e-18 <= reach  # copies in several leaves are due together
         if due.any():
             at = waiting_at[due]
             at = at[ids[at] != own]
@@ -118,24 +128,30 @@ def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, points: np.ndarray,
             best_at = np.concatenate([best_at, at])
             best = np.concatenate([best, vectors[at] @ query])
             if len(best) > 4 * k + 64:
-                keep = np.argpartition(-best, k + 32)[: k + 33]
+                keep = first()
                 best_at, best = best_at[keep], best[keep]
         if len(best) >= k and ahead is not None:
-            kth = 2 - 2 * np.partition(best, len(best) - k)[len(best) - k]
-            if reach >= bound * max(kth, 0.0):
+            kth = units_of(np.partition(best, len(best) - k)[len(best) - k])
+            if reach > bound * (2 - 2 * UNIT * (min(kth, 1 / UNIT) - 1)):
                 break
-    order = np.lexsort((ids[best_at], -best))[:k]
+    order = first()
     return best_at[order], best[order]
 
 
+def units_of(scores: np.ndarray) -> np.ndarray:
+    return np.rint(scores / UNIT)
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id and v (array<double>) of the rows that take part."""
+    """id and v (array<double>, largest component one) of the rows that take part."""
     kind = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = kind.where(fine)
     width = rows.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), F.desc("w")).first()
     rows = rows.where(F.size("v") == (width.w if width else 0))
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
+    top = F.array_max(F.transform("v", F.abs))  # what is a multiple of another becomes equal to it
+    return rows.select("id", F.zip_with("v", F.array_repeat(top, F.size("v")), lambda x, t: x / t).alias("v"))
 
 
 def _units(column: pd.Series) -> np.ndarray:
@@ -155,13 +171,13 @@ def _index(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 _INDEX = "shard long, depth int, width int, ids binary, vectors binary, points binary, low binary, high binary, span binary"
-_FOUND = "query_id long, vec_id long, score double"
+_FOUND = "query_id long, vec_id long, score double, units long"
 
 
 def _search_block(k: int, bound: float):
     def run(key: tuple, index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(index) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "units": []})
         one = index.iloc[0]
         read = lambda name, kind=np.float64: np.frombuffer(one[name], kind)
         ids, vectors, points = read("ids", np.int64), read("vectors").reshape(-1, one.width), read("points").reshape(-1, DIMENSIONS)
@@ -172,7 +188,7 @@ def _search_block(k: int, bound: float):
         out = []
         for q, unit, point in zip(queries.id.tolist(), units, projected, strict=True):
             at, score = search(tree, vectors, ids, points, unit, point, q, k, bound)
-            out.append(pd.DataFrame({"query_id": q, "vec_id": ids[at], "score": score}))
+            out.append(pd.DataFrame({"query_id": q, "vec_id": ids[at], "score": score, "units": units_of(score).astype(np.int64)}))
         return pd.concat(out)
 
     return run
@@ -184,15 +200,16 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
     small_batches(spark)
     rows = settle(usable(vectors, id_col, vector_col))
     queries = rows.where(is_query)
-    n, m = rows.count(), queries.count()
+    of_copies = F.row_number().over(W.partitionBy("v").orderBy("id"))
+    indexed = settle(rows.withColumn("nth", of_copies).where(F.col("nth") <= k + 1).drop("nth"))
+    n, m = indexed.count(), queries.count()
     shards, blocks = max(1, -(-n // shard)), max(1, -(-m // BLOCK))
-    index = settle(rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).groupBy("shard").applyInPandas(_index, _INDEX))
+    index = settle(indexed.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards))).groupBy("shard").applyInPandas(_index, _INDEX))
     # a tile is a shard and a block of queries; it holds a bounded number of both
     tiles = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")))
     found = tiles.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_search_block(k, chi_square_bound(sure, DIMENSIONS)), _FOUND)
-    # scores equal to rounding are ties, which the smaller id wins
-    order = F.array_sort(F.collect_list(F.struct((-F.round("score", 12)).alias("r"), "vec_id", "score")))
+    order = F.array_sort(F.collect_list(F.struct((-F.col("units")).alias("r"), "vec_id", "score")))
     best = found.groupBy("query_id").agg(F.slice(order, 1, k).alias("best"))  # k of each shard
     ranked = best.select("query_id", F.posexplode("best").alias("i", "x"))
     return ranked.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")

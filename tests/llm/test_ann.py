@@ -32,6 +32,35 @@ def test_against_brute_force(spark):
     assert [v for _, v, _ in got[700]] == [699, 701, 702, 703, 704]
 
 
+def test_of_many_copies_the_smallest_ids(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2500, 16))
+    copies = rng.permutation(2500)[:1000]
+    x[copies[:500]] = x[copies[0]]  # equal
+    x[copies[500:]] = x[copies[500]] * rng.uniform(0.1, 9, 500)[:, None]  # equal to rounding
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for group in (copies[:500], copies[500:]):
+        asked = sorted(group.tolist())[::60]
+        got = {}
+        for r in ann.nearest(df, F.col("id").isin(asked)).collect():
+            got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+        for q in asked:
+            assert [got[q][i] for i in range(1, 6)] == [i for i in sorted(group.tolist()) if i != q][:5]
+
+
+def test_ties_are_cut_by_id():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 16))
+    x[:500] = x[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = rng.permutation(600)
+    points = x @ ann.projection(16)
+    tree = ann.Tree(points)
+    at, score = ann.search(tree, x[tree.order], ids[tree.order], points[tree.order], x[0], points[0], -1, 5, ann.chi_square_bound(0.97, 8))
+    assert ids[tree.order][at].tolist() == sorted(ids[:500].tolist())[:5]
+    assert np.allclose(score, 1)
+
+
 def test_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (50, [1e-200, 1e-200])], "vec_id long, embedding array<double>")
     got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in ann.nearest(df, F.col("id") % 50 == 0).collect())
