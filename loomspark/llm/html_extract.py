@@ -3,7 +3,8 @@
 A page becomes a sequence of text blocks, each with its path of tags (and classes) from the root. Text length and
 punctuation are summed per path and divided by the path's blocks; both ratios are fused, smoothed along the page
 and thresholded. The paths that pass mark the content; the smallest container that holds nearly all of their text is the
-article, and its blocks are the result, short ones too. Menus, headers, footers, sidebars, notices, adverts, forms,
+article, and its blocks are the result, short ones and those of links too. Where nothing encloses the content, blocks
+with links count only on these paths or as headings. Menus, headers, footers, sidebars, notices, adverts, forms,
 comments and the like are left out by element, role and class wherever they stand; scripts, styles and markup have
 no text.
 
@@ -225,7 +226,6 @@ def main_text(page: str | None, share: float = 0.9) -> str:
     inside = [b for b in blocks if top in _chain(b.element)]
     if top.tag in ("#", "html", "body"):  # nothing encloses the content: only its paths and headings count
         inside = [b for b in inside if b.element.path in passing or b.element.tag in ("h1", "h2", "h3") or not b.linked]
-    inside = [b for b in inside if b.element.path in passing or 2 * b.linked <= len(b.text)]
     return "\n".join(b.text for b in inside)
 
 

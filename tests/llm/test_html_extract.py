@@ -34,6 +34,21 @@ def test_markup(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main>", "<div id='story'>%s</div>"])
+def test_reference_lists_and_linked_headings_stay(around):
+    text = ("A sentence of the article, with words. " * 10).strip()
+    sources = [f"Source {i}" for i in range(20)]
+    body = "<h2><a href='/h'>Linked head</a></h2>" + f"<p>{text}</p>" * 5 + "<h2>Sources</h2><ul>" + "".join(f"<li><a href='/{s}'>{s}</a></li>" for s in sources) + "</ul>"
+    assert main_text(SITE % (around % body)) == "\n".join(["Linked head", *[text] * 5, "Sources", *sources])
+
+
+def test_linked_heading_where_nothing_encloses():
+    text = ("A sentence of the article, with words. " * 10).strip()
+    short = "".join(f"<h4>Part {i}</h4>" for i in range(9))
+    page = f"<body><h2><a href='/h'>Linked head</a></h2>{short}" + f"<p>{text}</p>" * 5 + "</body>"
+    assert main_text(page).startswith("Linked head\nPart 0")
+
+
 def test_long_and_broken_pages_end():
     assert main_text("<div>" * 3000 + "deep") == "deep"
     assert len(main_text("<article>" + "<p>word, here.</p>" * 20_000 + "</article>").split("\n")) == 20_000
