@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from loomspark.llm import exact_dedup, ngram_join, packing, secret_scan, toxicity
 from loomspark.llm.common import is_held_out, settle
 
-#: A document goes if its toxicity score is as high.
-REJECT_AT = 0.5
+#: A document goes if its toxicity score is as high: what op5 predicts toxic doesn't stay.
+REJECT_AT = toxicity.PREDICTED_AT
 #: Distinct words of a block of packing: fewer than by itself, as executors still hold memory of the stages before.
 BLOCK_WORDS = 80_000
 

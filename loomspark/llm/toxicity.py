@@ -39,6 +39,8 @@ TRAIN_ROWS, TOXIC_LANDMARKS, OTHER_LANDMARKS = 12_000, 128, 64
 LEAST_DOCUMENTS = 3
 #: Weight of a skipped character, the widest span of a subsequence, and the characters of a word looked at together.
 DECAY, SPAN, LONGEST = 0.6, 6, 24
+#: A text counts as toxic if its score is as high.
+PREDICTED_AT = 0.3
 #: Words whose decisions a task keeps.
 KEPT = 300_000
 
@@ -345,4 +347,4 @@ def op5_toxicity(spark, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     held = is_held_out("doc_id", 4, 2)
     scored = score_documents(docs, fit(docs, labels, "toxic", ~held))
-    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= PREDICTED_AT).cast("int").alias("predicted"))

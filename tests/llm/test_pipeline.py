@@ -3,6 +3,16 @@ import pytest
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 
+def test_what_is_predicted_toxic_goes(spark, tmp_path, monkeypatch):
+    from loomspark.llm import toxicity
+
+    spark.createDataFrame([(1, 1)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame([(1, "a text"), (2, "another")], "doc_id long, text string")
+    for score, left in ((0.29, 2), (0.3, 0), (0.45, 0)):
+        monkeypatch.setattr(toxicity, "fit", lambda *_, score=score: toxicity.Model(None, 0.0, score))
+        assert corpus_pipeline.toxicity_stage(spark, docs, str(tmp_path)).count() == left
+
+
 def test_stages(spark, tmp_path):
     from loomspark.llm import exact_dedup, secret_scan
 
