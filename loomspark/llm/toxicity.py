@@ -13,8 +13,11 @@ how many are positive) into its score.
 
 It is fitted on at most ``TRAIN_ROWS`` labelled documents; scoring reads every row once and shuffles nothing.
 
-Defined cases: null and empty texts have the lowest score; without labels of both classes, or without words that
-mark toxic sentences, every score is the share of label 1 (0 without any); rows that repeat and null ids each have
+Where no word marks toxic sentences beyond chance, as with few labels or insults that are each spelt differently, the most
+surprising words stand in for those that do, as far as they are like each other.
+
+Defined cases: null and empty texts have the lowest score; without labels of both classes, or without any word that is
+more frequent in toxic sentences, every score is the share of label 1 (0 without any); rows that repeat and null ids each have
 a result; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -35,7 +38,12 @@ from .common import give_back, is_held_out, labelled_sample, settle, slices, sma
 
 #: Labelled documents that the classifier learns from, at most; landmarks of toxic and of other words.
 TRAIN_ROWS, TOXIC_LANDMARKS, OTHER_LANDMARKS = 12_000, 128, 64
-#: Documents that a word has to be in to tell anything.
+#: Words that the machine is fitted on, at most: marking toxic sentences, usual in others, taken for toxic by mistake
+#: (a round); marking words among which varied landmarks are sought. Scoring looks at all words.
+SURE_WORDS, USUAL_WORDS, HARD_WORDS, VARIED_AMONG = 4000, 3000, 2000, 1500
+#: With fewer labelled documents kept apart only the largest decisions count, not how many there are.
+ENOUGH = 300
+#: Documents that a word has to be in to tell anything, where any word reaches the bound of chance.
 LEAST_DOCUMENTS = 3
 #: Weight of a skipped character, the widest span of a subsequence, and the characters of a word looked at together.
 DECAY, SPAN, LONGEST = 0.6, 6, 24
@@ -174,6 +182,20 @@ def _vocabulary(sample: DataFrame) -> DataFrame:
     return sample.mapInArrow(rows, "word string, y int").where("word <> ''").groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other"))
 
 
+def _alike(sure: pd.DataFrame, usual: pd.DataFrame) -> pd.DataFrame:
+    """The rows of ``sure`` whose words are more like each other than nearly all usual ones are, the most alike first."""
+    if not len(sure) or not len(usual):
+        return sure
+    weights = np.zeros(ALPHABET**3)
+    for words, sign in ((sure.word, 1), (usual.word, -1)):
+        found, weight, norm = subsequences(words.tolist())
+        weights += sign * np.bincount(found.reshape(-1), (weight / norm[:, None]).reshape(-1), ALPHABET**3) / len(words)
+    weights[0] = 0
+    least = np.quantile(_decide(usual.word.tolist(), weights), 0.95)
+    sure = sure.assign(like=_decide(sure.word.tolist(), weights)).sort_values(["like", "word"], ascending=[False, True])
+    return (sure[sure.like > least] if (sure.like > least).any() else sure).drop(columns="like").reset_index(drop=True)
+
+
 def _pivots(vectors: np.ndarray, most: int) -> list[int]:
     """Pivoted Cholesky: each next pivot is the word that those before it represent least."""
     left, basis, out = np.square(vectors).sum(1), np.zeros((len(vectors), 0)), []
@@ -223,13 +245,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
     # a word marks toxic texts if by chance not even one of all words would surprise as much
     n_words = vocabulary.where(both >= LEAST_DOCUMENTS).count()
     marks_toxic = f"toxic >= {LEAST_DOCUMENTS} AND surprise >= {float(np.log(max(n_words, 10)))} AND rt >= 2.5 * rn"
-    sure = vocabulary.where(marks_toxic).orderBy(F.desc("surprise"), "word").limit(4000).toPandas()
+    sure = vocabulary.where(marks_toxic).orderBy(F.desc("surprise"), "word").limit(SURE_WORDS).toPandas()
+    usual = vocabulary.where("rt < 1.5 * rn").orderBy(F.desc("other"), "word").limit(USUAL_WORDS).toPandas()
+    if not len(sure):  # few labels, or each spelling in few documents
+        marks_toxic = "rt >= 2.5 * rn"
+        sure = vocabulary.where(marks_toxic).orderBy(F.desc("surprise"), F.xxhash64("word"), "word").limit(SURE_WORDS).toPandas()
+        sure = _alike(sure, usual)
     if not len(sure):
         return none
-    usual = vocabulary.where("rt < 1.5 * rn").orderBy(F.desc("other"), "word").limit(3000).toPandas()
     rest = vocabulary.where(f"other > 0 AND NOT ({marks_toxic})")
 
-    marks = sure.word.head(1500).tolist()
+    marks = sure.word.head(VARIED_AMONG).tolist()
     varied = [marks[i] for i in _pivots(_dense(marks), TOXIC_LANDMARKS // 2)]
     landmarks = list(dict.fromkeys(marks[: TOXIC_LANDMARKS // 2] + varied)) + usual.word.head(OTHER_LANDMARKS).tolist()
     found, weight, norm = subsequences(landmarks)
@@ -276,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
                 for batch in batches:
                     yield batch.assign(d=model.decisions(batch.word.tolist()))
 
-            hard = rest.select(*columns).mapInPandas(rows, "word string, toxic long, other long, d double").where("d > -0.3").orderBy(F.desc("d"), "word").limit(2000).toPandas()
+            hard = rest.select(*columns).mapInPandas(rows, "word string, toxic long, other long, d double").where("d > -0.3").orderBy(F.desc("d"), "word").limit(HARD_WORDS).toPandas()
             words = pd.concat([words, hard[columns].assign(sure=False)]).drop_duplicates("word")
 
     held = _summaries_of(sample.where(apart), model).toPandas()  # a quarter of the bounded sample
@@ -286,10 +312,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
     return model
 
 
-#: With fewer labelled documents kept apart only the largest decisions count, not how many there are.
-ENOUGH = 300
-
-
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     """Weights of the columns of ``x`` and a constant, by damped Newton steps on standardised columns."""
     mean, std = x.mean(0), np.maximum(x.std(0), 1e-3)

@@ -67,6 +67,26 @@ def test_without_labels(spark, tables, module):
     assert module.score_documents(docs.limit(0), model).count() == 0
 
 
+def test_insults_each_spelt_differently(spark):
+    rng = random.Random(8)
+    docs, labels = [], []
+    for i in range(600):
+        text, toxic = words(rng, 40), int(i % 5 == 0)
+        if toxic:
+            bad = list("zwuckelkrompf")
+            for _ in range(3):
+                bad.insert(rng.randrange(1, len(bad)), rng.choice("qxyjv"))
+            text += f" {''.join(bad)} " + words(rng, 5)
+        docs.append((i, text))
+        labels.append((i, toxic))
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = is_held_out("doc_id", 4, 2)
+    got = toxicity.score_documents(docs, toxicity.fit(docs, labels, "toxic", ~held)).where(held).collect()
+    assert auc([(r.score, int(r.doc_id % 5 == 0)) for r in got]) >= 0.85
+    caught = [sum(r.score >= toxicity.PREDICTED_AT for r in got if (r.doc_id % 5 == 0) == y) / sum((r.doc_id % 5 == 0) == y for r in got) for y in (True, False)]
+    assert caught[0] >= 0.7 and caught[1] <= 0.25
+
+
 def test_drop_toxic_keeps_columns(spark, tables):
     docs, labels, truth = tables
     kept = toxicity.drop_toxic(docs, toxicity.fit(docs, labels, "toxic", F.lit(True)))
