@@ -5,7 +5,7 @@ lengths and hashes. Two rows of text with equal SHA-256 and equal length count a
 
 Defined cases: a null text is an empty one; empty texts are equal to each other; a null id takes part like any
 other and is larger than every id when the row that stays is chosen; rows that share an id count as often as
-they occur and get one result each; an empty table gives an empty result; other columns are ignored.
+they occur and get one result each (of those that also share their text ``drop_copies`` leaves one); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,12 +25,12 @@ def normalised(text: str | Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, keys: bool = False) -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, keep_id (the smallest id of its group), group_size, kept.
 
     With ``digest`` each row also has ``text_sha256`` of its normalised text: all texts are then hashed in the
     first pass. Without it only texts of surviving groups are read in full, in a second pass whose scan is
-    gated by a bit map of the surviving groups, of fixed size. With ``keys`` each row has its len and head too.
+    gated by a bit map of the surviving groups, of fixed size.
     """
     text = normalised(text_col)
     key = [F.length("t").alias("len"), F.xxhash64(F.substring("t", 1, PREFIX_CHARS)).alias("head")]
@@ -60,17 +60,27 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         F.col("id").eqNullSafe(keep).alias("kept"),
         *([F.col("sha").alias("text_sha256")] if digest else []),
-        *(["len", "head"] if keys else []),
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_groups(docs, id_col, text_col, keys=True).where("not kept").select(F.col(id_col).alias("_id"), F.col("len").alias("_len"), F.col("head").alias("_head"))
-    gone = settle(gone.distinct())
-    text = normalised(docs[text_col])
-    same = docs[id_col].eqNullSafe(gone["_id"]) & (F.length(text) == gone["_len"]) & (F.xxhash64(F.substring(text, 1, PREFIX_CHARS)) == gone["_head"])
-    return docs.join(gone, same, "left_anti")
+    """Of rows of equal texts one with the smallest id, with all its columns; of those that share this id too, any one.
+
+    Texts are exchanged only where the list of rows that go is too large to broadcast."""
+    found = exact_groups(docs, id_col, text_col, digest=True).where("group_size > 1").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
+    # what goes, and what stays of several rows that are alike
+    odd = settle(found.groupBy("_id", "_sha", "kept").agg(F.count("*").alias("n")).where("NOT kept OR n > 1"))
+    name = "_text_sha"
+    while name in docs.columns:
+        name += "_"
+    hashed = docs.withColumn(name, F.sha2(normalised(text_col), 256))
+    same = hashed[id_col].eqNullSafe(odd["_id"]) & (hashed[name] == odd["_sha"])
+    rest = hashed.join(odd, same, "left_anti")
+    if not odd.where("kept").isEmpty():
+        again = odd.where("kept").select("_id", F.col("_sha").alias("_same"))
+        alike = hashed.join(again, hashed[id_col].eqNullSafe(again["_id"]) & (hashed[name] == again["_same"]), "left_semi")
+        rest = rest.unionByName(alike.dropDuplicates([id_col, name]))
+    return rest.drop(name)
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -38,6 +38,14 @@ def test_drop_keeps_rows_and_columns(spark):
     assert {r.doc_id for r in got.collect()} == {i for i, _, _, kept, _ in brute(TEXTS) if kept}
 
 
+def test_drop_with_ids_that_repeat(spark):
+    same = "p" * (PREFIX_CHARS * 2)
+    rows = [(1, "twice"), (1, "twice"), (1, "twice "), (1, "twice\n"), (2, "twice"), (None, "no id"), (None, "no id"), (3, "own"), (5, same + "a"), (4, same + "a"), (5, same + "b"), (5, same + "b")]
+    got = drop_copies(spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, _text_sha string"))
+    assert got.columns == ["doc_id", "text", "_text_sha"]
+    assert sorted((r.doc_id or 0, r.text.strip()[:5] + r.text.strip()[-1]) for r in got.collect()) == [(0, "no idd"), (1, "twicee"), (1, "twicee"), (3, "ownn"), (4, "pppppa"), (5, "pppppb")]
+
+
 def test_long_equal_prefixes_differ(spark):
     same = "p" * (PREFIX_CHARS * 3)
     df = spark.createDataFrame([(1, same + "a"), (2, same + "b"), (3, same + "a")], "doc_id long, text string")
