@@ -90,13 +90,9 @@ def slices(batch: pa.RecordBatch, text: str, rows: int = SLICE_ROWS, chars: int
             start, total = i + 1, 0
 
 
-def member_gate(df: DataFrame, keys: DataFrame, on: list[str], bits: int = 23) -> DataFrame:
-    """``df`` less most rows whose ``on`` is not in ``keys``; false members may stay, true ones always do.
-
-    ``keys`` is folded into a bit map of 2**bits bits (1 MB at 23, whatever the size of ``keys``), which reaches
-    the scan as a scalar subquery, so that wide rows are dropped before they are shuffled. A full map only
-    stops saving work: an exact join has to follow.
-    """
+def _gate(df: DataFrame, keys: DataFrame, on: list[str], bits: int) -> Column:
+    """Whether the bit of ``on`` is set in a bit map of 2**bits bits (1 MB at 23, whatever the size of ``keys``), which
+    reaches the scan as a scalar subquery."""
     words = (1 << bits) // 64
     spot = F.pmod(F.xxhash64(*on), F.lit(1 << bits))
     word, bit = F.shiftright(spot, 6).cast("int"), F.pmod(spot, F.lit(64)).cast("int")
@@ -107,7 +103,29 @@ def member_gate(df: DataFrame, keys: DataFrame, on: list[str], bits: int = 23) -
         .agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0).cast("long")).alias("b")))).alias("all"))
         .select(F.transform("all", lambda x: x["b"]).alias("gate"))
     )
-    return df.where(F.getbit(F.element_at(dense.scalar(), word + 1), bit) == 1)
+    return F.getbit(F.element_at(dense.scalar(), word + 1), bit) == 1
+
+
+def member_gate(df: DataFrame, keys: DataFrame, on: list[str], bits: int = 23) -> DataFrame:
+    """``df`` less most rows whose ``on`` is not in ``keys``; false members may stay, true ones always do.
+
+    Wide rows are dropped before they are shuffled. A full map only stops saving work: an exact join has to follow.
+    """
+    return df.where(_gate(df, keys, on, bits))
+
+
+def without(df: DataFrame, keys: DataFrame, on: list[str], made: dict[str, Column] | None = None, bits: int = 24) -> DataFrame:
+    """``df`` less the rows whose ``on`` is in ``keys`` (nulls are equal to each other). Only rows whose bit is set in a
+    map of ``keys`` take part in the join, so that texts of the others are not exchanged. Columns of ``on`` that ``df`` doesn't
+    have are ``made`` for these rows only."""
+    made = made or {}
+    passes = _gate(df, keys, [c for c in on if c not in made], bits)
+    listed = keys.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(on)))
+    some = df.where(passes).withColumns(made) if made else df.where(passes)
+    same = F.lit(True)
+    for i, c in enumerate(on):
+        same = same & some[c].eqNullSafe(listed[f"_{i}"])
+    return df.where(~passes).unionByName(some.join(listed, same, "left_anti").select(*df.columns))
 
 
 def stars(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 40) -> DataFrame:

@@ -58,6 +58,56 @@ def test_blocks_of_long_lists(spark, monkeypatch):
     assert got == brute(rows, 4, 85)
 
 
+def test_small_blocks_of_texts_and_hashes_that_many_hold(spark, monkeypatch):
+    monkeypatch.setattr(N, "TEXT_BLOCK", 3000)
+    monkeypatch.setattr(N, "BUCKET", 500)
+    monkeypatch.setattr(N, "OFTEN", 4)
+    monkeypatch.setattr(N, "FEW_SETS", 10)
+    rows = corpus(4, 120)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), words=5, percent=80).collect()}
+    assert got == brute(rows, 5, 80)
+
+
+def test_groups_about_the_threshold(spark, monkeypatch):
+    """Groups whose members are 79, 80 and 81 % alike: all links are found, and no more of them leave the tiles than sets came."""
+    rng, rows = random.Random(5), []
+    for group, share in enumerate((79, 80, 81)):
+        own = (100 - share) * 200 // (100 + share)  # distinct words at the end of each
+        for i in range(60):
+            rows.append((group * 100 + i, " ".join([f"g{group}w{k}" for k in range(200 - own + rng.randint(-6, 6))] + [f"o{group}i{i}k{k}" for k in range(own)])))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_components(spark.createDataFrame(rows, "doc_id long, text string"), words=5, percent=80).collect()}
+    want = brute(rows, 5, 80)
+    assert got == want
+    assert 3 < len({c for _, c in want.values()}) < 180
+
+
+def test_a_tile_gives_fewer_links_than_sets():
+    import pyarrow as pa
+
+    n, m = 40, 30
+    common = np.arange(1, 200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(np.concatenate([common, rng.integers(1 << 40, 1 << 62, k % 2 * n).astype(np.uint64)])) for k in range(m)]
+    data = {"tok": [9] * m, "low": [0] * m, "i": [0] * m, "kind": [0] * m, "j": [0] * m, "side": [0] * m, "id": list(range(m)), "n": [len(s) for s in sets], "comp": list(range(m)), "sig": [N.signature(s, 512) for s in sets], "hashes": [s.tobytes() for s in sets], "toks": [[9, 11]] * m}
+    batch = pa.table(data).to_batches()
+    links = [r for b in N._link_rows(80)(iter(batch)) for r in b.to_pylist()]
+    assert 0 < len(links) < m
+    data["toks"] = [[5, 9]] * m  # all pairs belong to an earlier list
+    assert not [r for b in N._link_rows(80)(iter(pa.table(data).to_batches())) for r in b.to_pylist()]
+
+
+def test_text_ids_repeated_ids_and_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [("b", text), ("b", text), ("a", "else " * 30), ("a", text + " end"), ("c", ""), ("c", None), ("d", text)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in N.near_components(df).collect())
+    assert got == [("a", 1, "a"), ("a", 97, "a"), ("b", 96, "a"), ("b", 96, "a"), ("c", 0, "c"), ("c", 0, "c"), ("d", 96, "a")]
+    left = sorted((r.doc_id, r.text or "") for r in N.drop_near_copies(df).collect())
+    assert left == [("a", "else " * 30), ("a", text + " end"), ("c", ""), ("c", "")]
+    twice = df.where("doc_id = 'b'")
+    assert [(r.doc_id, r.text) for r in N.drop_near_copies(twice).collect()] == [("b", text)]
+
+
 def test_signature_never_loses_a_link():
     rng = np.random.default_rng(0)
     for n in (1, 5, 60, 700):
