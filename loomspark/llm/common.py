@@ -90,6 +90,18 @@ def slices(batch: pa.RecordBatch, text: str, rows: int = SLICE_ROWS, chars: int
             start, total = i + 1, 0
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def _gate(df: DataFrame, keys: DataFrame, on: list[str], bits: int) -> Column:
     """Whether the bit of ``on`` is set in a bit map of 2**bits bits (1 MB at 23, whatever the size of ``keys``), which
     reaches the scan as a scalar subquery."""
