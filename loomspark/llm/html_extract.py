@@ -1,23 +1,28 @@
 """HTML extraction by tag-path ratios.
 
-A page becomes a sequence of text blocks, each with its path of tags (and classes) from the root. Text length and
-punctuation are summed per path and divided by the path's blocks; both ratios are fused, smoothed along the page
-and thresholded. The paths that pass mark the content; the smallest container that holds nearly all of their text is the
-article, and its blocks are the result, short ones and those of links too. Where nothing encloses the content, blocks
-with links count only on these paths or as headings. Menus, headers, footers, sidebars, notices, adverts, forms,
-comments and the like are left out by element, role and class wherever they stand; scripts, styles and markup have
-no text.
+A page becomes a sequence of text blocks, each with its path of tags from the root; elements that hold others count with
+their classes. Text length outside links and punctuation are summed per path and divided by the path's blocks. Both ratios
+are fused, smoothed along the page, fused with the smoothed ones, and paths that reach a quarter of the page's typical ratio
+mark the content. From them follows the container: the smallest element that most of their text is in and outside of which no path of the
+same tags has a like ratio, or the article element (or main) that holds a good part of their text.
+
+Inside an article element everything stays, short blocks and those of links too. Any other container may hold more than the
+article: there, parts in which no path passes go, and so do lists of links before the first and, in the body, after the last
+passing block. Elements that can't be part of an article (menus, footers, sidebars, controls, what is hidden, forms that don't
+frame the page) have no text here. Class and id words are a prior: they divide a path's ratio by five, and inside the container
+they take out an element unless it holds all of the content.
+
+Paths are numbers and every step is linear in the page, however deep its elements nest.
 
 Defined cases: null and empty html give an empty text; a page without any block too; markup that never ends is read to
-the end of the page; rows that repeat and null ids each have a result; an empty table gives an empty result; other
-columns are ignored.
+the end of the page; equal ratios all pass or all fail; rows that repeat and null ids each have a result; an empty table
+gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,46 +44,67 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: Elements that never are part of an article.
 ASIDE = frozenset("nav footer aside button select option menu dialog datalist head".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar status".split())
+#: Words that speak against any element that has them as a class or id, and those that do against elements that hold others.
+ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion".split())
 ASIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices outbrain pager pagination popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar warning widget widgets".split()
+    "banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices outbrain pager pagination popup recommended related replies reply respond share sharing sidebar signup skip social subscribe taboola toolbar warning widget widgets".split()
 )
+#: Words that speak against an element only outside the container: an article has a header too.
+OUTSIDE_WORDS = frozenset("header head top".split())
 #: Beside these a word tells what stands next to the element, not what it is ("with-sidebar").
 BESIDE = frozenset("with has no without".split())
-#: A form this long, of more than half the page's text, is the frame of a page, not a form on it.
-FRAME_CHARS = 400
+#: What such words divide a path's ratio by; the share of the typical ratio from which a path passes; the share of text up to which
+#: passing text outside an element doesn't keep the container from being that element; and the share of the typical ratio from
+#: which it does so where its tags are those of most content.
+AGAINST, PASS, LITTLE, WEAK = 5, 0.25, 0.5, 0.5
+#: The share of a page's text from which an article element with a heading is the container, be its paths what they may.
+NAMED = 0.1
 #: An open element ends before another of its kind.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 FENCES = frozenset("ul ol dl table body html article main section div".split())
 CLOSE_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-#: Blocks inside which no smaller article is sought.
-LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody thead pre blockquote figcaption caption summary address ul ol dl table".split())
+#: Elements that hold running text: their classes don't count, and no smaller container is sought in them.
+TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption summary address".split())
+FLOW = TEXTS | frozenset("tr tbody thead ul ol dl table figure details hr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "aside", "form", "article", "link")
-
-    def __init__(self, tag: str, attrs: str, parent: "_Element | None"):
-        self.tag, self.parent = tag, parent
-        self.aside = parent.aside if parent else False
-        self.form = tag == "form" or bool(parent and parent.form)
-        self.article = (parent.article if parent else None) or (self if tag in ("article", "main") else None)
+    __slots__ = ("tag", "path", "kind", "parent", "number", "block", "out", "head", "form", "article", "link", "against")
+
+    def __init__(self, tag: str, attrs: str, parent: "_Element | None", number: int, paths: dict):
+        self.tag, self.parent, self.number = tag, parent, number
+        self.block = parent.block if parent and tag in INLINE else self
+        self.out = bool(parent and parent.out) or tag in ASIDE
+        self.head = bool(parent and parent.head)
+        self.form = (parent.form if parent else None) or (self if tag == "form" else None)
+        above = parent.article if parent else None
+        self.article = above or (self if tag in ("article", "main") else None)
         self.link = tag == "a" or bool(parent and parent.link)
+        self.against = False
         mark = ""
-        if tag in ASIDE or tag == "header" and not self.article:
-            self.aside = True
+        if tag == "header" and not above:
+            self.head = True
         if "=" in attrs or "hidden" in attrs:
             values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
-            mark = values.get("class", "").strip().lower()
-            words = re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", f"{values.get('class', '')} {values.get('id', '')}").lower())
-            if tag not in ("html", "body", "article", "main", "a") and not ASIDE_WORDS.isdisjoint(words) and BESIDE.isdisjoint(words):
-                self.aside = True
+            named = f"{values.get('class', '')} {values.get('id', '')}"
+            words = re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", named).lower())
+            frame = tag in ("html", "body", "main") or tag == "article" and not above
+            if not frame and tag not in INLINE and BESIDE.isdisjoint(words):
+                self.against = not ADVERT_WORDS.isdisjoint(words) or tag not in TEXTS - {"li"} and not ASIDE_WORDS.isdisjoint(words)
+                if not above and tag not in TEXTS and not OUTSIDE_WORDS.isdisjoint(words):
+                    self.head = True
             style = values.get("style", "").replace(" ", "").lower()
             if values.get("role", "").lower() in ASIDE_ROLES or "display:none" in style or values.get("aria-hidden", "").lower() == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", _ATTR.sub(" ", attrs)):
-                self.aside = True
+                self.out = True
             if values.get("role", "").lower() == "main" and not self.article:
                 self.article = self
-        name = f"{tag}.{mark}" if mark else tag
-        self.path = f"{parent.path}/{name}" if parent else name
+            if tag not in TEXTS:
+                mark = values.get("class", "").strip().lower()
+        step = (parent.path if parent else -1, tag, mark)
+        self.path = paths.setdefault(step, len(paths))
+        step = (parent.kind if parent else -1, tag)
+        self.kind = paths.setdefault(step, len(paths))
 
 
 class Block:
@@ -90,9 +116,10 @@ class Block:
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, each with the innermost block element around it."""
-    root = _Element("#", "", None)
+    paths: dict[tuple, int] = {}
+    root = _Element("#", "", None, 0, paths)
     stack, out, held = [root], [], []
-    holder = [root]
+    holder, made, open_tags = [root], [1], {}
 
     def flush() -> None:
         if held:
@@ -104,15 +131,14 @@ def blocks_of(page: str) -> list[Block]:
     def say(raw: str) -> None:
         if raw:
             if not held:
-                at = stack[-1]
-                while at.tag in INLINE and at.parent:
-                    at = at.parent
-                holder[0] = at
+                holder[0] = stack[-1].block
             held.append((html.unescape(raw) if "&" in raw else raw, stack[-1].link))
 
     def close_to(depth: int) -> None:
         if any(e.tag not in INLINE for e in stack[depth:]):
             flush()
+        for e in stack[depth:]:
+            open_tags[e.tag] -= 1
         del stack[depth:]
 
     at, size = 0, len(page)
@@ -132,7 +158,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if open_tags.get(tag) else ():
                 if stack[depth].tag == tag:
                     close_to(depth)
                     break
@@ -150,7 +176,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "br":
             say(" ")
             continue
-        if tag in CLOSE_P:
+        if tag in CLOSE_P and open_tags.get("p"):
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
                     close_to(depth)
@@ -168,65 +194,177 @@ def blocks_of(page: str) -> list[Block]:
         if tag not in INLINE:
             flush()
         if tag not in VOID and not m[3].endswith("/"):
-            stack.append(_Element(tag, m[3], stack[-1]))
+            stack.append(_Element(tag, m[3], stack[-1], made[0], paths))
+            made[0] += 1
+            open_tags[tag] = open_tags.get(tag, 0) + 1
     flush()
     return out
 
 
-def score(blocks: list[Block], width: int = 2) -> float:
-    """Gives each block the smoothed fused ratio of its path; returns the threshold."""
-    chars, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
+def ratios(blocks: list[Block], against: set[int], width: int = 2) -> list[float]:
+    """The ratio of each block's path: text and punctuation per block of the path, smoothed along the page and fused with
+    itself unsmoothed, so that a path owes its ratio to its own blocks as much as to those around them."""
+    chars: dict[int, float] = {}
+    marks: dict[int, int] = {}
+    count: dict[int, int] = {}
     for b in blocks:
         path = b.element.path
-        chars[path] += max(0, len(b.text) - b.linked)
-        marks[path] += len(_MARKS.findall(b.text))
-        count[path] += 1
-    fused = [(chars[p] / count[p]) * (0.5 + marks[p] / count[p]) ** 0.5 for p in (b.element.path for b in blocks)]
+        chars[path] = chars.get(path, 0) + max(0, len(b.text) - b.linked)
+        marks[path] = marks.get(path, 0) + len(_MARKS.findall(b.text))
+        count[path] = count.get(path, 0) + 1
+    fused = {p: (chars[p] / count[p]) * (0.5 + marks[p] / count[p]) ** 0.5 / (AGAINST if p in against else 1) for p in count}
+    line = [fused[b.element.path] for b in blocks]
     weights = [0.5 ** abs(k) for k in range(-width, width + 1)]
+    smooth = dict.fromkeys(count, 0.0)
     for i, b in enumerate(blocks):
-        near = [(fused[i + k], weights[k + width]) for k in range(-width, width + 1) if 0 <= i + k < len(blocks)]
-        b.score = sum(v * w for v, w in near) / sum(w for _, w in near)
-    n = len(blocks)
-    mean = sum(fused) / n
-    return min(mean, (sum((v - mean) ** 2 for v in fused) / n) ** 0.5 * 0.8)
+        near = [(line[i + k], weights[k + width]) for k in range(-width, width + 1) if 0 <= i + k < len(blocks)]
+        smooth[b.element.path] += sum(v * w for v, w in near) / sum(w for _, w in near)
+    final = {p: (fused[p] * smooth[p] / count[p]) ** 0.5 for p in count}
+    return [final[b.element.path] for b in blocks]
 
 
-def _chain(element: _Element) -> list[_Element]:
-    out = []
-    while element:
-        out.append(element)
-        element = element.parent
-    return out[::-1]
+def _elements(blocks: list[Block]) -> list[_Element]:
+    """The elements around the blocks, parents before children."""
+    seen: dict[int, _Element] = {}
+    for b in blocks:
+        e = b.element
+        while e and e.number not in seen:
+            seen[e.number] = e
+            e = e.parent
+    return [seen[k] for k in sorted(seen)]
+
+
+def _sums(elements: list[_Element], own: dict[int, float]) -> dict[int, float]:
+    """Of each element the sum over itself and all below."""
+    out = {e.number: own.get(e.number, 0) for e in elements}
+    for e in reversed(elements):
+        if e.parent:
+            out[e.parent.number] += out[e.number]
+    return out
+
+
+def _lengths(blocks: list[Block]) -> dict[int, float]:
+    out: dict[int, float] = {}
+    for b in blocks:
+        out[b.element.number] = out.get(b.element.number, 0) + len(b.text)
+    return out
+
+
+def _below(elements: list[_Element], marked: set[int]) -> set[int]:
+    """The elements that are marked or stand in a marked one."""
+    out: set[int] = set()
+    for e in elements:
+        if e.number in marked or e.parent and e.parent.number in out:
+            out.add(e.number)
+    return out
+
+
+def _without_forms(blocks: list[Block]) -> list[Block]:
+    """Forms go, but for one that frames the page: most of the page's text is in it, and most of that in running text."""
+    total = sum(len(b.text) for b in blocks)
+    inside: dict[int, int] = {}
+    running: dict[int, int] = {}
+    for b in blocks:
+        if b.element.form:
+            n = b.element.form.number
+            inside[n] = inside.get(n, 0) + len(b.text)
+            running[n] = running.get(n, 0) + (len(b.text) if b.element.tag in TEXTS else 0)
+    frames = {n for n in inside if 2 * inside[n] > total and 2 * running[n] > inside[n]}
+    return [b for b in blocks if not b.element.form or b.element.form.number in frames and b.element.tag not in ("form", "label", "fieldset", "legend")]
+
+
+def _container(elements: list[_Element], blocks: list[Block], passing: list[bool], typical: float) -> _Element:
+    """The smallest element that holds the content, by the paths that pass."""
+    own: dict[int, float] = {}
+    articles: dict[int, float] = {}
+    kinds: dict[int, float] = {}
+    for b, ok in zip(blocks, passing, strict=True):
+        if ok and not b.element.head:
+            own[b.element.number] = own.get(b.element.number, 0) + len(b.text)
+            kinds[b.element.kind] = kinds.get(b.element.kind, 0) + len(b.text)
+            if b.element.article:
+                articles[b.element.article.number] = articles.get(b.element.article.number, 0) + len(b.text)
+    weight = _sums(elements, own)
+    top = elements[0]
+    total = weight[top.number]
+    texts = _sums(elements, _lengths(blocks))
+    headed = {b.element.article.number for b in blocks if b.element.article and b.element.tag in HEADINGS}
+    named = [e for e in elements if e.article is e and (2 * articles.get(e.number, 0) > total or e.number in headed and texts[e.number] >= NAMED * texts[top.number])]
+    if named:
+        return max(named, key=lambda e: (articles.get(e.number, 0), texts[e.number], -e.number))
+    main = max(kinds, key=lambda n: (kinds[n], -n), default=-1)
+    direct = {e.number: 0.0 for e in elements}  # the largest ratio among blocks of the tags of most content
+    for b, ok in zip(blocks, passing, strict=True):
+        if ok and b.element.kind == main:
+            direct[b.element.number] = max(direct[b.element.number], b.score)
+    best = dict(direct)
+    children: dict[int, list[_Element]] = {}
+    for e in reversed(elements):
+        if e.parent:
+            best[e.parent.number] = max(best[e.parent.number], best[e.number])
+            children.setdefault(e.parent.number, []).append(e)
+    while some := [e for e in children.get(top.number, ()) if weight[e.number]]:
+        inner = max(some, key=lambda e: (weight[e.number], -e.number))
+        strongest = max([direct[top.number], *(best[e.number] for e in some if e is not inner)])
+        if inner.tag in FLOW or inner.tag in INLINE or total - weight[inner.number] > LITTLE * total or strongest >= WEAK * typical:
+            break
+        top = inner
+    return top
 
 
-def main_text(page: str | None, share: float = 0.9) -> str:
+def main_text(page: str | None) -> str:
     """The text of the article of a page, its blocks joined by new lines."""
-    blocks = [b for b in blocks_of(page or "") if not b.element.aside]
-    in_forms = sum(len(b.text) for b in blocks if b.element.form)
-    if in_forms < FRAME_CHARS or 2 * in_forms <= sum(len(b.text) for b in blocks):
-        blocks = [b for b in blocks if not b.element.form]
+    blocks = _without_forms([b for b in blocks_of(page or "") if not b.element.out])
     if not blocks:
         return ""
-    least = score(blocks)
-    passing = {b.element.path for b in blocks if b.score >= least}
-    weight: dict[_Element, int] = defaultdict(int)
-    below: dict[_Element, set] = defaultdict(set)
-    for b in blocks:
-        if b.element.path in passing:
-            chain = _chain(b.element)
-            for i, e in enumerate(chain):
-                weight[e] += len(b.text)
-                if i:
-                    below[chain[i - 1]].add(e)
-    top = _chain(blocks[0].element)[0]
-    total = weight[top]
-    while more := [e for e in below[top] if weight[e] >= share * total and e.tag not in LEAVES and e.tag not in INLINE]:
-        top = more[0]
-    top = top.article or top
-    inside = [b for b in blocks if top in _chain(b.element)]
-    if top.tag in ("#", "html", "body"):  # nothing encloses the content: only its paths and headings count
-        inside = [b for b in inside if b.element.path in passing or b.element.tag in ("h1", "h2", "h3") or not b.linked]
-    return "\n".join(b.text for b in inside)
+    elements = _elements(blocks)
+    # an element that nearly all running text is in is no aside, whatever it is called
+    running = _sums(elements, _lengths([b for b in blocks if b.element.tag in TEXTS]))
+    frame = lambda e: running[e.number] > (1 - NAMED) * running[elements[0].number]
+    against = _below(elements, {e.number for e in elements if e.against and not frame(e)})
+    for b, v in zip(blocks, ratios(blocks, {e.path for e in elements if e.number in against}), strict=True):
+        b.score = v
+    typical = sum(b.score * len(b.text) for b in blocks) / sum(len(b.text) for b in blocks)
+    passing = [b.score >= PASS * typical and 2 * b.linked <= len(b.text) for b in blocks]
+    passed = {b.element.path for b, ok in zip(blocks, passing, strict=True) if ok}
+    top = _container(elements, blocks, passing, typical)
+
+    inside = _below(elements, {top.number})
+    content = _sums(elements, _lengths([b for b in blocks if b.element.number in inside and b.element.path in passed]))
+    # of what is left, an element without which there is no content is none either
+    aside = _below(elements, {e.number for e in elements if e is not top and e.number in inside and e.against and content[e.number] < max(1, content[top.number])})
+    kept = [b for b in blocks if b.element.number in inside and b.element.number not in aside]
+    if top is not top.article:
+        kept = _of_container(kept, elements, top, content, passed)
+    return "\n".join(b.text for b in kept)
+
+
+def _of_container(blocks: list[Block], elements: list[_Element], top: _Element, content: dict[int, float], passed: set[int]) -> list[Block]:
+    """The blocks of a container that may hold more than the article."""
+    body = top.tag in ("#", "html", "body")
+    child: dict[int, _Element] = {}  # the child of ``top`` that an element stands in
+    for e in elements:
+        if e.parent is top:
+            child[e.number] = e
+        elif e.parent and e.parent.number in child:
+            child[e.number] = child[e.parent.number]
+    places = [i for i, b in enumerate(blocks) if b.element.path in passed and not (body and b.element.head)]
+    first, last = (places[0], places[-1]) if places else (len(blocks), -1)
+    while first and blocks[first - 1].element.tag in HEADINGS:
+        first -= 1
+    out = []
+    for i, b in enumerate(blocks):
+        if body and b.element.head:
+            continue
+        part = child.get(b.element.number, top)
+        links = 2 * b.linked > len(b.text)
+        if b.element.path in passed or b.element.tag in HEADINGS and first <= i:
+            out.append(b)
+        elif links and (i < first or body and i > last):
+            continue
+        elif part is top or part.tag in FLOW or content[part.number]:
+            out.append(b)
+    return out
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

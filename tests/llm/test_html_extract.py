@@ -1,6 +1,12 @@
+import math
+import random
+import re
+import tracemalloc
+
 import pytest
 
-from loomspark.llm.html_extract import extract_pages, main_text
+from loomspark.llm import html_extract
+from loomspark.llm.html_extract import blocks_of, extract_pages, main_text, ratios
 
 SITE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav><div class="ad">Buy now, it is cheap.</div>
@@ -49,10 +55,96 @@ def test_linked_heading_where_nothing_encloses():
     assert main_text(page).startswith("Linked head\nPart 0")
 
 
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        ("<header class='entry-header'><h1>Head</h1></header>{0}", "Head\n{0}"),
+        ("<div class='article-header'><h1>Head</h1></div>{0}<p class='warning'>Mind this, please.</p>", "Head\n{0}\nMind this, please."),
+        ("<h1>Head</h1>{0}<div class='ad'>Buy it, now.</div>{0}<p class='advert'>And this, too.</p>", "Head\n{0}\n{0}"),
+        ("<h1>Head</h1>{0}<section id='comments'><article class='comment'>{0}</article></section>", "Head\n{0}"),
+        ("<div class='widget'><h1>Head</h1>{0}{0}</div>", "Head\n{0}\n{0}"),  # holds the content
+    ],
+)
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main><article>%s</article></main>", "<div role='main'>%s</div>"])
+def test_words_of_classes_are_a_prior(body, want, around):
+    text = "\n".join(["A sentence of the article, with words. And another one, of more words."] * 4)
+    html = "".join(f"<p>{x}</p>" for x in text.split("\n"))
+    assert main_text(SITE % (around % body.format(html))) == want.format(text)
+
+
+def random_names(page, rng):
+    """Without elements that tell what they are, and with classes that tell nothing."""
+    for tag in ("article", "nav", "footer", "aside", "header", "main"):
+        page = re.sub(rf"<{tag}\b[^>]*>", "<div>", page).replace(f"</{tag}>", "</div>")
+    page = re.sub(r" class=(?:'[^']*'|\"[^\"]*\")", "", page)
+    return re.sub("<div", lambda _: f"<div class='{''.join(rng.choices('bcdfghjk', k=7))}'", page)
+
+
+def paragraphs(n, rng):
+    return [" ".join(rng.choices(["word", "more,", "text", "longer.", "a", "of"], k=rng.randint(20, 60))) for _ in range(n)]
+
+
+def test_paths_decide_without_names():
+    rng = random.Random(3)
+    for _ in range(30):
+        text = paragraphs(rng.randint(4, 12), rng)
+        article = "<article><h1>A head line</h1>" + "".join(f"<p>{x}</p>" for x in text) + "</article>"
+        teasers = "<aside>" + "".join(f"<div><p>Teaser number {i} of it</p></div>" for i in range(6)) + "</aside>"
+        page = random_names(SITE % (article + teasers), rng)
+        assert main_text(page) == "\n".join(["A head line", *text])
+
+
+def test_paths_change_the_result(monkeypatch):
+    """Where nothing names the article, constant ratios take in what the paths leave out."""
+    rng = random.Random(5)
+    text = paragraphs(6, rng)
+    teasers = "".join(f"<div class='t{i % 2}'><p>Teaser {i} of it</p><p>by a person</p></div>" for i in range(8))
+    page = "<body>" + "<div class='q'>" + "".join(f"<p>{x}</p>" for x in text) + "</div>" + teasers + "</body>"
+    assert main_text(page) == "\n".join(text)
+    monkeypatch.setattr(html_extract, "ratios", lambda blocks, against, width=2: [1.0] * len(blocks))
+    assert main_text(page) != "\n".join(text)
+
+
+def test_article_in_two_siblings():
+    rng = random.Random(7)
+    text = paragraphs(10, rng)
+    page = "<body><div class='one'>" + "".join(f"<p>{x}</p>" for x in text[:9]) + f"</div><div class='two'><p>{text[9]}</p></div></body>"
+    assert main_text(page) == "\n".join(text)
+
+
+def test_ratios_against_a_plain_reading():
+    rng = random.Random(9)
+    page = "<body>" + "".join(f"<div class='{rng.choice('xyz')}'><p>{p}</p><a href='/'>link, text</a> rest.</div>" for p in paragraphs(12, rng)) + "</body>"
+    blocks = blocks_of(page)
+    paths = []
+    for b in blocks:
+        e, path = b.element, []
+        while e:
+            path.append(e.path)
+            e = e.parent
+        paths.append(tuple(path))
+    by = {p: [b for b, q in zip(blocks, paths, strict=True) if p == q] for p in set(paths)}
+    plain = {p: sum(len(b.text) - b.linked for b in bs) / len(bs) * math.sqrt(0.5 + sum(len(re.findall("[.,;:!?]", b.text)) for b in bs) / len(bs)) for p, bs in by.items()}
+    smooth = {}
+    for i, p in enumerate(paths):
+        near = [(plain[paths[j]], 0.5 ** abs(i - j)) for j in range(max(0, i - 2), min(len(paths), i + 3))]
+        smooth.setdefault(p, []).append(sum(v * w for v, w in near) / sum(w for _, w in near))
+    want = [math.sqrt(plain[p] * sum(smooth[p]) / len(smooth[p])) for p in paths]
+    assert ratios(blocks, set()) == pytest.approx(want)
+
+
 def test_long_and_broken_pages_end():
     assert main_text("<div>" * 3000 + "deep") == "deep"
     assert len(main_text("<article>" + "<p>word, here.</p>" * 20_000 + "</article>").split("\n")) == 20_000
     main_text('<a "' * 3000)
+    assert main_text("<div>x</b></section></li>" * 20_000).count("x") == 20_000
+
+
+def test_memory_is_linear_in_the_depth():
+    tracemalloc.start()
+    assert main_text("<div class='abcdef'>" * 50_000 + "<p>deep, text.") == "deep, text."
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
 
 
 def test_rows(spark):
