@@ -48,19 +48,64 @@ def test_of_many_copies_the_smallest_ids(spark):
             assert [got[q][i] for i in range(1, 6)] == [i for i in sorted(group.tolist()) if i != q][:5]
 
 
+def found_in(x, ids, asked, k=5, sure=ann.SURE, kth=-math.inf):
+    """What ``search`` finds in one tree over the rows of x."""
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    points = x @ ann.projection(x.shape[1])
+    tree = ann.Tree(points)
+    got = ann.search(tree, x[tree.order], ids[tree.order], points[tree.order], x[asked], points[asked], ids[asked], np.full(len(asked), kth), k, ann.chi_square_bound(sure, points.shape[1]))
+    return {q: (ids[tree.order][at].tolist(), score, many) for q, at, score, many in got}
+
+
 def test_ties_are_cut_by_id():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 16))
     x[:500] = x[0]
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
     ids = rng.permutation(600)
-    points = x @ ann.projection(16)
-    tree = ann.Tree(points)
-    at, score = ann.search(tree, x[tree.order], ids[tree.order], points[tree.order], x[0], points[0], -1, 5, ann.chi_square_bound(0.97, 8))
-    assert ids[tree.order][at].tolist() == sorted(ids[:500].tolist())[:5]
+    at, score, _ = found_in(x, ids, np.array([0]))[0]
+    assert at == [i for i in sorted(ids[:500].tolist()) if i != ids[0]][:5]
     assert np.allclose(score, 1)
 
 
+def test_fewer_are_verified_the_more_there_are():
+    """Directions without any structure, where nothing but the stopping test can prune."""
+    shares = []
+    for n in (2_000, 8_000, 32_000):
+        x = np.random.default_rng(n).normal(size=(n, 64))
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        asked = np.arange(0, n, n // 100)
+        got = found_in(x, np.arange(n), asked)
+        hits = 0
+        for q, a in enumerate(asked):
+            s = u @ u[a]
+            s[a] = -9
+            hits += len(set(np.argsort(-s)[:5].tolist()) & set(got[q][0]))
+        shares.append(np.mean([got[q][2] for q in got]) / n)
+        print(f"{n} vectors: {shares[-1]:.3f} verified, recall {hits / 5 / len(asked):.3f}")
+        assert hits / 5 / len(asked) >= 0.9
+    assert shares[0] < 0.4 and shares == sorted(shares, reverse=True) and shares[2] < 0.7 * shares[0]
+
+
+def test_clusters_are_pruned_by_boxes():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 32))
+    x = centres[np.arange(8000) % 40] + 0.05 * rng.normal(size=(8000, 32))
+    assert max(many for _, _, many in found_in(x, np.arange(8000), np.arange(0, 8000, 200)).values()) <= 200
+    # what is known from elsewhere is a bound too
+    assert not found_in(-x, np.arange(8000), np.array([3]), kth=1.0)[0][2] > 84
+
+
+def test_widths_do_not_mix(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(1000 + i, rng.normal(size=5).tolist()) for i in range(60)] + [(2000, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, F.col("id") % 50 == 0, shard=50).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert sorted(got) == [*range(0, 300, 50), 1000, 1050]
+    assert all(len(v) == 5 and {x // 1000 for x in v} == {q // 1000} for q, v in got.items())
+
+
 def test_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (50, [1e-200, 1e-200])], "vec_id long, embedding array<double>")
     got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in ann.nearest(df, F.col("id") % 50 == 0).collect())
@@ -73,10 +118,13 @@ def test_chi_square():
     assert abs(ann.chi_square_bound(0.95, 8) - 15.507) < 1e-3
 
 
-def test_tree_gives_leaves_in_order():
+def test_tree_and_splits_hold_every_point():
     points = np.random.default_rng(1).normal(size=(900, 8))
     tree = ann.Tree(points, 32)
-    assert sorted(tree.order.tolist()) == list(range(900))
-    leaves = list(tree.leaves(points[3]))
-    assert [d for d, _, _ in leaves] == sorted(d for d, _, _ in leaves)
-    assert sorted(i for _, a, b in leaves for i in range(a, b)) == list(range(900))
+    assert sorted(tree.order.tolist()) == list(range(900)) and tree.spans[:, 1].max() == 900
+    assert max(b - a for a, b in tree.spans.tolist()) <= 32
+    gaps = ann.box_gaps(points[tree.order], tree.low, tree.high)
+    for leaf, (a, b) in enumerate(tree.spans.tolist()):
+        assert (gaps[a:b, leaf] == 0).all()
+    cells = ann.Splits.fit(points[:200], 3).cells(points)
+    assert set(cells.tolist()) == set(range(8))
