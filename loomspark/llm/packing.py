@@ -2,10 +2,14 @@
 
 Texts become token pieces in one pass without a shuffle. Pieces of full length are sequences of their own; the
 others are dealt by hash into shards of a bounded number of pieces. On each shard several islands evolve
-packings: crossover injects whole well-filled bins of one parent into the other, removes the bins that hold
-duplicates, and puts the displaced pieces where they fit best, longest first; mutation dissolves the emptiest bins.
-Between epochs the elite of each island moves to the next one. The pieces of bins that stay too empty are
-dealt anew over fewer shards, until one shard holds them.
+packings from random ones (pieces in random order, each put where it fits best): crossover injects whole well-filled bins of
+one parent into the other, removes the bins that hold duplicates, and puts the displaced pieces where they fit best, longest
+first; mutation dissolves the emptiest bins. An island rests when no packing can have fewer bins. Between epochs the elite of
+each island moves to the next one. The pieces of bins that stay too empty are dealt anew over fewer shards, until one shard
+holds them or most of a level's pieces are in such bins, which others of their kind then fill no better.
+
+A text is what the tokenizer library makes of it, without added special tokens: the names of special tokens inside a text
+are these tokens.
 
 Defined cases: a null text is an empty one and is one piece (the end id); a null id is passed on; repeated rows
 each have pieces of their own; an empty table gives an empty result; other columns are ignored.
@@ -30,7 +34,7 @@ from .bpe import BLOCK_LENGTH, BLOCK_WORDS, NONE, _Numbers, replay
 from .common import give_back, settle, slices, small_batches
 
 #: Pieces of a shard, islands of each, epochs, packings on an island, generations of an epoch and children of each.
-SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS, CHILDREN = 16_384, 2, 2, 6, 3, 3
+SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS, CHILDREN = 16_384, 2, 3, 6, 4, 3
 #: Bins filled less than this are dealt anew.
 WEAK = 0.97
 
@@ -82,9 +86,14 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(path)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def special_names(path: str) -> tuple[str, ...]:
+    """The names of special tokens, lower-cased: a text that holds one goes to the tokenizer whole."""
+    with open(path, encoding="utf-8") as file:
+        return tuple(token["content"].lower() for token in json.load(file).get("added_tokens", ()))
 
 
 @lru_cache(maxsize=1)
@@ -103,15 +112,17 @@ def latin_words():
 class TokenBlock:
     """Texts as numbers of their strings between white space, each distinct string encoded once.
 
-    That holds for texts in Latin-1, where normalisation is lower-casing; any other text goes to the tokenizer whole.
+    That holds for texts in Latin-1, where normalisation is lower-casing; any other text, and any with the name of a special
+    token, goes to the tokenizer whole.
     """
 
     def __init__(self, path: str, most: int = BLOCK_WORDS):
         self.path, self.numbers, self.texts, self.length, self.most = path, _Numbers(), [], 0, most
 
     def add(self, text: str) -> None:
+        low = text.lower()
         try:
-            parts = text.lower().encode("latin-1").split() if "µ" not in text else None
+            parts = None if "µ" in low or any(name in low for name in special_names(self.path)) else low.encode("latin-1").split()
         except UnicodeEncodeError:
             parts = None
         if parts is None:
@@ -130,7 +141,13 @@ class TokenBlock:
         find, words = latin_words(), _Numbers()
         flat, ends = array("i"), array("i")
         for part in self.numbers:
-            flat.extend(map(words.__getitem__, find(part)))
+            core = part.rstrip(b".,;:!?")
+            if core.decode("latin-1").isalpha():  # letters, and marks that stay together
+                flat.append(words[core])
+                if len(core) < len(part):
+                    flat.append(words[part[len(core) :]])
+            else:
+                flat.extend(map(words.__getitem__, find(part)))
             ends.append(len(flat))
         self.numbers = None
         ids, counts = replay([w.decode("latin-1").encode() for w in words], word_ranks(self.path))
@@ -253,12 +270,11 @@ def mutation(a: np.ndarray, lengths: np.ndarray, size: int, rng: np.random.Gener
 
 
 def founders(lengths: np.ndarray, size: int, rng: np.random.Generator, n: int) -> list[np.ndarray]:
-    """Best-fit decreasing, and the same by disturbed lengths."""
+    """Random packings: pieces in random order, each put where it fits best."""
     out = []
-    for i in range(n):
-        order = np.argsort(-lengths * (1 + (i > 0) * 0.1 * rng.random(len(lengths))), kind="stable")
+    for _ in range(n):
         bins = np.zeros(len(lengths), np.int64)
-        best_fit(order.tolist(), lengths.tolist(), bins, [], size)
+        best_fit(rng.permutation(len(lengths)).tolist(), lengths.tolist(), bins, [], size)
         out.append(bins)
     return out
 
@@ -323,12 +339,11 @@ def pack(items: DataFrame, size: int = 4096, shard: int = SHARD, level: int = 0)
         elite = herd.where("place < 2").withColumns({"island": F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int"), "place": F.col("place") + POPULATION})
         herd = herd.unionByName(elite) if epoch + 1 < EPOCHS else herd.where("place = 0")
     placed = settle(dealt.groupBy("shard").cogroup(herd.groupBy("shard")).applyInPandas(_placed(size), "uid long, length long, shard long, bin long, fill long, offset long"))
-    if shards == 1 or level == 3:
-        weak, kept = None, placed
-    else:
-        weak, kept = placed.where(F.col("fill") < WEAK * size).select("uid", "length"), placed.where(F.col("fill") >= WEAK * size)
-    out = kept.select("uid", ((F.lit(level).cast("long") * (1 << 60)) + F.col("shard") * (1 << 24) + F.col("bin")).alias("sequence_id"), "offset")
-    return out if weak is None else out.unionByName(pack(weak, size, shard, level + 1))
+    weak = placed.where(F.col("fill") < WEAK * size).select("uid", "length")
+    again = shards > 1 and 2 * weak.count() < n  # each level has less than half of the pieces of the one before
+    kept = placed.where(F.col("fill") >= WEAK * size) if again else placed
+    out = kept.select("uid", ((F.lit(level).cast("long") * (1 << 56)) + F.col("shard") * (1 << 24) + F.col("bin")).alias("sequence_id"), "offset")
+    return out.unionByName(pack(weak, size, shard, level + 1)) if again else out
 
 
 def pack_documents(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
