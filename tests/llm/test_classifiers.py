@@ -120,6 +120,40 @@ def test_kernel_by_definition():
     assert kernel("idiot", "idi*ot") > 0.5 > kernel("idiot", "banana")
 
 
+def test_normal_equations_against_numpy(spark, tables):
+    """The fit's weights are those of the ridge regression over all its rows at once."""
+    docs, labels, truth = tables
+    model = quality.fit(docs, labels, "quality", F.col("doc_id") < 900)
+    rows = docs.join(labels.where("quality IS NOT NULL").select("doc_id", "quality"), "doc_id").where("doc_id < 900").select("doc_id", "text", "quality", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).alias("apart")).collect()
+    y_all = np.array([r.quality for r in rows])
+    x = np.array([quality.statistics(r.text) for r in rows])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.std[:-1], np.maximum(x.std(0), 1e-6)[:-1])
+    z, y = model.features(x[[not r.apart for r in rows]]), np.array([r.quality for r in rows if not r.apart], float)
+    w = np.where(y > 0, len(y_all) / (2 * y_all.sum()), len(y_all) / (2 * (len(y_all) - y_all.sum())))
+    want = np.linalg.solve((z * w[:, None]).T @ z + quality.RIDGE * len(y_all) / 1000 * np.eye(z.shape[1]), z.T @ (w * y))
+    assert np.allclose(model.weights, want, atol=1e-6)
+
+
+def test_fourier_features_approximate_a_gaussian_kernel():
+    rng = np.random.default_rng(1)
+    n = len(quality.statistics(""))
+    model = quality.Model(np.zeros(n), np.ones(n), rng.normal(size=(n, 20_000)) / (n**0.5 * 0.7), rng.uniform(0, 2 * np.pi, 20_000), np.zeros(20_001), np.empty(0), np.empty(0), 0.5)
+    x = rng.normal(size=(12, n))
+    z = model.features(x)[:, :-1]
+    far = np.square(x[:, None] - x[None]).sum(2)
+    assert np.abs(z @ z.T - np.exp(-far / (2 * n * 0.49))).max() < 0.05
+
+
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_clashing_columns(spark, tables, module):
+    docs, labels, _ = tables
+    some = docs.limit(20)
+    model = module.fit(docs, labels, "quality", F.lit(True))
+    want = sorted((r.doc_id or -1, round(r.score, 9)) for r in module.score_documents(some, model).collect())
+    odd = some.withColumns({c: F.lit("x") for c in ("id", "y", "x", "held_out", "predicted", "d", "_id", "_toxicity")})
+    assert sorted((r.doc_id or -1, round(r.score, 9)) for r in module.score_documents(odd, model).collect()) == want
+
+
 def test_isotonic():
     x = np.array([3.0, 1.0, 2.0, 4.0])
     knots, values = quality.isotonic(x, np.array([1.0, 0.0, 1.0, 0.0]))
