@@ -38,10 +38,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, give_back, member_gate, settle, slices, small_batches, without
+from .common import components, discard, fresh, give_back, member_gate, settle, slices, small_batches, without
 
 #: Sets of a tile's block, and the hashes that they hold together; a tile compares two blocks.
-BLOCK, BLOCK_HASHES = 4096, 1 << 20
+BLOCK, BLOCK_HASHES = 1024, 1 << 20
 #: Shingles of a block of texts and of a bucket of hashes; sets of a block that make a hash travel once for all of them.
 TEXT_BLOCK, BUCKET, OFTEN = 1 << 21, 1 << 20, 64
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9FB21C651E98DF25], dtype=np.uint64)
@@ -627,9 +627,7 @@ def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """Of each component one row with the smallest id, with all its columns. Rows without an id stay, and so do rows
     whose sets are empty; of rows that repeat that id the one with the smallest hash of its text stays, once."""
-    mark = "_text_hash"
-    while mark in docs.columns:
-        mark += "_"
+    (mark,) = fresh(docs, "_text_hash")
     hashed = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     found = settle(_near(hashed, id_col, text_col, words, percent, (mark,)).where("n_shingles > 0 AND id IS NOT NULL").select("id", "component_id", "root", F.col("_1").alias("h")))
     top = settle(found.where("id = component_id").groupBy("root", "id").agg(F.min("h").alias("h"), F.count("*").alias("n")))

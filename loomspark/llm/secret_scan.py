@@ -21,7 +21,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import member_gate, settle
+from .common import fresh, member_gate, settle
 
 #: Two private-use characters: MARK bounds matches; one that is part of a text is read as OTHER, which no rule names.
 MARK, OTHER = "\ue000", "\ue001"
@@ -239,9 +239,11 @@ OP3_SQL = _oracle()
 
 def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span replaced by ``mask``; of spans that overlap, the one that starts first counts."""
-    found = settle(find_secrets(docs, id_col, text_col, rules).where(F.size("spans") > 0).dropDuplicates([id_col, "h"]).select(F.col(id_col).alias("_id"), F.col("h").alias("_h"), F.col("spans").alias("_spans")))
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    rows = keyed.join(found, keyed[id_col].eqNullSafe(found["_id"]) & (keyed["_key"] == found["_h"]), "left")
+    key, other_id, other_key, spans = fresh(docs, "_key", "_id", "_h", "_spans")
+    found = find_secrets(docs, id_col, text_col, rules).where(F.size("spans") > 0).dropDuplicates([id_col, "h"])
+    found = settle(found.select(F.col(id_col).alias(other_id), F.col("h").alias(other_key), F.col("spans").alias(spans)))
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = keyed.join(found, keyed[id_col].eqNullSafe(found[other_id]) & (keyed[key] == found[other_key]), "left")
     text = F.col(text_col)
     start = F.struct(F.lit(0).cast("long").alias("pos"), F.lit("").alias("out"))
 
@@ -249,6 +251,6 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         piece = F.concat(acc["out"], F.substr(text, (acc["pos"] + 1).cast("int"), (x["start"] - acc["pos"]).cast("int")), F.lit(mask))
         return F.when(x["start"] >= acc["pos"], F.struct(x["end"].alias("pos"), piece.alias("out"))).otherwise(F.struct(F.greatest(x["end"], acc["pos"]).alias("pos"), acc["out"].alias("out")))
 
-    done = F.aggregate("_spans", start, step)
-    clean = F.when(F.col("_spans").isNull(), text).otherwise(F.concat(done["out"], F.substr(text, (done["pos"] + 1).cast("int"))))
+    done = F.aggregate(spans, start, step)
+    clean = F.when(F.col(spans).isNull(), text).otherwise(F.concat(done["out"], F.substr(text, (done["pos"] + 1).cast("int"))))
     return rows.withColumn(text_col, clean).select(*docs.columns)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, is_held_out, labelled_sample, settle, slices, small_batches
+from .common import fresh, give_back, is_held_out, labelled_sample, settle, slices, small_batches
 
 #: Labelled documents that the classifier learns from, at most; landmarks of toxic and of other words.
 TRAIN_ROWS, TOXIC_LANDMARKS, OTHER_LANDMARKS = 12_000, 128, 64
@@ -359,9 +359,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", at_least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score less, with all their columns; texts are scored where they are read."""
     small_batches(docs.sparkSession)
-    name = "_toxicity"
-    while name in docs.columns:
-        name += "_"
+    (name,) = fresh(docs, "_toxicity")
     return _summaries_of(docs, model, tuple(docs.columns), name, text_col).where(F.col(name) < at_least).drop(name)
 
 
