@@ -6,13 +6,14 @@ with some kept row is at least the threshold; similarity to a dropped row doesn'
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as T
-
-#: Words of 64 bits of a row's parity signature.
-SIGNATURE_WORDS = 4
+from loomspark.sources.tables import once, settled
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -20,47 +21,56 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def _signed(rows: DataFrame, key: str) -> DataFrame:
-    """key, rn, n (bigrams of t) and a parity signature: bit i tells whether an odd number of bigrams falls on i, so that
-    two signatures differ in no more bits than there are bigrams in one set only."""
-    grams = rows.where(F.length("t") >= 2).select(key, "rn", F.explode(T.bigrams(F.col("t"))).alias("g")).withColumn("h", F.hash("g"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("h", F.lit(64)))
-    word = F.pmod(F.shiftright("h", 8), F.lit(SIGNATURE_WORDS))
-    zero = F.lit(0).cast("long")
-    return grams.groupBy(key, "rn").agg(F.count("*").alias("n"), *[F.bit_xor(F.when(word == i, bit).otherwise(zero)).alias(f"s{i}") for i in range(SIGNATURE_WORDS)])
+def _parted(signed: DataFrame, key: str, threshold: float) -> DataFrame:
+    """key, rn, n, label, upper, part and part_hash: the bigrams of a row dealt into parts by hash, one more of them than two
+    similar sets may have differences, so that these agree in a part as a whole. Similar sets are of the same size band
+    or of neighbouring ones; a row has the parts of its own band's label and, as the larger one, of the label below."""
+    step = -math.log(threshold - 1e-9)
+    band = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
+    most = lambda b: F.floor(F.exp((b + 1) * step) + 1e-6)
+    label = F.explode(F.array(F.struct(F.col("band").alias("label"), F.lit(False).alias("upper")), F.struct((F.col("band") - 1).alias("label"), F.lit(True).alias("upper")))).alias("l")
+    rows = signed.withColumn("band", band).select(key, "rn", "n", "g", label)
+    parts = (F.floor((1 - threshold) / (1 + threshold) * (most(F.col("l.label")) + most(F.col("l.label") + 1)) + 1e-6) + 1).cast("long")
+    rows = rows.select(key, "rn", "n", "g", "l.label", "l.upper", parts.alias("parts"))
+    hashes = F.transform("g", lambda x: F.xxhash64(x))
+    # a part without a bigram is a part too
+    each = F.concat(F.transform(hashes, lambda h: F.struct(F.pmod(h, F.col("parts")).alias("part"), h.alias("h"))), F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda i: F.struct(i.alias("part"), F.lit(0).cast("long").alias("h"))))
+    dealt = rows.select(key, "rn", "n", "label", "upper", F.explode(each).alias("x"))
+    return dealt.groupBy(key, "rn", "n", "label", "upper", F.col("x.part").alias("part")).agg(F.bit_xor(F.col("x.h")).alias("part_hash"))
 
 
 def similar_pairs(rows: DataFrame, key: str, threshold: float) -> DataFrame:
     """key, rn and earlier (rn of an earlier row of the key) of the pairs whose bigrams have a Jaccard similarity of at
-    least ``threshold``, from (key, rn, t). Sizes and signatures rule out nearly all pairs before sets are compared."""
-    signed = _signed(rows, key).repartition(key)  # both sides of the join read this one exchange of narrow rows
-    a, b = (signed.select(key, *[F.col(c).alias(f"{p}_{c}") for c in signed.columns if c != key]) for p in "ab")
-    apart = sum((F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(SIGNATURE_WORDS)), F.lit(0))
-    total = F.col("a_n") + F.col("b_n")
-    may = (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n") - 1e-9) & (apart * (1 + threshold) <= total * (1 - threshold) + 1e-9)
-    near = a.hint("merge").join(b, key).where((F.col("a_rn") < F.col("b_rn")) & may).select(key, F.col("a_rn").alias("earlier"), F.col("b_rn").alias("rn"))
-    # the sets come in only now: beside the cheap conditions they would be made and compared for every pair
-    pairs = near.join(rows.select(key, "rn", F.col("t").alias("b_t")), [key, "rn"]).join(rows.select(key, F.col("rn").alias("earlier"), F.col("t").alias("a_t")), [key, "earlier"])
-    return pairs.where(jaccard(T.bigrams(F.col("a_t")), T.bigrams(F.col("b_t"))) >= threshold).select(key, "rn", "earlier")
+    least ``threshold``, from (key, rn, t). Rows meet only where a whole part of their bigrams is equal, so that the pairs that
+    are compared grow with those that are alike, not with the square of a document's rows."""
+    signed = settled(once(rows.where(F.length("t") >= 2).select(key, "rn", "t"), "g", T.bigrams(F.col("t"))).select(key, "rn", "g", F.size("g").alias("n")))
+    parted = settled(_parted(signed, key, threshold))
+    a, b = (parted.select(key, "label", "part", "part_hash", *[F.col(c).alias(f"{p}_{c}") for c in ("rn", "n", "upper")]) for p in "ab")
+    met = a.join(b, [key, "label", "part", "part_hash"]).where((F.col("a_rn") < F.col("b_rn")) & ~(F.col("a_upper") & F.col("b_upper")) & (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n") - 1e-9))
+    near = met.select(key, F.col("a_rn").alias("earlier"), F.col("b_rn").alias("rn")).distinct()
+    pairs = near.join(signed.select(key, "rn", F.col("g").alias("b_g")), [key, "rn"]).join(signed.select(key, F.col("rn").alias("earlier"), F.col("g").alias("a_g")), [key, "earlier"])
+    return pairs.where(jaccard(F.col("a_g"), F.col("b_g")) >= threshold).select(key, "rn", "earlier")
 
 
-def greedy_dedup(rows: DataFrame, key: str, text_col: str, threshold: float = 0.85) -> DataFrame:
-    """The kept rows of ``rows`` (key, rn, text and more), all columns.
+def _dropped(pairs: DataFrame, key: str) -> DataFrame:
+    """key and rn of the rows that an earlier kept row is similar to; each row's pairs are looked at once."""
+
+    def walk(part: pd.DataFrame) -> pd.DataFrame:
+        gone: set[int] = set()
+        for rn, earlier in part.sort_values("rn").groupby("rn").earlier:
+            if any(e not in gone for e in earlier):
+                gone.add(rn)
+        return pd.DataFrame({key: part[key].iloc[:1].repeat(len(gone)).to_numpy(), "rn": sorted(gone)})
 
-    Rows that are partitioned by ``key`` already are not exchanged again, but for the narrow signatures.
-    """
+    fields = pairs.select(key, "rn").schema
+    return pairs.groupBy(key).applyInPandas(walk, fields)
+
+
+def greedy_dedup(rows: DataFrame, key: str, text_col: str, threshold: float = 0.85) -> DataFrame:
+    """The kept rows of ``rows`` (key, rn, text and more), all columns."""
     others = [c for c in rows.columns if c not in (key, "rn")]
-    normal = rows.withColumn("t", T.dedup_normalise(F.col(text_col)))
+    normal = once(rows, "t", T.dedup_normalise(F.col(text_col)))
     # of equal texts only the first can be kept, whatever happens to it
-    firsts = normal.groupBy(key, "t").agg(F.min("rn").alias("rn"))
-    met = similar_pairs(firsts, key, threshold).groupBy(key, "rn").agg(F.collect_set("earlier").alias("earlier"))
-    none = F.array().cast("array<int>")
-    kept_one = lambda acc, x: F.exists(x["earlier"], lambda e: ~F.array_contains(acc, e))
-    walk = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("rn", "earlier"))),
-        none,
-        lambda acc, x: F.when(kept_one(acc, x), F.concat(acc, F.array(x["rn"]))).otherwise(acc),
-    )
-    dropped = met.groupBy(key).agg(walk.alias("d")).select(key, F.explode("d").alias("rn"))
-    keep = normal.groupBy(key, "t").agg(F.min("rn").alias("rn"), F.min_by(F.struct(*others), "rn").alias("x"))
+    keep = settled(normal.groupBy(key, "t").agg(F.min("rn").alias("rn"), F.min_by(F.struct(*others), "rn").alias("x")))
+    dropped = _dropped(similar_pairs(keep.select(key, "rn", "t"), key, threshold), key)
     return keep.select(key, "rn", *[F.col(f"x.{c}").alias(c) for c in others]).join(dropped, [key, "rn"], "left_anti")
