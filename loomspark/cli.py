@@ -1,7 +1,8 @@
 """Command line: python -m loomspark.cli [--config F] [--domain D] [--step N ...] [--list-domains] [--no-dedup]
 
-Step 1 extracts texts of PDF files (by the extractor named in --extractor, module:object), step 2 builds chunk and graph
-tables, step 3 writes questions. A step that fails doesn't stop the later ones; the exit code then is 1.
+Step 1 extracts texts of PDF files (by the extractor named in --extractor, module:object), step 2 adds what is new in the texts
+to the store of chunks and graph tables, step 3 writes questions with contexts from that store, or from a GraphML file or
+another store named in --graph. A step that fails doesn't stop the later ones; the exit code then is 1.
 """
 
 from __future__ import annotations
@@ -13,65 +14,83 @@ import os
 import sys
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.config import Settings, load_settings
+from loomspark.functions import models
 from loomspark.functions import text as T
-from loomspark.operators import chunking, graph, ingest
+from loomspark.operators import chunking, html_tables, ingest, pages
+from loomspark.operators.questions import stamped
 from loomspark.plans.pipeline import questions_of
-from loomspark.sources import files
+from loomspark.sources import files, store
+from loomspark.sources.tables import settled
 
 
 def domains_of(root: str) -> list[str]:
-    """Sorted child directories."""
-    return sorted(p.name for p in Path(root).iterdir() if p.is_dir()) if Path(root).is_dir() else []
+    """Sorted child directories, those of the engine's own tables left out."""
+    found = [p.name for p in Path(root).iterdir() if p.is_dir() and not p.name.startswith(("_", "."))] if Path(root).is_dir() else []
+    return sorted(x.removeprefix("domain=") for x in found)
 
 
 def resolve(explicit: str | None, root: str, domain: str | None) -> str:
     """An explicit path goes before a domain's directory, that before the stage's root."""
-    return explicit or (os.path.join(root, domain) if domain else root)
+    if explicit or not domain:
+        return explicit or root
+    written = os.path.join(root, f"domain={domain}")  # by a first step over all domains
+    return written if os.path.isdir(written) else os.path.join(root, domain)
 
 
-def extract_texts(spark: SparkSession, source: str, out: str, extractor: str) -> None:
+def extract_texts(spark: SparkSession, source: str, out: str, extractor: str, recursive: bool = True, by_domain: bool = False) -> None:
+    """Texts as files under ``out``, by domain where ``out`` isn't one's already, and all that was read as a table."""
     if os.path.isfile(source) and not source.lower().endswith(".pdf"):
-        raise SystemExit(1)
+        raise ValueError(f"{source} is no PDF file")
+    if not extractor:
+        raise ValueError("name an extractor: --extractor module:object")
     name, _, attribute = extractor.partition(":")
-    found = files.with_domain(files.pdf_files(spark, source))
+    found = files.with_domain(files.pdf_files(spark, source, recursive))
 
     def rows(batches):
         import pandas as pd
 
         pages_of = getattr(importlib.import_module(name), attribute).pages
         for batch in batches:
-            yield pd.DataFrame([(d, i, k, p.get("plain", ""), p.get("markdown", ""), p.get("tables", []), p.get("images", [])) for d, i, c in zip(batch.domain, batch.document_id, batch.content, strict=True) for k, p in enumerate(pages_of(c))], columns=["domain", "document_id", "page", "plain", "markdown", "tables", "images"])
+            out = []
+            for domain, document, content in zip(batch.domain, batch.document_id, batch.content, strict=True):
+                for k, p in enumerate(pages_of(content)):
+                    tables = [html_tables.table_markdown(x) if "<" in x else x for x in models.table_htmls(p.get("tables"))]
+                    out.append((domain, document, k, p.get("plain") or "", models.markdown_of(p.get("markdown")), tables, p.get("images") or []))
+            yield pd.DataFrame(out, columns=["domain", "document_id", "page", "plain", "markdown", "tables", "images"])
+
+    read = found.mapInPandas(rows, "domain string, document_id string, page int, plain string, markdown string, tables array<string>, images array<string>")
+    docs = pages.concat_pages(read, ["domain", "document_id"], ["plain", "markdown"], ("tables", "images"))
+    docs = settled(docs.withColumn("text", T.assemble_document(F.col("plain"), F.col("markdown"), F.col("tables"), F.col("images"))))
+    files.write_texts(docs if by_domain else docs.drop("domain"), out)
+    docs.write.mode("overwrite").parquet(os.path.join(out, "_markdown"))
+
+
+def read_texts(spark: SparkSession, source: str, recursive: bool) -> DataFrame:
+    docs = files.text_documents(spark, source, recursive).withColumnRenamed("document_id", "doc_id")
+    if docs.isEmpty():
+        raise FileNotFoundError(f"no texts under {source}")
+    return docs.select("doc_id", "text")
 
-    pages = found.mapInPandas(rows, "domain string, document_id string, page int, plain string, markdown string, tables array<string>, images array<string>")
-    parts = lambda c: F.filter(F.transform(F.array_sort(F.collect_list(F.struct("page", F.col(c).alias("x")))), lambda p: p["x"]), lambda x: x != "")
-    listed = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page", F.col(c).alias("x")))), lambda p: p["x"]))
-    docs = pages.groupBy("domain", "document_id").agg(*[F.array_join(parts(c), "\n\n").alias(c) for c in ("plain", "markdown")], *[listed(c).alias(c) for c in ("tables", "images")])
-    files.write_texts(docs.withColumn("text", T.assemble_document(F.col("plain"), F.col("markdown"), F.col("tables"), F.col("images"))), out)
 
+def build_tables(spark: SparkSession, source: str, out: str, settings: Settings, recursive: bool = True) -> int:
+    return store.add(read_texts(spark, source, recursive), out, lambda docs: chunking.chunks_of(docs, settings.chunking))
 
-def build_tables(spark: SparkSession, source: str, out: str, settings: Settings) -> None:
-    docs = files.text_documents(spark, source).withColumnRenamed("document_id", "doc_id")
-    if docs.isEmpty():
-        raise FileNotFoundError(f"no texts under {source}")
-    c = settings.chunking
-    chunks = chunking.char_chunks(docs, c.max_chunk_size, c.overlap_size)
-    found, relations = graph.mentions(chunks), graph.extracted_relations(chunks)
-    for name, table in {"chunks": chunks, "nodes": graph.nodes(found), "edges": graph.edges(relations), "node_chunk": found, "doc_status": ingest.doc_status(docs, chunks)}.items():
-        table.write.mode("overwrite").parquet(f"{out}/{name}")
 
+def read_graph(spark: SparkSession, at: str) -> tuple[DataFrame, DataFrame] | None:
+    """Nodes and edges of a GraphML file or of a store; none where there is no graph."""
+    if at.lower().endswith(".graphml"):
+        return files.graphml(spark, at)
+    nodes, edges = store.stored(spark, at, "nodes"), store.stored(spark, at, "edges")
+    return None if nodes is None or edges is None else (nodes, edges)
 
-def write_questions(spark: SparkSession, source: str, out: str, settings: Settings, dedup: bool) -> None:
-    docs = files.text_documents(spark, source).withColumnRenamed("document_id", "doc_id")
-    if docs.isEmpty():
-        raise FileNotFoundError(f"no texts under {source}")
-    from loomspark.operators.questions import stamped
 
-    c = settings.chunking
-    records = questions_of(docs.select("doc_id", "text"), c.max_chunk_size, c.overlap_size, settings, deduplicate=dedup and settings.enable_deduplication)
+def write_questions(spark: SparkSession, source: str, out: str, settings: Settings, dedup: bool, graph_at: str = "", recursive: bool = True) -> None:
+    docs = read_texts(spark, source, recursive)
+    records = questions_of(docs, settings, deduplicate=dedup and settings.enable_deduplication, stored_graph=read_graph(spark, graph_at) if graph_at else None)
     files.write_questions(stamped(records), out)
 
 
@@ -82,6 +101,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--step", "-s", type=int, choices=(1, 2, 3), action="append")
     p.add_argument("--input", "-i")
     p.add_argument("--output", "-o")
+    p.add_argument("--graph", "-g", help="GraphML file or store that contexts come from")
+    p.add_argument("--recursive", action=argparse.BooleanOptionalAction, default=True)
     p.add_argument("--no-dedup", action="store_true")
     p.add_argument("--extractor", default="")
     p.add_argument("--list-domains", action="store_true")
@@ -89,27 +110,34 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     logging.basicConfig(level=a.log_level.upper())
     s = load_settings(a.config)
-    base = s.paths.working_dir if "://" in s.paths.working_dir else os.path.abspath(s.paths.working_dir)
+    whole = lambda path: path if not path or "://" in path else os.path.abspath(path)
+    base = whole(s.paths.working_dir)
+    a.input, a.output, a.graph = whole(a.input), whole(a.output), whole(a.graph)
     root = lambda stage: os.path.join(base, stage)
     if a.list_domains:
         for stage in (s.paths.raw_dir, s.paths.processed_dir, s.paths.graph_dir, s.paths.output_dir):
             print(f"{stage}: {', '.join(domains_of(root(stage)))}")
         return 0
     spark = SparkSession.builder.appName("loomspark").getOrCreate()
+    graph_at = resolve(None, root(s.paths.graph_dir), a.domain)
+    asked = sorted(set(a.step or (1, 2, 3)))
+    own, last = 1 not in asked, asked[-1]  # --input and --output are those of the first and of the last step
     steps = {
-        1: lambda: extract_texts(spark, resolve(a.input, root(s.paths.raw_dir), a.domain), resolve(a.output, root(s.paths.processed_dir), a.domain), a.extractor),
-        2: lambda: build_tables(spark, resolve(a.input, root(s.paths.processed_dir), a.domain), resolve(a.output, root(s.paths.graph_dir), a.domain), s),
-        3: lambda: write_questions(spark, resolve(a.input, root(s.paths.processed_dir), a.domain), resolve(a.output, root(s.paths.output_dir), a.domain), s, not a.no_dedup),
+        1: lambda: extract_texts(spark, resolve(a.input, root(s.paths.raw_dir), a.domain), resolve(a.output if last == 1 else None, root(s.paths.processed_dir), a.domain), a.extractor, a.recursive, a.domain is None),
+        2: lambda: build_tables(spark, resolve(a.input if own else None, root(s.paths.processed_dir), a.domain), resolve(a.output if last == 2 else None, root(s.paths.graph_dir), a.domain), s, a.recursive),
+        3: lambda: write_questions(spark, resolve(a.input if own else None, root(s.paths.processed_dir), a.domain), resolve(a.output, root(s.paths.output_dir), a.domain), s, not a.no_dedup, a.graph or graph_at, a.recursive),
     }
-    failed = []
-    for n in sorted(set(a.step or (1, 2, 3))):
+    done = []
+    for n in asked:
         try:
             steps[n]()
+            done.append((n, True))
         except Exception:
             logging.exception("step %d failed", n)
-            failed.append(n)
-    logging.info("%d of %d steps succeeded", len(set(a.step or (1, 2, 3))) - len(failed), len(set(a.step or (1, 2, 3))))
-    return int(bool(failed))
+            done.append((n, False))
+    summary = ingest.run_summary(spark.createDataFrame(done, "step int, ok boolean")).first()
+    logging.info("%d of %d steps succeeded; failed: %s", summary.succeeded, summary.total, summary.failed)
+    return int(bool(summary.failed))
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ that one bad row doesn't fail the job.
 from __future__ import annotations
 
 import hashlib
+import logging
 import random
 import re
 import time
@@ -35,6 +36,31 @@ class Extractor(Protocol):
     def pages(self, content: bytes) -> list[dict]: ...
 
 
+def first_filled(value: object, *members: tuple[str, ...]) -> str:
+    """The first string that isn't empty at one of the paths ``members`` of nested mappings."""
+    for path in members:
+        found = value
+        for name in path:
+            found = found.get(name) if isinstance(found, dict) else None
+        if isinstance(found, str) and found:
+            return found
+    return ""
+
+
+def table_htmls(result: object) -> list[str]:
+    """The html of the tables of an extractor's layout result: a list of blocks, one block, or html as it is."""
+    blocks = result if isinstance(result, list) else [] if result is None else [result]
+    found = [x if isinstance(x, str) else first_filled(x, ("res", "html"), ("html",), ("cell_html",)) for x in blocks]
+    return [x for x in found if x]
+
+
+def markdown_of(result: object) -> str:
+    """The markdown of an extractor's page: nothing, a text, or a mapping that has it in one of its members."""
+    if result is None or isinstance(result, str):
+        return result or ""
+    return first_filled(result, ("markdown",), ("md",), ("text",)) or str(result)
+
+
 class WhitespaceTokenizer:
     """Words between white space."""
 
@@ -64,6 +90,19 @@ class TiktokenTokenizer:
         return {"path": self.path, "pattern": self.pattern}
 
 
+def load_tokenizer(path: str, pattern: str) -> Tokenizer | None:
+    """The tokenizer of a rank file; none, with a warning, where its library or its file can't be loaded."""
+    try:
+        import tiktoken  # noqa: F401
+
+        found = TiktokenTokenizer(path, pattern)
+        found.spans("a")
+        return found
+    except (ImportError, OSError, ValueError) as error:
+        logging.getLogger(__name__).warning("no tokenizer (%s): windows are of characters", error)
+        return None
+
+
 def with_retry(call: Callable[[], object], tries: int, delay: Callable[[int], float], sleep: Callable[[float], None] = time.sleep):
     """The result of ``call``; the last error if every try fails."""
     for turn in range(tries):
@@ -124,13 +163,19 @@ def embed(rows: DataFrame, embedder: Embedder, dim: int, text_col: str = "text",
 
     schema = types.StructType([*rows.schema.fields, types.StructField("_e", types.ArrayType(types.DoubleType()))])
 
+    def one(embedder: Embedder, text: str) -> list[float] | None:
+        try:
+            return with_retry(lambda: embedder.embed([text]), tries, embedding_delay)[0]
+        except Exception:
+            return None
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [x or "" for x in batch[text_col]]
             try:
                 got = with_retry(lambda texts=texts: embedder.embed(texts), tries, embedding_delay)
-            except Exception:
-                got = [None] * len(texts)
+            except Exception:  # one text can fail a whole call: each gets tries of its own
+                got = [one(embedder, x) for x in texts]
             yield batch.assign(_e=[v if v is not None else fallback_embedding(t, dim) for v, t in zip(got, texts, strict=True)])
 
     return rows.mapInPandas(run, schema).withColumn("embedding", fit_dimension(F.col("_e"), dim).cast("array<float>")).drop("_e")

@@ -28,6 +28,7 @@ MARKDOWN_STEPS = (
     (r" +", " "),
     (r"\n\s*\n\s*\n+", "\n\n"),
 )
+# Fixed values, all lists and patterns up to LEAST_QUESTION: they must be these for equal results.
 ANSWER_MARKS = ("答案[:：]", "回答[:：]", "Answer[:：]")
 ANSWER_EDGES = " \t\r\n。；;，,"
 QUESTION_ENDS = "?？.。！!,，"
@@ -195,6 +196,25 @@ def assemble_document(plain: Column, markdown: Column, tables: Column, images: C
     return F.concat_ws("\n\n", *[F.when(strip(x) != "", x) for x in each])
 
 
+#: The members of a layout result and of a page's result that are looked at, in this order.
+TABLE_MEMBERS = ("res_html", "html", "cell_html")
+MARKDOWN_MEMBERS = ("markdown", "md", "text")
+
+
+def layout_tables(blocks: Column) -> Column:
+    """Of each block of a layout result (an array of structs or maps with ``TABLE_MEMBERS``) the first html that isn't empty;
+    blocks without any are left out."""
+    one = lambda x: F.coalesce(*[filled(x[m]) for m in TABLE_MEMBERS])
+    return F.filter(F.transform(F.coalesce(blocks, F.array()), one), lambda x: x.isNotNull())
+
+
+def markdown_string(text: Column, members: Column) -> Column:
+    """A page's markdown: a text as it is, else the first of ``MARKDOWN_MEMBERS`` in the map ``members``, else the map as JSON;
+    empty where there is neither."""
+    found = [F.try_element_at(members, F.lit(m)) for m in MARKDOWN_MEMBERS]
+    return F.coalesce(text, *found, F.to_json(members), F.lit(""))
+
+
 def image_text(path: Column, text: Column) -> Column:
     lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: x != "")
     return F.concat(F.lit("[图片OCR] "), path, F.lit(": "), F.array_join(lines, "\n"))

@@ -8,8 +8,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.config import Chunking
 from loomspark.functions import text as T
-from loomspark.functions.models import Tokenizer
+from loomspark.functions.models import Tokenizer, load_tokenizer
+from loomspark.sources.tables import once
+
+
+def chunks_of(docs: DataFrame, settings: Chunking, id_col: str = "doc_id", text_col: str = "text", tokenizer: Tokenizer | None = None) -> DataFrame:
+    """Windows of tokens where the settings ask for them and there is a tokenizer, else of characters. Blank texts have none."""
+    c = settings
+    if c.use_token_chunking:
+        tokenizer = tokenizer or load_tokenizer(c.tokenizer_file, c.tokenizer_pattern)
+        if tokenizer is not None:
+            return token_chunks(docs, tokenizer, c.chunk_token_size, c.chunk_overlap_token_size, id_col, text_col)
+    return char_chunks(docs, c.max_chunk_size, c.overlap_size, id_col, text_col)
 
 
 def char_chunks(docs: DataFrame, size: int = 60_000, overlap: int = 3_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -20,12 +32,15 @@ def char_chunks(docs: DataFrame, size: int = 60_000, overlap: int = 3_000, id_co
     if not 0 <= overlap < size:
         raise ValueError("overlap has to be smaller than size")
     step = size - overlap
-    text = docs.select(F.col(id_col), F.col(text_col).alias("_t")).where(T.strip(F.coalesce("_t", F.lit(""))) != "").withColumn("_n", F.length("_t"))
+    text = docs.select(F.col(id_col), F.col(text_col).alias("_t")).where(T.strip(F.coalesce(F.col(text_col), F.lit(""))) != "").withColumn("_n", F.length("_t"))
+    # one pass cuts the text into steps; a window is a step and what follows it, so that none counts from the text's start
+    steps = F.when(F.col("_n") <= size, F.array("_t")).otherwise(F.regexp_extract_all("_t", F.lit(f"(?s).{{1,{step}}}"), F.lit(0)))
     total = F.when(F.col("_n") <= size, 1).otherwise(1 + F.ceil((F.col("_n") - size) / step)).cast("int")
-    windows = text.withColumn("total_chunks", total).withColumn("chunk_index", F.explode(F.sequence(F.lit(0), F.col("total_chunks") - 1)))
+    cut = once(text, "_s", steps).drop("_t").withColumn("total_chunks", total)
+    window = lambda i: F.substring(F.array_join(F.slice("_s", i + 1, F.lit(-(-size // step))), ""), 1, size)
+    windows = cut.select(id_col, "_n", "total_chunks", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("total_chunks") - 1), window)).alias("chunk_index", "content"))
     start = F.col("chunk_index") * step
-    content = F.substr("_t", start + 1, F.lit(size))
-    out = windows.select(id_col, content.alias("content"), start.alias("start_position"), F.least(start + size, F.col("_n")).alias("end_position"), "chunk_index", "total_chunks")
+    out = windows.select(id_col, "content", start.alias("start_position"), F.least(start + size, F.col("_n")).alias("end_position"), "chunk_index", "total_chunks")
     fallback = F.concat(F.col(id_col).cast("string"), F.lit("_chunk_"), F.col("chunk_index").cast("string"))
     return out.withColumn("chunk_id", F.coalesce(T.chunk_id(F.col("content")), fallback))
 

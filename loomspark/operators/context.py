@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as T
+from loomspark.sources.tables import once, settled
 
 from . import graph
 
@@ -49,22 +50,66 @@ def related_chunks(entities: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def snippets(related: DataFrame, chunks: DataFrame, most: int = 2, chars: int = 200) -> DataFrame:
-    """doc_id, chunk_index, place, related_id, line. A related chunk without a text still takes its place."""
-    texts = chunks.groupBy("doc_id", "chunk_id").agg(F.min("content").alias("content")).withColumnRenamed("chunk_id", "related_id")
-    rows = related.where(F.col("place") <= most).join(texts, ["doc_id", "related_id"], "left").where("content IS NOT NULL")
-    return rows.select(*KEY, "place", "related_id", T.snippet_line(F.col("related_id"), T.snippet(F.col("content"), chars)).alias("line"))
+    """doc_id, chunk_index, place, related_id, line. A related chunk without a text still takes its place. ``chunks`` has the
+    content, or its snippet already."""
+    short = F.col("snippet") if "snippet" in chunks.columns else T.snippet(F.col("content"), chars)
+    texts = chunks.groupBy("doc_id", "chunk_id").agg(F.min("snippet" if "snippet" in chunks.columns else "content").alias("snippet" if "snippet" in chunks.columns else "content"))
+    rows = related.where(F.col("place") <= most).join(texts.withColumnRenamed("chunk_id", "related_id"), ["doc_id", "related_id"], "left").where(short.isNotNull())
+    return rows.select(*KEY, "place", "related_id", T.snippet_line(F.col("related_id"), short).alias("line"))
 
 
 def chunk_contexts(chunks: DataFrame, most_entities: int = 5, most_relations: int = 5, most_snippets: int = 2, snippet_chars: int = 200) -> DataFrame:
-    """doc_id, chunk_index, chunk_id, content, prompt_context, related_entities, related_chunk_ids of every chunk."""
-    found, relations = graph.mentions(chunks), graph.extracted_relations(chunks)
-    entities, pairs = context_entities(found, most_entities), context_relations(relations, most_relations)
-    related = related_chunks(entities, found)
+    """doc_id, chunk_index, chunk_id, content, prompt_context, related_entities, related_chunk_ids of every chunk.
+
+    Entities and snippets are taken from the texts once, into a narrow table that everything else reads."""
+    with_entities = once(chunks, "e", T.extract_entities(F.col("content")))
+    short = settled(with_entities.select(*KEY, "chunk_id", "e", T.snippet(F.col("content"), snippet_chars).alias("snippet")))
+    found, relations = graph.mentions(short), graph.extracted_relations(short)
+    entities, pairs = settled(context_entities(found, most_entities)), context_relations(relations, most_relations)
+    return _assembled(chunks, entities, pairs, related_chunks(entities, found), short, most_snippets)
+
+
+def graph_contexts(chunks: DataFrame, nodes: DataFrame, edges: DataFrame, most_entities: int = 5, most_relations: int = 5, most_snippets: int = 2, snippet_chars: int = 200) -> DataFrame:
+    """As ``chunk_contexts``, from a stored graph: ``nodes`` (entity_id or entity_name or id, entity_type, description,
+    source_id) and ``edges`` (source, target, description, keywords, source_id) that name the chunks they come from. Records are
+    in the order of first_chunk and first_pos where the graph has these, then of names. Chunks that the graph doesn't know
+    have an empty context."""
+    at = lambda rows: [F.col(c) if c in rows.columns else F.lit(0) for c in ("first_chunk", "first_pos")]
+    kept = lambda rows, *names: [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in names]
+    own = settled(chunks.select(*KEY, "chunk_id", T.snippet(F.col("content"), snippet_chars).alias("snippet")))
+    by = ["doc_id"] if "doc_id" in nodes.columns else []
+    sources = graph.with_sources(nodes)
+    named = graph.named_nodes(sources, (*by, "chunk_id")).select(*by, "chunk_id", "name", *kept(sources, "entity_type", "description"), F.struct(*at(sources)).alias("first"), "source_pos")
+    named = settled(named)
+    found = own.select(*KEY, "chunk_id").join(named, [*by, "chunk_id"])
+    entities = _capped(found, ["first", "name"], most_entities).select(*KEY, "chunk_id", "rank", "name", T.entity_line(F.col("name"), F.col("entity_type"), F.col("description")).alias("line"))
+    entities = settled(entities)
+    ends = T.filled(F.col("source")).isNotNull() & T.filled(F.col("target")).isNotNull()
+    linked = graph.with_sources(edges.where(ends))
+    linked = linked.select(*by, "chunk_id", "source", "target", *kept(linked, "description", "keywords"), F.struct(*at(linked), F.least("source", "target"), F.greatest("source", "target")).alias("first"))
+    pairs = _capped(own.select(*KEY, "chunk_id").join(linked, [*by, "chunk_id"]), ["first", "source"], most_relations)
+    pairs = pairs.select(*KEY, "rank", "source", "target", T.relation_line(F.col("source"), F.col("target"), F.col("description"), F.col("keywords")).alias("line"))
+    # the other chunks of an entity, in the order in which it names them
+    known = named.select(*by, "name", F.col("chunk_id").alias("related_id"), "source_pos")
+    rows = entities.join(known, [*by, "name"]).where("related_id <> chunk_id")
+    first = rows.groupBy(*KEY, "related_id").agg(F.min(F.struct("rank", "source_pos")).alias("first"))
+    related = first.withColumn("place", F.row_number().over(W.partitionBy(*KEY).orderBy("first", "related_id"))).drop("first")
+    if not by:  # ids are those of contents, so that any document's chunk of an id has the text
+        texts = own.groupBy("chunk_id").agg(F.min("snippet").alias("snippet"))
+        short = related.where(F.col("place") <= most_snippets).select("doc_id", "related_id").distinct().join(texts, F.col("related_id") == F.col("chunk_id")).select("doc_id", "chunk_id", "snippet")
+    else:
+        short = own
+    return _assembled(chunks, entities, pairs, related, short, most_snippets)
+
+
+def _assembled(chunks: DataFrame, entities: DataFrame, pairs: DataFrame, related: DataFrame, short: DataFrame, most_snippets: int) -> DataFrame:
+    """The context of each chunk from its entities, relations, related chunks and their snippets."""
+    related = settled(related)
     lines = lambda rows, at, *more: rows.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), "line", *more))).alias("x"))
     e = lines(entities, "rank", "name").select(*KEY, F.col("x.line").alias("e_lines"), F.col("x.name").alias("names"))
     ends = F.flatten(F.transform("x", lambda x: F.array(x["source"], x["target"])))
     r = lines(pairs, "rank", "source", "target").select(*KEY, F.col("x.line").alias("r_lines"), ends.alias("ends"))
-    s = lines(snippets(related, chunks, most_snippets, snippet_chars), "place").select(*KEY, F.col("x.line").alias("s_lines"))
+    s = lines(snippets(related, short, most_snippets), "place").select(*KEY, F.col("x.line").alias("s_lines"))
     ids = related.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("place", "related_id"))).alias("x")).select(*KEY, F.col("x.related_id").alias("ids"))
     none = F.array().cast("array<string>")
     full = chunks.select(*KEY, "chunk_id", "content")

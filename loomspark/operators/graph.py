@@ -6,18 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as T
+from loomspark.sources.tables import once
 
 UNKNOWN = "UNKNOWN"
 
 
+def extracted(chunks: DataFrame) -> DataFrame:
+    """doc_id, chunk_index, chunk_id and the entities e of each chunk in order, extracted once; chunks that have them already
+    are passed on."""
+    if "e" in chunks.columns:
+        return chunks.select("doc_id", "chunk_index", "chunk_id", "e")
+    return once(chunks, "e", T.extract_entities(F.col("content"))).select("doc_id", "chunk_index", "chunk_id", "e")
+
+
 def mentions(chunks: DataFrame) -> DataFrame:
     """doc_id, chunk_index, chunk_id, name and pos (from 0) of the entities of each chunk."""
-    return chunks.select("doc_id", "chunk_index", "chunk_id", F.posexplode(T.extract_entities(F.col("content"))).alias("pos", "name"))
+    return extracted(chunks).select("doc_id", "chunk_index", "chunk_id", F.posexplode("e").alias("pos", "name"))
 
 
 def extracted_relations(chunks: DataFrame) -> DataFrame:
     """doc_id, chunk_index, chunk_id, pos, source and target: entities that follow each other in a chunk."""
-    names = chunks.select("doc_id", "chunk_index", "chunk_id", T.extract_entities(F.col("content")).alias("e"))
+    names = extracted(chunks)
     pairs = F.arrays_zip(F.slice("e", 1, F.greatest(F.size("e") - 1, F.lit(0))).alias("s"), F.slice("e", 2, F.greatest(F.size("e") - 1, F.lit(0))).alias("t"))
     return names.where(F.size("e") > 1).select("doc_id", "chunk_index", "chunk_id", F.posexplode(pairs).alias("pos", "p")).select("doc_id", "chunk_index", "chunk_id", "pos", F.col("p.s").alias("source"), F.col("p.t").alias("target"))
 
@@ -67,5 +76,33 @@ def relation_chunks(relations: DataFrame) -> DataFrame:
 
 
 def with_sources(rows: DataFrame, source_col: str = "source_id") -> DataFrame:
-    """One row per record and source chunk, from ids as the graph file joins them."""
-    return rows.withColumn("chunk_id", F.explode(T.split_sources(F.col(source_col))))
+    """One row per record and source chunk, from ids as the graph file joins them; records of a graph without ids have none."""
+    if source_col not in rows.columns:
+        rows = rows.withColumn(source_col, F.lit(None).cast("string"))
+    return rows.select("*", F.posexplode(T.split_sources(F.col(source_col))).alias("source_pos", "chunk_id"))
+
+
+def named_nodes(rows: DataFrame, by: tuple[str, ...] = ("chunk_id",)) -> DataFrame:
+    """``rows`` with column name: the first of entity_id, entity_name and id that isn't empty. Rows without any are left out,
+    and of those of a chunk that share a name one stays."""
+    have = [T.filled(F.col(c).cast("string")) for c in ("entity_id", "entity_name", "id", "node_id") if c in rows.columns]
+    return rows.withColumn("name", F.coalesce(*have)).where("name IS NOT NULL").dropDuplicates([*by, "name"])
+
+
+def node_table(found: DataFrame) -> DataFrame:
+    """Nodes as they are stored: by document entity_id, entity_type, description, source_id and where they first come."""
+    sources = found.groupBy("doc_id", "name").agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("chunk_index", "chunk_id"))), lambda x: x["chunk_id"]), T.SOURCE_SEPARATOR).alias("source_id"))
+    rows = nodes(found).join(sources.withColumnRenamed("name", "entity_id"), ["doc_id", "entity_id"])
+    about = F.concat(F.lit("named in "), F.col("n_chunks").cast("string"), F.lit(" chunks"))
+    return rows.select("doc_id", "entity_id", "entity_type", about.alias("description"), "source_id", "first_chunk", "first_pos")
+
+
+def edge_table(relations: DataFrame) -> DataFrame:
+    """Edges as they are stored: by document source, target, weight, keywords, source_id and where they first come."""
+    own = canonical(relations).groupBy("doc_id", "a", "b").agg(
+        F.min_by(F.struct("source", "target"), F.struct("chunk_index", "pos")).alias("x"),
+        F.min(F.struct("chunk_index", "pos")).alias("first"),
+        F.sum(F.lit(1.0)).alias("weight"),
+        F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("chunk_index", "chunk_id"))), lambda x: x["chunk_id"]), T.SOURCE_SEPARATOR).alias("source_id"),
+    )
+    return own.select("doc_id", "x.source", "x.target", "weight", F.lit(None).cast("string").alias("description"), F.lit("adjacent").alias("keywords"), "source_id", F.col("first.chunk_index").alias("first_chunk"), F.col("first.pos").alias("first_pos"))

@@ -7,15 +7,30 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as T
+from loomspark.sources.tables import once
 
 #: Fixed value: how a numbered question starts and ends.
 NUMBERED = r"(?s)问题(\d+)[:：]\s*(.+?)(?=\n\s*问题\d+[:：]|$)"
 
 
+#: Where the next numbered question starts, and what one has; and a start without any content, after which the
+#: next one belongs to it.
+NEXT = r"\n\s*(?=问题\d+[:：])"
+ONE = r"(?s)问题(\d+)[:：]\s*(.+)"
+EMPTY = r"问题\d+[:：]\s*\n\s*问题\d+[:：]"
+
+
 def numbered_questions(response: Column) -> Column:
-    """Array of (number, content) of the numbered questions of a cleaned response, before validation."""
+    """Array of (number, content) of the numbered questions of a cleaned response, before validation.
+
+    The response is split where questions start, in one pass. Only where a question has no content, so that the next start
+    is its content, the expression that looks ahead from every character says what is what."""
+    part = lambda p, i: F.regexp_extract(p, T.FLAGS + ONE, i)
+    split = F.transform(F.split(response, T.FLAGS + NEXT), lambda p: F.struct(part(p, 1).alias("n"), part(p, 2).alias("c")))
+    fast = F.filter(split, lambda x: x["n"] != "")
     pattern = F.lit(T.FLAGS + NUMBERED)
-    both = F.arrays_zip(F.regexp_extract_all(response, pattern, F.lit(1)).alias("n"), F.regexp_extract_all(response, pattern, F.lit(2)).alias("c"))
+    slow = F.arrays_zip(F.regexp_extract_all(response, pattern, F.lit(1)).alias("n"), F.regexp_extract_all(response, pattern, F.lit(2)).alias("c"))
+    both = F.when(response.rlike(T.FLAGS + EMPTY), slow).otherwise(fast)
     return F.transform(both, lambda x: F.struct(x["n"].cast("int").alias("number"), T.question_cleanup(x["c"]).alias("content")))
 
 
@@ -29,9 +44,10 @@ def line_questions(response: Column, most: int) -> Column:
 def parse_responses(responses: DataFrame, keys: list[str], response_col: str = "response", most: int = 10) -> DataFrame:
     """keys, ord (place in the response, from 0), question_index and content. Lines are looked at only where no
     numbered question was accepted; only they are capped."""
-    cleaned = responses.select(*keys, T.clean_think(F.col(response_col)).alias("_r"))
-    first = cleaned.withColumn("_q", F.filter(numbered_questions(F.col("_r")), lambda x: T.is_valid_question(x["content"])))
-    chosen = first.withColumn("_q", F.when(F.size("_q") > 0, F.col("_q")).otherwise(line_questions(F.col("_r"), most)))
+    cleaned = once(responses.select(*keys, F.col(response_col).alias("_t")), "_r", T.clean_think(F.col("_t"))).drop("_t")
+    numbered = once(cleaned, "_n", numbered_questions(F.col("_r")))
+    first = once(numbered, "_f", F.filter("_n", lambda x: T.is_valid_question(x["content"])))
+    chosen = first.withColumn("_q", F.when(F.size("_f") > 0, F.col("_f")).otherwise(line_questions(F.col("_r"), most)))
     return chosen.select(*keys, F.posexplode("_q").alias("ord", "_x")).select(*keys, "ord", F.col("_x.number").alias("question_index"), F.col("_x.content").alias("content"))
 
 

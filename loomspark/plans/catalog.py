@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspark.config import Chunking, Settings
 from loomspark.functions import models
 from loomspark.functions import text as T
-from loomspark.operators import chunking, context, dedup, graph, html_tables, ingest, prompts, questions, vectors
+from loomspark.operators import chunking, context, dedup, graph, html_tables, ingest, pages, prompts, questions, vectors
+from loomspark.sources.tables import settled
+from loomspark.streaming import ingest as stream
 
 from .oracles import SQL  # noqa: F401
 from .pipeline import questions_of
@@ -45,7 +48,8 @@ def _responses(spark: SparkSession, at: str, kind: str = "numbered") -> DataFram
 
 
 def _mentions(spark: SparkSession, at: str) -> DataFrame:
-    return graph.mentions(_chunks(spark, at))
+    """Read from a table, as queries use them more than once."""
+    return graph.mentions(settled(graph.extracted(_chunks(spark, at))))
 
 
 def _relations(spark: SparkSession, at: str) -> DataFrame:
@@ -190,8 +194,7 @@ def q_related_chunks(spark: SparkSession, at: str) -> DataFrame:
 
 
 def q_snippets(spark: SparkSession, at: str) -> DataFrame:
-    chunks = _chunks(spark, at)
-    found = graph.mentions(chunks)
+    chunks, found = _chunks(spark, at), _mentions(spark, at)
     return context.snippets(context.related_chunks(context.context_entities(found), found), chunks)
 
 
@@ -250,7 +253,7 @@ def q_embedding_truncate(spark: SparkSession, at: str) -> DataFrame:
 
 def q_cosine_topk(spark: SparkSession, at: str) -> DataFrame:
     rows = _table(spark, at, "embeddings")
-    return vectors.cosine_top_k(rows.where("vec_id % 50 = 0"), rows, 20, 0.2).withColumn("score", F.round("score", 6))
+    return vectors.cosine_top_k(rows.where("vec_id % 20 = 0"), rows, 20, 0.2).withColumn("score", F.round("score", 6))
 
 
 def q_fallback_embedding(spark: SparkSession, at: str) -> DataFrame:
@@ -259,14 +262,98 @@ def q_fallback_embedding(spark: SparkSession, at: str) -> DataFrame:
 
 
 def q_html_tables(spark: SparkSession, at: str) -> DataFrame:
+    """Pages have no tables, so one is added to the whole html of each."""
     cell = lambda c: F.concat(F.lit("<td> "), F.col(c).cast("string"), F.lit("\n</td>"))
-    page = F.concat(F.lit("x<TABLE border=1><tr><th>key</th><th>name</th></tr><tr>"), cell("n_nationkey"), cell("n_name"), F.lit("</tr></table>y"))
-    return _table(spark, at, "nation").select("n_nationkey", html_tables.render_tables(page).alias("text"))
+    table = F.concat(F.lit("<TABLE border=1><tr><th>key</th><th>address</th></tr><tr>"), cell("page_id"), cell("url"), F.lit("</tr><tr><td>last</td></tr></table>y"))
+    rows = _table(spark, at, "pages").select("page_id", html_tables.render_tables(F.concat("html", table)).alias("text"))
+    return rows.select("page_id", F.length("text").alias("n_chars"), _md5("text").alias("text_md5"))
+
+
+def q_concat_pages(spark: SparkSession, at: str) -> DataFrame:
+    text = F.when(F.col("page_id") % 4 == 0, "").otherwise(F.col("html"))
+    rows = _table(spark, at, "pages").select((F.col("page_id") % 10).alias("document"), F.col("page_id").alias("page"), text.alias("text"))
+    return pages.concat_pages(rows, ["document"], ["text"]).select("document", F.col("n_pages").alias("pages"), _md5("text").alias("text_md5"))
+
+
+def q_layout_tables(spark: SparkSession, at: str) -> DataFrame:
+    """Blocks that say their html in different members, with an empty one in each list."""
+    k, none = F.col("page_id") % 4, F.lit(None).cast("string")
+    block = lambda a, b, c: F.struct(a.alias("res_html"), b.alias("html"), c.alias("cell_html"))
+    cell = F.concat(F.lit("c"), "url")
+    first = F.when(k == 0, block(F.col("html"), cell, cell)).when(k == 1, block(F.lit(""), F.col("url"), cell)).when(k == 2, block(none, F.lit(""), cell)).otherwise(block(none, none, none))
+    blocks = F.array(first, block(none, F.lit(""), F.lit("")), block(none, F.col("url"), none))
+    rows = _table(spark, at, "pages").select("page_id", T.layout_tables(blocks).alias("x"))
+    return rows.select("page_id", F.size("x").alias("n"), F.array_join("x", "|").alias("tables"))
+
+
+def q_markdown_string(spark: SparkSession, at: str) -> DataFrame:
+    k, text = F.col("page_id") % 5, F.when(F.col("page_id") % 5 == 0, F.col("html"))
+    entry = lambda key, head: F.create_map(F.lit(key), F.concat(F.lit(head), "url"))
+    members = F.when(k == 1, F.map_concat(entry("md", "m"), entry("text", "no"))).when(k == 2, entry("text", "t")).when(k == 3, F.create_map(F.lit("other"), F.lit("x")))
+    return _table(spark, at, "pages").select("page_id", T.markdown_string(text, members).alias("m")).select("page_id", _md5("m").alias("markdown_md5"))
+
+
+def q_node_names(spark: SparkSession, at: str) -> DataFrame:
+    k, own = F.col("doc_id") % 3, F.col("doc_id")
+    said = lambda when, head, by: F.when(when, F.concat(F.lit(head), (own % by).cast("string")))
+    rows = _table(spark, at, "documents").where("doc_id % 11 <> 2").select(F.col("lang").alias("chunk_id"), F.when(k == 0, F.col("source")).otherwise("").alias("entity_id"), said(k == 1, "n", 5).alias("entity_name"), said(k >= 1, "i", 7).alias("id"))
+    return graph.named_nodes(rows).select("chunk_id", "name")
+
+
+def q_source_members(spark: SparkSession, at: str) -> DataFrame:
+    joined = F.concat_ws(T.SOURCE_SEPARATOR, "lang", "source", F.when(F.col("lang") != F.col("source"), F.concat(F.lit("x"), (F.col("doc_id") % 3).cast("string"))))
+    return graph.with_sources(_table(spark, at, "documents").select("doc_id", joined.alias("source_id"))).select("doc_id", "chunk_id", "source_pos")
+
+
+def q_store_stats(spark: SparkSession, at: str) -> DataFrame:
+    k = F.col("doc_id") % 3
+    name = F.concat(F.lit("/store/f"), F.col("doc_id").cast("string"), F.when(k == 0, ".json").when(k == 1, ".graphml").otherwise(".txt"))
+    rows = ingest.store_stats(_table(spark, at, "documents").select(name.alias("path"), F.col("n_chars").alias("length")))
+    return rows.select("file_count", F.md5(F.array_join("files", "|").cast("binary")).alias("files_md5"), F.round("size_mb", 6).alias("size_mb"))
+
+
+def q_run_summary(spark: SparkSession, at: str) -> DataFrame:
+    steps = _table(spark, at, "nation").select(F.col("n_name").alias("step"), (F.col("n_regionkey") < 3).alias("ok"))
+    return ingest.run_summary(steps).withColumn("failed", F.array_join("failed", "|"))
+
+
+def q_upsert(spark: SparkSession, at: str) -> DataFrame:
+    labels = _table(spark, at, "labels").select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic"))
+    new = _docs(spark, at).where("doc_id % 7 = 0").select("doc_id", F.lit(9).alias("quality"), F.lit(9).alias("toxic"))
+    return ingest.upsert(labels, new, ["doc_id"])
+
+
+def q_event_counts(spark: SparkSession, at: str) -> DataFrame:
+    return stream.event_counts(_table(spark, at, "events").select("ts", "event_type")).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_embedding_float(spark: SparkSession, at: str) -> DataFrame:
+    total = F.aggregate(F.col("embedding").cast("array<float>").cast("array<double>"), F.lit(0.0), lambda s, x: s + x)
+    return _table(spark, at, "embeddings").select("vec_id", F.round(total, 6).alias("total"))
+
+
+def q_chunk_lookup(spark: SparkSession, at: str) -> DataFrame:
+    """Texts of chunks by their ids, as a store of texts gives them."""
+    chunks = _chunks(spark, at)
+    texts = chunks.groupBy("chunk_id").agg(F.min("content").alias("content"))
+    return chunks.where("chunk_index = 0").select("doc_id", "chunk_id").join(texts, "chunk_id").select("doc_id", "chunk_id", _md5("content").alias("content_md5"))
+
+
+def q_graph_context(spark: SparkSession, at: str) -> DataFrame:
+    """Contexts from the stored form of the graph: its entities are those that are derived from the chunks."""
+    chunks = _chunks(spark, at)
+    short = settled(graph.extracted(chunks))
+    nodes, edges = graph.node_table(graph.mentions(short)), graph.edge_table(graph.extracted_relations(short))
+    rows = context.graph_contexts(chunks, settled(nodes), settled(edges))
+    part = F.regexp_extract("prompt_context", r"(?s)^(【相关实体信息】.*?)(?:\n\n【|$)", 1)
+    names = F.filter(F.split(F.regexp_replace(part, "(?m)^- 实体 (.*?)（类型：.*$", "$1"), "\n"), lambda x: ~x.startswith("【") & (x != ""))
+    return rows.select("doc_id", "chunk_index", F.array_join(names, "|").alias("entities"), F.md5(part.cast("binary")).alias("entities_md5"))
 
 
 def q_pipeline_e2e(spark: SparkSession, at: str) -> DataFrame:
     """Documents to questions: chunks, context, prompts, stub responses, parsing, records, removal of near duplicates."""
-    return questions_of(_docs(spark, at), SIZE, OVERLAP).select("source_document", "source_chunk_id", "question_index", "content")
+    settings = Settings(chunking=Chunking(use_token_chunking=False, max_chunk_size=SIZE, overlap_size=OVERLAP))
+    return questions_of(_docs(spark, at), settings).select("source_document", "source_chunk_id", "question_index", "content")
 
 
 QUERIES = {name: query for name, query in list(globals().items()) if name.startswith("q_")}

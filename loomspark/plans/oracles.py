@@ -18,6 +18,7 @@ def _strip(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
+# Fixed values, here and below: patterns, marks and lists of words are those of the text functions, written for SQL.
 def _plain(x: str) -> str:
     out = f"coalesce({x}, '')"
     for pattern, replacement in (
@@ -216,7 +217,21 @@ SQL = {
     "q_embedding_pad": _fitted(80),
     "q_embedding_truncate": _fitted(24),
     "q_cosine_topk": """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings),
-        s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) / (q.n * v.n) AS score FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id)
+        s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) / (q.n * v.n) AS score FROM v q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id)
         SELECT query_id, rank, vec_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s WHERE score >= 0.2) WHERE rank <= 20""",
-    "q_html_tables": "SELECT n_nationkey, 'x' || chr(10) || chr(10) || '| key | name |' || chr(10) || '|---|---|' || chr(10) || '| ' || n_nationkey || ' | ' || n_name || ' |' || chr(10) || chr(10) || 'y' AS text FROM nation",
+    "q_html_tables": """SELECT page_id, length(t) AS n_chars, md5(t) AS text_md5 FROM (SELECT page_id, html || chr(10) || chr(10) || '| key | address |' || chr(10) || '|---|---|' || chr(10) || '| ' || page_id || ' | ' || trim(regexp_replace(url, '\\s+', ' ', 'g')) || ' |' || chr(10) || '| last |  |' || chr(10) || chr(10) || 'y' AS t FROM pages)""",
+    "q_concat_pages": "SELECT page_id % 10 AS document, count(*) AS pages, md5(coalesce(string_agg(x, chr(10) || chr(10) ORDER BY page_id) FILTER (x <> ''), '')) AS text_md5 FROM (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN '' ELSE html END AS x FROM pages) GROUP BY page_id % 10",
+    "q_layout_tables": "SELECT page_id, CASE WHEN page_id % 4 < 3 THEN 2 ELSE 1 END AS n, CASE page_id % 4 WHEN 0 THEN html || '|' || url WHEN 1 THEN url || '|' || url WHEN 2 THEN 'c' || url || '|' || url ELSE url END AS tables FROM pages",
+    "q_markdown_string": """SELECT page_id, md5(CASE page_id % 5 WHEN 0 THEN html WHEN 1 THEN 'm' || url WHEN 2 THEN 't' || url WHEN 3 THEN '{"other":"x"}' ELSE '' END) AS markdown_md5 FROM pages""",
+    "q_node_names": "SELECT DISTINCT lang AS chunk_id, CASE WHEN doc_id % 3 = 0 THEN source WHEN doc_id % 3 = 1 THEN 'n' || doc_id % 5 ELSE 'i' || doc_id % 7 END AS name FROM documents WHERE doc_id % 11 <> 2",
+    "q_source_members": "SELECT doc_id, unnest(CASE WHEN lang = source THEN [lang, source] ELSE [lang, source, 'x' || doc_id % 3] END) AS chunk_id, generate_subscripts(CASE WHEN lang = source THEN [lang, source] ELSE [lang, source, 'x' || doc_id % 3] END, 1)::INT - 1 AS source_pos FROM documents",
+    "q_store_stats": "SELECT count(*) AS file_count, md5(string_agg(name, '|' ORDER BY name)) AS files_md5, round(sum(n_chars) / 1048576, 6) AS size_mb FROM (SELECT 'f' || doc_id || CASE doc_id % 3 WHEN 0 THEN '.json' WHEN 1 THEN '.graphml' ELSE '.txt' END AS name, n_chars FROM documents) WHERE NOT ends_with(name, '.txt')",
+    "q_run_summary": "SELECT count(*) FILTER (n_regionkey < 3) AS succeeded, count(*) AS total, string_agg(n_name, '|' ORDER BY n_name) FILTER (n_regionkey >= 3) AS failed FROM nation",
+    "q_upsert": "SELECT doc_id, quality, toxic FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 7 = 0) UNION ALL SELECT doc_id, 9, 9 FROM documents WHERE doc_id % 7 = 0",
+    "q_event_counts": "SELECT strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
+    "q_embedding_float": "SELECT vec_id, round(list_reduce(list_transform(embedding, lambda x: (x::FLOAT)::DOUBLE), lambda a, b: a + b), 6) AS total FROM embeddings",
+    "q_chunk_lookup": f"WITH {CHUNKS}, texts AS (SELECT chunk_id, min(content) AS content FROM chunks GROUP BY chunk_id) SELECT doc_id, c.chunk_id, md5(t.content) AS content_md5 FROM chunks c JOIN texts t USING (chunk_id) WHERE chunk_index = 0",
+    "q_graph_context": f"""WITH {PAIRS}, {ENTITIES}, {RELATIONS},
+        e AS (SELECT doc_id, chunk_index, string_agg(name, '|' ORDER BY rank) AS names, string_agg({_ENTITY_LINE}, chr(10) ORDER BY rank) AS l FROM entities GROUP BY ALL)
+        SELECT c.doc_id, c.chunk_index, coalesce(e.names, '') AS entities, md5(coalesce('【相关实体信息】' || chr(10) || e.l, '')) AS entities_md5 FROM chunks c LEFT JOIN e USING (doc_id, chunk_index)""",
 }

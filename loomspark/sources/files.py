@@ -8,16 +8,23 @@ from pyspark.sql import types as T
 
 
 def text_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """document_id (file stem), path and text of the .txt files, whole; blank files are left out."""
-    rows = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=recursive)
-    name = F.col("_metadata.file_name")
-    out = rows.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("document_id"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    """document_id, path and text of the .txt files, whole; blank files are left out. The id is the file's stem, or the name of
+    the directory ``document_id=`` that ``write_texts`` puts a document in."""
+    rows = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.txt").option("recursiveFileLookup", recursive).load(path)
+    file = F.col("_metadata.file_path")
+    named = F.url_decode(F.regexp_extract(file, r"/document_id=([^/]*)/[^/]*$", 1))
+    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    out = rows.select(F.when(named != "", named).otherwise(stem).alias("document_id"), file.alias("path"), F.col("value").alias("text"))
     return out.where(F.regexp_replace("text", r"(?U)^\s+|\s+\z", "") != "")
 
 
 def pdf_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """path, document_id, length and content of the .pdf files (lower-case extension)."""
-    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", recursive).load(path)
+    """path, document_id, length and content of the .pdf files of a directory (lower-case extension), or of one file, whose
+    extension may be in any case."""
+    if path.lower().endswith(".pdf"):
+        rows = spark.read.format("binaryFile").load(path)
+    else:
+        rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", recursive).load(path)
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     return rows.select("path", stem.alias("document_id"), "length", "content")
 
@@ -75,6 +82,12 @@ def write_questions(records: DataFrame, path: str, mode: str = "overwrite") -> N
 
 
 def write_texts(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Extracted texts as a table, partitioned by domain where there is one."""
-    writer = documents.write.mode(mode)
-    (writer.partitionBy("domain") if "domain" in documents.columns else writer).parquet(path)
+    """Texts as files, one document in each directory ``document_id=``, below its domain and sub-directory where it has them, for
+    ``text_documents`` to read."""
+    by = [c for c in ("domain", "part", "document_id") if c in documents.columns]
+    documents.select(*by, F.col("text").alias("value")).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).text(path)
+
+
+def write_images(images: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Embedded images (document_id, name, content, text) as a table of binaries with what was read from them."""
+    images.write.mode(mode).parquet(path)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loomspark.operators import chunking, ingest
+from loomspark.operators import chunking
+from loomspark.sources import store
 
 
 def document_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -15,25 +16,12 @@ def document_stream(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("doc_id"), F.col("value").alias("text"))
 
 
-def start_ingest(documents: DataFrame, store: str, checkpoint: str, size: int = 60_000, overlap: int = 3_000) -> StreamingQuery:
-    """Writes chunks and status tables under ``store``; documents that the status table has already are skipped, so a
-    batch that is run again after a failure adds nothing twice."""
+def start_ingest(documents: DataFrame, at: str, checkpoint: str, size: int = 60_000, overlap: int = 3_000) -> StreamingQuery:
+    """Adds documents to the store ``at`` as they come: chunks and status; those that it has already are skipped, from
+    whatever checkpoint they come again."""
 
     def one(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        status = f"{store}/doc_status"
-        batch = batch.dropDuplicates(["doc_id"])
-        try:
-            done = spark.read.parquet(status)
-        except Exception as error:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            done = None
-        new = (batch if done is None else ingest.not_yet_ingested(batch, done)).persist()
-        chunks = chunking.char_chunks(new, size, overlap)
-        chunks.write.mode("overwrite").parquet(f"{store}/chunks/batch={number}")
-        ingest.doc_status(new, chunks).write.mode("append").parquet(status)
-        new.unpersist()
+        store.add(batch, at, lambda docs: chunking.char_chunks(docs, size, overlap), with_graph=False)
 
     return documents.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

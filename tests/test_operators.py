@@ -178,3 +178,84 @@ def test_jaccard_is_symmetric(spark):
     a, b = T.bigrams(F.col("a")), T.bigrams(F.col("b"))
     row = spark.createDataFrame([("night", "nacht")], "a string, b string").select(dedup.jaccard(a, b).alias("x"), dedup.jaccard(b, a).alias("y")).first()
     assert row.x == row.y == 1 / 7
+
+
+def test_split_questions_as_the_lazy_expression(spark):
+    rng = random.Random(4)
+    parts = ["问题1: ", "问题2：", "问题33:", "问题:", "\n", "\n\n", " ", "这是什么?", "text 问题7: x", "答案: y", "a long question it is?"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))) for i in range(400)] + [(900, None), (901, "问题1:\n问题2: x\n问题3: y")]
+    df = spark.createDataFrame(rows, "i int, r string").withColumn("r", T.clean_think(F.col("r")))
+    pattern = F.lit(T.FLAGS + questions.NUMBERED)
+    lazy = F.transform(F.arrays_zip(F.regexp_extract_all("r", pattern, F.lit(1)).alias("n"), F.regexp_extract_all("r", pattern, F.lit(2)).alias("c")), lambda x: F.struct(x["n"].cast("int").alias("number"), T.question_cleanup(x["c"]).alias("content")))
+    got = df.select("i", questions.numbered_questions(F.col("r")).alias("a"), lazy.alias("b")).collect()
+    assert any(r.a for r in got) and all(r.a == r.b for r in got)
+
+
+def test_long_texts_are_cut_once(spark):
+    text = "".join(chr(97 + i % 26) for i in range(1_000_003)) + "𝒳日"
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    for size, overlap in ((1000, 100), (1000, 900), (60_000, 3_000)):
+        got = chunking.char_chunks(df, size, overlap).orderBy("chunk_index").collect()
+        assert all(text[r.start_position : r.end_position] == r.content for r in got) and got[-1].end_position == len(text) and len(got) == got[0].total_chunks
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.85, 0.95])
+def test_pairs_against_all_pairs(spark, threshold):
+    rng = random.Random(7)
+    rows = [(d, i, "".join(rng.choice("abcdef") for _ in range(rng.choice([0, 1, 2, 3, 9, 30])))) for d in range(3) for i in range(60)]
+    rows += [(9, i, "x" * 3 + "abcdefghijklmnopqrstuvwxyz" + "".join(rng.sample("0123456789", rng.randint(0, 4)))) for i in range(40)]
+    grams = {(d, i): {t[k : k + 2] for k in range(len(t) - 1)} for d, i, t in rows}
+    want = {(d, j, i) for (d, i), a in grams.items() for (e, j), b in grams.items() if d == e and i < j and a and b and len(a & b) / len(a | b) >= threshold}
+    got = dedup.similar_pairs(spark.createDataFrame(rows, "doc int, rn int, t string"), "doc", threshold).collect()
+    assert {(r.doc, r.rn, r.earlier) for r in got} == want and len(got) == len(want)
+
+
+def test_top_k_over_blocks(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(vectors, "VECTORS", 64)
+    monkeypatch.setattr(vectors, "QUERIES", 8)
+    x = np.random.default_rng(1).normal(size=(300, 8))
+    x[40:60] = x[40]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, [0.0] * 8), (901, None), (902, [1.0])], "vec_id long, embedding array<double>")
+    got = {}
+    for r in vectors.cosine_top_k(df.where("vec_id % 20 = 0"), df, 5, 0.2).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(0, 300, 20):
+        s = np.round(u @ u[q], 12)
+        s[q] = -9
+        want = [i for i in np.lexsort((np.arange(300), -s)) if s[i] >= 0.2][:5]
+        assert [s[v] for _, v, _ in sorted(got[q])] == pytest.approx([s[i] for i in want])
+    assert [v for _, v, _ in sorted(got[40])] == [41, 42, 43, 44, 45]
+
+
+def test_contexts_from_a_stored_graph(spark):
+    chunks = chunking.char_chunks(spark.createDataFrame([(1, "The GSK980 and the Spindle turn. " * 4 + "Lathe-Nine only."), (2, "GSK980 again with Spindle and Main-Board")], "doc_id long, text string"), 60, 10)
+    nodes, edges = graph.node_table(graph.mentions(chunks)), graph.edge_table(graph.extracted_relations(chunks))
+    key = lambda df: {(r.doc_id, r.chunk_index): (r.prompt_context, r.related_entities, sorted(r.related_chunk_ids)) for r in df.collect()}
+    assert key(context.graph_contexts(chunks, nodes, edges)) == key(context.chunk_contexts(chunks))
+    one = chunks.orderBy("doc_id", "chunk_index").first()
+    foreign = spark.createDataFrame([(None, "Named", None, "kind", "about", f"{one.chunk_id}<SEP>nowhere"), ("", None, None, "kind", "x", one.chunk_id), ("Other", None, "id", None, None, one.chunk_id)], "entity_id string, entity_name string, id string, entity_type string, description string, source_id string")
+    links = spark.createDataFrame([("A", "B", None, "k", one.chunk_id), ("A", "", None, "k", one.chunk_id)], "source string, target string, description string, keywords string, source_id string")
+    got = {(r.doc_id, r.chunk_index): r for r in context.graph_contexts(chunks, foreign, links).collect()}
+    assert got[(1, 0)].related_entities == ["Named", "Other", "A", "B"] and "nowhere" in got[(1, 0)].related_chunk_ids
+    assert "（类型：kind）：about" in got[(1, 0)].prompt_context and "A ↔ B：关键词 k" in got[(1, 0)].prompt_context
+    assert got[(2, 0)].prompt_context == "" and got[(2, 0)].related_entities == []
+
+
+def test_one_text_that_fails_does_not_fail_its_batch(spark):
+    class Picky:
+        def embed(self, texts):
+            if "bad" in texts:
+                raise ValueError("bad")
+            return [[1.0, 2.0] for _ in texts]
+
+    rows = models.embed(spark.createDataFrame([("good",), ("bad",), ("fine",)], "text string").coalesce(1), Picky(), 3, tries=1).collect()
+    assert [list(r.embedding) == [1.0, 2.0, 0.0] for r in rows] == [True, False, True]
+
+
+def test_results_of_extractors():
+    assert models.table_htmls([{"res": {"html": "a"}, "html": "b"}, {"html": "", "cell_html": "c"}, {}, "d", None]) == ["a", "c", "d"]
+    assert models.table_htmls({"html": "x"}) == ["x"] and models.table_htmls(None) == []
+    assert [models.markdown_of(x) for x in (None, "m", {"md": "", "text": "t"}, {"markdown": "k", "md": "l"}, {"z": 1})] == ["", "m", "t", "k", "{'z': 1}"]

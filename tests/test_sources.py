@@ -1,9 +1,13 @@
 import json
+import os
+
+from pyspark.sql import functions as F
 
 from loomspark import cli
-from loomspark.config import Settings, load_settings
+from loomspark.config import Chunking, Settings, load_settings
+from loomspark.functions import models
 from loomspark.operators import chunking
-from loomspark.sources import files
+from loomspark.sources import files, store
 from loomspark.streaming import ingest as stream
 
 GRAPH = """<?xml version='1.0' encoding='utf-8'?>
@@ -51,6 +55,73 @@ def test_stream_takes_each_document_once(spark, tmp_path):
         (tmp_path / f"in/{text}.txt").write_text(text)
     stream.start_ingest(stream.document_stream(spark, str(tmp_path / "in")), str(tmp_path / "store"), str(tmp_path / "cp2")).awaitTermination()
     assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "store/doc_status")).collect()) == ["a", "second", "third"]
+    chunks = sorted((r.doc_id, r.content) for r in spark.read.parquet(str(tmp_path / "store/chunks")).collect())
+    assert chunks == [("a", "first"), ("second", "second"), ("third", "third")]
+
+
+def test_store_adds_what_is_new(spark, tmp_path):
+    at = str(tmp_path / "store")
+    docs = spark.createDataFrame([("a", "The GSK980 drives a Spindle here"), ("b", "Another GSK980 text"), ("a", "twice")], "doc_id string, text string")
+    assert store.add(docs.where("text <> 'twice'"), at, chunking.char_chunks) == 2
+    assert store.add(docs, at, chunking.char_chunks) == 0
+    assert store.add(docs.unionByName(docs.select(F.lit("c").alias("doc_id"), F.lit("Lathe-Nine").alias("text")).limit(1)), at, chunking.char_chunks) == 1
+    assert {t: store.stored(spark, at, t).count() for t in ("chunks", "doc_status")} == {"chunks": 3, "doc_status": 3}
+    assert {(r.doc_id, r.entity_id) for r in store.stored(spark, at, "nodes").collect()} >= {("a", "GSK980"), ("b", "GSK980"), ("c", "Lathe-Nine")}
+    assert store.stored(spark, at, "nothing") is None
+
+
+class StubExtractor:
+    """Pages of a file whose bytes are a JSON list of pages."""
+
+    @staticmethod
+    def pages(content):
+        return json.loads(content)
+
+
+def test_three_steps(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.chdir(tmp_path)
+    spark.sparkContext.addPyFile(__file__)  # workers import the extractor from it
+    line = "A Spindle-Motor of the GSK980 controller is wired to the Main-Board here"
+    for domain, name in (("d1", "one"), ("d1", "two"), ("d2", "three")):
+        at = tmp_path / "working/raw" / domain
+        at.mkdir(parents=True, exist_ok=True)
+        pages = [{"plain": f"{line}, says {name}", "tables": [{"res": {"html": "<table><tr><td>k</td></tr></table>"}}]}, {"plain": "", "markdown": {"md": f"**Bold** {name}"}, "images": ["an image text"]}]
+        (at / f"{name}.pdf").write_text(json.dumps(pages))
+    (tmp_path / "c.json").write_text(json.dumps({"chunking": {"max_chunk_size": 60, "overlap_size": 10}}))
+    assert cli.main(["-c", "c.json", "--extractor", "test_sources:StubExtractor"]) == 0
+    texts = {r.document_id: r.text for r in files.text_documents(spark, str(tmp_path / "working/processed")).collect()}
+    assert set(texts) == {"one", "two", "three"} and f"{line}, says one" in texts["one"] and "| k |" in texts["one"] and "an image text" in texts["one"]
+    assert store.stored(spark, str(tmp_path / "working/graph"), "doc_status").count() == 3
+    questions = lambda: [json.loads(x) for f in (tmp_path / "working/output").rglob("*.json") for x in f.read_text(encoding="utf-8").splitlines()]
+    first = questions()
+    assert {q["document"] if "document" in q else q.get("source_document") for q in first} and any(q["metadata"].get("knowledge_context_used") for q in first)
+    # again: nothing is added twice; a domain by name is found where the first step wrote it
+    assert cli.main(["-c", "c.json", "-s", "2", "-s", "3"]) == 0
+    assert store.stored(spark, str(tmp_path / "working/graph"), "doc_status").count() == 3 and len(questions()) == len(first)
+    assert cli.main(["--list-domains"]) == 0 and "processed: d1, d2" in capsys.readouterr().out
+    assert cli.main(["-c", "c.json", "-s", "2", "-d", "d1"]) == 0
+    assert store.stored(spark, str(tmp_path / "working/graph/d1"), "doc_status").count() == 2
+    # a graph file takes the place of the store
+    (tmp_path / "g.graphml").write_text(GRAPH)
+    assert cli.main(["-c", "c.json", "-s", "3", "--graph", "g.graphml"]) == 0
+    assert not any(q["metadata"].get("knowledge_context_used") for q in questions())
+    assert cli.main(["-s", "1", "-i", "c.json", "--extractor", "x:y"]) == 1
+    (tmp_path / "UP.PDF").write_text(json.dumps([{"plain": "Up"}]))
+    assert cli.main(["-s", "1", "-i", "UP.PDF", "-o", "up", "--extractor", "test_sources:StubExtractor"]) == 0
+    assert [r.document_id for r in files.text_documents(spark, str(tmp_path / "up")).collect()] == ["UP"]
+
+
+def test_tokenizer_by_config(spark, caplog):
+    docs = spark.createDataFrame([("a", "one two three four five six"), ("b", " ")], "doc_id string, text string")
+    c = Chunking(chunk_token_size=4, chunk_overlap_token_size=1, max_chunk_size=10, overlap_size=2)
+    got = sorted((r.chunk_index, r.content) for r in chunking.chunks_of(docs, c, tokenizer=models.WhitespaceTokenizer()).collect())
+    assert got == [(0, "one two three four"), (1, "four five six")]
+    assert {r.content for r in chunking.chunks_of(docs, c).collect()} == {r.content for r in chunking.char_chunks(docs, 10, 2).collect()}
+    assert "windows are of characters" in caplog.text
+    ranks = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+    if os.path.exists(ranks):
+        loaded = models.load_tokenizer(ranks, c.tokenizer_pattern)
+        assert [r.content for r in chunking.chunks_of(docs, Chunking(chunk_token_size=3, chunk_overlap_token_size=0), tokenizer=loaded).orderBy("chunk_index").collect()][0] == "one two three"
 
 
 def test_event_windows(spark):
