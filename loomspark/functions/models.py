@@ -184,7 +184,7 @@ def embed(rows: DataFrame, embedder: Embedder, dim: int, text_col: str = "text",
 def stub_response(text: Column, numbered: bool = True) -> Column:
     """A repeatable answer to a prompt about ``text``: a thought, then a line per line of the text that is a question,
     a question with an answer, or none, in turn."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     ending = lambda i: F.when(F.pmod(i, F.lit(3)) == 0, "？").when(F.pmod(i, F.lit(3)) == 1, "？答案：x").otherwise("")
     head = (lambda i: F.concat(F.lit("问题"), (i + 1).cast("string"), F.lit(": "))) if numbered else (lambda i: F.concat((i + 1).cast("string"), F.lit(". ")))
     said = F.transform(lines, lambda x, i: F.concat(head(i), x, ending(i)))

@@ -157,7 +157,19 @@ def _fitted(dim: int) -> str:
     return f"SELECT vec_id, {dim} AS dim, round(list_reduce({v}, lambda a, b: a + b), 6) AS total, ({v})[{dim}] AS last FROM embeddings"
 
 
+def _of_chunks(sql: str) -> str:
+    """What is said of documents, said of chunks, whose key is the document's and the chunk's number in one."""
+    return sql.replace("FROM documents", "FROM parts").replace("documents USING", "parts USING")
+
+
+_ASKED = f"""{CHUNKS}, parts AS MATERIALIZED (SELECT doc_id * 100000 + chunk_index AS doc_id, chunk_id, content AS text FROM chunks),
+{_of_chunks(_responses("true"))}, {_BOTH},
+lines AS MATERIALIZED (SELECT p.doc_id // 100000 AS doc_id, (row_number() OVER (PARTITION BY p.doc_id // 100000 ORDER BY p.doc_id, p.ord))::INT AS rn, p.content, p.question_index, c.chunk_id
+  FROM parsed p JOIN parts c USING (doc_id))"""
+_ASKED_KEPT = KEPT.replace(LINES, _ASKED).replace("firsts AS (", "first_lines AS (").replace("firsts", "first_lines").replace("first_first_lines", "first_lines")
+
 SQL = {
+    "q_pipeline_e2e": f"WITH RECURSIVE {_ASKED_KEPT} SELECT doc_id::VARCHAR AS source_document, chunk_id AS source_chunk_id, question_index, content FROM kept",
     "q_dedup_greedy": f"WITH RECURSIVE {KEPT} SELECT doc_id, rn, content FROM kept",
     "q_dedup_exact": f"WITH {LINES}, {FIRSTS} SELECT doc_id, rn, md5(t) AS hash FROM firsts",
     "q_jaccard_pairs": f"WITH {LINES}, grams AS MATERIALIZED (SELECT doc_id, rn, {_GRAMS} AS g FROM (SELECT doc_id, rn, {_normal('content')} AS t FROM lines)) SELECT a.doc_id, a.rn AS earlier, b.rn FROM grams a JOIN grams b ON {_SIMILAR}",
