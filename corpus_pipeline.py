@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
 ``run`` writes what a stage returns to the shared folder and gives the next one what it reads there.
+
+Defined cases, as the operators have them: null and empty texts stay but for exact copies of each other and are one piece each;
+a row with a null id is scored, deduplicated by its text, linked with nothing and packed; of rows that repeat whole one stays;
+rows that share an id are each judged by their own text; empty tables give empty results (without labels nothing is toxic); more
+columns of any name are passed on up to packing.
 """
 
 from __future__ import annotations
@@ -55,7 +60,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: A trained classifier and a genetic algorithm have no SQL; tests hold the stages against brute force.
+#: A trained classifier and a genetic algorithm have no SQL; tests hold the run against a plain one.
 ORACLE_SQL = None
 
 
