@@ -38,8 +38,10 @@ from .common import discard, settle, small_batches
 DIMENSIONS, SHARD, LEAF, BLOCK = 32, 16_384, 64, 2048
 #: Vectors on which the cells are fitted, and cells at most; a cell that holds more than ``SHARD`` vectors has several trees.
 SAMPLE, CELLS = 16_384, 4096
+#: Projected neighbours that are verified at once before the test is asked, at least.
+FIRST = 512
 #: Probability with which a vector as near as the k-th best would have shown up before a query stops.
-SURE = 0.92
+SURE = 0.9
 #: Scores are ranked in whole units of this.
 UNIT = 1e-12
 
@@ -160,7 +162,7 @@ def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, points: np.ndarray,
             q = lo + i
             gap = gaps[i]
             here = np.flatnonzero(gap <= limit[i]) if np.isfinite(limit[i]) else np.arange(len(gap))
-            many, done, end = 4 * k + 64, 0, float(limit[i])
+            many, done, end = max(FIRST, 4 * k), 0, float(limit[i])
             best_at, best = np.empty(0, np.int64), np.empty(0)
             if len(here) > many:  # the nearest ones come first; of the others only those within their reach are put in order
                 head = np.argpartition(gap[here], many)
@@ -262,8 +264,11 @@ def _searched(index: DataFrame, asked: DataFrame, k: int, sure: float) -> DataFr
     blocks = asked.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     blocks = settle(blocks)
     tiles = index.join(blocks, key).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    asked = asked.join(blocks, key).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks")
-    return settle(tiles.groupBy(*key, "block").cogroup(asked.groupBy(*key, "block")).applyInPandas(_search_block(k, sure), _FOUND))
+    asked_by = asked.join(blocks, key).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks")
+    found = settle(tiles.groupBy(*key, "block").cogroup(asked_by.groupBy(*key, "block")).applyInPandas(_search_block(k, sure), _FOUND))
+    for table in (parts, asked, blocks):
+        discard(table)
+    return found
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -302,7 +307,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
         asked = _routed(known, cells, low, high, main, chi_square_bound(sure, dimensions_of(main)))
         found = found.unionByName(_searched(index, asked, k, sure))
     ranked = _best(found, k).select("query_id", F.posexplode("best").alias("i", "x"))
-    for table in (dealt, parts):
+    for table in (rows, indexed, dealt, parts, index, queries):
         discard(table)
     return ranked.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
 

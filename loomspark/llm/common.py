@@ -19,12 +19,14 @@ SLICE_ROWS, SLICE_CHARS = 256, 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the cluster names none (tests) is one made."""
+    """The folder that driver and executors share. Only in a local session that names none (tests) is one made."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     there = spark.sparkContext.getCheckpointDir()
     if not there:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomspark-"))
         there = spark.sparkContext.getCheckpointDir()
     return there.rstrip("/")

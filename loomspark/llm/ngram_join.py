@@ -34,7 +34,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +42,7 @@ from .common import components, discard, fresh, give_back, member_gate, settle,
 #: Sets of a tile's block, and the hashes that they hold together; a tile compares two blocks.
 BLOCK, BLOCK_HASHES = 1024, 1 << 20
 #: Shingles of a block of texts and of a bucket of hashes; sets of a block that make a hash travel once for all of them.
-TEXT_BLOCK, BUCKET, OFTEN = 1 << 21, 1 << 20, 64
+TEXT_BLOCK, BUCKET, OFTEN = 1 << 20, 1 << 18, 64
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9FB21C651E98DF25], dtype=np.uint64)
 
 
@@ -171,7 +170,8 @@ def _packed_rows(words: int, buckets: int):
     the hashes that many sets hold and how many), and one with what the block keeps (kind 1: a names of the sets, b their
     sizes, c hashes that many hold, d how many and which)."""
 
-    def done(block: int, keys: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def done(keys: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        block = int(set_keys([keys])[0])  # named by what it holds, so that a task that runs again names it alike
         sizes = np.array([len(s) for s in sets], np.int64)
         flat = np.concatenate(sets)
         bucket = ((flat >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -196,7 +196,7 @@ def _packed_rows(words: int, buckets: int):
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([block] * len(part), pa.int64()), pa.array([0] * len(part), pa.int32()), *columns], names=["bucket", "block", "kind", "a", "b", "c", "d"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, total = TaskContext.get().partitionId() << 24, {}, 0
+        held, total = {}, 0
         for batch in batches:
             for _, texts in slices(batch, "text"):
                 sets = [s for s in shingle_sets(texts, words) if len(s)]
@@ -205,10 +205,10 @@ def _packed_rows(words: int, buckets: int):
                         held[key] = s
                         total += len(s)
                 if total >= TEXT_BLOCK or len(held) >= 1 << 15:
-                    yield from done(block, np.array(list(held), np.int64), list(held.values()))
-                    block, held, total = block + 1, {}, 0
+                    yield from done(np.array(list(held), np.int64), list(held.values()))
+                    held, total = {}, 0
         if held:
-            yield from done(block, np.array(list(held), np.int64), list(held.values()))
+            yield from done(np.array(list(held), np.int64), list(held.values()))
         held = None
         give_back()
 
@@ -569,30 +569,43 @@ def _near(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
 
 
 def _open_lists(met: DataFrame, comps: DataFrame, t: int) -> DataFrame:
-    """tok, rep, n, comp and band of the lists that hold sets of different components."""
+    """tok, rep, n, comp, band and main (whether comp is the list's most frequent one) of the lists that hold sets of different
+    components."""
     now = met.join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select("tok", "rep", "n", F.coalesce("root", "rep").alias("comp"))
     now = settle(now.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(t / 100.0 - 1e-9)))).cast("int")))
-    mixed = now.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.expr("tok ^ 0").alias("tok"))
-    return settle(now.join(settle(mixed), "tok", "left_semi"))
+    each = now.groupBy("tok", "comp").agg(F.count("*").alias("many"))
+    mixed = each.groupBy("tok").agg(F.count("*").alias("comps"), F.max(F.struct("many", "comp")).alias("top")).where("comps > 1")
+    mixed = settle(mixed.select(F.expr("tok ^ 0").alias("tok"), F.col("top.comp").alias("top")))
+    return settle(now.join(mixed, "tok").select("tok", "rep", "n", "comp", "band", (F.col("comp") == F.col("top")).alias("main")))
 
 
 def _tiles(rows: DataFrame, of_sets: DataFrame) -> DataFrame:
-    """The lists ``rows`` (tok, rep, n, comp, band) as tiles, with what ``of_sets`` (id, ...) says of each set, sorted by tile."""
-    size = rows.groupBy("tok", "band").agg(F.count("*").alias("many"), F.sum("n").alias("hashes"))
-    blocks = F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(F.col("hashes") / BLOCK_HASHES), F.lit(1)).cast("int")
-    size = settle(size.select("tok", "band", "many", blocks.alias("blocks")))
-    above = size.select("tok", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
-    below = size.select("tok", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    """The lists ``rows`` (tok, rep, n, comp, band, main) as tiles, with what ``of_sets`` (id, ...) says of each set, sorted by tile.
+
+    Sets of a list's main component needn't meet each other: the other ones meet each other and them. A long list of copies that
+    are linked already thus costs rows in proportion to its length, not to its square."""
+    blocks = lambda role: F.greatest(F.ceil(F.count_if(role) / BLOCK), F.ceil(F.sum(F.when(role, F.col("n")).otherwise(0)) / BLOCK_HASHES)).cast("int")
+    size = settle(rows.groupBy("tok", "band").agg(blocks(F.col("main")).alias("m"), blocks(~F.col("main")).alias("o")))
+    beside = lambda d, end: size.select("tok", (F.col("band") - d).alias("band"), F.col("m").alias(f"m_{end}"), F.col("o").alias(f"o_{end}"))
     # a table of its own, so that both sides of the next join are read as they are and a hot list can be split
-    size = settle(size.join(above, ["tok", "band"], "left").join(below, ["tok", "band"], "left").where("many > 1 OR above IS NOT NULL OR below IS NOT NULL"))
+    size = size.join(beside(1, "up"), ["tok", "band"], "left").join(beside(-1, "down"), ["tok", "band"], "left")
+    size = settle(size.na.fill(0, ["m_up", "o_up", "m_down", "o_down"]))
     placed = rows.join(size, ["tok", "band"])
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    # a tile is (list, lower band, block of the lower, kind, block of the other)
-    same = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.col("band").alias("low"), F.least("block", j).alias("i"), F.lit(0).alias("kind"), F.greatest("block", j).alias("j"), F.when(F.col("block") <= j, 0).otherwise(1).alias("side")))
-    up = F.transform(F.sequence(F.lit(0), F.coalesce("above", F.lit(1)) - 1), lambda j: F.struct(F.col("band").alias("low"), F.col("block").alias("i"), F.lit(1).alias("kind"), j.alias("j"), F.lit(0).alias("side")))
-    down = F.transform(F.sequence(F.lit(0), F.coalesce("below", F.lit(1)) - 1), lambda i: F.struct((F.col("band") - 1).alias("low"), i.alias("i"), F.lit(1).alias("kind"), F.col("block").alias("j"), F.lit(1).alias("side")))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.greatest(F.when(F.col("main"), F.col("m")).otherwise(F.col("o")), F.lit(1))).cast("int"))
+    # a tile is (list, lower or main band, block in it, kind, block of the other side); kinds: 0 others of a band, 1 others of
+    # neighbouring bands, 2 to 4 a main band with others of the band below, the same, and the one above
+    tile = lambda low, i, kind, j, side: F.struct(low.alias("low"), i.alias("i"), F.lit(kind).alias("kind"), j.alias("j"), (F.lit(side) if isinstance(side, int) else side).alias("side"))
     none = F.array().cast("array<struct<low:int,i:int,kind:int,j:int,side:int>>")
-    tiles = F.concat(F.when(F.col("many") > 1, same).otherwise(none), F.when(F.col("above").isNotNull(), up).otherwise(none), F.when(F.col("below").isNotNull(), down).otherwise(none))
+    over = lambda many, make: F.when(F.col(many) > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col(many), F.lit(1)) - 1), make)).otherwise(none)
+    band, block = F.col("band"), F.col("block")
+    same = over("o", lambda j: tile(band, F.least(block, j), 0, F.greatest(block, j), F.when(block <= j, 0).otherwise(1)))
+    up = over("o_up", lambda j: tile(band, block, 1, j, 0))
+    down = over("o_down", lambda i: tile(band - 1, i, 1, block, 1))
+    of = lambda kind: lambda j: tile(band, block, kind, j, 0)
+    to = lambda kind, by: lambda i: tile(band + by, i, kind, block, 1)
+    of_main = [over(many, of(kind)) for kind, many in ((2, "o_down"), (3, "o"), (4, "o_up"))]
+    to_main = [over(many, to(kind, by)) for kind, many, by in ((2, "m_up", 1), (3, "m", 0), (4, "m_down", -1))]
+    tiles = F.when(F.col("main"), F.concat(*of_main)).otherwise(F.concat(same, up, down, *to_main))
     key = ["tok", "low", "i", "kind", "j"]
     dealt = placed.withColumn("tile", F.explode(tiles)).select("tok", "tile.low", "tile.i", "tile.kind", "tile.j", "tile.side", F.col("rep").alias("id"), "n", "comp")
     return dealt.join(of_sets, "id").select(*key, "side", "id", "n", "comp", *of_sets.columns[1:]).repartition(*key).sortWithinPartitions(*key)

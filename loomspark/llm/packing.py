@@ -306,6 +306,7 @@ def _epoch(size: int, seed: int):
         rng = np.random.default_rng([seed, int(key[0]), int(key[1])])
         now = [np.frombuffer(x, np.int32).astype(np.int64) for x in herd.sort_values("place").bins] if len(herd) else founders(lengths, size, rng, POPULATION)
         now = evolve(now, lengths, size, rng)
+        give_back()
         return pd.DataFrame({"shard": key[0], "island": key[1], "place": range(len(now)), "bins": [x.astype(np.int32).tobytes() for x in now]})
 
     return run

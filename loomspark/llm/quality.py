@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import is_held_out, labelled_sample, settle, slices, small_batches
+from .common import discard, is_held_out, labelled_sample, settle, slices, small_batches
 
 #: Labelled rows that the classifier learns from, at most; Fourier features; ridge.
 TRAIN_ROWS, FEATURES, RIDGE = 20_000, 256, 1e-2
@@ -154,6 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
     held = known.where(apart).select("x", "y").toPandas()  # a quarter of the bounded sample
     if held.y.nunique() < 2:
         held = known.select("x", "y").toPandas()
+    discard(known)
     model.knots, model.values = isotonic(model.raw(np.stack(held.x)), held.y.to_numpy().astype(float))
     return model
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, give_back, is_held_out, labelled_sample, settle, slices, small_batches
+from .common import discard, fresh, give_back, is_held_out, labelled_sample, settle, slices, small_batches
 
 #: Labelled documents that the classifier learns from, at most; landmarks of toxic and of other words.
 TRAIN_ROWS, TOXIC_LANDMARKS, OTHER_LANDMARKS = 12_000, 128, 64
@@ -308,6 +308,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn, id_col: str = "do
     held = _summaries_of(sample.where(apart), model).toPandas()  # a quarter of the bounded sample
     if held.y.nunique() < 2:
         held = _summaries_of(sample, model).toPandas()
+    for table in (sample, vocabulary):
+        discard(table)
     model.logistic = _logistic(np.stack(held.d), held.y.to_numpy().astype(float))
     return model
 

@@ -154,6 +154,29 @@ def test_clashing_columns(spark, tables, module):
     assert sorted((r.doc_id or -1, round(r.score, 9)) for r in module.score_documents(odd, model).collect()) == want
 
 
+def test_landmarks_give_the_exact_machine():
+    """With all words as landmarks the machine is that of the exact kernel, on explicit subsequence vectors."""
+    rng = random.Random(6)
+    some = list(dict.fromkeys(["idiot", "idi*ot", "moron", "mo.ron", "banana", "bandana", *words(rng, 40).split()]))
+    y = np.array([1.0 if w[:2] in ("id", "mo") else -1.0 for w in some])
+    exact = toxicity._dense(some)
+    values, vectors = np.linalg.eigh(exact @ exact.T)
+    near = exact @ exact.T @ (vectors / np.sqrt(np.maximum(values, 1e-9)) @ vectors.T)
+    decisions = []
+    for x in (exact, near):
+        w, offset = toxicity._machine(x, y, np.ones(len(y)) * 10, 0.2)
+        decisions.append(x @ w - offset)
+    assert np.allclose(*decisions, atol=1e-3) and (np.sign(decisions[0]) == y).all()
+    # folded into one weight per subsequence, it scores words as the exact kernel does
+    x, keys = exact, np.unique(toxicity.subsequences(some)[0])
+    w, offset = toxicity._machine(x, y, np.ones(len(y)) * 10, 0.2)
+    weights = np.zeros(toxicity.ALPHABET**3, np.float32)
+    weights[keys] = w
+    weights[0] = 0
+    model = toxicity.Model(weights, offset, 0.5)
+    assert np.allclose(model.decisions(some), x @ w - offset, atol=1e-3)
+
+
 def test_isotonic():
     x = np.array([3.0, 1.0, 2.0, 4.0])
     knots, values = quality.isotonic(x, np.array([1.0, 0.0, 1.0, 0.0]))
