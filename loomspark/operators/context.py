@@ -23,20 +23,24 @@ def _capped(rows: DataFrame, order: list, most: int, by: list[str] = KEY, name:
 
 
 def context_entities(found: DataFrame, most: int = 5) -> DataFrame:
-    """doc_id, chunk_index, chunk_id, rank, name, line: the first ``most`` distinct entities of each chunk in graph order."""
-    order = graph.nodes(found).select("doc_id", F.col("entity_id").alias("name"), "entity_type", "n_chunks", "first_chunk", "first_pos")
-    rows = found.select(*KEY, "chunk_id", "name").distinct().join(order, ["doc_id", "name"])
+    """doc_id, chunk_index, chunk_id, rank, name, line: the first ``most`` distinct entities of each chunk in graph order.
+
+    Rows are dealt by document once; what is known of an entity in its document comes from windows there."""
+    rows = found.repartition("doc_id").groupBy(*KEY, "chunk_id", "name").agg(F.min("pos").alias("pos"))
+    of_name = W.partitionBy("doc_id", "name")
+    rows = rows.withColumn("nth", F.dense_rank().over(of_name.orderBy("chunk_id")))
+    rows = rows.withColumns({"n_chunks": F.max("nth").over(of_name), "first": F.min(F.struct("chunk_index", "pos")).over(of_name)})
     about = F.concat(F.lit("named in "), F.col("n_chunks").cast("string"), F.lit(" chunks"))
-    out = _capped(rows, ["first_chunk", "first_pos", "name"], most)
-    return out.select(*KEY, "chunk_id", "rank", "name", T.entity_line(F.col("name"), F.col("entity_type"), about).alias("line"))
+    out = _capped(rows, ["first", "name"], most)
+    return out.select(*KEY, "chunk_id", "rank", "name", T.entity_line(F.col("name"), graph.entity_type(F.col("name")), about).alias("line"))
 
 
 def context_relations(relations: DataFrame, most: int = 5) -> DataFrame:
     """doc_id, chunk_index, rank, source, target, line: the first ``most`` relations of each chunk with both endpoints."""
-    pairs = graph.canonical(relations.where(T.filled(F.col("source")).isNotNull() & T.filled(F.col("target")).isNotNull()))
-    order = pairs.groupBy("doc_id", "a", "b").agg(F.min(F.struct("chunk_index", "pos")).alias("first"))
-    rows = pairs.groupBy(*KEY, "a", "b").agg(F.min(F.struct("pos", "source", "target")).alias("x")).join(order, ["doc_id", "a", "b"])
-    out = _capped(rows, ["first.chunk_index", "first.pos", "a", "b"], most)
+    pairs = graph.canonical(relations.where(T.filled(F.col("source")).isNotNull() & T.filled(F.col("target")).isNotNull())).repartition("doc_id")
+    pairs = pairs.withColumn("first", F.min(F.struct("chunk_index", "pos")).over(W.partitionBy("doc_id", "a", "b")))
+    rows = pairs.groupBy(*KEY, "a", "b").agg(F.min(F.struct("pos", "source", "target")).alias("x"), F.min("first").alias("first"))
+    out = _capped(rows, ["first", "a", "b"], most)
     line = T.relation_line(F.col("x.source"), F.col("x.target"), F.lit(None).cast("string"), F.lit("adjacent"))
     return out.select(*KEY, "rank", F.col("x.source").alias("source"), F.col("x.target").alias("target"), line.alias("line"))
 
@@ -61,9 +65,9 @@ def snippets(related: DataFrame, chunks: DataFrame, most: int = 2, chars: int =
 def chunk_contexts(chunks: DataFrame, most_entities: int = 5, most_relations: int = 5, most_snippets: int = 2, snippet_chars: int = 200) -> DataFrame:
     """doc_id, chunk_index, chunk_id, content, prompt_context, related_entities, related_chunk_ids of every chunk.
 
-    Entities and snippets are taken from the texts once, into a narrow table that everything else reads."""
+    Chunks are cut and their entities and snippets taken once, into a table of which everything else reads what it needs."""
     with_entities = once(chunks, "e", T.extract_entities(F.col("content")))
-    short = settled(with_entities.select(*KEY, "chunk_id", "e", T.snippet(F.col("content"), snippet_chars).alias("snippet")))
+    chunks = short = settled(with_entities.select(*KEY, "chunk_id", "content", "e", T.snippet(F.col("content"), snippet_chars).alias("snippet")))
     found, relations = graph.mentions(short), graph.extracted_relations(short)
     entities, pairs = settled(context_entities(found, most_entities)), context_relations(relations, most_relations)
     return _assembled(chunks, entities, pairs, related_chunks(entities, found), short, most_snippets)
@@ -103,24 +107,23 @@ def graph_contexts(chunks: DataFrame, nodes: DataFrame, edges: DataFrame, most_e
 
 
 def _assembled(chunks: DataFrame, entities: DataFrame, pairs: DataFrame, related: DataFrame, short: DataFrame, most_snippets: int) -> DataFrame:
-    """The context of each chunk from its entities, relations, related chunks and their snippets."""
+    """The context of each chunk from its entities, relations, related chunks and their snippets: all their lines are gathered
+    by chunk at once."""
     related = settled(related)
-    lines = lambda rows, at, *more: rows.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), "line", *more))).alias("x"))
-    e = lines(entities, "rank", "name").select(*KEY, F.col("x.line").alias("e_lines"), F.col("x.name").alias("names"))
-    ends = F.flatten(F.transform("x", lambda x: F.array(x["source"], x["target"])))
-    r = lines(pairs, "rank", "source", "target").select(*KEY, F.col("x.line").alias("r_lines"), ends.alias("ends"))
-    s = lines(snippets(related, short, most_snippets), "place").select(*KEY, F.col("x.line").alias("s_lines"))
-    ids = related.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("place", "related_id"))).alias("x")).select(*KEY, F.col("x.related_id").alias("ids"))
     none = F.array().cast("array<string>")
-    full = chunks.select(*KEY, "chunk_id", "content")
-    for part in (e, r, s, ids):
-        full = full.join(part, KEY, "left")
-    filled = lambda c: F.coalesce(c, none)
+    lines = lambda rows, kind, at, line, names: rows.select(*KEY, F.lit(kind).alias("kind"), F.col(at).alias("at"), F.col(line).alias("line"), names.alias("names"))
+    rows = lines(entities, 0, "rank", "line", F.array("name"))
+    rows = rows.unionByName(lines(pairs, 1, "rank", "line", F.array("source", "target")))
+    rows = rows.unionByName(lines(snippets(related, short, most_snippets), 2, "place", "line", none))
+    rows = rows.unionByName(lines(related, 3, "place", "related_id", none))
+    gathered = rows.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("kind", "at", "line", "names"))).alias("x"))
+    full = chunks.select(*KEY, "chunk_id", "content").join(gathered, KEY, "left").withColumn("x", F.coalesce("x", F.array().cast(gathered.schema["x"].dataType)))
+    said = lambda kind: F.transform(F.filter("x", lambda r: r["kind"] == kind), lambda r: r["line"])
     return full.select(
         *KEY,
         "chunk_id",
         "content",
-        T.prompt_context(filled("e_lines"), filled("r_lines"), filled("s_lines")).alias("prompt_context"),
-        F.array_distinct(F.concat(filled("names"), filled("ends"))).alias("related_entities"),
-        F.array_distinct(F.concat(F.array("chunk_id"), filled("ids"))).alias("related_chunk_ids"),
+        T.prompt_context(said(0), said(1), said(2)).alias("prompt_context"),
+        F.array_distinct(F.flatten(F.transform("x", lambda r: r["names"]))).alias("related_entities"),
+        F.array_distinct(F.concat(F.array("chunk_id"), said(3))).alias("related_chunk_ids"),
     )

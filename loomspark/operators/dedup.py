@@ -10,6 +10,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as T
@@ -24,17 +25,21 @@ def jaccard(a: Column, b: Column) -> Column:
 def _parted(signed: DataFrame, key: str, threshold: float) -> DataFrame:
     """key, rn, n, label, upper, part and part_hash: the bigrams of a row dealt into parts by hash, one more of them than two
     similar sets may have differences, so that these agree in a part as a whole. Similar sets are of the same size band
-    or of neighbouring ones; a row has the parts of its own band's label and, as the larger one, of the label below."""
+    or of neighbouring ones; a row has the parts of its own band's label and, as the larger one, of the label below. Rows that
+    have no other one near their size have none. All that goes by key, as do the rows once they are dealt by it."""
     step = -math.log(threshold - 1e-9)
-    band = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
+    near = W.partitionBy(key).orderBy("band")
+    rows = signed.select(key, "rn", "n", "g", F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("band")).repartition(key)
+    beside = {"own": (0, 0), "above": (1, 1), "below": (-1, -1)}
+    rows = rows.withColumns({name: F.count("*").over(near.rangeBetween(*frame)) for name, frame in beside.items()})
     most = lambda b: F.floor(F.exp((b + 1) * step) + 1e-6)
-    label = F.explode(F.array(F.struct(F.col("band").alias("label"), F.lit(False).alias("upper")), F.struct((F.col("band") - 1).alias("label"), F.lit(True).alias("upper")))).alias("l")
-    rows = signed.withColumn("band", band).select(key, "rn", "n", "g", label)
+    one = lambda label, upper: F.struct(label.alias("label"), F.lit(upper).alias("upper"))
+    labels = F.array_compact(F.array(F.when((F.col("own") > 1) | (F.col("above") > 0), one(F.col("band"), False)), F.when(F.col("below") > 0, one(F.col("band") - 1, True))))
+    rows = rows.select(key, "rn", "n", "g", F.explode(labels).alias("l"))
     parts = (F.floor((1 - threshold) / (1 + threshold) * (most(F.col("l.label")) + most(F.col("l.label") + 1)) + 1e-6) + 1).cast("long")
     rows = rows.select(key, "rn", "n", "g", "l.label", "l.upper", parts.alias("parts"))
-    hashes = F.transform("g", lambda x: F.xxhash64(x))
     # a part without a bigram is a part too
-    each = F.concat(F.transform(hashes, lambda h: F.struct(F.pmod(h, F.col("parts")).alias("part"), h.alias("h"))), F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda i: F.struct(i.alias("part"), F.lit(0).cast("long").alias("h"))))
+    each = F.concat(F.transform("g", lambda x: F.struct(F.pmod(F.xxhash64(x), F.col("parts")).alias("part"), F.xxhash64(x).alias("h"))), F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda i: F.struct(i.alias("part"), F.lit(0).cast("long").alias("h"))))
     dealt = rows.select(key, "rn", "n", "label", "upper", F.explode(each).alias("x"))
     return dealt.groupBy(key, "rn", "n", "label", "upper", F.col("x.part").alias("part")).agg(F.bit_xor(F.col("x.h")).alias("part_hash"))
 
@@ -44,9 +49,9 @@ def similar_pairs(rows: DataFrame, key: str, threshold: float) -> DataFrame:
     least ``threshold``, from (key, rn, t). Rows meet only where a whole part of their bigrams is equal, so that the pairs that
     are compared grow with those that are alike, not with the square of a document's rows."""
     signed = settled(once(rows.where(F.length("t") >= 2).select(key, "rn", "t"), "g", T.bigrams(F.col("t"))).select(key, "rn", "g", F.size("g").alias("n")))
-    parted = settled(_parted(signed, key, threshold))
+    parted = _parted(signed, key, threshold).repartition(key, "label", "part", "part_hash")  # one exchange for both sides
     a, b = (parted.select(key, "label", "part", "part_hash", *[F.col(c).alias(f"{p}_{c}") for c in ("rn", "n", "upper")]) for p in "ab")
-    met = a.join(b, [key, "label", "part", "part_hash"]).where((F.col("a_rn") < F.col("b_rn")) & ~(F.col("a_upper") & F.col("b_upper")) & (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n") - 1e-9))
+    met = a.hint("merge").join(b, [key, "label", "part", "part_hash"]).where((F.col("a_rn") < F.col("b_rn")) & ~(F.col("a_upper") & F.col("b_upper")) & (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n") - 1e-9))
     near = met.select(key, F.col("a_rn").alias("earlier"), F.col("b_rn").alias("rn")).distinct()
     pairs = near.join(signed.select(key, "rn", F.col("g").alias("b_g")), [key, "rn"]).join(signed.select(key, F.col("rn").alias("earlier"), F.col("g").alias("a_g")), [key, "earlier"])
     return pairs.where(jaccard(F.col("a_g"), F.col("b_g")) >= threshold).select(key, "rn", "earlier")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as T
@@ -36,10 +36,13 @@ def canonical(relations: DataFrame) -> DataFrame:
     return relations.withColumns({"a": F.least("source", "target"), "b": F.greatest("source", "target")})
 
 
+def entity_type(name: Column) -> Column:
+    return F.when(name.rlike(r"^[A-Z]+\d"), "artifact").otherwise("concept")
+
+
 def nodes(found: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per entity: type, in how many chunks, and where it is first named."""
-    kind = F.when(F.col("name").rlike(r"^[A-Z]+\d"), "artifact").otherwise("concept")
-    return found.groupBy(*by, "name").agg(F.countDistinct("chunk_id").alias("n_chunks"), F.min(F.struct("chunk_index", "pos")).alias("first")).select(*by, F.col("name").alias("entity_id"), kind.alias("entity_type"), "n_chunks", F.col("first.chunk_index").alias("first_chunk"), F.col("first.pos").alias("first_pos"))
+    return found.groupBy(*by, "name").agg(F.countDistinct("chunk_id").alias("n_chunks"), F.min(F.struct("chunk_index", "pos")).alias("first")).select(*by, F.col("name").alias("entity_id"), entity_type(F.col("name")).alias("entity_type"), "n_chunks", F.col("first.chunk_index").alias("first_chunk"), F.col("first.pos").alias("first_pos"))
 
 
 def edges(relations: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
