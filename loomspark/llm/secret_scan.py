@@ -237,20 +237,37 @@ SELECT doc_id, {counts}, sha256({said(f'list_filter(spans, lambda x: x.k IN ({ba
 OP3_SQL = _oracle()
 
 
+#: Characters of the blocks that a text is cut into before what stands between its spans is put together.
+CUT = 1000
+
+
 def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every span replaced by ``mask``; of spans that overlap, the one that starts first counts."""
-    key, other_id, other_key, spans = fresh(docs, "_key", "_id", "_h", "_spans")
+    """``docs`` with every span replaced by ``mask``; spans that overlap have one mask together.
+
+    A text with spans is cut into blocks once, and what stands between two spans comes from the blocks around it, so that
+    neither the text's length nor what is done already counts again for each span."""
+    key, other_id, other_key, spans, blocks, covered = fresh(docs, "_key", "_id", "_h", "_spans", "_blocks", "_covered")
     found = find_secrets(docs, id_col, text_col, rules).where(F.size("spans") > 0).dropDuplicates([id_col, "h"])
     found = settle(found.select(F.col(id_col).alias(other_id), F.col("h").alias(other_key), F.col("spans").alias(spans)))
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     rows = keyed.join(found, keyed[id_col].eqNullSafe(found[other_id]) & (keyed[key] == found[other_key]), "left")
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).cast("long").alias("pos"), F.lit("").alias("out"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def merged(acc, x):
+        last = F.element_at(acc, -1)
+        apart = (F.size(acc) == 0) | (x["start"] >= last["end"])
+        one = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end")))
+        return F.when(apart, F.concat(acc, one(x["start"], x["end"]))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), one(last["start"], F.greatest(last["end"], x["end"]))))
+
+    # generators of one row: what the next expressions go through for each span is made once
+    whole = F.when(F.col(spans).isNotNull(), F.struct(F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)).alias("blocks"), F.aggregate(F.array_sort(F.col(spans)), none, merged).alias("covered")))
+    rows = rows.select("*", F.explode(F.array(whole)).alias(blocks)).withColumn(covered, F.col(blocks)["covered"])
 
-    def step(acc, x):
-        piece = F.concat(acc["out"], F.substr(text, (acc["pos"] + 1).cast("int"), (x["start"] - acc["pos"]).cast("int")), F.lit(mask))
-        return F.when(x["start"] >= acc["pos"], F.struct(x["end"].alias("pos"), piece.alias("out"))).otherwise(F.struct(F.greatest(x["end"], acc["pos"]).alias("pos"), acc["out"].alias("out")))
+    def between(start, end):
+        near = F.array_join(F.slice(F.col(blocks)["blocks"], (start / CUT).cast("int") + 1, ((end - start) / CUT).cast("int") + 2), "")
+        return F.substr(near, (start % CUT + 1).cast("int"), (end - start).cast("int"))
 
-    done = F.aggregate(spans, start, step)
-    clean = F.when(F.col(spans).isNull(), text).otherwise(F.concat(done["out"], F.substr(text, (done["pos"] + 1).cast("int"))))
+    before = F.transform(covered, lambda x, i: between(F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(covered, i - 1)["end"]), x["start"]))
+    rest = between(F.element_at(covered, -1)["end"], F.length(text_col).cast("long"))
+    clean = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(F.array_join(F.concat(before, F.array(rest)), mask))
     return rows.withColumn(text_col, clean).select(*docs.columns)
