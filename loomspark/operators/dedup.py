@@ -22,36 +22,50 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
+#: Rows of a key that are near each other in size and meet as they are; of more, those that agree in a part of their bigrams.
+FEW = 64
+
+
 def _parted(signed: DataFrame, key: str, threshold: float) -> DataFrame:
-    """key, rn, n, label, upper, part and part_hash: the bigrams of a row dealt into parts by hash, one more of them than two
-    similar sets may have differences, so that these agree in a part as a whole. Similar sets are of the same size band
-    or of neighbouring ones; a row has the parts of its own band's label and, as the larger one, of the label below. Rows that
-    have no other one near their size have none. All that goes by key, as do the rows once they are dealt by it."""
+    """key, rn, n, sig, label, upper, part and part_hash: where rows meet that may be similar.
+
+    Similar sets are of the same size band or of neighbouring ones; a row is under its own band's label and, as the larger one,
+    under the label below. The bigrams of a row are dealt into parts by hash, one more of them than two similar sets may have
+    differences, so that these agree in a part as a whole. Where few rows share a label one part without any bigram does. All that
+    goes by key, as do the rows once they are dealt by it."""
     step = -math.log(threshold - 1e-9)
     near = W.partitionBy(key).orderBy("band")
-    rows = signed.select(key, "rn", "n", "g", F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("band")).repartition(key)
+    rows = signed.select(key, "rn", "n", "sig", "g", F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("band")).repartition(key)
     beside = {"own": (0, 0), "above": (1, 1), "below": (-1, -1)}
     rows = rows.withColumns({name: F.count("*").over(near.rangeBetween(*frame)) for name, frame in beside.items()})
     most = lambda b: F.floor(F.exp((b + 1) * step) + 1e-6)
-    one = lambda label, upper: F.struct(label.alias("label"), F.lit(upper).alias("upper"))
-    labels = F.array_compact(F.array(F.when((F.col("own") > 1) | (F.col("above") > 0), one(F.col("band"), False)), F.when(F.col("below") > 0, one(F.col("band") - 1, True))))
-    rows = rows.select(key, "rn", "n", "g", F.explode(labels).alias("l"))
+    one = lambda label, upper, many: F.struct(label.alias("label"), F.lit(upper).alias("upper"), many.alias("many"))
+    lower, upper = one(F.col("band"), False, F.col("own") + F.col("above")), one(F.col("band") - 1, True, F.col("own") + F.col("below"))
+    labels = F.array_compact(F.array(F.when((F.col("own") > 1) | (F.col("above") > 0), lower), F.when(F.col("below") > 0, upper)))
+    rows = rows.select(key, "rn", "n", "sig", "g", F.explode(labels).alias("l"))
     parts = (F.floor((1 - threshold) / (1 + threshold) * (most(F.col("l.label")) + most(F.col("l.label") + 1)) + 1e-6) + 1).cast("long")
-    rows = rows.select(key, "rn", "n", "g", "l.label", "l.upper", parts.alias("parts"))
+    rows = rows.select(key, "rn", "n", "sig", "g", "l.label", "l.upper", F.when(F.col("l.many") > FEW, parts).otherwise(0).cast("long").alias("parts"))
     # a part without a bigram is a part too
     each = F.concat(F.transform("g", lambda x: F.struct(F.pmod(F.xxhash64(x), F.col("parts")).alias("part"), F.xxhash64(x).alias("h"))), F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda i: F.struct(i.alias("part"), F.lit(0).cast("long").alias("h"))))
-    dealt = rows.select(key, "rn", "n", "label", "upper", F.explode(each).alias("x"))
-    return dealt.groupBy(key, "rn", "n", "label", "upper", F.col("x.part").alias("part")).agg(F.bit_xor(F.col("x.h")).alias("part_hash"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("h")))
+    dealt = rows.select(key, "rn", "n", "sig", "label", "upper", F.explode(F.when(F.col("parts") > 0, each).otherwise(whole)).alias("x"))
+    return dealt.groupBy(key, "rn", "n", "sig", "label", "upper", F.col("x.part").alias("part")).agg(F.bit_xor(F.col("x.h")).alias("part_hash"))
 
 
 def similar_pairs(rows: DataFrame, key: str, threshold: float) -> DataFrame:
     """key, rn and earlier (rn of an earlier row of the key) of the pairs whose bigrams have a Jaccard similarity of at
-    least ``threshold``, from (key, rn, t). Rows meet only where a whole part of their bigrams is equal, so that the pairs that
-    are compared grow with those that are alike, not with the square of a document's rows."""
-    signed = settled(once(rows.where(F.length("t") >= 2).select(key, "rn", "t"), "g", T.bigrams(F.col("t"))).select(key, "rn", "g", F.size("g").alias("n")))
+    least ``threshold``, from (key, rn, t). Rows meet only under labels of their size, where these are long in equal parts, and a
+    parity signature (two differ in no more bits than there are bigrams in one set only) rules out nearly all pairs before sets are
+    compared: the pairs that are made grow with those that are alike, not with the square of a document's rows."""
+    with_grams = once(rows.where(F.length("t") >= 2).select(key, "rn", "t"), "g", T.bigrams(F.col("t")))
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))
+    sig = F.aggregate("g", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(bit(x)))
+    signed = settled(with_grams.select(key, "rn", "g", F.size("g").alias("n"), sig.alias("sig")))
     parted = _parted(signed, key, threshold).repartition(key, "label", "part", "part_hash")  # one exchange for both sides
-    a, b = (parted.select(key, "label", "part", "part_hash", *[F.col(c).alias(f"{p}_{c}") for c in ("rn", "n", "upper")]) for p in "ab")
-    met = a.hint("merge").join(b, [key, "label", "part", "part_hash"]).where((F.col("a_rn") < F.col("b_rn")) & ~(F.col("a_upper") & F.col("b_upper")) & (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n") - 1e-9))
+    a, b = (parted.select(key, "label", "part", "part_hash", *[F.col(c).alias(f"{p}_{c}") for c in ("rn", "n", "sig", "upper")]) for p in "ab")
+    apart, total = F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig"))), F.col("a_n") + F.col("b_n")
+    may = (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n") - 1e-9) & (apart * (1 + threshold) <= total * (1 - threshold) + 1e-9)
+    met = a.hint("merge").join(b, [key, "label", "part", "part_hash"]).where((F.col("a_rn") < F.col("b_rn")) & ~(F.col("a_upper") & F.col("b_upper")) & may)
     near = met.select(key, F.col("a_rn").alias("earlier"), F.col("b_rn").alias("rn")).distinct()
     pairs = near.join(signed.select(key, "rn", F.col("g").alias("b_g")), [key, "rn"]).join(signed.select(key, F.col("rn").alias("earlier"), F.col("g").alias("a_g")), [key, "earlier"])
     return pairs.where(jaccard(F.col("a_g"), F.col("b_g")) >= threshold).select(key, "rn", "earlier")

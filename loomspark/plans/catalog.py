@@ -13,7 +13,7 @@ from loomspark.config import Chunking, Settings
 from loomspark.functions import models
 from loomspark.functions import text as T
 from loomspark.operators import chunking, context, dedup, graph, html_tables, ingest, pages, prompts, questions, vectors
-from loomspark.sources.tables import settled
+from loomspark.sources.tables import read_table, settled
 from loomspark.streaming import ingest as stream
 
 from .oracles import SQL  # noqa: F401
@@ -23,7 +23,7 @@ SIZE, OVERLAP = 1000, 100
 
 
 def _table(spark: SparkSession, at: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{at}/{name}.parquet")
+    return read_table(spark, at, name)
 
 
 def _docs(spark: SparkSession, at: str) -> DataFrame:

@@ -33,3 +33,17 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with column ``name``, which is evaluated once a row, however often later expressions use it: a projection would
     be merged into theirs, a generator of one row isn't."""
     return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+#: Bytes of a core's share of a table below which its rows are dealt anew.
+SHARE = 4 << 20
+
+
+def read_table(spark: SparkSession, at: str, name: str) -> DataFrame:
+    """The table ``name`` of the directory ``at``. A table that is small for the cores there are, as one of a single row group,
+    is dealt over them, so that not one of them does all the work; larger ones are read as they are."""
+    path = f"{at}/{name}.parquet"
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = there.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(there).getLength()
+    table, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if size < cores * SHARE else table
