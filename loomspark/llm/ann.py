@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomspark.sources.tables import read_table
+
 from .common import discard, settle, small_batches
 
 #: Dimensions of a projection at most (even), vectors of a tree, of a leaf, and queries of a block.
@@ -335,4 +337,4 @@ def _routed(known: DataFrame, cells: np.ndarray, low: np.ndarray, high: np.ndarr
 
 
 def op7_nearest_neighbours(spark, sf_dir: str) -> DataFrame:
-    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 50 == 0)
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomspark.sources.tables import read_table
+
 from .common import give_back, slices, small_batches
 
 #: Bounds of a block: distinct words and words in all (4 bytes each).
@@ -305,4 +307,4 @@ def encoding_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 def op4_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encoding_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoding_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -28,6 +28,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomspark.sources.tables import read_table
+
 from .common import settle, small_batches
 
 TURN, END = "<|turn|>", "<|end|>\n"
@@ -167,7 +169,7 @@ PROBE = "</s>[INST] ok [/INST]"
 
 
 def op9_chat_formatting(spark, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], rows.schema)
     messages = as_tree(rows.unionByName(probe))
     return chat_digests(format_trees(messages)).withColumnRenamed("tree", "conv_id")

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.sources.tables import read_table
+
 from .common import discard, fresh, member_gate, settle, without
 
 #: Characters of the prefix whose hash is the second step.
@@ -112,7 +114,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:
-    return exact_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), digest=True)
+    return exact_groups(read_table(spark, sf_dir, "documents"), digest=True)
 
 
 OP8_SQL = r"""

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.sources.tables import read_table
+
 from .common import slices, small_batches
 
 _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>)""", re.S)
@@ -383,4 +385,4 @@ def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...
 
 
 def op1_html_extraction(spark, sf_dir: str) -> DataFrame:
-    return extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return extract_pages(read_table(spark, sf_dir, "pages"))

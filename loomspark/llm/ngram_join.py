@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.sources.tables import read_table
+
 from .common import components, discard, fresh, give_back, member_gate, settle, slices, small_batches, without
 
 #: Sets of a tile's block, and the hashes that they hold together; a tile compares two blocks.
@@ -634,7 +636,7 @@ def _verified(full: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
 
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
-    return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=4, percent=85)
+    return near_components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.sources.tables import read_table
+
 from .bpe import BLOCK_LENGTH, BLOCK_WORDS, NONE, _Numbers, replay
 from .common import give_back, settle, slices, small_batches
 
@@ -359,4 +361,4 @@ def pack_documents(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1
 def op6_best_fit_packing(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomspark.sources.tables import read_table
+
 from .common import discard, is_held_out, labelled_sample, settle, slices, small_batches
 
 #: Labelled rows that the classifier learns from, at most; Fourier features; ridge.
@@ -174,7 +176,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
 
 def op10_quality_classifier(spark, sf_dir: str) -> DataFrame:
-    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     held = is_held_out("doc_id", 3, 1)
     scored = score_documents(docs, fit(docs, labels, "quality", ~held))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -21,6 +21,8 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.sources.tables import read_table
+
 from .common import fresh, member_gate, settle
 
 #: Two private-use characters: MARK bounds matches; one that is part of a text is read as OTHER, which no rule names.
@@ -199,7 +201,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op3_secret_scan(spark, sf_dir: str) -> DataFrame:
-    found = find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = find_secrets(read_table(spark, sf_dir, "documents"))
     said = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     base = [r.kind for r in RULES if r.base]
     count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")

@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomspark.sources.tables import read_table
+
 from .common import discard, fresh, give_back, is_held_out, labelled_sample, settle, slices, small_batches
 
 #: Labelled documents that the classifier learns from, at most; landmarks of toxic and of other words.
@@ -366,7 +368,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", at_least:
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
-    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     held = is_held_out("doc_id", 4, 2)
     scored = score_documents(docs, fit(docs, labels, "toxic", ~held))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= PREDICTED_AT).cast("int").alias("predicted"))
