@@ -10,7 +10,7 @@ import pytest
 from loomspark.plans import catalog
 
 AT = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ("documents", "embeddings", "pages", "labels", "conversations", "nation")
+TABLES = ("documents", "embeddings", "pages", "labels", "conversations", "nation", "events")
 
 
 @pytest.fixture(scope="module")
