@@ -7,7 +7,7 @@ from loomspark import cli
 from loomspark.config import Chunking, Settings, load_settings
 from loomspark.functions import models
 from loomspark.operators import chunking
-from loomspark.sources import files, store
+from loomspark.sources import files, store, tables
 from loomspark.streaming import ingest as stream
 
 GRAPH = """<?xml version='1.0' encoding='utf-8'?>
@@ -132,3 +132,25 @@ def test_event_windows(spark):
 def test_chunks_of_stored_texts_share_ids(spark):
     df = spark.createDataFrame([(1, "same"), (2, " same ")], "doc_id int, text string")
     assert chunking.char_chunks(df).select("chunk_id").distinct().count() == 1
+
+
+def test_small_tables_are_dealt_over_the_cores(spark, tmp_path, monkeypatch):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    got = tables.read_table(spark, str(tmp_path), "t")
+    assert got.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and got.count() == 1000
+    monkeypatch.setattr(tables, "SHARE", 0)
+    assert tables.read_table(spark, str(tmp_path), "t").rdd.getNumPartitions() == 1
+
+
+def test_what_is_made_once_is_made_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        calls.add(1)
+        return x
+
+    rows = tables.once(spark.range(10).select(F.col("id").cast("string").alias("x")), "y", counted("x"))
+    assert rows.where(F.length("y") > 0).select("y", F.concat("y", "y").alias("z"), F.upper("y").alias("u")).count() == 10
+    assert len(rows.where(F.length("y") > 0).select("y", F.concat("y", "y").alias("z"), F.upper("y").alias("u")).collect()) == 10
+    assert calls.value <= 20
