@@ -571,14 +571,14 @@ def _near(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
 
 
 def _open_lists(met: DataFrame, comps: DataFrame, t: int) -> DataFrame:
-    """tok, rep, n, comp, band and main (whether comp is the list's most frequent one) of the lists that hold sets of different
+    """tok, rep, n, comp, band and main (whether comp is that of most sets of the list) of the lists that hold sets of different
     components."""
     now = met.join(comps.select(F.col("node").alias("rep"), "root"), "rep", "left").select("tok", "rep", "n", F.coalesce("root", "rep").alias("comp"))
     now = settle(now.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(t / 100.0 - 1e-9)))).cast("int")))
     each = now.groupBy("tok", "comp").agg(F.count("*").alias("many"))
-    mixed = each.groupBy("tok").agg(F.count("*").alias("comps"), F.max(F.struct("many", "comp")).alias("top")).where("comps > 1")
-    mixed = settle(mixed.select(F.expr("tok ^ 0").alias("tok"), F.col("top.comp").alias("top")))
-    return settle(now.join(mixed, "tok").select("tok", "rep", "n", "comp", "band", (F.col("comp") == F.col("top")).alias("main")))
+    mixed = each.groupBy("tok").agg(F.count("*").alias("comps"), F.sum("many").alias("all"), F.max(F.struct("many", "comp")).alias("top")).where("comps > 1")
+    mixed = settle(mixed.select(F.expr("tok ^ 0").alias("tok"), F.when(F.col("top.many") * 2 > F.col("all"), F.col("top.comp")).alias("top")))
+    return settle(now.join(mixed, "tok").select("tok", "rep", "n", "comp", "band", F.col("comp").eqNullSafe(F.col("top")).alias("main")))
 
 
 def _tiles(rows: DataFrame, of_sets: DataFrame) -> DataFrame:
