@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, exact_dedup, html_extract, ngram_join, packing, piece_bpe, quality, secret_scan, toxicity
+from . import ann, bpe, chat, divergence, exact_dedup, html_extract, ngram_join, packing, piece_bpe, quality, secret_scan, toxicity
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op12_source_divergence": divergence.op12_source_divergence,
     "op13_sentencepiece": piece_bpe.op13_sentencepiece,
 }
 SQL = {
     "op3_secret_scan": secret_scan.OP3_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
     "op9_chat_formatting": chat.OP9_SQL,
+    "op12_source_divergence": divergence.OP12_SQL,
 }
