@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, divergence, exact_dedup, html_extract, ngram_join, packing, piece_bpe, quality, secret_scan, toxicity
+from . import ann, bpe, chat, conversation_repair, divergence, exact_dedup, html_extract, ngram_join, packing, piece_bpe, quality, secret_scan, toxicity
 
 QUERIES = {
     "op1_html_extraction": html_extract.op1_html_extraction,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_quality_classifier": quality.op10_quality_classifier,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
     "op12_source_divergence": divergence.op12_source_divergence,
     "op13_sentencepiece": piece_bpe.op13_sentencepiece,
 }
@@ -22,5 +23,6 @@ SQL = {
     "op3_secret_scan": secret_scan.OP3_SQL,
     "op8_exact_dedup": exact_dedup.OP8_SQL,
     "op9_chat_formatting": chat.OP9_SQL,
+    "op11_conversation_repair": conversation_repair.OP11_SQL,
     "op12_source_divergence": divergence.OP12_SQL,
 }
