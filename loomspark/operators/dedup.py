@@ -7,14 +7,16 @@ with some kept row is at least the threshold; similarity to a dropped row doesn'
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as T
-from loomspark.sources.tables import once, settled
+from loomspark.sources.tables import discard, once, settled
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -31,13 +33,15 @@ def _parted(signed: DataFrame, key: str, threshold: float) -> DataFrame:
 
     Similar sets are of the same size band or of neighbouring ones; a row is under its own band's label and, as the larger one,
     under the label below. The bigrams of a row are dealt into parts by hash, one more of them than two similar sets may have
-    differences, so that these agree in a part as a whole. Where few rows share a label one part without any bigram does. All that
-    goes by key, as do the rows once they are dealt by it."""
+    differences, so that these agree in a part as a whole. Where few rows share a label one part without any bigram does. Rows of
+    a band are counted by key and band, and only these counts, a few a key, are looked at key by key."""
     step = -math.log(threshold - 1e-9)
     near = W.partitionBy(key).orderBy("band")
-    rows = signed.select(key, "rn", "n", "sig", "g", F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("band")).repartition(key)
+    rows = signed.select(key, "rn", "n", "sig", "g", F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("band"))
     beside = {"own": (0, 0), "above": (1, 1), "below": (-1, -1)}
-    rows = rows.withColumns({name: F.count("*").over(near.rangeBetween(*frame)) for name, frame in beside.items()})
+    counts = rows.groupBy(key, "band").agg(F.count("*").alias("size")).withColumns({name: F.coalesce(F.sum("size").over(near.rangeBetween(*frame)), F.lit(0)) for name, frame in beside.items()})
+    counts = settled(counts.where("own > 1 OR above > 0 OR below > 0").select(F.col(key).alias("_key"), F.col("band").alias("_band"), "own", "above", "below"))
+    rows = rows.join(counts, rows[key].eqNullSafe(counts["_key"]) & (F.col("band") == F.col("_band")))
     most = lambda b: F.floor(F.exp((b + 1) * step) + 1e-6)
     one = lambda label, upper, many: F.struct(label.alias("label"), F.lit(upper).alias("upper"), many.alias("many"))
     lower, upper = one(F.col("band"), False, F.col("own") + F.col("above")), one(F.col("band") - 1, True, F.col("own") + F.col("below"))
@@ -54,10 +58,12 @@ def _parted(signed: DataFrame, key: str, threshold: float) -> DataFrame:
 
 def similar_pairs(rows: DataFrame, key: str, threshold: float) -> DataFrame:
     """key, rn and earlier (rn of an earlier row of the key) of the pairs whose bigrams have a Jaccard similarity of at
-    least ``threshold``, from (key, rn, t). Rows meet only under labels of their size, where these are long in equal parts, and a
-    parity signature (two differ in no more bits than there are bigrams in one set only) rules out nearly all pairs before sets are
-    compared: the pairs that are made grow with those that are alike, not with the square of a document's rows."""
-    with_grams = once(rows.where(F.length("t") >= 2).select(key, "rn", "t"), "g", T.bigrams(F.col("t")))
+    least ``threshold``, from (key, rn, t), as a settled table. Rows meet only under labels of their size, where these are long in
+    equal parts, and a parity signature (two differ in no more bits than there are bigrams in one set only) rules out nearly all
+    pairs before sets are compared: the pairs that are made grow with those that are alike, not with the square of a document's
+    rows. No group is of a key as a whole."""
+    number = lambda x: F.ascii(x).cast("long") * (1 << 21) + F.ascii(F.substring(x, 2, 1))
+    with_grams = once(rows.where(F.length("t") >= 2).select(key, "rn", "t"), "g", F.transform(T.bigrams(F.col("t")), number))
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))
     sig = F.aggregate("g", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(bit(x)))
     signed = settled(with_grams.select(key, "rn", "g", F.size("g").alias("n"), sig.alias("sig")))
@@ -68,21 +74,70 @@ def similar_pairs(rows: DataFrame, key: str, threshold: float) -> DataFrame:
     met = a.hint("merge").join(b, [key, "label", "part", "part_hash"]).where((F.col("a_rn") < F.col("b_rn")) & ~(F.col("a_upper") & F.col("b_upper")) & may)
     near = met.select(key, F.col("a_rn").alias("earlier"), F.col("b_rn").alias("rn")).distinct()
     pairs = near.join(signed.select(key, "rn", F.col("g").alias("b_g")), [key, "rn"]).join(signed.select(key, F.col("rn").alias("earlier"), F.col("g").alias("a_g")), [key, "earlier"])
-    return pairs.where(jaccard(F.col("a_g"), F.col("b_g")) >= threshold).select(key, "rn", "earlier")
+    out = settled(pairs.where(jaccard(F.col("a_g"), F.col("b_g")) >= threshold).select(key, "rn", "earlier"))
+    discard(signed)
+    return out
 
 
-def _dropped(pairs: DataFrame, key: str) -> DataFrame:
-    """key and rn of the rows that an earlier kept row is similar to; each row's pairs are looked at once."""
+#: Pairs of a key above which its rows are decided in rounds, not one after the other.
+WALK = 200_000
 
-    def walk(part: pd.DataFrame) -> pd.DataFrame:
-        gone: set[int] = set()
-        for rn, earlier in part.sort_values("rn").groupby("rn").earlier:
-            if any(e not in gone for e in earlier):
-                gone.add(rn)
-        return pd.DataFrame({key: part[key].iloc[:1].repeat(len(gone)).to_numpy(), "rn": sorted(gone)})
 
+def _walked(pairs: DataFrame, key: str) -> DataFrame:
+    """key and rn of the rows that an earlier kept row is similar to, for keys of few pairs; each row's pairs are looked at once."""
     fields = pairs.select(key, "rn").schema
-    return pairs.groupBy(key).applyInPandas(walk, fields)
+    names = fields.names
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, gone, at, lost = None, set(), None, False
+        out: list[tuple] = []
+        for batch in batches:
+            for k, rn, earlier in zip(*(batch.column(c).to_pylist() for c in (key, "rn", "earlier")), strict=True):
+                if k != now or rn != at:
+                    now, gone, at, lost = k, (gone if k == now else set()), rn, False
+                if not lost and earlier not in gone:
+                    lost = True
+                    gone.add(rn)
+                    out.append((k, rn))
+            if out:
+                kinds = batch.schema.field(key).type, batch.schema.field("rn").type
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                out = []
+
+    return pairs.select(key, "rn", "earlier").repartition(key).sortWithinPartitions(key, "rn", "earlier").mapInArrow(rows, fields)
+
+
+def _dropped(pairs: DataFrame, key: str, walk: int | None = None) -> DataFrame:
+    """key and rn of the rows that an earlier kept row is similar to, as a settled table.
+
+    Keys of few pairs are walked through, many in a task. Of the others, rounds: a row that no undecided earlier row is similar to
+    is kept, the later ones that are similar to it go, and the pairs of what goes with it. These joins go by key and row, so that a
+    key of very many rows is dealt over all tasks. A pair is read once a round; in random order the rounds grow with the logarithm of
+    the rows, and what is few at last is walked through. (Lines that are each similar to the one before only would take as many rounds
+    as half of them: such a chain is decided in order whatever one does.)"""
+    walk = WALK if walk is None else walk
+    by = [key, "rn"]
+    hot = settled(pairs.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > walk).select(key))
+    if hot.isEmpty():
+        return settled(_walked(pairs, key))
+    gone = [_walked(pairs.join(hot, key, "left_anti"), key)]
+    left = settled(pairs.join(hot, key, "left_semi"))
+    while True:
+        later = left.select(key, F.col("rn").alias("earlier")).distinct()
+        lost = settled(left.join(later, [key, "earlier"], "left_anti").select(*by).distinct())
+        gone.append(lost)
+        rest = left.join(lost, by, "left_anti").join(lost.withColumnRenamed("rn", "earlier"), [key, "earlier"], "left_anti")
+        left, before = settled(rest), left
+        discard(before)
+        n = left.count()
+        if n <= walk:
+            break
+    if n:
+        gone.append(_walked(left, key))
+    out = settled(reduce(DataFrame.unionByName, gone))
+    for table in (*gone[1:-1], hot, left):
+        discard(table)
+    return out
 
 
 def greedy_dedup(rows: DataFrame, key: str, text_col: str, threshold: float = 0.85) -> DataFrame:
@@ -91,5 +146,7 @@ def greedy_dedup(rows: DataFrame, key: str, text_col: str, threshold: float = 0.
     normal = once(rows, "t", T.dedup_normalise(F.col(text_col)))
     # of equal texts only the first can be kept, whatever happens to it
     keep = settled(normal.groupBy(key, "t").agg(F.min("rn").alias("rn"), F.min_by(F.struct(*others), "rn").alias("x")))
-    dropped = _dropped(similar_pairs(keep.select(key, "rn", "t"), key, threshold), key)
+    pairs = similar_pairs(keep.select(key, "rn", "t"), key, threshold)
+    dropped = _dropped(pairs, key)
+    discard(pairs)
     return keep.select(key, "rn", *[F.col(f"x.{c}").alias(c) for c in others]).join(dropped, [key, "rn"], "left_anti")

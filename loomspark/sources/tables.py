@@ -29,6 +29,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a settled table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with column ``name``, which is evaluated once a row, however often later expressions use it: a projection would
     be merged into theirs, a generator of one row isn't."""

@@ -210,6 +210,42 @@ def test_pairs_against_all_pairs(spark, threshold):
     assert {(r.doc, r.rn, r.earlier) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("walk", [0, 40])
+def test_rounds_drop_what_the_walk_drops(spark, walk):
+    """A hot key of 4,000 rows in random order and small ones; no more than 30 rounds."""
+    rng = random.Random(walk)
+    pairs = {(1, *sorted(rng.sample(range(4000), 2), reverse=True)) for _ in range(9000)} | {(k, *sorted(rng.sample(range(12), 2), reverse=True)) for k in range(2, 40) for _ in range(9)}
+    want, gone = set(), set()
+    for k, rn, earlier in sorted(pairs):
+        if (k, earlier) not in gone:
+            gone.add((k, rn))
+            want.add((k, rn))
+    df = spark.createDataFrame(sorted(pairs), "doc long, rn int, earlier int").repartition(4)
+    tables, settled, counted = [], dedup.settled, []
+    dedup.settled = lambda t: tables.append(1) or settled(t)
+    try:
+        got = [tuple(r) for r in dedup._dropped(df, "doc", walk).collect()]
+        counted.append(len(tables))
+    finally:
+        dedup.settled = settled
+    assert len(got) == len(set(got)) and set(got) == want
+    assert (counted[0] - 3) / 2 <= 30
+
+
+def test_greedy_dedup_of_null_and_hot_keys(spark):
+    rng = random.Random(3)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(60))
+    rows = []
+    for rn in range(500):
+        t = list(base)
+        for _ in range(rng.choice([0, 1, 4, 9, 20])):
+            t[rng.randrange(len(t))] = rng.choice("abcdefgh")
+        rows.append((1 if rn % 5 else 2, rn, "".join(t)))
+    df = spark.createDataFrame(rows, "doc long, rn int, text string")
+    got = sorted((r.doc, r.rn) for r in dedup.greedy_dedup(df, "doc", "text").collect())
+    assert got == sorted((d, rn) for d in (1, 2) for rn in literal_dedup([(r[1], r[2]) for r in rows if r[0] == d], 0.85))
+
+
 def test_top_k_over_blocks(spark, monkeypatch):
     import numpy as np
 
