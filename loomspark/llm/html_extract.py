@@ -4,13 +4,17 @@ A page becomes a sequence of text blocks, each with its path of tags from the ro
 their classes. Text length outside links and punctuation are summed per path and divided by the path's blocks. Both ratios
 are fused, smoothed along the page, fused with the smoothed ones, and paths that reach a quarter of the page's typical ratio
 mark the content. From them follows the container: the smallest element that most of their text is in and outside of which no path of the
-same tags has a like ratio, or the article element (or main) that holds a good part of their text.
+same tags has a like ratio, sought from the root down and not below an article element (or main) once that is reached.
 
-Inside an article element everything stays, short blocks and those of links too. Any other container may hold more than the
+Names are a prior of ratios and decide nothing by themselves: paths in an article element count five times; a class or id that
+says what isn't part of an article divides the ratio of the paths under it, by twelve if its words say nothing else (``comments``,
+``related-posts``), by two if they do (``related-work``). A named element goes if no path in it passes. So a section of full
+paragraphs stays whatever it is called, unless it is called nothing but comments, and a list of links goes that is named so.
+
+Inside an article element all else stays, short blocks and those of links too. Any other container may hold more than the
 article: there, parts in which no path passes go, and so do lists of links before the first and, in the body, after the last
 passing block. Elements that can't be part of an article (menus, footers, sidebars, controls, what is hidden, forms that don't
-frame the page) have no text here. Class and id words are a prior: they divide a path's ratio by five, and inside the container
-they take out an element unless it holds all of the content.
+frame the page) have no text here.
 
 Paths are numbers and every step is linear in the page, however deep its elements nest.
 
@@ -46,21 +50,25 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: Elements that never are part of an article.
 ASIDE = frozenset("nav footer aside button select option menu dialog datalist head".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar status".split())
-#: Words that speak against any element that has them as a class or id, and those that do against elements that hold others.
+#: Words that speak against an element that has them in a class or id: any element, and those that hold others.
 ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion".split())
 ASIDE_WORDS = frozenset(
     "banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices outbrain pager pagination popup recommended related replies reply respond share sharing sidebar signup skip social subscribe taboola toolbar warning widget widgets".split()
 )
+#: Words that say nothing of their own beside these: such a name is all about what isn't part of an article.
+PLAIN_WORDS = frozenset(
+    "and area articles aside bar block body bottom box btn button buttons column container content entry footer form global group header holder icons id inline inner item items js left link links list main media more net outer page panel post posts primary right row secondary section service site slot story stories thread title to top unit us view wrap wrapper".split()
+)
 #: Words that speak against an element only outside the container: an article has a header too.
 OUTSIDE_WORDS = frozenset("header head top".split())
 #: Beside these a word tells what stands next to the element, not what it is ("with-sidebar").
 BESIDE = frozenset("with has no without".split())
-#: What such words divide a path's ratio by; the share of the typical ratio from which a path passes; the share of text up to which
-#: passing text outside an element doesn't keep the container from being that element; and the share of the typical ratio from
-#: which it does so where its tags are those of most content.
-AGAINST, PASS, LITTLE, WEAK = 5, 0.25, 0.5, 0.5
-#: The share of a page's text from which an article element with a heading is the container, be its paths what they may.
-NAMED = 0.1
+#: What a path's ratio is multiplied by in an article element, and under names that say nothing or something beside such words.
+ARTICLE, AGAINST, PARTLY = 5.0, 1 / 12, 1 / 2
+#: The share of the typical ratio from which a path passes; the share of text up to which passing text outside an element doesn't
+#: keep the container from being that element; the share of the typical ratio from which it does so where its tags are those of most
+#: content; and the share of running text from which an element is no aside, whatever it is called.
+PASS, LITTLE, WEAK, FRAME = 0.25, 0.5, 0.5, 0.9
 #: An open element ends before another of its kind.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 FENCES = frozenset("ul ol dl table body html article main section div".split())
@@ -71,8 +79,16 @@ FLOW = TEXTS | frozenset("tr tbody thead ul ol dl table figure details hr".split
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+def _said(words: list[str], tag: str) -> float:
+    """What a class or id of these words multiplies the ratio by of the paths in an element of this tag."""
+    aside = ADVERT_WORDS if tag in TEXTS - {"li"} else ADVERT_WORDS | ASIDE_WORDS
+    if aside.isdisjoint(words):
+        return 1.0
+    return AGAINST if all(w in aside or w in PLAIN_WORDS or w.isdigit() for w in words) else PARTLY
+
+
 class _Element:
-    __slots__ = ("tag", "path", "kind", "parent", "number", "block", "out", "head", "form", "article", "link", "against")
+    __slots__ = ("tag", "path", "kind", "parent", "number", "block", "out", "head", "form", "article", "link", "against", "prior")
 
     def __init__(self, tag: str, attrs: str, parent: "_Element | None", number: int, paths: dict):
         self.tag, self.parent, self.number = tag, parent, number
@@ -83,19 +99,20 @@ class _Element:
         above = parent.article if parent else None
         self.article = above or (self if tag in ("article", "main") else None)
         self.link = tag == "a" or bool(parent and parent.link)
-        self.against = False
+        self.against = 1.0
         mark = ""
         if tag == "header" and not above:
             self.head = True
         if "=" in attrs or "hidden" in attrs:
             values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
             named = f"{values.get('class', '')} {values.get('id', '')}"
-            words = re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", named).lower())
             frame = tag in ("html", "body", "main") or tag == "article" and not above
-            if not frame and tag not in INLINE and BESIDE.isdisjoint(words):
-                self.against = not ADVERT_WORDS.isdisjoint(words) or tag not in TEXTS - {"li"} and not ASIDE_WORDS.isdisjoint(words)
-                if not above and tag not in TEXTS and not OUTSIDE_WORDS.isdisjoint(words):
-                    self.head = True
+            if named.strip() and not frame and tag not in INLINE:
+                names = [re.findall(r"[a-z]+|\d+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", n).lower()) for n in named.split()]
+                if not any(not BESIDE.isdisjoint(n) for n in names):
+                    self.against = min((_said(n, tag) for n in names), default=1.0)
+                    if not above and tag not in TEXTS and any(not OUTSIDE_WORDS.isdisjoint(n) for n in names):
+                        self.head = True
             style = values.get("style", "").replace(" ", "").lower()
             if values.get("role", "").lower() in ASIDE_ROLES or "display:none" in style or values.get("aria-hidden", "").lower() == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", _ATTR.sub(" ", attrs)):
                 self.out = True
@@ -103,7 +120,8 @@ class _Element:
                 self.article = self
             if tag not in TEXTS:
                 mark = values.get("class", "").strip().lower()
-        step = (parent.path if parent else -1, tag, mark)
+        self.prior = (parent.prior if parent else 1.0) * (ARTICLE if self.article is self else 1.0)
+        step = (parent.path if parent else -1, tag, mark, self.against)
         self.path = paths.setdefault(step, len(paths))
         step = (parent.kind if parent else -1, tag)
         self.kind = paths.setdefault(step, len(paths))
@@ -203,9 +221,9 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def ratios(blocks: list[Block], against: set[int], width: int = 2) -> list[float]:
+def ratios(blocks: list[Block], prior: dict[int, float], width: int = 2) -> list[float]:
     """The ratio of each block's path: text and punctuation per block of the path, smoothed along the page and fused with
-    itself unsmoothed, so that a path owes its ratio to its own blocks as much as to those around them."""
+    itself unsmoothed, so that a path owes its ratio to its own blocks as much as to those around them, times its prior."""
     chars: dict[int, float] = {}
     marks: dict[int, int] = {}
     count: dict[int, int] = {}
@@ -214,14 +232,14 @@ def ratios(blocks: list[Block], against: set[int], width: int = 2) -> list[float
         chars[path] = chars.get(path, 0) + max(0, len(b.text) - b.linked)
         marks[path] = marks.get(path, 0) + len(_MARKS.findall(b.text))
         count[path] = count.get(path, 0) + 1
-    fused = {p: (chars[p] / count[p]) * (0.5 + marks[p] / count[p]) ** 0.5 / (AGAINST if p in against else 1) for p in count}
+    fused = {p: (chars[p] / count[p]) * (0.5 + marks[p] / count[p]) ** 0.5 for p in count}
     line = [fused[b.element.path] for b in blocks]
     weights = [0.5 ** abs(k) for k in range(-width, width + 1)]
     smooth = dict.fromkeys(count, 0.0)
     for i, b in enumerate(blocks):
         near = [(line[i + k], weights[k + width]) for k in range(-width, width + 1) if 0 <= i + k < len(blocks)]
         smooth[b.element.path] += sum(v * w for v, w in near) / sum(w for _, w in near)
-    final = {p: (fused[p] * smooth[p] / count[p]) ** 0.5 for p in count}
+    final = {p: (fused[p] * smooth[p] / count[p]) ** 0.5 * prior.get(p, 1.0) for p in count}
     return [final[b.element.path] for b in blocks]
 
 
@@ -261,6 +279,17 @@ def _below(elements: list[_Element], marked: set[int]) -> set[int]:
     return out
 
 
+def _priors(elements: list[_Element], named: set[int]) -> dict[int, float]:
+    """What the ratio of each path is multiplied by: an article's share, and the smallest that the named elements around it say."""
+    said: dict[int, float] = {}
+    out: dict[int, float] = {}
+    for e in elements:
+        own = e.against if e.number in named else 1.0
+        said[e.number] = min(own, said[e.parent.number] if e.parent else 1.0)
+        out[e.path] = min(out.get(e.path, ARTICLE), e.prior * said[e.number])
+    return out
+
+
 def _without_forms(blocks: list[Block]) -> list[Block]:
     """Forms go, but for one that frames the page: most of the page's text is in it, and most of that in running text."""
     total = sum(len(b.text) for b in blocks)
@@ -278,22 +307,14 @@ def _without_forms(blocks: list[Block]) -> list[Block]:
 def _container(elements: list[_Element], blocks: list[Block], passing: list[bool], typical: float) -> _Element:
     """The smallest element that holds the content, by the paths that pass."""
     own: dict[int, float] = {}
-    articles: dict[int, float] = {}
     kinds: dict[int, float] = {}
     for b, ok in zip(blocks, passing, strict=True):
         if ok and not b.element.head:
             own[b.element.number] = own.get(b.element.number, 0) + len(b.text)
             kinds[b.element.kind] = kinds.get(b.element.kind, 0) + len(b.text)
-            if b.element.article:
-                articles[b.element.article.number] = articles.get(b.element.article.number, 0) + len(b.text)
     weight = _sums(elements, own)
     top = elements[0]
     total = weight[top.number]
-    texts = _sums(elements, _lengths(blocks))
-    headed = {b.element.article.number for b in blocks if b.element.article and b.element.tag in HEADINGS}
-    named = [e for e in elements if e.article is e and (2 * articles.get(e.number, 0) > total or e.number in headed and texts[e.number] >= NAMED * texts[top.number])]
-    if named:
-        return max(named, key=lambda e: (articles.get(e.number, 0), texts[e.number], -e.number))
     main = max(kinds, key=lambda n: (kinds[n], -n), default=-1)
     direct = {e.number: 0.0 for e in elements}  # the largest ratio among blocks of the tags of most content
     for b, ok in zip(blocks, passing, strict=True):
@@ -305,7 +326,7 @@ def _container(elements: list[_Element], blocks: list[Block], passing: list[bool
         if e.parent:
             best[e.parent.number] = max(best[e.parent.number], best[e.number])
             children.setdefault(e.parent.number, []).append(e)
-    while some := [e for e in children.get(top.number, ()) if weight[e.number]]:
+    while top.article is not top and (some := [e for e in children.get(top.number, ()) if weight[e.number]]):
         inner = max(some, key=lambda e: (weight[e.number], -e.number))
         strongest = max([direct[top.number], *(best[e.number] for e in some if e is not inner)])
         if inner.tag in FLOW or inner.tag in INLINE or total - weight[inner.number] > LITTLE * total or strongest >= WEAK * typical:
@@ -322,19 +343,20 @@ def main_text(page: str | None) -> str:
     elements = _elements(blocks)
     # an element that nearly all running text is in is no aside, whatever it is called
     running = _sums(elements, _lengths([b for b in blocks if b.element.tag in TEXTS]))
-    frame = lambda e: running[e.number] > (1 - NAMED) * running[elements[0].number]
-    against = _below(elements, {e.number for e in elements if e.against and not frame(e)})
-    for b, v in zip(blocks, ratios(blocks, {e.path for e in elements if e.number in against}), strict=True):
+    named = [e for e in elements if e.against < 1 and running[e.number] <= FRAME * running[elements[0].number]]
+    prior = _priors(elements, {e.number for e in named})
+    for b, v in zip(blocks, ratios(blocks, prior), strict=True):
         b.score = v
-    typical = sum(b.score * len(b.text) for b in blocks) / sum(len(b.text) for b in blocks)
+    # what is typical is what names say nothing against, as far as there is any
+    plain = [b for b in blocks if prior[b.element.path] >= 1] or blocks
+    typical = sum(b.score * len(b.text) for b in plain) / sum(len(b.text) for b in plain)
     passing = [b.score >= PASS * typical and 2 * b.linked <= len(b.text) for b in blocks]
     passed = {b.element.path for b, ok in zip(blocks, passing, strict=True) if ok}
     top = _container(elements, blocks, passing, typical)
 
     inside = _below(elements, {top.number})
     content = _sums(elements, _lengths([b for b in blocks if b.element.number in inside and b.element.path in passed]))
-    # of what is left, an element without which there is no content is none either
-    aside = _below(elements, {e.number for e in elements if e is not top and e.number in inside and e.against and content[e.number] < max(1, content[top.number])})
+    aside = _below(elements, {e.number for e in named if e is not top and e.number in inside and not content[e.number]})
     kept = [b for b in blocks if b.element.number in inside and b.element.number not in aside]
     if top is not top.article:
         kept = _of_container(kept, elements, top, content, passed)

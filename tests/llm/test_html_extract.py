@@ -105,6 +105,68 @@ def test_paths_change_the_result(monkeypatch):
     assert main_text(page) != "\n".join(text)
 
 
+def unnamed_page(rng):
+    """A page of div elements whose classes tell nothing: (html, the article's text). Around the article stand short lines, teasers
+    of a sentence, lists without links and small print, some beside it in one element."""
+    name = lambda: "".join(rng.choices("bcdfghjk", k=6))
+    sentence = lambda k: " ".join(rng.choices(["word", "more", "text", "longer", "a", "of", "some"], k=k)).capitalize()
+    head = sentence(rng.randint(3, 8))
+    body = [p.capitalize() + "." for p in paragraphs(rng.randint(3, 14), rng)]
+    body.insert(rng.randint(1, len(body)), sentence(4) + ".")  # a short one
+    article = f"<div class='{name()}'><h1>{head}</h1>" + "".join(f"<p>{x}</p>" for x in body) + "</div>"
+    item, note, row = name(), name(), name()
+
+    def noise():
+        kind = rng.randrange(4)
+        if kind == 0:
+            return f"<div class='{note}'><p>{sentence(rng.randint(2, 6))}</p></div>"
+        if kind == 1:
+            return f"<div class='{item}'>" + "".join(f"<div class='{row}'><p>{sentence(rng.randint(3, 7))}</p><p>by {sentence(2)}</p></div>" for _ in range(rng.randint(3, 9))) + "</div>"
+        if kind == 2:
+            return f"<div class='{name()}'><ul>" + "".join(f"<li>{sentence(2)}</li>" for _ in range(rng.randint(3, 8))) + "</ul></div>"
+        return f"<div class='{name()}'><span>{sentence(5)}</span><div>{sentence(4)}</div></div>"
+
+    before, after = "".join(noise() for _ in range(rng.randint(1, 3))), "".join(noise() for _ in range(rng.randint(1, 3)))
+    middle = article if rng.random() < 0.5 else f"<div class='{name()}'>{noise()}{article}{noise()}</div>"
+    return f"<html><body>{before}{middle}{after}</body></html>", "\n".join([head, *body])
+
+
+def test_ratios_decide_on_pages_without_names(monkeypatch):
+    rng = random.Random(17)
+    pages = [unnamed_page(rng) for _ in range(200)]
+    right = sum(main_text(page) == want for page, want in pages)
+    real = html_extract.ratios
+    monkeypatch.setattr(html_extract, "ratios", lambda blocks, prior, width=2: [1.0] * len(blocks))
+    alike = sum(main_text(page) == want for page, want in pages)
+    monkeypatch.setattr(html_extract, "ratios", lambda blocks, prior, width=2: [1 / (1 + x) for x in real(blocks, prior, width)])
+    against = sum(main_text(page) == want for page, want in pages)
+    print(f"of 200 pages right by ratios {right}, by constant ones {alike}, by inverted ones {against}")
+    assert right >= 195 and alike <= 60 and against <= 60
+
+
+@pytest.mark.parametrize("name", ["related-work", "informed-consent", "share-price-table", "warning-signs", "socialHistory", "cookie-recipe", "ad-hoc-networks"])
+def test_sections_of_full_paragraphs_stay_whatever_their_name(name):
+    text = "A sentence of the article, with words. And another one, of more words here."
+    for kind in ("class", "id"):
+        body = "<h1>Head</h1>" + f"<p>{text}</p>" * 4 + f"<section {kind}='{name}'><h2>Sub</h2><p>{text}</p></section>"
+        assert main_text(SITE % f"<article>{body}</article>") == "\n".join(["Head", *[text] * 4, "Sub", text])
+
+
+@pytest.mark.parametrize(
+    "aside",
+    [
+        "<div class='comments'><h3>Comments</h3>" + "<div class='comment'><p>Great post, thanks. I really liked this one, a lot, and more than a lot of it.</p></div>" * 12 + "</div>",
+        "<div class='newsletter-box'><p>Subscribe to our letter, for weekly news.</p></div>",
+        "<div class='related-posts'><h3>Related</h3><ul><li><a href='/x'>One of them</a></li><li><a href='/y'>Two</a></li></ul></div>",
+        "<div class='related-work'><ul><li><a href='/x'>One of them</a></li><li><a href='/y'>Two</a></li></ul></div>",
+        "<div id='cookieNotice'>We use them, for all you do. Accept all of them, please.</div>",
+    ],
+)
+def test_named_asides_in_an_article_go(aside):
+    text = "A sentence of the article, with words. And another one, of more words here."
+    assert main_text(SITE % f"<article><h1>Head</h1>{f'<p>{text}</p>' * 4}{aside}</article>") == "\n".join(["Head", *[text] * 4])
+
+
 def test_article_in_two_siblings():
     rng = random.Random(7)
     text = paragraphs(10, rng)
@@ -130,7 +192,7 @@ def test_ratios_against_a_plain_reading():
         near = [(plain[paths[j]], 0.5 ** abs(i - j)) for j in range(max(0, i - 2), min(len(paths), i + 3))]
         smooth.setdefault(p, []).append(sum(v * w for v, w in near) / sum(w for _, w in near))
     want = [math.sqrt(plain[p] * sum(smooth[p]) / len(smooth[p])) for p in paths]
-    assert ratios(blocks, set()) == pytest.approx(want)
+    assert ratios(blocks, {}) == pytest.approx(want)
 
 
 def test_long_and_broken_pages_end():
