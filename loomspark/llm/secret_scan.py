@@ -14,6 +14,7 @@ own result, also where ids or whole rows repeat; an empty table gives an empty r
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from re import _constants as K
 from re import _parser as parser
@@ -145,19 +146,35 @@ def _holds(query, have: str) -> Column:
 # ---- spans
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once: as a lambda's variable it isn't evaluated again for each element of a list."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """The list of what ``join`` makes of each value and all before it: in each round with what stands twice as far before, so that
+    a list of n is gone through log2(n) times and nothing is appended to."""
+    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda s: s < F.size(values))
+    return F.aggregate(steps, values, lambda acc, s: F.transform(acc, lambda x, i: F.when(i >= s, join(F.get(acc, i - s), x)).otherwise(x)))
+
+
 def _spans(text: Column, rule: Rule, at: int) -> Column:
-    """Array of (start, at, end, kind) of the matches of a rule that count."""
-    pieces = F.split(F.regexp_replace(text, rule.pattern, f"{MARK}$0{MARK}"), MARK, -1)
+    """Array of (start, at, end, kind) of the matches of a rule that count: of the pieces between marks every second one is a match,
+    and ends at the sum of the lengths so far."""
     none = F.array().cast("array<struct<start:bigint,at:int,end:bigint,kind:string>>")
-    start = F.struct(F.lit(0).cast("long").alias("pos"), F.lit(False).alias("inside"), none.alias("out"))
 
-    def step(acc, piece):
-        end = acc["pos"] + F.length(piece)
-        counts = F.length(F.regexp_extract(piece, rule.pattern, rule.group)) >= rule.least if rule.least else F.lit(True)
-        one = F.struct(acc["pos"].alias("start"), F.lit(at).alias("at"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        return F.struct(end.alias("pos"), (~acc["inside"]).alias("inside"), F.when(acc["inside"] & counts, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+    def found(pieces: Column) -> Column:
+        ends = _running(F.transform(pieces, lambda x: F.length(x).cast("long")), lambda a, b: a + b)
 
-    return F.aggregate(pieces, start, step)["out"]
+        def one(x: Column, i: Column) -> Column:
+            counts = F.length(F.regexp_extract(x["p"], rule.pattern, rule.group)) >= rule.least if rule.least else F.lit(True)
+            span = F.struct((x["e"] - F.length(x["p"])).alias("start"), F.lit(at).alias("at"), x["e"].alias("end"), F.lit(rule.kind).alias("kind"))
+            return F.when((i % 2 == 1) & counts, span)
+
+        return F.array_compact(F.transform(F.zip_with(pieces, ends, lambda p, e: F.struct(p.alias("p"), e.alias("e"))), one))
+
+    marked = F.split(F.regexp_replace(text, rule.pattern, f"{MARK}$0{MARK}"), MARK, -1)
+    return _bound(marked, lambda pieces: F.when(F.size(pieces) > 1, found(pieces)).otherwise(none))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -253,16 +270,20 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = settle(found.select(F.col(id_col).alias(other_id), F.col("h").alias(other_key), F.col("spans").alias(spans)))
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     rows = keyed.join(found, keyed[id_col].eqNullSafe(found[other_id]) & (keyed[key] == found[other_key]), "left")
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
 
-    def merged(acc, x):
-        last = F.element_at(acc, -1)
-        apart = (F.size(acc) == 0) | (x["start"] >= last["end"])
-        one = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end")))
-        return F.when(apart, F.concat(acc, one(x["start"], x["end"]))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), one(last["start"], F.greatest(last["end"], x["end"]))))
+    def merged(sorted_spans: Column) -> Column:
+        """Spans that overlap as one: one begins where no span before reaches, and ends where the spans up to the next beginning reach."""
+
+        def joined(all_spans: Column, reach: Column) -> Column:
+            first = lambda i: F.when((i == 0) | (F.get(all_spans, i)["start"] >= F.get(reach, i - 1)), i)
+            firsts = F.array_compact(F.transform(all_spans, lambda x, i: first(i)))
+            end = lambda of, j: F.get(reach, F.coalesce(F.get(of, j + 1), F.size(all_spans)) - 1)
+            return _bound(firsts, lambda of: F.transform(of, lambda i, j: F.struct(F.get(all_spans, i)["start"].alias("start"), end(of, j).alias("end"))))
+
+        return _bound(sorted_spans, lambda x: _bound(_running(F.transform(x, lambda y: y["end"]), F.greatest), lambda reach: joined(x, reach)))
 
     # generators of one row: what the next expressions go through for each span is made once
-    whole = F.when(F.col(spans).isNotNull(), F.struct(F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)).alias("blocks"), F.aggregate(F.array_sort(F.col(spans)), none, merged).alias("covered")))
+    whole = F.when(F.col(spans).isNotNull(), F.struct(F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)).alias("blocks"), merged(F.array_sort(F.col(spans))).alias("covered")))
     rows = rows.select("*", F.explode(F.array(whole)).alias(blocks)).withColumn(covered, F.col(blocks)["covered"])
 
     def between(start, end):
