@@ -1,7 +1,7 @@
 """N-gram Jaccard join: size-banded tiles with hashed bitmap signatures, then exact sorted-array intersection.
 
 A text's set holds the 64-bit hashes of its distinct word n-grams (a text of fewer words: its whole sequence as
-one). Texts with equal sets are one set, named by 64 bits of its digest. By prefix filtering, two sets of Jaccard
+one). Texts with equal sets are one set, known by 128 bits of its digest and named by 64 of them. By prefix filtering, two sets of Jaccard
 similarity t or more share a hash among the first n - ceil(t n) + 1 hashes of either in any order that all sets
 agree on. The order here is by the number of sets that hold a hash, rare ones first, so that passages and phrases which
 many texts share come last: most sets then have no shared hash among their first ones and are done.
@@ -29,7 +29,9 @@ each compared by their own text; an empty table gives an empty result; other col
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -110,32 +112,66 @@ def index_length(n: int, t: int) -> int:
     return n - -(-2 * t * n // (100 + t)) + 1
 
 
-def set_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """64 bits of each set's digest."""
-    return np.array([int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets], np.int64)
+@dataclass(frozen=True)
+class Naming:
+    """How sets are named: by ``bits`` bits of their digest. Names in ``clash`` are those that different sets were found to share;
+    such a set has the next bits."""
 
+    clash: frozenset[int] = frozenset()
+    bits: int = 64
 
-def _set_rows(words: int, names: list[str]):
-    """What each row has beside its text, the size of its set and the set's name."""
+    def names(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The names, and 64 other bits of each digest, which check them."""
+        names, checks = np.empty(len(sets), np.int64), np.empty(len(sets), np.int64)
+        for k, s in enumerate(sets):
+            parts = [x >> (64 - self.bits) for x in struct.unpack("<8q", hashlib.blake2b(s.tobytes(), digest_size=64).digest())]
+            names[k] = next((x for x in parts[:-1] if x not in self.clash), parts[-2]) if self.clash else parts[0]
+            checks[k] = parts[-1]
+        return names, checks
+
+    def __call__(self, sets: list[np.ndarray]) -> np.ndarray:
+        return self.names(sets)[0]
+
+
+def _set_rows(words: int, names: list[str], naming: Naming):
+    """What each row has beside its text, the size of its set, the set's name and what checks the name."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 sets = shingle_sets(texts, words)
-                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_keys(sets), pa.int64())], names=[*names, "n", "rep"])
+                keys = naming.names(sets)
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(k, pa.int64()) for k in keys)], names=[*names, "n", "rep", "check"])
         give_back()
 
     return rows
 
 
-def _full_rows(words: int):
+def _named_sets(base: DataFrame, words: int, names: list[str], bits: int) -> tuple[DataFrame, DataFrame, Naming]:
+    """(each row's set, one row a set, how they are named), the tables settled: sets are the same if 128 bits of their
+    digests are. Of n sets about n * n / 2**65 share a name with another one (70 of 5 * 10**10); where any do, these get others."""
+    schema = base.select(*names).schema.add("n", "long").add("rep", "long").add("check", "long")
+    naming = Naming(bits=bits)
+    while True:
+        sets = settle(base.mapInArrow(_set_rows(words, names, naming), schema))
+        own = sets.where("n > 0 AND id IS NOT NULL").groupBy("rep").agg(F.min("id").alias("low"), F.min("n").alias("n"), F.min("check").alias("check"), (F.min("check") != F.max("check")).alias("shared"))
+        own = settle(own)
+        found = [r.rep for r in own.where("shared").select("rep").limit(1 << 20).collect()]
+        if not found:
+            return sets, own.select("rep", "low", "n"), naming
+        naming = Naming(naming.clash | set(found), bits)
+        discard(sets)
+        discard(own)
+
+
+def _full_rows(words: int, naming: Naming):
     """The sets themselves, with their signatures."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in slices(batch, "text"):
                 sets = [s for s in shingle_sets(texts, words) if len(s)]
-                columns = [pa.array(set_keys(sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s, signature_bits(len(s))) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                columns = [pa.array(naming(sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s, signature_bits(len(s))) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["rep", "n", "sig", "hashes"])
         give_back()
 
@@ -167,13 +203,13 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _packed_rows(words: int, buckets: int):
+def _packed_rows(words: int, buckets: int, naming: Naming):
     """Of each block of texts a row per bucket with its hashes and the sets that hold them (kind 0: a hashes, b sets, c and d
     the hashes that many sets hold and how many), and one with what the block keeps (kind 1: a names of the sets, b their
     sizes, c hashes that many hold, d how many and which)."""
 
     def done(keys: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        block = int(set_keys([keys])[0])  # named by what it holds, so that a task that runs again names it alike
+        block = int(Naming()([keys])[0])  # named by what it holds, so that a task that runs again names it alike
         sizes = np.array([len(s) for s in sets], np.int64)
         flat = np.concatenate(sets)
         bucket = ((flat >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -202,7 +238,7 @@ def _packed_rows(words: int, buckets: int):
         for batch in batches:
             for _, texts in slices(batch, "text"):
                 sets = [s for s in shingle_sets(texts, words) if len(s)]
-                for key, s in zip(set_keys(sets).tolist(), sets, strict=True):
+                for key, s in zip(naming(sets).tolist(), sets, strict=True):
                     if key not in held:
                         held[key] = s
                         total += len(s)
@@ -309,11 +345,11 @@ def _first_rows(t: int):
     return rows
 
 
-def first_hashes(texts: DataFrame, shingles: int, words: int, t: int) -> DataFrame:
+def first_hashes(texts: DataFrame, shingles: int, words: int, t: int, naming: Naming) -> DataFrame:
     """tok, rep, n, first: of each set of ``texts`` the hashes among its first ones that other sets hold too. ``shingles`` is
     how many there are in all, by which buckets have a bounded size."""
     buckets = max(16, -(-shingles // BUCKET))
-    packed = texts.select("text").mapInArrow(_packed_rows(words, buckets), _PACKED)
+    packed = texts.select("text").mapInArrow(_packed_rows(words, buckets, naming), _PACKED)
     shared = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared_rows, _PACKED)
     return shared.repartition("block").sortWithinPartitions("block").mapInArrow(_first_rows(t), "tok long, rep long, n long, first boolean")
 
@@ -499,33 +535,31 @@ def _passing_pairs(t: int):
     return rows
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, name_bits: int = 64) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id that links lead to)."""
-    found = _near(docs, id_col, text_col, words, percent)
+    found = _near(docs, id_col, text_col, words, percent, name_bits=name_bits)
     return found.select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
 
-def _near(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, keep: tuple[str, ...] = ()) -> DataFrame:
+def _near(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, keep: tuple[str, ...] = (), name_bits: int = 64) -> DataFrame:
     """id, n_shingles, component_id, root (the component's name), and the columns ``keep`` as _1, _2 and so on."""
     small_batches(docs.sparkSession)
     t = percent
     names = ["id", *(f"_{i + 1}" for i in range(len(keep)))]
     base = docs.select(F.col(id_col).alias("id"), *(F.col(c).alias(x) for c, x in zip(keep, names[1:], strict=True)), F.col(text_col).alias("text"))
-    schema = base.select(*names).schema.add("n", "long").add("rep", "long")
-    sets = settle(base.mapInArrow(_set_rows(words, names), schema))
-    own = settle(sets.where("n > 0 AND id IS NOT NULL").groupBy("rep").agg(F.min("id").alias("low"), F.min("n").alias("n")))
+    sets, own, naming = _named_sets(base, words, names, name_bits)
     shingles = own.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     # one text of each set: others that pass the gate change no result
     one_each = member_gate(base.select("id", "text"), own.select(F.col("low").alias("id")), ["id"], bits=24)
-    firsts = settle(first_hashes(one_each, shingles, words, t).dropDuplicates(["tok", "rep"]))
+    firsts = settle(first_hashes(one_each, shingles, words, t, naming).dropDuplicates(["tok", "rep"]))
     often = firsts.groupBy("tok").agg(F.count("*").alias("many"), F.max("first").alias("first")).where("many > 1 AND first").select(F.expr("tok ^ 0").alias("tok"))
     shared = settle(firsts.select("tok", "rep", "n").join(often, "tok", "left_semi"))
     # of lists with the same members one stays
     lists = shared.groupBy("tok").agg(F.count("*").alias("many"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
     lists = lists.groupBy("many", "x", "y").agg(F.min("tok").alias("tok")).select("tok")
     met = settle(shared.join(settle(lists), "tok", "left_semi"))
-    full = settle(_full_sets(base, own, met.select("rep").distinct(), words))
+    full = settle(_full_sets(base, own, met.select("rep").distinct(), words, naming))
     sig_of = full.select(F.col("rep").alias("id"), "n", "sig")
 
     # round 1: of the sets that share most of their hashes in each list (of near copies, the original), the one that
@@ -617,7 +651,7 @@ def _tiles(rows: DataFrame, of_sets: DataFrame) -> DataFrame:
 FEW_SETS = 1 << 17
 
 
-def _full_sets(base: DataFrame, own: DataFrame, some: DataFrame, words: int) -> DataFrame:
+def _full_sets(base: DataFrame, own: DataFrame, some: DataFrame, words: int, naming: Naming) -> DataFrame:
     """rep, n, sig and hashes of the sets ``some``, made again from the texts; the counted list of their ids is broadcast
     where it is short, else a bit map of fixed size leaves out most other texts. Both ways end in the same join."""
     chosen = settle(own.join(some, "rep", "left_semi").select("rep", F.col("low").alias("id")))
@@ -625,7 +659,7 @@ def _full_sets(base: DataFrame, own: DataFrame, some: DataFrame, words: int) ->
         texts = base.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi")
     else:
         texts = member_gate(base, chosen.select("id"), ["id"], bits=24)
-    made = texts.select("text").mapInArrow(_full_rows(words), "rep long, n long, sig binary, hashes binary")
+    made = texts.select("text").mapInArrow(_full_rows(words, naming), "rep long, n long, sig binary, hashes binary")
     return made.join(chosen.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
 
 

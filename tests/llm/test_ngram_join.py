@@ -58,6 +58,15 @@ def test_blocks_of_long_lists(spark, monkeypatch):
     assert got == brute(rows, 4, 85)
 
 
+def test_sets_that_share_a_name_are_told_apart(spark, monkeypatch):
+    rows = corpus(8)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    namings, real = [], N._named_sets
+    monkeypatch.setattr(N, "_named_sets", lambda *a: namings.append(real(*a)) or namings[-1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_components(df, words=4, percent=85, name_bits=11).collect()}
+    assert namings[0][2].clash and got == brute(rows, 4, 85)
+
+
 def test_small_blocks_of_texts_and_hashes_that_many_hold(spark, monkeypatch):
     monkeypatch.setattr(N, "TEXT_BLOCK", 3000)
     monkeypatch.setattr(N, "BUCKET", 500)
