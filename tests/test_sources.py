@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from loomspark import cli
@@ -70,6 +71,85 @@ def test_store_adds_what_is_new(spark, tmp_path):
     assert store.stored(spark, at, "nothing") is None
 
 
+TABLES = ["chunks", "entities", "nodes", "edges", "node_chunk", "doc_status"]
+
+
+def counts(spark, at):
+    return {t: {(r.doc_id, r.n) for r in store.stored(spark, at, t).groupBy("doc_id").agg(F.count("*").alias("n")).collect()} for t in TABLES}
+
+
+@pytest.mark.parametrize("after", range(1, len(TABLES) + 2))
+def test_a_run_that_fails_leaves_nothing_to_read(spark, tmp_path, monkeypatch, after):
+    """A failure after each write, or before the commit; then a run with other documents too."""
+    at, real = str(tmp_path / "store"), store._write
+    docs = lambda *names: spark.createDataFrame([(n, f"The GSK980 drives a Spindle-{n} here") for n in names], "doc_id string, text string")
+    store.add(docs("z"), at, chunking.char_chunks)
+    before = counts(spark, at)
+    written = []
+
+    def failing(rows, path):
+        real(rows, path)
+        written.append(path)
+        if len(written) == after:
+            raise OSError("lost")
+
+    monkeypatch.setattr(store, "_write", failing)
+    if after > len(TABLES):
+        monkeypatch.setattr(store, "publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        store.add(docs("a", "b"), at, chunking.char_chunks)
+    monkeypatch.undo()
+    assert counts(spark, at) == before
+    assert store.add(docs("a", "b", "c"), at, chunking.char_chunks) == 3
+    whole = str(tmp_path / "whole")
+    store.add(docs("z", "a", "b", "c"), whole, chunking.char_chunks)
+    assert counts(spark, at) == counts(spark, whole)
+    assert store.vacuum(spark, at, older_s=0) == min(after, len(TABLES)) and counts(spark, at) == counts(spark, whole)
+
+
+def test_two_writers_at_once(spark, tmp_path, monkeypatch):
+    """One commits others' documents while this one writes, then one of the same documents."""
+    at, real = str(tmp_path / "store"), store.publish
+    docs = lambda *names: spark.createDataFrame([(n, f"The GSK980 drives a Spindle-{n} here") for n in names], "doc_id string, text string")
+    others, taken = [("x",), ("b", "y")], []
+
+    def late(spark_, at_, now):
+        if others and not taken:
+            taken.append(1)
+            store.add(docs(*others.pop(0)), at, chunking.char_chunks)
+            taken.clear()
+        return real(spark_, at_, now)
+
+    monkeypatch.setattr(store, "publish", late)
+    assert store.add(docs("a"), at, chunking.char_chunks) == 1  # after x
+    assert store.add(docs("b", "c"), at, chunking.char_chunks) == 1  # b was added meanwhile
+    assert {d for d, _ in counts(spark, at)["doc_status"]} == set("abcxy") and counts(spark, at)["chunks"] == {(d, 1) for d in "abcxy"}
+
+
+def test_many_threads_lose_no_batch(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    at = str(tmp_path / "store")
+    docs = lambda k: spark.createDataFrame([(f"d{k}", "one text"), ("same", "in all")], "doc_id string, text string")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: store.add(docs(k), at, chunking.char_chunks, with_graph=False), range(6)))
+    assert sorted(r.doc_id for r in store.stored(spark, at, "doc_status").collect()) == sorted(["same", *(f"d{k}" for k in range(6))])
+
+
+def test_a_view_stays_as_it_was(spark, tmp_path):
+    at = str(tmp_path / "store")
+    docs = lambda *names: spark.createDataFrame([(n, f"text {n}") for n in names], "doc_id string, text string")
+    for n in "abc":
+        store.add(docs(n), at, chunking.char_chunks, with_graph=False)
+    old = store.view(spark, at)
+    chunks = store.stored(spark, at, "chunks", old)
+    assert store.compact(spark, at).version == 4
+    store.add(docs("d"), at, chunking.char_chunks, with_graph=False)
+    assert chunks.count() == 3 and store.stored(spark, at, "chunks").count() == 4
+    assert len(store.view(spark, at).batches) == 2 and store.vacuum(spark, at, older_s=0, versions=1) == 6
+    assert store.stored(spark, at, "chunks").count() == 4
+
+
 class StubExtractor:
     """Pages of a file whose bytes are a JSON list of pages."""
 
