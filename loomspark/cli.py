@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.config import Settings, load_settings
-from loomspark.functions import models
+from loomspark.functions import html_tables, models
 from loomspark.functions import text as T
-from loomspark.operators import chunking, html_tables, ingest, pages
+from loomspark.operators import chunking, ingest, pages
 from loomspark.operators.questions import stamped
 from loomspark.plans.pipeline import questions_of
 from loomspark.sources import files, store

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .html_tables import render_tables
+
 #: Before every pattern: Unicode classes, and only \n ends a line.
 FLAGS = "(?U)(?d)"
 
@@ -55,7 +57,8 @@ def filled(text: Column) -> Column:
 
 
 def markdown_to_plain(text: Column) -> Column:
-    out = F.coalesce(text, F.lit(""))
+    """Tables are laid out first, while they have their tags; then the steps in order."""
+    out = render_tables(F.coalesce(text, F.lit("")), escape=False)
     for pattern, replacement in MARKDOWN_STEPS:
         out = sub(out, pattern, replacement)
     return strip(out)

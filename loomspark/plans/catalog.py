@@ -6,14 +6,17 @@ overlap of 100 here, so that documents have several.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.config import Chunking, Settings
-from loomspark.functions import models
+from loomspark.functions import html_tables, models
 from loomspark.functions import text as T
-from loomspark.operators import chunking, context, dedup, graph, html_tables, ingest, pages, prompts, questions, vectors
-from loomspark.sources.tables import read_table, settled
+from loomspark.operators import chunking, context, dedup, graph, ingest, pages, prompts, questions, vectors
+from loomspark.sources import store
+from loomspark.sources.tables import read_table, settled, shared_dir
 from loomspark.streaming import ingest as stream
 
 from .oracles import SQL  # noqa: F401
@@ -269,6 +272,43 @@ def q_html_tables(spark: SparkSession, at: str) -> DataFrame:
     return rows.select("page_id", F.length("text").alias("n_chars"), _md5("text").alias("text_md5"))
 
 
+def _tabled(html: Column, key: Column, url: Column) -> Column:
+    """Whole html with a table behind it, in one of five forms: ends of rows and cells left out; cells that span rows, and columns;
+    a table in a cell; and a bar in a cell, beside a table that isn't ended."""
+    cat, k = F.concat, F.pmod(key, F.lit(5))
+    said = key.cast("string")
+    spanned = cat(F.lit("<table><tr><th>k</th><th>v</th></tr><tr><td rowspan='2'>"), said, F.lit("</td><td>x</td></tr><tr><td>"), url, F.lit("</td></tr></table>"))
+    wide = cat(F.lit("<TABLE><TR><TH colspan=2>"), said, F.lit("</TH></TR><TR><TD>l</TD><TD>"), url, F.lit("</TD></TR></TABLE>"))
+    nested = cat(F.lit("<table><tr><td>"), said, F.lit("</td><td>in <table><tr><td>one</td><td>two</td></tr></table> out</td></tr></table>"))
+    barred = cat(F.lit("<table><tr><td>p|q</td></tr><tr><td>"), said, F.lit("</td></tr></table><table><tr><td>open"))
+    short = cat(F.lit("<table class=x><tr><th>key<th>address<tr><td>"), said, F.lit("<td>"), url, F.lit("</table>"))
+    return cat(html, F.when(k == 0, short).when(k == 1, spanned).when(k == 2, wide).when(k == 3, nested).otherwise(barred), F.lit(" end"))
+
+
+def q_table_grid(spark: SparkSession, at: str) -> DataFrame:
+    rows = _table(spark, at, "pages").select("page_id", html_tables.render_tables(_tabled(F.col("html"), F.col("page_id"), F.col("url"))).alias("text"))
+    return rows.select("page_id", F.length("text").alias("n_chars"), _md5("text").alias("text_md5"))
+
+
+def q_markdown_tables(spark: SparkSession, at: str) -> DataFrame:
+    """Cleaning of markdown that holds tables: they are laid out before tags go."""
+    rows = _table(spark, at, "pages").select("page_id", T.markdown_to_plain(_tabled(F.col("html"), F.col("page_id"), F.col("url"))).alias("plain"))
+    return rows.select("page_id", F.length("plain").alias("n_chars"), _md5("plain").alias("plain_md5"))
+
+
+def q_store_view(spark: SparkSession, at: str) -> DataFrame:
+    """Documents that were added to a store in two runs, between which a run with others failed before its commit."""
+    docs, where = _docs(spark, at), f"{shared_dir(spark)}/loomspark-stores/{uuid.uuid4().hex}"
+    chunker = lambda some: chunking.char_chunks(some, SIZE, OVERLAP)
+    store.add(docs.where("doc_id % 2 = 0"), where, chunker, with_graph=False)
+    lost = store.Batch(spark, where)
+    lost.write("doc_status", ingest.doc_status(docs, lost.write("chunks", chunker(docs.where("doc_id % 2 = 1")))))
+    store.add(docs, where, chunker, with_graph=False)
+    counts = store.stored(spark, where, "chunks").groupBy("doc_id").agg(F.count("*").alias("n_chunks"), F.sum(F.length("content")).alias("chunk_chars"))
+    zero = F.lit(0).cast("long")
+    return store.stored(spark, where, "doc_status").join(counts, "doc_id", "left").select("doc_id", "status", F.coalesce("n_chunks", zero).alias("n_chunks"), F.coalesce("chunk_chars", zero).alias("chunk_chars"))
+
+
 def q_concat_pages(spark: SparkSession, at: str) -> DataFrame:
     text = F.when(F.col("page_id") % 4 == 0, "").otherwise(F.col("html"))
     rows = _table(spark, at, "pages").select((F.col("page_id") % 10).alias("document"), F.col("page_id").alias("page"), text.alias("text"))

@@ -44,6 +44,24 @@ def _plain(x: str) -> str:
     return _strip(out)
 
 
+# A page's html with a table behind it, and the same with the table as markdown; by page in five forms. A nested table's cells are
+# words of their cell; a table that isn't ended stays, and its tags go in cleaning.
+def _tabled(bar: str) -> str:
+    def lines(*rows: str) -> str:
+        return " || chr(10) || ".join(["chr(10)", *rows, "chr(10)"])
+
+    u = "trim(regexp_replace(url, '\\s+', ' ', 'g'))"
+    forms = (
+        lines("'| key | address |'", "'|---|---|'", f"'| ' || page_id || ' | ' || {u} || ' |'"),
+        lines("'| k | v |'", "'|---|---|'", "'| ' || page_id || ' | x |'", f"'| ' || page_id || ' | ' || {u} || ' |'"),
+        lines("'| ' || page_id || ' | ' || page_id || ' |'", "'|---|---|'", f"'| l | ' || {u} || ' |'"),
+        lines("'| ' || page_id || ' | in one two out |'", "'|---|---|'"),
+        lines(f"'| p{bar}|q |'", "'|---|'", "'| ' || page_id || ' |'") + " || chr(10) || '<table><tr><td>open'",
+    )
+    cases = " ".join(f"WHEN {k} THEN {form}" for k, form in enumerate(forms))
+    return f"(html || CASE page_id % 5 {cases} END || ' end')"
+
+
 def _answerless(x: str) -> str:
     for mark in ("答案[:：]", "回答[:：]", "Answer[:：]"):
         x = f"regexp_replace({x}, '(?is){mark}.*', '')"
@@ -231,6 +249,9 @@ SQL = {
     "q_cosine_topk": """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings),
         s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) / (q.n * v.n) AS score FROM v q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id)
         SELECT query_id, rank, vec_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s WHERE score >= 0.2) WHERE rank <= 20""",
+    "q_table_grid": f"SELECT page_id, length(t) AS n_chars, md5(t) AS text_md5 FROM (SELECT page_id, {_tabled(chr(92))} AS t FROM pages)",
+    "q_markdown_tables": f"SELECT page_id, length(p) AS n_chars, md5(p) AS plain_md5 FROM (SELECT page_id, {_plain(_tabled(''))} AS p FROM pages)",
+    "q_store_view": f"WITH {CHUNKS}, c AS (SELECT doc_id, count(*) AS n, sum(length(content))::BIGINT AS l FROM chunks GROUP BY doc_id) SELECT doc_id, CASE WHEN n > 0 THEN 'processed' ELSE 'empty' END AS status, coalesce(n, 0) AS n_chunks, coalesce(l, 0)::BIGINT AS chunk_chars FROM documents LEFT JOIN c USING (doc_id)",
     "q_html_tables": """SELECT page_id, length(t) AS n_chars, md5(t) AS text_md5 FROM (SELECT page_id, html || chr(10) || chr(10) || '| key | address |' || chr(10) || '|---|---|' || chr(10) || '| ' || page_id || ' | ' || trim(regexp_replace(url, '\\s+', ' ', 'g')) || ' |' || chr(10) || '| last |  |' || chr(10) || chr(10) || 'y' AS t FROM pages)""",
     "q_concat_pages": "SELECT page_id % 10 AS document, count(*) AS pages, md5(coalesce(string_agg(x, chr(10) || chr(10) ORDER BY page_id) FILTER (x <> ''), '')) AS text_md5 FROM (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN '' ELSE html END AS x FROM pages) GROUP BY page_id % 10",
     "q_layout_tables": "SELECT page_id, CASE WHEN page_id % 4 < 3 THEN 2 ELSE 1 END AS n, CASE page_id % 4 WHEN 0 THEN html || '|' || url WHEN 1 THEN url || '|' || url WHEN 2 THEN 'c' || url || '|' || url ELSE url END AS tables FROM pages",

@@ -5,9 +5,9 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loomspark.functions import models
+from loomspark.functions import html_tables, models
 from loomspark.functions import text as T
-from loomspark.operators import chunking, context, dedup, graph, html_tables, ingest, prompts, questions, vectors
+from loomspark.operators import chunking, context, dedup, graph, ingest, prompts, questions, vectors
 
 
 def literal_dedup(rows, threshold):
@@ -160,7 +160,7 @@ def test_retry(tries, fails):
 
 
 def test_tables_history_and_status(spark):
-    assert html_tables.table_markdown("<table><tr><th>a<th>b</th></tr><tr><td>1</td></tr></table>").startswith("| b |")
+    assert html_tables.table_markdown("<table><tr><th>a<th>b</th></tr><tr><td>1</td></tr></table>") == "| a | b |\n|---|---|\n| 1 |  |"
     turns = spark.createDataFrame([(1, 1, "assistant", "y"), (1, 0, "user", "x"), (1, 2, "tool", "z")], "conv_id int, turn int, role string, text string")
     assert prompts.flatten_history(turns, "go").first().prompt == "User: x\n\nAssistant: y\n\nUser: go\n\nAssistant:"
     docs = spark.createDataFrame([(1, "abc"), (2, " ")], "doc_id int, text string")
@@ -210,6 +210,68 @@ def test_pairs_against_all_pairs(spark, threshold):
     assert {(r.doc, r.rn, r.earlier) for r in got} == want and len(got) == len(want)
 
 
+@st.composite
+def grids(draw):
+    """(html, texts by row and column): cells that span rows and columns of a grid, with and without their end tags."""
+    height, width = draw(st.integers(1, 6)), draw(st.integers(1, 6))
+    grid: list[list] = [[None] * width for _ in range(height)]
+    html = ["<table>"]
+    for r in range(height):
+        html.append(draw(st.sampled_from(["<tr>", "<TR class='x'>"])))
+        for c in range(width):
+            if grid[r][c] is not None:
+                continue
+            across, down = draw(st.integers(1, 3)), draw(st.integers(1, 3))
+            across = next((k for k in range(across) if c + k >= width or grid[r][c + k] is not None), across)
+            down = min(down, height - r)
+            text = draw(st.sampled_from(["", "x", "a b", "p|q", "1.5", "日本", f"c{r}.{c}"]))
+            for y in range(r, r + down):
+                for x in range(c, c + across):
+                    grid[y][x] = text
+            tag, past = draw(st.sampled_from(["td", "th"])), draw(st.booleans()) and r + down == height
+            spans = (f" colspan={across}" if across > 1 else "") + (f' rowspan="{down + 7 * past}"' if down + past > 1 else "")
+            html.append(f"<{tag}{spans}> {text.replace(' ', draw(st.sampled_from([' ', '<br>', chr(10)])))} {draw(st.sampled_from(['', f'</{tag}>']))}")
+        html.append(draw(st.sampled_from(["", "</tr>"])))
+    return "".join(html) + "</table>", grid
+
+
+@given(grids())
+def test_tables_are_laid_out_on_a_grid(drawn):
+    html, grid = drawn
+    assert html_tables.table_grid(html) == grid
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<td>a<td>b<tr><td>c", [["a", "b"], ["c", ""]]),
+        ("<table><tr><td rowspan=0>a</td><td>b</td></tr><tr><td>c</td></tr><tr><td>d</td></tr></table>", [["a", "b"], ["a", "c"], ["a", "d"]]),
+        ("<table><tr><td colspan=x>a<td rowspan=-1>b</table>", [["a", "b"]]),
+        ("<table><thead><tr><th>h</thead><tbody><tr><td>b</tbody></table>", [["h"], ["b"]]),
+        ("<table><tr><td>a<table><tr><td>in</td></tr><tr><td>ner</td></tr></table>z</td><td>q</td></tr></table>", [["a in ner z", "q"]]),
+        ("<table><caption>no</caption><tr><td>&lt;x&gt; &amp;<script>no</script></td></tr></table>", [["<x> &"]]),
+        ("<table></table>", []),
+    ],
+)
+def test_tables_of_odd_markup(html, want):
+    assert html_tables.table_grid(html) == want
+
+
+def test_tables_in_texts():
+    one, md = "<table><tr><td>a</td></tr></table>", "\n\n| a |\n|---|\n\n"
+    assert html_tables.with_tables(f"x{one}y{one}z") == f"x{md}y{md}z"
+    assert html_tables.with_tables(f"<table><tr><td>open {one}") == f"<table><tr><td>open {md}"
+    assert html_tables.with_tables(f"{one}</table> <tablex> </table>") == f"{md}</table> <tablex> </table>"
+    assert html_tables.with_tables("<table>only text</table>") == "\n\n only text \n\n"
+
+
+def test_only_texts_with_a_table_leave_the_jvm(spark):
+    rows = [("plain " * 50, "p"), (None, "n"), ("a <TABLE><tr><td>1|2</td><td>**b**</td></tr></TABLE> c", "t")]
+    df = spark.createDataFrame(rows, "x string, k string")
+    got = {r.k: r.y for r in df.select("k", T.markdown_to_plain(F.col("x")).alias("y")).collect()}
+    assert got == {"p": ("plain " * 50).strip(), "n": "", "t": "a \n\n 1 2 b \n\n c"}
+
+
 @pytest.mark.parametrize("walk", [0, 40])
 def test_rounds_drop_what_the_walk_drops(spark, walk):
     """A hot key of 4,000 rows in random order and small ones; no more than 30 rounds."""
