@@ -56,7 +56,7 @@ def _tabled(bar: str) -> str:
         lines("'| k | v |'", "'|---|---|'", "'| ' || page_id || ' | x |'", f"'| ' || page_id || ' | ' || {u} || ' |'"),
         lines("'| ' || page_id || ' | ' || page_id || ' |'", "'|---|---|'", f"'| l | ' || {u} || ' |'"),
         lines("'| ' || page_id || ' | in one two out |'", "'|---|---|'"),
-        lines(f"'| p{bar}|q |'", "'|---|'", "'| ' || page_id || ' |'") + " || chr(10) || '<table><tr><td>open'",
+        lines(f"'| p{bar}|q |'", "'|---|'", "'| ' || page_id || ' |'") + " || '<table><tr><td>open'",
     )
     cases = " ".join(f"WHEN {k} THEN {form}" for k, form in enumerate(forms))
     return f"(html || CASE page_id % 5 {cases} END || ' end')"
