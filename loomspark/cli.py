@@ -2,7 +2,7 @@
 
 Step 1 extracts texts of PDF files (by the extractor named in --extractor, module:object), step 2 adds what is new in the texts
 to the store of chunks and graph tables, step 3 writes questions with contexts from that store, or from a GraphML file or
-another store named in --graph. A step that fails doesn't stop the later ones; the exit code then is 1.
+another store named in --graph. --responder and --embedder name the models of steps 2 and 3; without, patterns and a stub serve. A step that fails doesn't stop the later ones; the exit code then is 1.
 """
 
 from __future__ import annotations
@@ -12,17 +12,18 @@ import importlib
 import logging
 import os
 import sys
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.config import Settings, load_settings
-from loomspark.functions import html_tables, models
+from loomspark.functions import calls, html_tables, models
 from loomspark.functions import text as T
-from loomspark.operators import chunking, ingest, pages
+from loomspark.operators import chunking, embedding, extraction, ingest, pages
 from loomspark.operators.questions import stamped
-from loomspark.plans.pipeline import questions_of
+from loomspark.plans.pipeline import call_settings, questions_of
 from loomspark.sources import files, store
 from loomspark.sources.tables import settled
 
@@ -76,8 +77,40 @@ def read_texts(spark: SparkSession, source: str, recursive: bool) -> DataFrame:
     return docs.select("doc_id", "text")
 
 
-def build_tables(spark: SparkSession, source: str, out: str, settings: Settings, recursive: bool = True) -> int:
-    return store.add(read_texts(spark, source, recursive), out, lambda docs: chunking.chunks_of(docs, settings.chunking))
+def model_graph(settings: Settings, responder: models.Responder, answers_at: str) -> Callable[[DataFrame, store.Batch], None]:
+    """What writes the graph tables of chunks from a model's records; answers are kept, so that a run after a failure asks for the
+    rest only."""
+    how, x = call_settings(settings.graph_calls), settings.extraction
+
+    def ask(prompts: DataFrame) -> DataFrame:
+        return calls.answered(prompts, responder, answers_at, calls=how, model=settings.graph_calls.model)
+
+    def tables(chunks: DataFrame, batch: store.Batch) -> None:
+        said = settled(ask(extraction.extraction_prompts(chunks.select("doc_id", "chunk_index", "chunk_id", "content"), x.entity_types)))
+        lost = said.where("error IS NOT NULL")
+        if n := lost.count():
+            logging.warning("%d calls for records failed, such as: %s", n, lost.first().error)
+        records = batch.write("records", extraction.parse_records(said.where("error IS NULL")))
+        if n := records.where("reason IS NOT NULL").count():
+            logging.warning("%d records can't be read", n)
+        named = F.col("entity_id")
+        nodes = extraction.shortened(settled(extraction.record_nodes(records)), ["doc_id", "entity_id"], named, ask, x.max_description_chars, x.descriptions_per_summary)
+        pair = F.concat_ws(", ", "source", "target")
+        edges = extraction.shortened(settled(extraction.record_edges(records)), ["doc_id", "source", "target"], pair, ask, x.max_description_chars, x.descriptions_per_summary)
+        batch.write("nodes", nodes)
+        batch.write("edges", edges)
+        batch.write("failed_calls", lost.select("doc_id", "chunk_index", "chunk_id", "error"))
+
+    return tables
+
+
+def build_tables(spark: SparkSession, source: str, out: str, settings: Settings, recursive: bool = True, responder: str = "", embedder: str = "") -> int:
+    """Adds new documents; with a responder graph tables are of its records, with an embedder vectors are brought up to date."""
+    graph_of = model_graph(settings, models.load_object(responder), os.path.join(out, "_answers")) if responder else store.graph_tables
+    added = store.add(read_texts(spark, source, recursive), out, lambda docs: chunking.chunks_of(docs, settings.chunking), graph_of=graph_of)
+    if embedder:
+        logging.info("%d texts embedded", embedding.sync(spark, out, models.load_object(embedder), settings.vectors.dim))
+    return added
 
 
 def read_graph(spark: SparkSession, at: str) -> tuple[DataFrame, DataFrame] | None:
@@ -88,9 +121,18 @@ def read_graph(spark: SparkSession, at: str) -> tuple[DataFrame, DataFrame] | No
     return None if nodes is None or edges is None else (nodes, edges)
 
 
-def write_questions(spark: SparkSession, source: str, out: str, settings: Settings, dedup: bool, graph_at: str = "", recursive: bool = True) -> None:
-    docs = read_texts(spark, source, recursive)
-    records = questions_of(docs, settings, deduplicate=dedup and settings.enable_deduplication, stored_graph=read_graph(spark, graph_at) if graph_at else None)
+def write_questions(spark: SparkSession, source: str, out: str, settings: Settings, dedup: bool, graph_at: str = "", recursive: bool = True, responder: str = "") -> None:
+    """Questions as files; with a responder answers are kept under ``_answers``, and chunks whose call failed are in ``_failed``."""
+    docs, lost = read_texts(spark, source, recursive), os.path.join(out, "_failed")
+
+    def failed(rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(lost)
+        if n := spark.read.parquet(lost).count():
+            logging.warning("%d calls for questions failed: see %s", n, lost)
+
+    graph_tables = read_graph(spark, graph_at) if graph_at else None
+    asked = models.load_object(responder) if responder else None
+    records = settled(questions_of(docs, settings, asked, dedup and settings.enable_deduplication, graph_tables, os.path.join(out, "_answers") if responder else "", failed))
     files.write_questions(stamped(records), out)
 
 
@@ -105,6 +147,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--recursive", action=argparse.BooleanOptionalAction, default=True)
     p.add_argument("--no-dedup", action="store_true")
     p.add_argument("--extractor", default="")
+    p.add_argument("--responder", default="", help="module:object that answers prompts in steps 2 and 3")
+    p.add_argument("--embedder", default="", help="module:object that embeds texts in step 2")
     p.add_argument("--list-domains", action="store_true")
     p.add_argument("--log-level", default="INFO")
     a = p.parse_args(argv)
@@ -124,8 +168,8 @@ def main(argv: list[str] | None = None) -> int:
     own, last = 1 not in asked, asked[-1]  # --input and --output are those of the first and of the last step
     steps = {
         1: lambda: extract_texts(spark, resolve(a.input, root(s.paths.raw_dir), a.domain), resolve(a.output if last == 1 else None, root(s.paths.processed_dir), a.domain), a.extractor, a.recursive, a.domain is None),
-        2: lambda: build_tables(spark, resolve(a.input if own else None, root(s.paths.processed_dir), a.domain), resolve(a.output if last == 2 else None, root(s.paths.graph_dir), a.domain), s, a.recursive),
-        3: lambda: write_questions(spark, resolve(a.input if own else None, root(s.paths.processed_dir), a.domain), resolve(a.output, root(s.paths.output_dir), a.domain), s, not a.no_dedup, a.graph or graph_at, a.recursive),
+        2: lambda: build_tables(spark, resolve(a.input if own else None, root(s.paths.processed_dir), a.domain), resolve(a.output if last == 2 else None, root(s.paths.graph_dir), a.domain), s, a.recursive, a.responder, a.embedder),
+        3: lambda: write_questions(spark, resolve(a.input if own else None, root(s.paths.processed_dir), a.domain), resolve(a.output, root(s.paths.output_dir), a.domain), s, not a.no_dedup, a.graph or graph_at, a.recursive, a.responder),
     }
     done = []
     for n in asked:

@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types
 
+from . import calls
+from .calls import generation_delay  # noqa: F401
+
 
 class Responder(Protocol):
     def respond(self, prompt: str, system: str) -> str: ...
@@ -90,6 +93,15 @@ class TiktokenTokenizer:
         return {"path": self.path, "pattern": self.pattern}
 
 
+def load_object(name: str):
+    """What ``module:object`` names; of a class an instance."""
+    import importlib
+
+    module, _, attribute = name.partition(":")
+    found = getattr(importlib.import_module(module), attribute)
+    return found() if isinstance(found, type) else found
+
+
 def load_tokenizer(path: str, pattern: str) -> Tokenizer | None:
     """The tokenizer of a rank file; none, with a warning, where its library or its file can't be loaded."""
     try:
@@ -118,29 +130,13 @@ def with_retry(call: Callable[[], object], tries: int, delay: Callable[[int], fl
 GENERATION_TRIES, EMBEDDING_TRIES = 5, 3
 
 
-def generation_delay(turn: int) -> float:
-    return 5.0 * 2**turn
-
-
 def embedding_delay(turn: int) -> float:
     return min(10.0, 1.0 * 2**turn)
 
 
 def respond(prompts: DataFrame, responder: Responder, prompt_col: str = "prompt", system_col: str | None = None, tries: int = 1) -> DataFrame:
     """``prompts`` with columns response and error, one call per row."""
-    schema = types.StructType([*prompts.schema.fields, types.StructField("response", types.StringType()), types.StructField("error", types.StringType())])
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            done = []
-            for prompt, system in zip(batch[prompt_col], batch[system_col] if system_col else [""] * len(batch), strict=True):
-                try:
-                    done.append((with_retry(lambda p=prompt, s=system: responder.respond(p or "", s or ""), tries, generation_delay), None))
-                except Exception as error:
-                    done.append((None, f"{type(error).__name__}: {error}"))
-            yield batch.assign(response=[r for r, _ in done], error=[e for _, e in done])
-
-    return prompts.mapInPandas(rows, schema)
+    return calls.respond(prompts, responder, prompt_col, system_col, calls.Calls(tries=tries))
 
 
 def fallback_embedding(text: str, dim: int) -> list[float]:

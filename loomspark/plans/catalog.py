@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loomspark.config import Chunking, Settings
 from loomspark.functions import html_tables, models
 from loomspark.functions import text as T
-from loomspark.operators import chunking, context, dedup, graph, ingest, pages, prompts, questions, vectors
+from loomspark.operators import chunking, context, dedup, embedding, extraction, graph, ingest, pages, prompts, questions, vectors
 from loomspark.sources import store
 from loomspark.sources.tables import read_table, settled, shared_dir
 from loomspark.streaming import ingest as stream
@@ -309,6 +309,47 @@ def q_store_view(spark: SparkSession, at: str) -> DataFrame:
     return store.stored(spark, where, "doc_status").join(counts, "doc_id", "left").select("doc_id", "status", F.coalesce("n_chunks", zero).alias("n_chunks"), F.coalesce("chunk_chars", zero).alias("chunk_chars"))
 
 
+def _records(spark: SparkSession, at: str) -> DataFrame:
+    """Records of the stub's answers about the entities of each chunk."""
+    named = graph.extracted(_chunks(spark, at))
+    return settled(extraction.parse_records(named.select("doc_id", "chunk_index", "chunk_id", extraction.stub_records(F.col("e")).alias("response"))))
+
+
+def q_record_nodes(spark: SparkSession, at: str) -> DataFrame:
+    rows = extraction.record_nodes(_records(spark, at))
+    return rows.select("doc_id", "entity_id", "entity_type", "description", _md5("source_id").alias("sources_md5"), "first_chunk", "first_pos")
+
+
+def q_record_edges(spark: SparkSession, at: str) -> DataFrame:
+    rows = extraction.record_edges(_records(spark, at))
+    return rows.select("doc_id", "source", "target", "weight", _md5("description").alias("description_md5"), "keywords", _md5("source_id").alias("sources_md5"), "first_chunk")
+
+
+def q_bad_records(spark: SparkSession, at: str) -> DataFrame:
+    return _records(spark, at).where("reason IS NOT NULL").groupBy("doc_id", "reason").agg(F.count("*").alias("n"))
+
+
+class _Hashed:
+    """The offline embedder."""
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        return [models.fallback_embedding(x, 8) for x in texts]
+
+
+def q_vector_store(spark: SparkSession, at: str) -> DataFrame:
+    """Vectors of a store that documents came to in two runs: how many chunks and texts have one, and how many texts each of three
+    runs embedded; the third has nothing left to do."""
+    docs, where = _docs(spark, at), f"{shared_dir(spark)}/loomspark-stores/{uuid.uuid4().hex}"
+    chunker = lambda some: chunking.char_chunks(some, SIZE, OVERLAP)
+    made = []
+    for some in (docs.where("doc_id % 2 = 0"), docs, docs):
+        store.add(some, where, chunker, with_graph=False)
+        made.append(embedding.sync(spark, where, _Hashed(), 8))
+    rows = embedding.vectors(spark, where, "chunk")
+    counts = rows.agg(F.count("*").alias("n_chunks"), F.sum(F.size("embedding")).alias("n_values"))
+    return counts.select("n_chunks", "n_values", *(F.lit(n).cast("long").alias(f"embedded_{k + 1}") for k, n in enumerate(made)))
+
+
 def q_concat_pages(spark: SparkSession, at: str) -> DataFrame:
     text = F.when(F.col("page_id") % 4 == 0, "").otherwise(F.col("html"))
     rows = _table(spark, at, "pages").select((F.col("page_id") % 10).alias("document"), F.col("page_id").alias("page"), text.alias("text"))

@@ -252,6 +252,10 @@ SQL = {
     "q_table_grid": f"SELECT page_id, length(t) AS n_chars, md5(t) AS text_md5 FROM (SELECT page_id, {_tabled(chr(92))} AS t FROM pages)",
     "q_markdown_tables": f"SELECT page_id, length(p) AS n_chars, md5(p) AS plain_md5 FROM (SELECT page_id, {_plain(_tabled(''))} AS p FROM pages)",
     "q_store_view": f"WITH {CHUNKS}, c AS (SELECT doc_id, count(*) AS n, sum(length(content))::BIGINT AS l FROM chunks GROUP BY doc_id) SELECT doc_id, CASE WHEN n > 0 THEN 'processed' ELSE 'empty' END AS status, coalesce(n, 0) AS n_chunks, coalesce(l, 0)::BIGINT AS chunk_chars FROM documents LEFT JOIN c USING (doc_id)",
+    "q_record_nodes": f"WITH {FOUND} SELECT doc_id, name AS entity_id, 'concept' AS entity_type, 'said of ' || name AS description, md5(string_agg(chunk_id, '<SEP>' ORDER BY chunk_index)) AS sources_md5, min((chunk_index, pos))[1] AS first_chunk, min((chunk_index, pos))[2] AS first_pos FROM found GROUP BY doc_id, name",
+    "q_record_edges": f"WITH {PAIRS} SELECT doc_id, min((chunk_index, pos, source, target))[3] AS source, min((chunk_index, pos, source, target))[4] AS target, 2.0::DOUBLE * count(*) AS weight, md5(string_agg(DISTINCT source || ' beside ' || target, '<SEP>' ORDER BY source || ' beside ' || target)) AS description_md5, 'near' AS keywords, md5(array_to_string(list_transform(list_sort(list_distinct(list((chunk_index, chunk_id)))), lambda x: x[2]), '<SEP>')) AS sources_md5, min((chunk_index, pos, source, target))[1] AS first_chunk FROM relations GROUP BY doc_id, a, b",
+    "q_bad_records": f"WITH {CHUNKS} SELECT doc_id, unnest(['members', 'weight']) AS reason, count(*) AS n FROM chunks GROUP BY doc_id",
+    "q_vector_store": f"WITH {CHUNKS}, t AS (SELECT chunk_id, min(content) AS content, bool_or(doc_id % 2 = 0) AS early FROM chunks GROUP BY chunk_id) SELECT count(*) AS n_chunks, 8 * count(*) AS n_values, (SELECT count(DISTINCT content) FROM t WHERE early) AS embedded_1, count(DISTINCT content) - (SELECT count(DISTINCT content) FROM t WHERE early) AS embedded_2, 0::BIGINT AS embedded_3 FROM t",
     "q_html_tables": """SELECT page_id, length(t) AS n_chars, md5(t) AS text_md5 FROM (SELECT page_id, html || chr(10) || chr(10) || '| key | address |' || chr(10) || '|---|---|' || chr(10) || '| ' || page_id || ' | ' || trim(regexp_replace(url, '\\s+', ' ', 'g')) || ' |' || chr(10) || '| last |  |' || chr(10) || chr(10) || 'y' AS t FROM pages)""",
     "q_concat_pages": "SELECT page_id % 10 AS document, count(*) AS pages, md5(coalesce(string_agg(x, chr(10) || chr(10) ORDER BY page_id) FILTER (x <> ''), '')) AS text_md5 FROM (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN '' ELSE html END AS x FROM pages) GROUP BY page_id % 10",
     "q_layout_tables": "SELECT page_id, CASE WHEN page_id % 4 < 3 THEN 2 ELSE 1 END AS n, CASE page_id % 4 WHEN 0 THEN html || '|' || url WHEN 1 THEN url || '|' || url WHEN 2 THEN 'c' || url || '|' || url ELSE url END AS tables FROM pages",

@@ -137,9 +137,9 @@ def graph_tables(chunks: DataFrame, batch: Batch) -> None:
         batch.write(table, rows)
 
 
-def add(docs: DataFrame, store: str, chunker: Callable[[DataFrame], DataFrame], with_graph: bool = True, graph_of: Callable[[DataFrame, Batch], None] = graph_tables, after: Callable[[DataFrame, Batch, View], None] | None = None) -> int:
+def add(docs: DataFrame, store: str, chunker: Callable[[DataFrame], DataFrame], with_graph: bool = True, graph_of: Callable[[DataFrame, Batch], None] = graph_tables) -> int:
     """Adds the documents (doc_id, text) that the store doesn't have, as one batch; returns how many. ``graph_of`` writes the
-    graph tables of the chunks, ``after`` what else goes with them. Nothing of a batch is read before all of it is written."""
+    graph tables of the chunks. Nothing of a batch is read before all of it is written."""
     spark = docs.sparkSession
     docs = docs.dropDuplicates(["doc_id"])
     for _ in range(TRIES):
@@ -154,8 +154,6 @@ def add(docs: DataFrame, store: str, chunker: Callable[[DataFrame], DataFrame],
             chunks = batch.write("chunks", chunker(new))
             if with_graph:
                 graph_of(chunks, batch)
-            if after:
-                after(chunks, batch, before)
             status = batch.write("doc_status", ingest.doc_status(new, chunks))
             if _committed(spark, store, batch, before, status):
                 return n
@@ -168,7 +166,7 @@ def add(docs: DataFrame, store: str, chunker: Callable[[DataFrame], DataFrame],
 def _committed(spark: SparkSession, store: str, batch: Batch, before: View, status: DataFrame) -> bool:
     """Commits a batch after those of other writers; False if one of these has a document of it."""
     for _ in range(TRIES):
-        if publish(spark, store, View(before.version + 1, before.batches | {batch.id: batch.tables})):
+        if commit(spark, store, batch, before):
             return True
         now = view(spark, store)
         others = View(now.version, {b: t for b, t in now.batches.items() if b not in before.batches})
@@ -179,6 +177,11 @@ def _committed(spark: SparkSession, store: str, batch: Batch, before: View, stat
     raise RuntimeError(f"{TRIES} other writers took the versions after {before.version}")
 
 
+def commit(spark: SparkSession, store: str, batch: Batch, before: View) -> bool:
+    """Commits a batch as the version after ``before``, or returns False where that is taken."""
+    return publish(spark, store, View(before.version + 1, before.batches | {batch.id: batch.tables}))
+
+
 def compact(spark: SparkSession, store: str) -> View:
     """Writes the tables of all batches as one batch, which takes their place in the next version; batches that others commit
     meanwhile stay beside it."""
