@@ -3,8 +3,8 @@
 Vectors are scaled to length one, where the largest cosine is the smallest distance, and projected by a Gaussian (that
 is 2-stable) matrix to half their dimensions, ``DIMENSIONS`` at most. The top of one kd-tree over the projections, fitted on
 a bounded sample, deals all vectors into cells; each cell has a tree of its own over all its vectors (several, where it holds
-more than ``SHARD``), which is built once and kept as a row of a table. A query takes its neighbours from a tree in order of
-their projected distance and verifies them on the original vectors. The squared projected distance of a pair over its squared
+more than ``SHARD``), which is built once and kept as a row of a table. A query reads a tree's leaves in the order of their boxes'
+distances, takes its neighbours in order of their projected distance and verifies them on the original vectors. The squared projected distance of a pair over its squared
 true distance follows a chi-square law, so a query stops at the first neighbour further out than any vector as near as its
 k-th best would have shown up at with probability ``SURE``.
 
@@ -37,11 +37,11 @@ from loomspark.sources.tables import read_table
 from .common import discard, settle, small_batches
 
 #: Dimensions of a projection at most (even), vectors of a tree, of a leaf, and queries of a block.
-DIMENSIONS, SHARD, LEAF, BLOCK = 32, 16_384, 64, 2048
+DIMENSIONS, SHARD, LEAF, BLOCK = 32, 16_384, 32, 2048
 #: Vectors on which the cells are fitted, and cells at most; a cell that holds more than ``SHARD`` vectors has several trees.
 SAMPLE, CELLS = 16_384, 4096
-#: Projected neighbours that are verified at once before the test is asked, at least.
-FIRST = 512
+#: Leaves that are read at first, and projected neighbours that are verified before the test is asked again.
+FIRST_LEAVES, STEP = 2, 64
 #: Probability with which a vector as near as the k-th best would have shown up before a query stops.
 SURE = 0.9
 #: Scores are ranked in whole units of this.
@@ -142,55 +142,64 @@ def box_gaps(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarra
     return out
 
 
-def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, points: np.ndarray, queries: np.ndarray, projected: np.ndarray, own: np.ndarray, kth: np.ndarray, k: int, bound: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """For each query its number, the k best rows (in tree order), their scores, and how many rows were verified. ``kth`` is
-    the score of the k-th best found elsewhere (-inf: none): what lies beyond its reach isn't looked at.
-
-    Projected neighbours are verified in order, twice as many each time, until the next one lies beyond the reach of the
-    k-th best so far."""
-    step = max(1, (1 << 22) // max(1, len(points)))
-    norms = np.einsum("ij,ij->i", points, points)
-    for lo in range(0, len(queries), step):
-        some = slice(lo, lo + step)
-        limit = np.where(np.isfinite(kth[some]), reach_of(np.where(np.isfinite(kth[some]), kth[some], 0), bound), np.inf)
-        leaves = np.flatnonzero((box_gaps(projected[some], tree.low, tree.high) <= limit[:, None]).any(0))
-        if not len(leaves):
-            continue
-        rows = np.concatenate([np.arange(a, b) for a, b in tree.spans[leaves]])
-        whole = len(rows) == len(points)
-        near = points if whole else points[rows]
-        gaps = (norms if whole else norms[rows])[None, :] - 2 * projected[some] @ near.T + np.einsum("ij,ij->i", projected[some], projected[some])[:, None]
-        for i in range(len(gaps)):
-            q = lo + i
-            gap = gaps[i]
-            here = np.flatnonzero(gap <= limit[i]) if np.isfinite(limit[i]) else np.arange(len(gap))
-            many, done, end = max(FIRST, 4 * k), 0, float(limit[i])
-            best_at, best = np.empty(0, np.int64), np.empty(0)
-            if len(here) > many:  # the nearest ones come first; of the others only those within their reach are put in order
-                head = np.argpartition(gap[here], many)
-                first = here[head[:many]]
-                best_at = rows[first][ids[rows[first]] != own[q]]
-                best = vectors[best_at] @ queries[q]
-                done = many
-                if len(best) >= k:
-                    end = min(end, reach_of(np.partition(best, len(best) - k)[len(best) - k], bound))
-                rest = here[head[many:]]
-                here = rest[gap[rest] <= end]
-            here = here[np.argsort(gap[here], kind="stable")]
-            at = 0
-            while at < len(here) and gap[here[at]] <= end:
-                next_rows = here[at : at + many]
-                next_rows = rows[next_rows[gap[next_rows] <= end]]
-                at, many, done = at + many, 2 * many, done + len(next_rows)
-                next_rows = next_rows[ids[next_rows] != own[q]]
-                best_at, best = np.concatenate([best_at, next_rows]), np.concatenate([best, vectors[next_rows] @ queries[q]])
-                if len(best) > 2 * k:
-                    top = np.lexsort((ids[best_at], -units_of(best)))[:k]
-                    best_at, best = best_at[top], best[top]
-                if len(best) >= k:
-                    end = min(end, reach_of(np.partition(best, len(best) - k)[len(best) - k], bound))
+@dataclass
+class Found:
+    """What a query found in a tree: rows (in tree order), scores, and how many rows were verified and leaves read."""
+
+    rows: np.ndarray
+    scores: np.ndarray
+    verified: int
+    leaves: int
+
+
+def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, points: np.ndarray, queries: np.ndarray, projected: np.ndarray, own: np.ndarray, kth: np.ndarray, k: int, bound: float) -> Iterator[tuple[int, Found]]:
+    """For each query its number and the k best of a tree. ``kth`` is the score of the k-th best found elsewhere (-inf: none): what
+    lies beyond its reach isn't looked at.
+
+    Leaves are read in the order of their boxes' distances, twice as many each time; their points wait by projected distance. A point
+    that no unread leaf can come before is the next projected neighbour and is verified; until there are k, so that the test has
+    something to go by, the nearest of those that wait are verified too. Nothing beyond the reach of the k-th best so far is read or
+    verified any more: the test is asked after each ``STEP`` points and before each leaf."""
+    lanes = max(1, (1 << 20) // max(1, len(tree.spans)))
+    for lo in range(0, len(queries), lanes):
+        boxes = box_gaps(projected[lo : lo + lanes], tree.low, tree.high)
+        for i in range(len(boxes)):
+            yield lo + i, _one_search(tree, vectors, ids, points, queries[lo + i], projected[lo + i], own[lo + i], kth[lo + i], k, bound, boxes[i])
+
+
+def _one_search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, points: np.ndarray, query: np.ndarray, at: np.ndarray, own: int, kth: float, k: int, bound: float, boxes: np.ndarray) -> Found:
+    order = np.argsort(boxes, kind="stable")
+    end = float(reach_of(kth, bound)) if np.isfinite(kth) else np.inf
+    read, many, verified = 0, FIRST_LEAVES, 0
+    wait_rows, wait_gaps = np.empty(0, np.int64), np.empty(0)
+    best_at, best = np.empty(0, np.int64), np.empty(0)
+    while True:
+        if read < len(order) and boxes[order[read]] <= end:
+            some = order[read : read + many]
+            some = some[boxes[some] <= end]
+            rows = np.concatenate([np.arange(a, b) for a, b in tree.spans[some]])
+            gaps = ((points[rows] - at) ** 2).sum(1)
+            wait_rows, wait_gaps = np.concatenate([wait_rows, rows]), np.concatenate([wait_gaps, gaps])
+            by = np.argsort(wait_gaps, kind="stable")
+            wait_rows, wait_gaps = wait_rows[by], wait_gaps[by]
+            read, many = read + len(some), 2 * many
+        ahead = boxes[order[read]] if read < len(order) else np.inf
+        done = 0
+        while done < len(wait_rows) and wait_gaps[done] <= end and (wait_gaps[done] <= ahead or len(best) < k or ahead > end):
+            step = min(STEP, max(1, int(np.searchsorted(wait_gaps[done:], end, "right"))))
+            rows = wait_rows[done : done + step]
+            done, verified = done + len(rows), verified + len(rows)
+            rows = rows[ids[rows] != own]
+            best_at, best = np.concatenate([best_at, rows]), np.concatenate([best, vectors[rows] @ query])
+            if len(best) > k:
+                top = np.lexsort((ids[best_at], -units_of(best)))[:k]
+                best_at, best = best_at[top], best[top]
+            if len(best) >= k:
+                end = min(end, float(reach_of(best.min(), bound)))
+        wait_rows, wait_gaps = wait_rows[done:], wait_gaps[done:]
+        if (read >= len(order) or boxes[order[read]] > end) and (not len(wait_rows) or wait_gaps[0] > end):
             top = np.lexsort((ids[best_at], -units_of(best)))[:k]
-            yield q, best_at[top], best[top], done
+            return Found(best_at[top], best[top], verified, read)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -247,12 +256,12 @@ def _search_block(k: int, sure: float):
             tree = Tree.__new__(Tree)
             tree.low, tree.high, tree.spans = read("low").reshape(-1, dims), read("high").reshape(-1, dims), read("spans", np.int64).reshape(-1, 2)
             units, own = _units(queries.v), queries.id.to_numpy()
-            for q, at, score, many in search(tree, vectors, ids, points, units, units @ projection(width), own, queries.kth.to_numpy(float), k, chi_square_bound(sure, dims)):
-                out["query_id"] += [own[q]] * len(at)
-                out["vec_id"] += ids[at].tolist()
-                out["score"] += score.tolist()
-                out["units"] += units_of(score).astype(np.int64).tolist()
-                out["verified"] += [many] * len(at)
+            for q, one in search(tree, vectors, ids, points, units, units @ projection(width), own, queries.kth.to_numpy(float), k, chi_square_bound(sure, dims)):
+                out["query_id"] += [own[q]] * len(one.rows)
+                out["vec_id"] += ids[one.rows].tolist()
+                out["score"] += one.scores.tolist()
+                out["units"] += units_of(one.scores).astype(np.int64).tolist()
+                out["verified"] += [one.verified] * len(one.rows)
         return pd.DataFrame(out)
 
     return run

@@ -54,7 +54,7 @@ def found_in(x, ids, asked, k=5, sure=ann.SURE, kth=-math.inf):
     points = x @ ann.projection(x.shape[1])
     tree = ann.Tree(points)
     got = ann.search(tree, x[tree.order], ids[tree.order], points[tree.order], x[asked], points[asked], ids[asked], np.full(len(asked), kth), k, ann.chi_square_bound(sure, points.shape[1]))
-    return {q: (ids[tree.order][at].tolist(), score, many) for q, at, score, many in got}
+    return {q: (ids[tree.order][one.rows].tolist(), one.scores, one.verified, one.leaves / len(tree.spans)) for q, one in got}
 
 
 def test_ties_are_cut_by_id():
@@ -62,14 +62,14 @@ def test_ties_are_cut_by_id():
     x = rng.normal(size=(600, 16))
     x[:500] = x[0]
     ids = rng.permutation(600)
-    at, score, _ = found_in(x, ids, np.array([0]))[0]
+    at, score, *_ = found_in(x, ids, np.array([0]))[0]
     assert at == [i for i in sorted(ids[:500].tolist()) if i != ids[0]][:5]
     assert np.allclose(score, 1)
 
 
 def test_fewer_are_verified_the_more_there_are():
-    """Directions without any structure, where nothing but the stopping test can prune."""
-    shares = []
+    """Directions without any structure, where the stopping test prunes and boxes of many dimensions hardly do."""
+    shares, leaves = [], []
     for n in (2_000, 8_000, 32_000):
         x = np.random.default_rng(n).normal(size=(n, 64))
         u = x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -81,8 +81,14 @@ def test_fewer_are_verified_the_more_there_are():
             s[a] = -9
             hits += len(set(np.argsort(-s)[:5].tolist()) & set(got[q][0]))
         shares.append(np.mean([got[q][2] for q in got]) / n)
-        print(f"{n} vectors: {shares[-1]:.3f} verified, recall {hits / 5 / len(asked):.3f}")
+        leaves.append(np.mean([got[q][3] for q in got]))
+        print(f"{n} vectors: {shares[-1]:.3f} verified, {leaves[-1]:.3f} of the leaves read, recall {hits / 5 / len(asked):.3f}")
         assert hits / 5 / len(asked) >= 0.9
+    # of fewer dimensions boxes leave out most
+    x = np.random.default_rng(1).normal(size=(32_000, 16))
+    low = np.mean([one[3] for one in found_in(x, np.arange(32_000), np.arange(0, 32_000, 400)).values()])
+    print(f"16 components: {low:.3f} of the leaves read")
+    assert low < 0.8
     assert shares[0] < 0.4 and shares == sorted(shares, reverse=True) and shares[2] < 0.7 * shares[0]
 
 
@@ -90,11 +96,36 @@ def test_clusters_are_pruned_by_boxes():
     rng = np.random.default_rng(6)
     centres = rng.normal(size=(40, 32))
     x = centres[np.arange(8000) % 40] + 0.05 * rng.normal(size=(8000, 32))
-    assert max(many for _, _, many in found_in(x, np.arange(8000), np.arange(0, 8000, 200)).values()) <= ann.FIRST
+    asked = np.arange(0, 8000, 200)
+    got = found_in(x, np.arange(8000), asked)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q, a in enumerate(asked):
+        s = u @ u[a]
+        s[a] = -9
+        hits += len(set(np.argsort(-s)[:5].tolist()) & set(got[q][0]))
+    print(f"clusters: {np.mean([x[2] for x in got.values()]):.0f} of 8000 verified, {np.mean([x[3] for x in got.values()]):.3f} of the leaves read, recall {hits / 5 / len(asked):.3f}")
+    assert hits / 5 / len(asked) >= 0.9
+    assert max(x[2] for x in got.values()) <= 512 and np.mean([x[3] for x in got.values()]) < 0.2
     # what is known from elsewhere is a bound too
     assert not found_in(-x, np.arange(8000), np.array([3]), kth=1.0)[0][2] > 5
 
 
+def test_one_leaf_and_many_give_the_same():
+    """Leaves decide what is read, not what is found, but for what the test lets go."""
+    x = np.random.default_rng(12).normal(size=(3000, 12))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    points = u @ ann.projection(12)
+    asked = np.arange(0, 3000, 50)
+    found = []
+    for leaf in (3000, 16):
+        tree = ann.Tree(points, leaf)
+        o = tree.order
+        found.append({q: (set(o[one.rows].tolist()), one.leaves / len(tree.spans)) for q, one in ann.search(tree, u[o], o, points[o], u[asked], points[asked], asked, np.full(len(asked), -math.inf), 5, ann.chi_square_bound(0.9999, points.shape[1]))})
+    assert all(found[0][q][0] == found[1][q][0] for q in found[0])
+    assert np.mean([x for _, x in found[1].values()]) < 1
+
+
 def test_widths_do_not_mix(spark):
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(1000 + i, rng.normal(size=5).tolist()) for i in range(60)] + [(2000, [1.0])]
