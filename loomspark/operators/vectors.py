@@ -62,7 +62,10 @@ def cosine_top_k(queries: DataFrame, vectors: DataFrame, k: int, threshold: floa
                     some = some[np.lexsort((ids[some], -row[some]))[:k]]
                     yield pd.DataFrame({"query_id": own, "id": ids[some], "score": row[some]})
 
-    found = q.join(v, "width").mapInPandas(best, "query_id long, id long, score double")
+    # each query block meets the vector blocks of its width one by one, so that the pairs are dealt by vector block
+    many = v.groupBy("width").agg(F.max("v").alias("last"))
+    pairs = q.join(F.broadcast(many), "width").withColumn("v", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
+    found = pairs.join(v, ["width", "v"]).mapInPandas(best, "query_id long, id long, score double")
     order = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("r"), "id", "score")))
     top = found.groupBy("query_id").agg(F.slice(order, 1, k).alias("x")).select("query_id", F.posexplode("x").alias("i", "x"))
     return top.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("x.id").alias(id_col), "x.score")

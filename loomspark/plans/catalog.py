@@ -421,14 +421,15 @@ def q_chunk_lookup(spark: SparkSession, at: str) -> DataFrame:
 
 
 def q_graph_context(spark: SparkSession, at: str) -> DataFrame:
-    """Contexts from the stored form of the graph: its entities are those that are derived from the chunks."""
+    """Contexts from the stored form of the graph, whole: its entities are those that are derived from the chunks, its relations have
+    the direction in which a document has them first."""
     chunks = _chunks(spark, at)
     short = settled(graph.extracted(chunks))
     nodes, edges = graph.node_table(graph.mentions(short)), graph.edge_table(graph.extracted_relations(short))
     rows = context.graph_contexts(chunks, settled(nodes), settled(edges))
     part = F.regexp_extract("prompt_context", r"(?s)^(【相关实体信息】.*?)(?:\n\n【|$)", 1)
     names = F.filter(F.split(F.regexp_replace(part, "(?m)^- 实体 (.*?)（类型：.*$", "$1"), "\n"), lambda x: ~x.startswith("【") & (x != ""))
-    return rows.select("doc_id", "chunk_index", F.array_join(names, "|").alias("entities"), F.md5(part.cast("binary")).alias("entities_md5"))
+    return rows.select("doc_id", "chunk_index", F.array_join(names, "|").alias("entities"), F.md5(part.cast("binary")).alias("entities_md5"), _md5("prompt_context").alias("context_md5"), F.array_join("related_chunk_ids", "|").alias("chunk_ids"))
 
 
 def q_pipeline_e2e(spark: SparkSession, at: str) -> DataFrame:

@@ -268,7 +268,14 @@ SQL = {
     "q_event_counts": "SELECT strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
     "q_embedding_float": "SELECT vec_id, round(list_reduce(list_transform(embedding, lambda x: (x::FLOAT)::DOUBLE), lambda a, b: a + b), 6) AS total FROM embeddings",
     "q_chunk_lookup": f"WITH {CHUNKS}, texts AS (SELECT chunk_id, min(content) AS content FROM chunks GROUP BY chunk_id) SELECT doc_id, c.chunk_id, md5(t.content) AS content_md5 FROM chunks c JOIN texts t USING (chunk_id) WHERE chunk_index = 0",
-    "q_graph_context": f"""WITH {PAIRS}, {ENTITIES}, {RELATIONS},
-        e AS (SELECT doc_id, chunk_index, string_agg(name, '|' ORDER BY rank) AS names, string_agg({_ENTITY_LINE}, chr(10) ORDER BY rank) AS l FROM entities GROUP BY ALL)
-        SELECT c.doc_id, c.chunk_index, coalesce(e.names, '') AS entities, md5(coalesce('【相关实体信息】' || chr(10) || e.l, '')) AS entities_md5 FROM chunks c LEFT JOIN e USING (doc_id, chunk_index)""",
+    "q_graph_context": f"""WITH {PAIRS}, {ENTITIES}, {RELATIONS}, {RELATED}, {SNIPPETS},
+        directed AS (SELECT doc_id, a, b, min((chunk_index, pos, source, target)) AS d FROM relations GROUP BY doc_id, a, b),
+        stored AS (SELECT s.doc_id, s.chunk_index, s.rank, d[3] AS source, d[4] AS target FROM shown s JOIN directed d ON d.doc_id = s.doc_id AND d.a = least(s.source, s.target) AND d.b = greatest(s.source, s.target)),
+        e AS (SELECT doc_id, chunk_index, string_agg(name, '|' ORDER BY rank) AS names, string_agg({_ENTITY_LINE}, chr(10) ORDER BY rank) AS l FROM entities GROUP BY ALL),
+        r AS (SELECT doc_id, chunk_index, string_agg({_RELATION_LINE}, chr(10) ORDER BY rank) AS l FROM stored GROUP BY ALL),
+        s AS (SELECT doc_id, chunk_index, string_agg(line, chr(10) ORDER BY place) AS l FROM snippets GROUP BY ALL),
+        i AS (SELECT doc_id, chunk_index, string_agg(related_id, '|' ORDER BY place) AS l FROM related GROUP BY ALL)
+        SELECT c.doc_id, c.chunk_index, coalesce(e.names, '') AS entities, md5(coalesce('【相关实体信息】' || chr(10) || e.l, '')) AS entities_md5,
+          md5({_strip("concat_ws(chr(10) || chr(10), '【相关实体信息】' || chr(10) || e.l, '【相关关系信息】' || chr(10) || r.l, '【知识图谱片段】' || chr(10) || s.l)")}) AS context_md5, c.chunk_id || coalesce('|' || i.l, '') AS chunk_ids
+        FROM chunks c LEFT JOIN e USING (doc_id, chunk_index) LEFT JOIN r USING (doc_id, chunk_index) LEFT JOIN s USING (doc_id, chunk_index) LEFT JOIN i USING (doc_id, chunk_index)""",
 }
