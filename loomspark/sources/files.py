@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import named_files
+
 
 def text_documents(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """document_id, path and text of the .txt files, whole; blank files are left out. The id is the file's stem, or the name of
-    the directory ``document_id=`` that ``write_texts`` puts a document in."""
+    """document_id, path and text of the .txt files, whole; blank files are left out. The id is the file's stem, percent-decoded, or
+    the name of its directory ``document_id=``."""
     rows = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.txt").option("recursiveFileLookup", recursive).load(path)
     file = F.col("_metadata.file_path")
     named = F.url_decode(F.regexp_extract(file, r"/document_id=([^/]*)/[^/]*$", 1))
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    own = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # metadata say names as parts of a URI
+    stem = F.regexp_replace(own, r"\.[^.]*$", "")
+    for c in "/\x00._%":  # as ``write_texts`` says them
+        stem = F.replace(stem, F.lit(f"%{ord(c):02X}"), F.lit(c))
     out = rows.select(F.when(named != "", named).otherwise(stem).alias("document_id"), file.alias("path"), F.col("value").alias("text"))
     return out.where(F.regexp_replace("text", r"(?U)^\s+|\s+\z", "") != "")
 
@@ -74,18 +79,24 @@ STORES = {
 }
 
 
-def write_questions(records: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One directory of JSON lines per domain and source document; empty members are left out of the metadata."""
-    by = [c for c in ("domain", "source_document") if c in records.columns]
-    keep = records.withColumn("document", F.col("source_document"))
-    keep.write.mode(mode).partitionBy(*by).json(path)
+def _folder(rows: DataFrame, *names: str) -> list:
+    """The folders of a file, those of ``names`` that ``rows`` has: domains by name, parts (sub-folders) as they are."""
+    return [F.concat(named_files.file_name(F.col(c)) if c != "part" else F.col(c), F.lit("/")) for c in names if c in rows.columns]
+
+
+def write_questions(records: DataFrame, path: str) -> None:
+    """JSON lines, a file ``{document}_questions.jsonl`` for each source document, below its domain where it has one; empty members
+    are left out. A file that is there is replaced as a whole; those of other documents stay."""
+    own = [c for c in records.columns if c != "domain"]
+    file = F.concat(*_folder(records, "domain"), named_files.file_name(F.col("source_document")), F.lit("_questions.jsonl"))
+    line = F.concat(F.to_json(F.struct(*own)), F.lit("\n"))
+    named_files.write_files(records, path, file, line, [F.col(c) for c in ("question_index", "source_chunk_id", "content") if c in own])
 
 
-def write_texts(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Texts as files, one document in each directory ``document_id=``, below its domain and sub-directory where it has them, for
-    ``text_documents`` to read."""
-    by = [c for c in ("domain", "part", "document_id") if c in documents.columns]
-    documents.select(*by, F.col("text").alias("value")).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).text(path)
+def write_texts(documents: DataFrame, path: str) -> None:
+    """Texts as files ``{document_id}.txt``, below their domain and sub-directory where they have them."""
+    file = F.concat(*_folder(documents, "domain", "part"), named_files.file_name(F.col("document_id")), F.lit(".txt"))
+    named_files.write_files(documents, path, file, F.coalesce("text", F.lit("")))
 
 
 def write_images(images: DataFrame, path: str, mode: str = "overwrite") -> None:

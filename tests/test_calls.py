@@ -246,6 +246,6 @@ def test_models_from_the_command_line(spark, tmp_path, monkeypatch):
     graph = str(tmp_path / "working/graph")
     assert {r.entity_id for r in store.stored(spark, graph, "nodes").collect()} == {"Lathe", "Drill"}
     assert {r.id for r in embedding.vectors(spark, graph, "relation").collect()} == {"Drill<SEP>Lathe"}
-    lines = [json.loads(x) for f in (tmp_path / "working/output").rglob("*.json") if "_answers" not in str(f) for x in f.read_text(encoding="utf-8").splitlines()]
+    lines = [json.loads(x) for f in (tmp_path / "working/output").rglob("*.jsonl") for x in f.read_text(encoding="utf-8").splitlines()]
     assert [x["content"] for x in lines] == ["Which parts does the lathe of the workshop turn today?"]
     assert cli.main([*args, "-s", "2", "-s", "3"]) == 0  # answers are kept where questions are written anew

@@ -42,7 +42,7 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     assert load_settings(None) == Settings() and load_settings("c.json").chunking.max_chunk_size == 100
     assert cli.main(["--list-domains"]) == 0 and "processed: d1" in capsys.readouterr().out
     assert cli.main(["-s", "2", "-s", "3", "-d", "d1"]) == 0
-    lines = [json.loads(x) for f in (tmp_path / "working/output/d1").rglob("*.json") for x in f.read_text(encoding="utf-8").splitlines()]
+    lines = [json.loads(x) for f in (tmp_path / "working/output/d1").rglob("*.jsonl") for x in f.read_text(encoding="utf-8").splitlines()]
     assert lines and all({"question_id", "content", "metadata", "created_at"} <= set(x) for x in lines)
     assert spark.read.parquet(str(tmp_path / "working/graph/d1/nodes")).count() >= 2
     assert cli.main(["-s", "3", "-i", "nowhere"]) == 1
@@ -172,7 +172,7 @@ def test_three_steps(spark, tmp_path, monkeypatch, capsys):
     texts = {r.document_id: r.text for r in files.text_documents(spark, str(tmp_path / "working/processed")).collect()}
     assert set(texts) == {"one", "two", "three"} and f"{line}, says one" in texts["one"] and "| k |" in texts["one"] and "an image text" in texts["one"]
     assert store.stored(spark, str(tmp_path / "working/graph"), "doc_status").count() == 3
-    questions = lambda: [json.loads(x) for f in (tmp_path / "working/output").rglob("*.json") for x in f.read_text(encoding="utf-8").splitlines()]
+    questions = lambda: [json.loads(x) for f in (tmp_path / "working/output").rglob("*.jsonl") for x in f.read_text(encoding="utf-8").splitlines()]
     first = questions()
     assert {q["document"] if "document" in q else q.get("source_document") for q in first} and any(q["metadata"].get("knowledge_context_used") for q in first)
     # again: nothing is added twice; a domain by name is found where the first step wrote it
@@ -191,6 +191,34 @@ def test_three_steps(spark, tmp_path, monkeypatch, capsys):
     assert [r.document_id for r in files.text_documents(spark, str(tmp_path / "up")).collect()] == ["UP"]
 
 
+def test_files_have_their_names(spark, tmp_path):
+    at = tmp_path / "out"
+    rows = [("d1", "one.v2", 2, "second"), ("d1", "one.v2", 1, "first 日"), ("d2", "a/b", 1, "x"), ("d2", ".hidden", 1, "y"), ("d1", "100%", 1, None)]
+    records = spark.createDataFrame(rows, "domain string, source_document string, question_index int, content string").repartition(4)
+    files.write_questions(records, str(at))
+    found = {str(f.relative_to(at)): [json.loads(x) for x in f.read_text(encoding="utf-8").splitlines()] for f in at.rglob("*") if f.is_file()}
+    assert set(found) == {"d1/one.v2_questions.jsonl", "d2/a%2Fb_questions.jsonl", "d2/%2Ehidden_questions.jsonl", "d1/100%25_questions.jsonl"}
+    assert found["d1/one.v2_questions.jsonl"] == [{"source_document": "one.v2", "question_index": 1, "content": "first 日"}, {"source_document": "one.v2", "question_index": 2, "content": "second"}]
+    assert found["d1/100%25_questions.jsonl"] == [{"source_document": "100%", "question_index": 1}]
+    files.write_questions(records.where("source_document = 'a/b'").withColumn("content", F.lit("new")), str(at))
+    assert json.loads((at / "d2/a%2Fb_questions.jsonl").read_text())["content"] == "new" and (at / "d1/one.v2_questions.jsonl").exists()
+    texts = spark.createDataFrame([("d", "a.b", "text\nof it "), ("d", "x/y_%", "other"), ("d", "_z", "third"), ("d", "数控 a+b", "fourth")], "domain string, document_id string, text string")
+    files.write_texts(texts, str(tmp_path / "texts"))
+    assert {(r.document_id, r.text) for r in files.text_documents(spark, str(tmp_path / "texts")).collect()} == {("a.b", "text\nof it "), ("x/y_%", "other"), ("_z", "third"), ("数控 a+b", "fourth")}
+
+
+def test_a_job_that_fails_leaves_no_files(spark, tmp_path):
+    at = tmp_path / "out"
+    bad = F.when(F.col("id") == 77, F.raise_error(F.lit("no"))).otherwise(F.lit("x"))
+    rows = spark.range(100).select(F.concat(F.lit("f"), (F.col("id") % 10).cast("string")).alias("source_document"), F.col("id").alias("question_index"), bad.cast("string").alias("content"))
+    with pytest.raises(Exception, match="no"):
+        files.write_questions(rows, str(at))
+    assert not at.exists() or not [f for f in at.rglob("*") if f.is_file()]
+    files.write_questions(rows.where("id <> 77"), str(at))
+    assert len([f for f in at.rglob("*") if f.is_file()]) == 10 and not (at / "_temporary").exists()
+    assert sum(len(f.read_text().splitlines()) for f in at.rglob("*.jsonl")) == 99
+
+
 def test_tokenizer_by_config(spark, caplog):
     docs = spark.createDataFrame([("a", "one two three four five six"), ("b", " ")], "doc_id string, text string")
     c = Chunking(chunk_token_size=4, chunk_overlap_token_size=1, max_chunk_size=10, overlap_size=2)
