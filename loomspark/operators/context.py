@@ -6,7 +6,7 @@ group limits below the exchange.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,6 +22,34 @@ def _capped(rows: DataFrame, order: list, most: int, by: list[str] = KEY, name:
     return rows.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col(name) <= most)
 
 
+def words(text: Column) -> Column:
+    """Tokens of a line: words between white space."""
+    return F.size(F.filter(F.split(text, r"\s+"), lambda x: x != "")).cast("long")
+
+
+def budgeted(rows: DataFrame, by: list[str], order: list[str], budgets: dict[int, int], total: int, section: str = "kind", tokens: str = "tokens") -> DataFrame:
+    """The first ``rows`` of each section in ``order`` whose tokens together are within its budget, for each key ``by``.
+
+    Sections come in the order of their numbers. What one leaves of its budget is the next one's too, none goes beyond what is left of
+    ``total``, and sections without a budget share that. The first row that doesn't fit ends its section. All sums run in windows
+    of the key, so that rows are exchanged once."""
+    own = W.partitionBy(*by, section).orderBy(*order)
+    rows = rows.withColumn("_sum", F.sum(tokens).over(own))
+    used, left = F.lit(0).cast("long"), F.lit(0).cast("long")
+    keep = F.lit(False)
+    numbers = sorted(budgets)
+    for k in numbers:
+        allowed = F.least(F.lit(budgets[k]) + left, F.lit(total) - used)
+        rows = rows.withColumn(f"_keep{k}", (F.col(section) == k) & (F.col("_sum") <= allowed))
+        rows = rows.withColumn(f"_used{k}", F.coalesce(F.sum(F.when(F.col(f"_keep{k}"), F.col(tokens))).over(W.partitionBy(*by)), F.lit(0)))
+        left = F.lit(budgets[k]) + left - F.col(f"_used{k}")
+        used = used + F.col(f"_used{k}")
+        keep = keep | F.col(f"_keep{k}")
+    rest = ~F.col(section).isin(numbers) & (F.sum(F.when(~F.col(section).isin(numbers), F.col(tokens)).otherwise(0)).over(W.partitionBy(*by).orderBy(section, *order)) <= F.lit(total) - used)
+    rows = rows.withColumn("_rest", rest)
+    return rows.where(keep | F.col("_rest")).drop("_sum", "_rest", *(f"_{x}{k}" for x in ("keep", "used") for k in numbers))
+
+
 def context_entities(found: DataFrame, most: int = 5) -> DataFrame:
     """doc_id, chunk_index, chunk_id, rank, name, line: the first ``most`` distinct entities of each chunk in graph order.
 
@@ -62,7 +90,7 @@ def snippets(related: DataFrame, chunks: DataFrame, most: int = 2, chars: int =
     return rows.select(*KEY, "place", "related_id", T.snippet_line(F.col("related_id"), short).alias("line"))
 
 
-def chunk_contexts(chunks: DataFrame, most_entities: int = 5, most_relations: int = 5, most_snippets: int = 2, snippet_chars: int = 200) -> DataFrame:
+def chunk_contexts(chunks: DataFrame, most_entities: int = 5, most_relations: int = 5, most_snippets: int = 2, snippet_chars: int = 200, tokens: tuple[int, int, int] | None = None) -> DataFrame:
     """doc_id, chunk_index, chunk_id, content, prompt_context, related_entities, related_chunk_ids of every chunk.
 
     Chunks are cut and their entities and snippets taken once, into a table of which everything else reads what it needs."""
@@ -70,10 +98,10 @@ def chunk_contexts(chunks: DataFrame, most_entities: int = 5, most_relations: in
     chunks = short = settled(with_entities.select(*KEY, "chunk_id", "content", "e", T.snippet(F.col("content"), snippet_chars).alias("snippet")))
     found, relations = graph.mentions(short), graph.extracted_relations(short)
     entities, pairs = settled(context_entities(found, most_entities)), context_relations(relations, most_relations)
-    return _assembled(chunks, entities, pairs, related_chunks(entities, found), short, most_snippets)
+    return _assembled(chunks, entities, pairs, related_chunks(entities, found), short, most_snippets, tokens)
 
 
-def graph_contexts(chunks: DataFrame, nodes: DataFrame, edges: DataFrame, most_entities: int = 5, most_relations: int = 5, most_snippets: int = 2, snippet_chars: int = 200) -> DataFrame:
+def graph_contexts(chunks: DataFrame, nodes: DataFrame, edges: DataFrame, most_entities: int = 5, most_relations: int = 5, most_snippets: int = 2, snippet_chars: int = 200, tokens: tuple[int, int, int] | None = None) -> DataFrame:
     """As ``chunk_contexts``, from a stored graph: ``nodes`` (entity_id or entity_name or id, entity_type, description,
     source_id) and ``edges`` (source, target, description, keywords, source_id) that name the chunks they come from. Records are
     in the order of first_chunk and first_pos where the graph has these, then of names. Chunks that the graph doesn't know
@@ -103,18 +131,20 @@ def graph_contexts(chunks: DataFrame, nodes: DataFrame, edges: DataFrame, most_e
         short = related.where(F.col("place") <= most_snippets).select("doc_id", "related_id").distinct().join(texts, F.col("related_id") == F.col("chunk_id")).select("doc_id", "chunk_id", "snippet")
     else:
         short = own
-    return _assembled(chunks, entities, pairs, related, short, most_snippets)
+    return _assembled(chunks, entities, pairs, related, short, most_snippets, tokens)
 
 
-def _assembled(chunks: DataFrame, entities: DataFrame, pairs: DataFrame, related: DataFrame, short: DataFrame, most_snippets: int) -> DataFrame:
+def _assembled(chunks: DataFrame, entities: DataFrame, pairs: DataFrame, related: DataFrame, short: DataFrame, most_snippets: int, tokens: tuple[int, int, int] | None = None) -> DataFrame:
     """The context of each chunk from its entities, relations, related chunks and their snippets: all their lines are gathered
-    by chunk at once."""
+    by chunk at once. ``tokens`` are the budgets of entities, of relations, and of all lines together."""
     related = settled(related)
     none = F.array().cast("array<string>")
     lines = lambda rows, kind, at, line, names: rows.select(*KEY, F.lit(kind).alias("kind"), F.col(at).alias("at"), F.col(line).alias("line"), names.alias("names"))
     rows = lines(entities, 0, "rank", "line", F.array("name"))
     rows = rows.unionByName(lines(pairs, 1, "rank", "line", F.array("source", "target")))
     rows = rows.unionByName(lines(snippets(related, short, most_snippets), 2, "place", "line", none))
+    if tokens:
+        rows = budgeted(rows.withColumn("tokens", words(F.col("line"))), KEY, ["at"], {0: tokens[0], 1: tokens[1]}, tokens[2]).drop("tokens")
     rows = rows.unionByName(lines(related, 3, "place", "related_id", none))
     gathered = rows.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("kind", "at", "line", "names"))).alias("x"))
     full = chunks.select(*KEY, "chunk_id", "content").join(gathered, KEY, "left").withColumn("x", F.coalesce("x", F.array().cast(gathered.schema["x"].dataType)))

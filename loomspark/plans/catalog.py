@@ -206,6 +206,12 @@ def q_prompt_context(spark: SparkSession, at: str) -> DataFrame:
     return rows.select("doc_id", "chunk_index", _md5("prompt_context").alias("context_md5"), F.array_join("related_entities", "|").alias("entities"), F.array_join("related_chunk_ids", "|").alias("chunk_ids"))
 
 
+def q_token_budget(spark: SparkSession, at: str) -> DataFrame:
+    """Lines of documents as three sections, cut at their budgets of words: 40, 30 and what is left of 100."""
+    rows = _lines(spark, at).select("doc_id", "rn", (F.col("rn") % 3).cast("int").alias("kind"), context.words(F.col("content")).alias("tokens"))
+    return context.budgeted(rows, ["doc_id"], ["rn"], {0: 40, 1: 30}, 100).select("doc_id", "rn", "kind", "tokens")
+
+
 def q_render_prompt(spark: SparkSession, at: str) -> DataFrame:
     rows = prompts.chunk_prompts(_chunks(spark, at).withColumn("prompt_context", F.concat(F.lit("at "), F.col("chunk_index").cast("string"))), "Ask {questions_per_chunk} about {document_id}: {text} [{prompt_context}]", "You ask questions.", 10)
     return rows.select("doc_id", "chunk_index", F.length("prompt").alias("n_chars"), _md5("prompt").alias("prompt_md5"))

@@ -256,6 +256,11 @@ SQL = {
     "q_record_edges": f"WITH {PAIRS} SELECT doc_id, min((chunk_index, pos, source, target))[3] AS source, min((chunk_index, pos, source, target))[4] AS target, 2.0::DOUBLE * count(*) AS weight, md5(string_agg(DISTINCT source || ' beside ' || target, '<SEP>' ORDER BY source || ' beside ' || target)) AS description_md5, 'near' AS keywords, md5(array_to_string(list_transform(list_sort(list_distinct(list((chunk_index, chunk_id)))), lambda x: x[2]), '<SEP>')) AS sources_md5, min((chunk_index, pos, source, target))[1] AS first_chunk FROM relations GROUP BY doc_id, a, b",
     "q_bad_records": f"WITH {CHUNKS} SELECT doc_id, unnest(['members', 'weight']) AS reason, count(*) AS n FROM chunks GROUP BY doc_id",
     "q_vector_store": f"WITH {CHUNKS}, t AS (SELECT chunk_id, min(content) AS content, bool_or(doc_id % 2 = 0) AS early FROM chunks GROUP BY chunk_id) SELECT count(*) AS n_chunks, 8 * count(*) AS n_values, (SELECT count(DISTINCT content) FROM t WHERE early) AS embedded_1, count(DISTINCT content) - (SELECT count(DISTINCT content) FROM t WHERE early) AS embedded_2, 0::BIGINT AS embedded_3 FROM t",
+    "q_token_budget": f"""WITH {LINES}, l AS (SELECT doc_id, rn, (rn % 3)::INT AS kind, len(list_filter(regexp_split_to_array(content, '\\s+'), lambda x: x <> ''))::BIGINT AS tokens FROM lines),
+        c AS (SELECT *, sum(tokens) OVER (PARTITION BY doc_id, kind ORDER BY rn) AS cum FROM l),
+        a AS (SELECT doc_id, coalesce(sum(tokens) FILTER (kind = 0 AND cum <= 40), 0) AS used FROM c GROUP BY doc_id),
+        b AS (SELECT c.doc_id, a.used, coalesce(sum(tokens) FILTER (kind = 1 AND cum <= 70 - a.used), 0) AS more FROM c JOIN a USING (doc_id) GROUP BY c.doc_id, a.used)
+        SELECT doc_id, rn, kind, tokens FROM c JOIN b USING (doc_id) WHERE kind = 0 AND cum <= 40 OR kind = 1 AND cum <= 70 - used OR kind = 2 AND cum <= 100 - used - more""",
     "q_html_tables": """SELECT page_id, length(t) AS n_chars, md5(t) AS text_md5 FROM (SELECT page_id, html || chr(10) || chr(10) || '| key | address |' || chr(10) || '|---|---|' || chr(10) || '| ' || page_id || ' | ' || trim(regexp_replace(url, '\\s+', ' ', 'g')) || ' |' || chr(10) || '| last |  |' || chr(10) || chr(10) || 'y' AS t FROM pages)""",
     "q_concat_pages": "SELECT page_id % 10 AS document, count(*) AS pages, md5(coalesce(string_agg(x, chr(10) || chr(10) ORDER BY page_id) FILTER (x <> ''), '')) AS text_md5 FROM (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN '' ELSE html END AS x FROM pages) GROUP BY page_id % 10",
     "q_layout_tables": "SELECT page_id, CASE WHEN page_id % 4 < 3 THEN 2 ELSE 1 END AS n, CASE page_id % 4 WHEN 0 THEN html || '|' || url WHEN 1 THEN url || '|' || url WHEN 2 THEN 'c' || url || '|' || url ELSE url END AS tables FROM pages",

@@ -210,6 +210,28 @@ def test_pairs_against_all_pairs(spark, threshold):
     assert {(r.doc, r.rn, r.earlier) for r in got} == want and len(got) == len(want)
 
 
+def test_budgets_pass_on_what_is_left(spark):
+    rng = random.Random(4)
+    rows = [(k, kind, at, rng.randint(1, 9)) for k in range(30) for kind in range(4) for at in range(rng.randint(0, 6))]
+    budgets, total = {0: 12, 1: 10}, 34
+    want = set()
+    for key in range(30):
+        left = used = 0
+        for kinds in ((0,), (1,), (2, 3)):
+            budget = budgets.get(kinds[0], total)
+            allowed = min(budget + left, total - used)
+            spent = 0
+            for k, kind, at, n in sorted(r for r in rows if r[0] == key and r[1] in kinds):
+                if spent + n > allowed:
+                    break
+                spent += n
+                want.add((k, kind, at))
+            left, used = budget + left - spent, used + spent
+    df = spark.createDataFrame(rows, "k int, kind int, at int, tokens long").repartition(3)
+    got = context.budgeted(df, ["k"], ["at"], budgets, total)
+    assert got.columns == df.columns and {(r.k, r.kind, r.at) for r in got.collect()} == want
+
+
 @st.composite
 def grids(draw):
     """(html, texts by row and column): cells that span rows and columns of a grid, with and without their end tags."""
