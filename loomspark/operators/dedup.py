@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as T
-from loomspark.sources.tables import discard, once, settled
+from loomspark.sources.tables import discard, members, once, settled
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -37,7 +37,7 @@ def _parted(signed: DataFrame, key: str, threshold: float) -> DataFrame:
     a band are counted by key and band, and only these counts, a few a key, are looked at key by key."""
     step = -math.log(threshold - 1e-9)
     near = W.partitionBy(key).orderBy("band")
-    rows = signed.select(key, "rn", "n", "sig", "g", F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("band"))
+    rows = signed.select(key, "rn", "n", "sig", F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("band"))
     beside = {"own": (0, 0), "above": (1, 1), "below": (-1, -1)}
     counts = rows.groupBy(key, "band").agg(F.count("*").alias("size")).withColumns({name: F.coalesce(F.sum("size").over(near.rangeBetween(*frame)), F.lit(0)) for name, frame in beside.items()})
     counts = settled(counts.where("own > 1 OR above > 0 OR below > 0").select(F.col(key).alias("_key"), F.col("band").alias("_band"), "own", "above", "below"))
@@ -46,14 +46,19 @@ def _parted(signed: DataFrame, key: str, threshold: float) -> DataFrame:
     one = lambda label, upper, many: F.struct(label.alias("label"), F.lit(upper).alias("upper"), many.alias("many"))
     lower, upper = one(F.col("band"), False, F.col("own") + F.col("above")), one(F.col("band") - 1, True, F.col("own") + F.col("below"))
     labels = F.array_compact(F.array(F.when((F.col("own") > 1) | (F.col("above") > 0), lower), F.when(F.col("below") > 0, upper)))
-    rows = rows.select(key, "rn", "n", "sig", "g", F.explode(labels).alias("l"))
-    parts = (F.floor((1 - threshold) / (1 + threshold) * (most(F.col("l.label")) + most(F.col("l.label") + 1)) + 1e-6) + 1).cast("long")
-    rows = rows.select(key, "rn", "n", "sig", "g", "l.label", "l.upper", F.when(F.col("l.many") > FEW, parts).otherwise(0).cast("long").alias("parts"))
+    placed = settled(rows.select(key, "rn", "n", "sig", F.explode(labels).alias("l")).select(key, "rn", "n", "sig", "l.label", "l.upper", "l.many"))
+    # one part without any bigram; or as many as the label asks for, for which alone bigrams are read again
+    whole = placed.where(F.col("many") <= FEW).select(key, "rn", "n", "sig", "label", "upper", F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("part_hash"))
+    parts = (F.floor((1 - threshold) / (1 + threshold) * (most(F.col("label")) + most(F.col("label") + 1)) + 1e-6) + 1).cast("long")
+    crowded = placed.where(F.col("many") > FEW)
+    if crowded.isEmpty():
+        return whole
+    near = members(signed, settled(crowded.select(key, "rn").distinct()), [key, "rn"])
+    dealt = crowded.withColumn("parts", parts).join(near.select(key, "rn", "g"), [key, "rn"])
     # a part without a bigram is a part too
     each = F.concat(F.transform("g", lambda x: F.struct(F.pmod(F.xxhash64(x), F.col("parts")).alias("part"), F.xxhash64(x).alias("h"))), F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda i: F.struct(i.alias("part"), F.lit(0).cast("long").alias("h"))))
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("h")))
-    dealt = rows.select(key, "rn", "n", "sig", "label", "upper", F.explode(F.when(F.col("parts") > 0, each).otherwise(whole)).alias("x"))
-    return dealt.groupBy(key, "rn", "n", "sig", "label", "upper", F.col("x.part").alias("part")).agg(F.bit_xor(F.col("x.h")).alias("part_hash"))
+    dealt = dealt.select(key, "rn", "n", "sig", "label", "upper", F.explode(each).alias("x"))
+    return whole.unionByName(dealt.groupBy(key, "rn", "n", "sig", "label", "upper", F.col("x.part").alias("part")).agg(F.bit_xor(F.col("x.h")).alias("part_hash")))
 
 
 def similar_pairs(rows: DataFrame, key: str, threshold: float) -> DataFrame:
@@ -72,10 +77,13 @@ def similar_pairs(rows: DataFrame, key: str, threshold: float) -> DataFrame:
     apart, total = F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig"))), F.col("a_n") + F.col("b_n")
     may = (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n") - 1e-9) & (apart * (1 + threshold) <= total * (1 - threshold) + 1e-9)
     met = a.hint("merge").join(b, [key, "label", "part", "part_hash"]).where((F.col("a_rn") < F.col("b_rn")) & ~(F.col("a_upper") & F.col("b_upper")) & may)
-    near = met.select(key, F.col("a_rn").alias("earlier"), F.col("b_rn").alias("rn")).distinct()
-    pairs = near.join(signed.select(key, "rn", F.col("g").alias("b_g")), [key, "rn"]).join(signed.select(key, F.col("rn").alias("earlier"), F.col("g").alias("a_g")), [key, "earlier"])
+    near = settled(met.select(key, F.col("a_rn").alias("earlier"), F.col("b_rn").alias("rn")).distinct())
+    some = settled(near.select(key, F.explode(F.array("rn", "earlier")).alias("rn")).distinct())
+    grams = settled(members(signed.select(key, "rn", "g"), some, [key, "rn"]))
+    pairs = near.join(grams.withColumnRenamed("g", "b_g"), [key, "rn"]).join(grams.select(key, F.col("rn").alias("earlier"), F.col("g").alias("a_g")), [key, "earlier"])
     out = settled(pairs.where(jaccard(F.col("a_g"), F.col("b_g")) >= threshold).select(key, "rn", "earlier"))
-    discard(signed)
+    for table in (signed, near, some, grams):
+        discard(table)
     return out
 
 

@@ -242,6 +242,15 @@ def test_chunks_of_stored_texts_share_ids(spark):
     assert chunking.char_chunks(df).select("chunk_id").distinct().count() == 1
 
 
+def test_members_are_never_left_out(spark, monkeypatch):
+    df = spark.range(20_000).select("id", (F.col("id") % 3).alias("k"))
+    keys = tables.settled(df.where("id % 100 = 7").select("k", "id"))
+    got = tables.members(df, keys, ["k", "id"])
+    assert got.join(keys, ["k", "id"]).count() == 200 and got.count() < 4000
+    monkeypatch.setattr(tables, "MOST_BITS", 6)
+    assert tables.members(df, keys, ["k", "id"]).join(keys, ["k", "id"]).count() == 200
+
+
 def test_small_tables_are_dealt_over_the_cores(spark, tmp_path, monkeypatch):
     spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
     got = tables.read_table(spark, str(tmp_path), "t")
