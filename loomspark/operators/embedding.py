@@ -12,18 +12,18 @@ from pyspark.sql import functions as F
 from loomspark.functions import models
 from loomspark.functions import text as T
 from loomspark.sources import store
-from loomspark.sources.tables import settled
+from loomspark.sources.tables import members, settled
 
 from . import graph
 
 
 def embedded_texts(spark: SparkSession, at: str, now: store.View) -> DataFrame | None:
-    """kind, id and text of what a store has vectors of: chunks, entities and relations over all documents, each once."""
+    """kind, id and text of what a store has vectors of: chunks, and entities and relations over all documents."""
     out = []
     chunks, nodes, edges = (store.stored(spark, at, t, now) for t in ("chunks", "nodes", "edges"))
     said = lambda c: F.array_join(F.array_sort(F.collect_set(c)), T.SOURCE_SEPARATOR)
     if chunks is not None:
-        out.append(chunks.groupBy(F.col("chunk_id").alias("id")).agg(F.min("content").alias("text")).select(F.lit("chunk").alias("kind"), "id", "text"))
+        out.append(chunks.select(F.lit("chunk").alias("kind"), F.col("chunk_id").alias("id"), F.col("content").alias("text")))
     if nodes is not None:
         out.append(nodes.groupBy(F.col("entity_id").alias("id")).agg(said("description").alias("d")).select(F.lit("entity").alias("kind"), "id", F.concat_ws("\n", "id", "d").alias("text")))
     if edges is not None:
@@ -51,17 +51,20 @@ def sync(spark: SparkSession, at: str, embedder: models.Embedder, dim: int, trie
         if rows is None:
             return 0
         hashed = rows.withColumn("hash", F.sha2(F.col("text").cast("binary"), 256))
+        # texts stay where they are: of rows that share an id (chunks by what they hold) the one with the least hash counts
+        light = hashed.groupBy("kind", "id").agg(F.min("hash").alias("hash"))
         refs = references(spark, at, now)
         if refs is not None:
-            hashed = hashed.join(refs, ["kind", "id", "hash"], "left_anti")
-        changed = settled(hashed)
+            light = light.join(refs, ["kind", "id", "hash"], "left_anti")
+        changed = settled(light)
         if changed.isEmpty():
             return 0
         batch = store.Batch(spark, at)
-        new = changed.groupBy("hash").agg(F.min("text").alias("text"))
+        new = changed.select("hash").distinct()
         have = store.stored(spark, at, "vectors", now)
         new = settled(new if have is None else new.join(have.select("hash"), "hash", "left_anti"))
-        made = batch.write("vectors", models.embed(new, embedder, dim, tries=tries).select("hash", "embedding"))
+        texts = members(hashed.select("hash", "text"), new, ["hash"]).join(new, "hash", "left_semi").dropDuplicates(["hash"])
+        made = batch.write("vectors", models.embed(texts, embedder, dim, tries=tries).select("hash", "embedding"))
         batch.write("vector_refs", changed.select("kind", "id", "hash", F.lit(now.version + 1).alias("version")))
         if store.commit(spark, at, batch, now):
             return made.count()
