@@ -364,6 +364,18 @@ def test_contexts_from_a_stored_graph(spark):
     assert got[(2, 0)].prompt_context == "" and got[(2, 0)].related_entities == []
 
 
+def test_a_text_that_a_document_holds_twice_has_its_relations_once(spark):
+    # two chunks of one id, the second of which comes after another chunk
+    text = lambda body: f"{body}".ljust(60)
+    docs = spark.createDataFrame([(1, text("GSK980 turns Spindle") + text("Lathe-Nine and GSK980 by Spindle") + text("GSK980 turns Spindle") + text("Spindle alone beside GSK980"))], "doc_id long, text string")
+    chunks = chunking.char_chunks(docs, 60, 0)
+    nodes, edges = graph.node_table(graph.mentions(chunks)), graph.edge_table(graph.extracted_relations(chunks))
+    got = {r.chunk_index: r for r in context.graph_contexts(chunks, nodes, edges).collect()}
+    assert got[0].chunk_id == got[2].chunk_id and got[0].prompt_context.count("GSK980 ↔ Spindle") == 1
+    want = {r.chunk_index: r for r in context.chunk_contexts(chunks).collect()}
+    assert all(got[i].related_chunk_ids == want[i].related_chunk_ids for i in want)
+
+
 def test_one_text_that_fails_does_not_fail_its_batch(spark):
     class Picky:
         def embed(self, texts):
