@@ -23,7 +23,9 @@ def embedded_texts(spark: SparkSession, at: str, now: store.View) -> DataFrame |
     chunks, nodes, edges = (store.stored(spark, at, t, now) for t in ("chunks", "nodes", "edges"))
     said = lambda c: F.array_join(F.array_sort(F.collect_set(c)), T.SOURCE_SEPARATOR)
     if chunks is not None:
-        out.append(chunks.select(F.lit("chunk").alias("kind"), F.col("chunk_id").alias("id"), F.col("content").alias("text")))
+        # of contents that share an id, as they differ in white space at their ends only, whichever a run finds first: the text is what the id is of
+        text = F.coalesce(T.filled(T.addressed(F.col("content"))), F.col("content"))
+        out.append(chunks.select(F.lit("chunk").alias("kind"), F.col("chunk_id").alias("id"), text.alias("text")))
     if nodes is not None:
         out.append(nodes.groupBy(F.col("entity_id").alias("id")).agg(said("description").alias("d")).select(F.lit("entity").alias("kind"), "id", F.concat_ws("\n", "id", "d").alias("text")))
     if edges is not None:
@@ -51,7 +53,7 @@ def sync(spark: SparkSession, at: str, embedder: models.Embedder, dim: int, trie
         if rows is None:
             return 0
         hashed = rows.withColumn("hash", F.sha2(F.col("text").cast("binary"), 256))
-        # texts stay where they are: of rows that share an id (chunks by what they hold) the one with the least hash counts
+        # texts stay where they are: of rows that share an id the one with the least hash counts
         light = hashed.groupBy("kind", "id").agg(F.min("hash").alias("hash"))
         refs = references(spark, at, now)
         if refs is not None:

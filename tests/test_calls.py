@@ -201,6 +201,17 @@ class Embedding:
         return [models.fallback_embedding(x, 4) for x in texts]
 
 
+def test_contents_of_one_id_are_embedded_once(spark, tmp_path):
+    spark.sparkContext.addPyFile(__file__)
+    log, at = str(tmp_path / "log"), str(tmp_path / "store")
+    os.mkdir(log)
+    for k in range(6):  # they differ in white space at their ends, so that their hashes come in any order
+        docs = spark.createDataFrame([(k, " " * k + "The same words of all of them" + "\n" * (k % 3))], "doc_id long, text string")
+        store.add(docs, at, chunking.char_chunks, with_graph=False)
+        assert embedding.sync(spark, at, Embedding(log), 4) == (0 if k else 1)
+    assert len(made(log)) == 1 and embedding.vectors(spark, at, "chunk").count() == 1
+
+
 def test_vectors_by_what_was_embedded(spark, tmp_path):
     spark.sparkContext.addPyFile(__file__)
     log, at = str(tmp_path / "log"), str(tmp_path / "store")
