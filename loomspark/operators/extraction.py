@@ -37,7 +37,13 @@ def extraction_prompts(chunks: DataFrame, entity_types: str, template: str = PRO
 
 def _member(x: Column) -> Column:
     """A member without white space and quotes around it."""
-    return T.strip(F.regexp_replace(T.strip(x), "^[\"']+|[\"']+$", ""))
+    return T.strip(F.btrim(T.strip(x), F.lit("\"'")))
+
+
+def _bare(x: Column) -> Column:
+    """A record without the parentheses around it."""
+    front = F.when(x.startswith("("), F.substring(x, 2, F.lit(1 << 30))).otherwise(x)
+    return F.when(front.endswith(")"), F.left(front, F.length(front) - 1)).otherwise(front)
 
 
 def parse_records(answers: DataFrame, response_col: str = "response") -> DataFrame:
@@ -46,13 +52,13 @@ def parse_records(answers: DataFrame, response_col: str = "response") -> DataFra
     text = F.split_part(T.clean_think(F.col(response_col)), F.lit(COMPLETE), F.lit(1))
     pieces = F.filter(F.split(text, r"##|\n"), lambda x: F.contains(x, F.lit(MEMBERS)))
     rows = answers.select("doc_id", "chunk_index", "chunk_id", F.posexplode(pieces).alias("pos", "raw"))
-    inner = F.regexp_replace(T.strip(F.col("raw")), r"^\(|\)$", "")
-    rows = once(rows, "m", F.transform(F.split(inner, r"<\|>"), _member))
+    rows = once(rows.withColumn("raw", T.strip(F.col("raw"))), "inner", _bare(F.col("raw"))).drop("raw")
+    rows = once(rows, "m", F.transform(F.split("inner", r"<\|>"), _member)).drop("inner")
     at = lambda k: F.get("m", k)
-    kind = F.lower(at(0))
-    entity, relation, n = kind == "entity", kind == "relationship", F.size("m")
-    weight = F.when(n > 5, at(5)).otherwise("1")
-    number = weight.try_cast("double")
+    # what several members ask for is made once, too
+    weight = F.when(F.size("m") > 5, at(5)).otherwise("1").try_cast("double")
+    rows = once(rows, "x", F.struct(F.lower(at(0)).alias("kind"), F.size("m").alias("n"), weight.alias("weight")))
+    entity, relation, n, number = F.col("x.kind") == "entity", F.col("x.kind") == "relationship", F.col("x.n"), F.col("x.weight")
     reason = (
         F.when(~entity & ~relation, "kind")
         .when(entity & (n != 4) | relation & ~n.between(5, 6), "members")
@@ -60,10 +66,11 @@ def parse_records(answers: DataFrame, response_col: str = "response") -> DataFra
         .when(relation & (at(1) == at(2)), "loop")
         .when(relation & (number.isNull() | F.isnan(number)), "weight")
     )
-    own = lambda x, when=F.lit(True): F.when(reason.isNull() & when, x)
+    rows = once(rows, "reason", reason)
+    own = lambda x, when=F.lit(True): F.when(F.col("reason").isNull() & when, x)
     return rows.select(
-        "doc_id", "chunk_index", "chunk_id", "pos", kind.alias("kind"), own(at(1)).alias("name"), own(at(2), relation).alias("target"),
-        own(F.lower(at(2)), entity).alias("type"), own(at(3)).alias("description"), own(at(4), relation).alias("keywords"), own(number, relation).alias("weight"), reason.alias("reason"),
+        "doc_id", "chunk_index", "chunk_id", "pos", F.col("x.kind").alias("kind"), own(at(1)).alias("name"), own(at(2), relation).alias("target"),
+        own(F.lower(at(2)), entity).alias("type"), own(at(3)).alias("description"), own(at(4), relation).alias("keywords"), own(number, relation).alias("weight"), "reason",
     )
 
 
@@ -90,21 +97,26 @@ def record_nodes(records: DataFrame) -> DataFrame:
     """Nodes as they are stored, one a document and name: the type that most records give it (of equals the least), descriptions
     each once; and the endpoints of edges that no record describes, of unknown type, with their edges' descriptions."""
     good = records.where("reason IS NULL")
-    ends = good.where("kind = 'relationship'").select("doc_id", "chunk_index", "chunk_id", "pos", "description", F.posexplode(F.array("name", "target")).alias("side", "name"))
-    ends = ends.select("doc_id", "chunk_index", "chunk_id", "pos", "name", F.lit(None).cast("string").alias("type"), "description")
-    both = good.where("kind = 'entity'").select(*ends.columns).unionByName(ends)
+    said = lambda name, kind: F.struct(F.col(name).alias("name"), kind.alias("type"), F.nullif("description", F.lit("")).alias("d"))
+    none = F.lit(None).cast("string")
+    each = F.when(F.col("kind") == "entity", F.array(said("name", F.col("type")))).otherwise(F.array(said("name", none), said("target", none)))
+    both = good.select("doc_id", "chunk_index", "chunk_id", "pos", F.explode(each).alias("x")).select("doc_id", "chunk_index", "chunk_id", "pos", "x.*")
+    # rows are exchanged once, for both steps: by type, and then over the types of a name, which are few
+    own = both.repartition("doc_id", "name").groupBy("doc_id", "name", "type").agg(
+        F.count("*").alias("n"), F.collect_set("d").alias("d"), F.collect_set(F.struct("chunk_index", "chunk_id")).alias("sources"), F.min(F.struct("chunk_index", "pos")).alias("first"),
+    )
     # an edge's description counts only where no record describes the node
     named = F.col("type").isNotNull()
-    types = both.where(named).groupBy("doc_id", "name", "type").agg((-F.count("*")).alias("n")).groupBy("doc_id", "name").agg(F.min(F.struct("n", "type"))["type"].alias("entity_type"))
-    own = both.groupBy("doc_id", "name").agg(
-        F.array_join(F.array_sort(F.collect_set(F.when(named, F.nullif("description", F.lit(""))))), T.SOURCE_SEPARATOR).alias("said"),
-        F.array_join(F.array_sort(F.collect_set(F.when(~named, F.nullif("description", F.lit(""))))), T.SOURCE_SEPARATOR).alias("of_edges"),
-        F.max(named).alias("named"), _sources().alias("source_id"), F.min(F.struct("chunk_index", "pos")).alias("first"),
+    own = own.groupBy("doc_id", "name").agg(
+        F.min(F.when(named, F.struct((-F.col("n")).alias("n"), "type")))["type"].alias("entity_type"), F.collect_list(F.when(named, F.col("d"))).alias("said"),
+        F.collect_list(F.when(~named, F.col("d"))).alias("of_edges"), F.collect_list("sources").alias("sources"), F.min("first").alias("first"),
     )
-    own = own.join(types, ["doc_id", "name"], "left")
+    each_once = lambda x: F.array_sort(F.array_distinct(F.flatten(x)))
+    about = each_once(F.when(F.col("entity_type").isNotNull(), F.col("said")).otherwise(F.col("of_edges")))
+    ids = F.transform(each_once(F.col("sources")), lambda x: x["chunk_id"])
     return own.select(
-        "doc_id", F.col("name").alias("entity_id"), F.coalesce("entity_type", F.lit(graph.UNKNOWN)).alias("entity_type"), F.when(F.col("named"), F.col("said")).otherwise(F.col("of_edges")).alias("description"),
-        "source_id", F.col("first.chunk_index").alias("first_chunk"), F.col("first.pos").alias("first_pos"),
+        "doc_id", F.col("name").alias("entity_id"), F.coalesce("entity_type", F.lit(graph.UNKNOWN)).alias("entity_type"), F.array_join(about, T.SOURCE_SEPARATOR).alias("description"),
+        F.array_join(ids, T.SOURCE_SEPARATOR).alias("source_id"), F.col("first.chunk_index").alias("first_chunk"), F.col("first.pos").alias("first_pos"),
     )
 
 
