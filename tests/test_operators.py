@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 
 from loomspark.functions import html_tables, models
 from loomspark.functions import text as T
-from loomspark.operators import chunking, context, dedup, graph, ingest, prompts, questions, vectors
+from loomspark.operators import chunking, context, dedup, extraction, graph, ingest, prompts, questions, vectors
+from loomspark.sources import tables
 
 
 def literal_dedup(rows, threshold):
@@ -391,3 +393,43 @@ def test_results_of_extractors():
     assert models.table_htmls([{"res": {"html": "a"}, "html": "b"}, {"html": "", "cell_html": "c"}, {}, "d", None]) == ["a", "c", "d"]
     assert models.table_htmls({"html": "x"}) == ["x"] and models.table_htmls(None) == []
     assert [models.markdown_of(x) for x in (None, "m", {"md": "", "text": "t"}, {"markdown": "k", "md": "l"}, {"z": 1})] == ["", "m", "t", "k", "{'z': 1}"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ends_are_stripped_without_a_pattern(spark):
+    df = spark.createDataFrame([(chr(i) + "a b" + chr(i),) for i in range(1, 0x10000) if not 0xD800 <= i < 0xE000], "x string")
+    assert "regexp" not in _plan(df.select(T.strip(F.col("x")).alias("y")))
+    assert df.where(T.strip(F.col("x")) != F.regexp_replace("x", r"(?U)^\s+|\s+\z", "")).count() == 0
+
+
+def test_nodes_of_records_are_made_without_a_join(spark):
+    said = '("entity"<|>a<|>T<|>d)##("relationship"<|>a<|>b<|>e<|>k<|>1)##("relationship"<|>c<|>b<|>f<|>k<|>1)##("entity"<|>a<|>U<|>)'
+    answers = spark.createDataFrame([(1, 0, "i", said), (1, 1, "j", '("entity"<|>a<|>u<|>d)')], "doc_id long, chunk_index int, chunk_id string, response string")
+    nodes = extraction.record_nodes(extraction.parse_records(answers))
+    assert "Join" not in _plan(nodes)
+    got = {r.entity_id: (r.entity_type, r.description, r.source_id, r.first_chunk, r.first_pos) for r in nodes.collect()}
+    assert got == {"a": ("u", "d", "i<SEP>j", 0, 0), "b": ("UNKNOWN", "e<SEP>f", "i", 0, 1), "c": ("UNKNOWN", "f", "i", 0, 2)}
+
+
+def test_bigrams_as_sets(spark):
+    texts = ["ab", "abab", "中文中文x", "\U0001f600\U0001f600a", "aaaa"]
+    numbers, starts, sigs = dedup._grams(texts)
+    for text, own, sig in zip(texts, np.split(numbers, starts[1:]), sigs, strict=True):
+        want = {(ord(a) << 21) + ord(b) for a, b in zip(text, text[1:], strict=False)}
+        assert len(own) == len(want) and set(own.tolist()) == want and bin(int(sig) & (2**64 - 1)).count("1") % 2 == len(want) % 2
+
+
+def test_tasks_are_as_many_as_the_input_asks_for(spark, tmp_path, monkeypatch):
+    spark.range(20_000).selectExpr("id doc_id", "0 chunk_index", "uuid() chunk_id", "uuid() name", "0 pos").write.parquet(str(tmp_path / "x"))
+    monkeypatch.setattr(tables, "DEALT", 1 << 16)
+    found = spark.read.parquet(str(tmp_path / "x"))
+    assert tables.shares(found) > 10 and "RepartitionByExpression [doc_id#" in _plan(context.context_entities(found)) and f", {tables.shares(found)}" in _plan(context.context_entities(found))
+
+
+def test_few_texts_with_tables_are_in_python_at_once(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    html_tables.render_tables(F.lit("x"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 512
