@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -6,9 +8,11 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from loomspark.config import Chunking, Settings
 from loomspark.functions import html_tables, models
 from loomspark.functions import text as T
 from loomspark.operators import chunking, context, dedup, extraction, graph, ingest, prompts, questions, vectors
+from loomspark.plans.pipeline import questions_of
 from loomspark.sources import tables
 
 
@@ -118,6 +122,45 @@ def test_graph_and_context(spark):
     assert merged.d == "a<SEP>b"
 
 
+def test_settled_tables_leave_no_exchanges(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    exchanges = lambda: set(re.findall(r"shuffle_\d+_\d+", disk.getAllBlocks().toString()))
+    before, df = exchanges(), spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    table, until = tables.settled(df), time.time() + 10
+    while exchanges() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not exchanges() - before
+    assert sorted(table.collect()) == sorted(df.collect())
+
+
+def test_questions_meet_their_context_after_deduplication(spark, monkeypatch):
+    texts = ["Alpha begins the first line here\nBeta has the second line\nGamma has a line\nAlpha and Beta close it", "Delta stands alone in this text\nno name\nnot one\nAlpha Zeta of another row"]
+    docs = spark.createDataFrame([(1, texts[0] * 3), (1, texts[1]), (2, texts[0]), (2, texts[0]), (None, texts[1])], "doc_id int, text string")
+    seen, dedupe = [], dedup.greedy_dedup
+    monkeypatch.setattr(dedup, "greedy_dedup", lambda rows, *how: seen.append(rows.columns) or dedupe(rows, *how))
+    records = questions_of(docs, Settings(chunking=Chunking(use_token_chunking=False, max_chunk_size=120, overlap_size=10)))
+    got = records.select("source_document", "source_chunk_id", "content", "metadata.*").collect()
+    assert len(seen) == 1 and not {"prompt_context", "related_entities", "related_chunk_ids"} & set(seen[0])
+    # of each question: what the context of a chunk of its document and id says
+    known = {}
+    for r in context.chunk_contexts(chunking.char_chunks(docs, 120, 10)).collect():
+        known.setdefault((r.doc_id and str(r.doc_id), r.chunk_id), []).append((r.related_entities, r.related_chunk_ids))
+    assert {r.source_document for r in got} == {"1", "2", None} and any(r.knowledge_context_used for r in got)
+    for r in got:
+        assert any((r.related_entities or [])[: len(names)] == names and r.related_chunk_ids == ids for names, ids in known[r.source_document, r.source_chunk_id]), r
+    # a query that reads nothing of contexts doesn't join them
+    joined = lambda df: "prompt_context" in (plan := df._jdf.queryExecution().optimizedPlan().toString()) or "LeftOuter, ((doc_id" in plan or "related_ids" in plan
+    assert joined(records) and not joined(records.select("source_document", "content"))
+
+
+def test_without_passes_on_what_is_not_in_the_keys(spark):
+    rows = tables.settled(spark.createDataFrame([(k, n) for k in (1, 2, None) for n in range(50)], "k int, n int"))
+    keys = tables.settled(rows.where("n % 3 = 0"))
+    kept = tables.without(rows, keys, ["k", "n"])
+    assert sorted(kept.collect(), key=str) == sorted(rows.join(keys, ["k", "n"], "left_anti").collect(), key=str)
+    assert tables.without(rows, keys.where("n < 0"), ["k", "n"]).count() == 150
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, None)], "vec_id int, embedding array<double>")
     fit = {r.vec_id: list(r.v) for r in df.select("vec_id", vectors.fit_dimension(F.col("embedding"), 2).alias("v")).collect()}
